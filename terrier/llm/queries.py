@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, chat, html_wrappers, mixing, mpeg
 from .common import table
 
 #: Where the public vocabulary files are; a parameter of the operators.
@@ -17,9 +17,28 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "domain", "n_tokens", "epoch")
+
+
+def op9_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mpeg.audio_digests(mpeg.store_audio(table(spark, sf_dir, "documents")))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], turns.schema)
+    return chat.read_back(chat.chat_segments(turns.unionByName(extra)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe}
+    return {f.__name__: f for f in (op2_bpe, op5_html, op8_mixing, op9_mpeg, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_mixing": mixing.oracle()}
