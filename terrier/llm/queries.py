@@ -5,14 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, chat, html_wrappers, mixing, mpeg
+from . import bpe, brown_lm, chat, html_wrappers, mixing, mpeg, near_vectors
 from .common import table
 
 #: Where the public vocabulary files are; a parameter of the operators.
 TOKENIZERS = "/opt/tokenizers"
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
@@ -21,6 +26,11 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_wrappers.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return brown_lm.score_texts(table(spark, sf_dir, "documents"), ~held_out)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "domain", "n_tokens", "epoch")
 
@@ -37,7 +47,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op5_html, op8_mixing, op9_mpeg, op10_chat)}
+    return {f.__name__: f for f in (op1_near_vectors, op2_bpe, op5_html, op7_brown_lm, op8_mixing, op9_mpeg, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
