@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, brown_lm, chat, html_wrappers, mixing, mpeg, near_vectors
+from . import bpe, brown_lm, chat, html_wrappers, mixing, mpeg, near_vectors, ngram_join
 from .common import table
 
 #: Where the public vocabulary files are; a parameter of the operators.
@@ -22,6 +22,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_wrappers.extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -47,7 +51,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_vectors, op2_bpe, op5_html, op7_brown_lm, op8_mixing, op9_mpeg, op10_chat)}
+    return {f.__name__: f for f in (op1_near_vectors, op2_bpe, op4_ngram_join, op5_html, op7_brown_lm, op8_mixing, op9_mpeg, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
