@@ -381,14 +381,15 @@ def ngram_join(docs: DataFrame, settings: Jaccard | None = None) -> DataFrame:
 
 
 def _sets_of(t: pa.Table, s: Jaccard) -> tuple[np.ndarray, list[np.ndarray], list[int]]:
-    """Classes, their sets and rows: one row for each class whose text is the class's (rows that share a doc_id may hold other texts)."""
+    """Classes, their sets and rows: one row for each class, as guest and as host, whose text is the class's (rows that share a doc_id may hold other texts)."""
     hashes, seen, sets, kept = WordHashes(), set(), [], []
     node = t["node"].to_numpy()
+    guest = t["guest"].to_pylist() if "guest" in t.column_names else [False] * len(node)
     for k, text in enumerate(t["text"].to_pylist()):
-        if node[k] not in seen:
+        if (node[k], guest[k]) not in seen:
             keys = shingles(text, hashes, s.n)
             if class_of(keys) == node[k]:
-                seen.add(node[k])
+                seen.add((node[k], guest[k]))
                 sets.append(keys)
                 kept.append(k)
     return node[kept], sets, kept
