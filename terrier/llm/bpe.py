@@ -219,8 +219,8 @@ def encode(text: str, chunks: _Recent) -> bytes:
     return chunks.chunk(parts[0]) + b"".join(map(chunks.__getitem__, parts[1:]))
 
 
-def bpe_encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, text, token_ids array<int>, n_tokens) for each row; text is what the ids decode to.
+def bpe_encode(docs: DataFrame, path: str, decode: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, token_ids array<int>, n_tokens) for each row, and with decode also text, which is what the ids decode to.
 
     Null text: as empty, no tokens. Equal rows: equal results, each row kept. No rows: an empty table. Other columns are not read.
     """
@@ -228,13 +228,15 @@ def bpe_encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_colum
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = chunk_encoder(Vocabulary(path))
         for batch in rows(batches, 64):
-            ids = [np.frombuffer(encode(t or "", chunks), "<u4").astype(np.int64) for t in batch.column(1).to_pylist()]
-            texts = [chunks.vocabulary.decode(x).decode("utf-8", "replace") for x in ids]
-            yield pa.record_batch([batch.column(0), pa.array(texts, pa.string()), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())], names)
+            ids = [np.frombuffer(encode(t or "", chunks), "<u4").view("<i4") for t in batch.column(1).to_pylist()]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+            texts = [pa.array([chunks.vocabulary.decode(x).decode("utf-8", "replace") for x in ids], pa.string())] if decode else []
+            yield pa.record_batch([batch.column(0), lists, pa.array(np.diff(ends).astype(np.int64)), *texts], names)
 
-    names = [id_column, text_column, "token_ids", "n_tokens"]
+    names = [id_column, "token_ids", "n_tokens", *([text_column] if decode else [])]
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {kind}, `{text_column}` string, token_ids array<int>, n_tokens long")
+    return docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {kind}, token_ids array<int>, n_tokens long" + f", `{text_column}` string" * decode)
 
 
 def bpe_digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

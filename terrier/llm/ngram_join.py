@@ -380,6 +380,18 @@ def ngram_join(docs: DataFrame, settings: Jaccard | None = None) -> DataFrame:
     return texts.join(named, "class", "left").select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+#: Ids of documents to drop are sent to all tasks up to this many; beyond it they are joined by id.
+BROADCAST_IDS = 2_000_000
+
+
+def keep_one(docs: DataFrame, settings: Jaccard | None = None) -> DataFrame:
+    """One document of each group of ngram_join(): that with the smallest doc_id. Rows with a null doc_id stay."""
+    groups = materialize(ngram_join(docs, settings), "groups")
+    dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    small = dropped.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(dropped) if small else dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
 def _sets_of(t: pa.Table, s: Jaccard) -> tuple[np.ndarray, list[np.ndarray], list[int]]:
     """Classes, their sets and rows: one row for each class, as guest and as host, whose text is the class's (rows that share a doc_id may hold other texts)."""
     hashes, seen, sets, kept = WordHashes(), set(), [], []

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, brown_lm, chat, html_wrappers, mixing, mpeg, near_vectors, ngram_join
+from . import bpe, brown_lm, chat, html_wrappers, mixing, mpeg, near_vectors, ngram_join, quality, toxicity
 from .common import table
 
 #: Where the public vocabulary files are; a parameter of the operators.
@@ -22,6 +22,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "score", "kept")
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,15 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_wrappers.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def toxic_held_out():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), toxic_held_out()).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     return brown_lm.score_texts(table(spark, sf_dir, "documents"), ~held_out)
@@ -51,7 +64,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_vectors, op2_bpe, op4_ngram_join, op5_html, op7_brown_lm, op8_mixing, op9_mpeg, op10_chat)}
+    return {f.__name__: f for f in (op1_near_vectors, op2_bpe, op3_quality, op4_ngram_join, op5_html, op6_toxicity, op7_brown_lm, op8_mixing, op9_mpeg, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
