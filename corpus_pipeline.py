@@ -1,8 +1,56 @@
-"""The corpus pipeline (being built)."""
+"""The corpus pipeline: quality, toxicity, near-duplicates, mixture, tokens.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. Stages are
+written to the shared folder as Parquet and read again, so each works on what its predecessor kept, and a lost executor costs
+one stage at most.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from terrier.llm import bpe, mixing, ngram_join, quality, toxicity
+from terrier.llm.common import materialize, table
+from terrier.llm.queries import TOKENIZERS, toxic_held_out
+
+#: Four fifths of the tokens, each document at most once.
+MIXTURE = mixing.Mixture(
+    domains=mixing.PRODUCTION.domains,
+    domain_weights=mixing.PRODUCTION.domain_weights,
+    language_weights=mixing.PRODUCTION.language_weights,
+    budget_permille=800,
+    max_epochs=1,
+)
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"), toxic_held_out())
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.keep_one(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs, MIXTURE).select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.bpe_encode(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
+STAGES = [("quality", good), ("toxicity", not_toxic), ("near duplicates", one_of_each), ("mixture", mixed), ("tokens", tokens)]
+
+#: Learned stages and merges are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs
