@@ -1,15 +1,381 @@
-"""The registered queries and their SQL."""
+"""The registered queries and their SQL. Each query renders its input from the driver's tables and runs the real jobs on it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from terrier.functions import scalars
+from terrier.operators import census, checks, links, sheets, transform
+from terrier.plans import testbed as tb
+from terrier.sources import files, sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, name: str | None = None):
+    def register(f: Callable[[SparkSession, str], DataFrame]):
+        key = name or f.__name__
+        QUERIES[key] = f
+        if sql is not None:
+            SQL[key] = sql
+        return f
+
+    return register
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+# --- files, archives, lines
+
+_NAME = "concat('f', doc_id, case doc_id % 9 when 0 then '.FAB' when 1 then '.SOG' when 2 then '.TIT' when 3 then '.TER' when 4 then '.cxf' when 5 then '.CTF' when 6 then '.SUP' when 7 then '.txt' else '' end)"
+_FAMILY_NAME = "concat('x', doc_id, case doc_id % 8 when 0 then '.FAB' when 1 then '.prm' when 2 then '.SUP' when 3 then '_SC.DAT' when 4 then '_dm.dat' when 5 then '.CXF' when 6 then '.TIF' else '.TIT' end)"
+
+
+def _named(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return files.with_type(tb.table(spark, sf_dir, "documents").select("doc_id", F.expr(name).alias("filename")))
+
+
+@query(f"select doc_id, regexp_extract(n, '(\\.[^./]+)$', 1) as filetype, doc_id % 9 in (0, 1, 2, 3, 4, 5) as admitted from (select doc_id, {_NAME} as n from documents)")
+def file_types(spark, sf_dir):
+    return files.admitted(_named(spark, sf_dir, _NAME)).select("doc_id", "filetype", "admitted")
+
+
+@query("select case when doc_id % 9 in (4, 5) then 'sheet' when doc_id % 9 = 6 then 'unsupported' when doc_id % 9 in (0, 1, 2, 3) then 'census' else 'quarantine' end as route, count(*) as n from documents group by 1")
+def file_routes(spark, sf_dir):
+    return files.routed(_named(spark, sf_dir, _NAME)).groupBy("route").agg(F.count("*").alias("n"))
+
+
+@query("select doc_id, case when doc_id % 8 in (0, 1, 7) then 'register' when doc_id % 8 in (2, 5) then 'map' when doc_id % 8 = 3 then 'scan' when doc_id % 8 = 4 then 'drawing' else 'other' end as family from documents")
+def delivery_families(spark, sf_dir):
+    return _named(spark, sf_dir, _FAMILY_NAME).select("doc_id", files.family("filename").alias("family"))
+
+
+_ARCHIVE = f"concat('z', doc_id // {tb.DOCUMENTS_PER_ARCHIVE}, '.zip')"
+
+
+@query(
+    f"""with d as (select {_ARCHIVE} as archive, doc_id, octet_length(encode(coalesce(text, ''))) as n from documents)
+    select archive, concat('texts/d', doc_id, '.txt') as member, n::bigint as n_bytes from d
+    union all select archive, 'inner.zip/last.txt', arg_max(n, doc_id)::bigint from d group by archive"""
+)
+def archive_members(spark, sf_dir):
+    members = files.expand_archives(tb.render_archives(spark, sf_dir))
+    return members.where("error is null").select("archive", "member", F.octet_length("content").cast("long").alias("n_bytes"))
+
+
+@query(f"select {_ARCHIVE} as archive, concat('m', doc_id % 7) as member, max(doc_id) as last_doc, arg_max(md5(coalesce(text, '')), doc_id) as digest from documents group by 1, 2")
+def archive_last_wins(spark, sf_dir):
+    docs = tb.table(spark, sf_dir, "documents")
+    members = docs.select(F.expr(f"concat('z', doc_id div {tb.DOCUMENTS_PER_ARCHIVE}, '.zip')").alias("archive"), F.col("doc_id").alias("member_no"), F.expr("concat('m', doc_id % 7)").alias("member"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    return sinks.last_members(members).select("archive", "member", F.col("member_no").alias("last_doc"), F.md5("content").alias("digest"))
+
+
+@query("select c_custkey::varchar as code, c_name as name, c_mktsegment as segment, cast(null as varchar) as missing from customer")
+def census_lines(spark, sf_dir):
+    lines = tb.table(spark, sf_dir, "customer").select(F.concat_ws("|", "c_custkey", "c_name", "c_mktsegment").alias("value"))
+    return files.delimited(lines, ["code", "name", "segment", "missing"])
+
+
+@query(
+    """with u as (select page_id, case when page_id % 3 = 0 then regexp_replace(url, '^(https?://[^/]+)', '\\1:' || (8000 + page_id % 100)) else url end as url from pages)
+    select page_id, nullif(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1), '') as host, try_cast(nullif(regexp_extract(url, '^[a-z]+://[^/:]+:(\\d+)', 1), '') as integer) as port,
+           nullif(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1), '') as bucket, regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) as key from u"""
+)
+def url_parts(spark, sf_dir):
+    pages = tb.table(spark, sf_dir, "pages")
+    url = F.when(F.col("page_id") % 3 == 0, F.regexp_replace("url", "^(https?://[^/]+)", F.concat(F.lit("$1:"), (8000 + F.col("page_id") % 100).cast("string")))).otherwise(F.col("url"))
+    return pages.select("page_id", url.alias("url")).select("page_id", *[c.alias(n) for n, c in scalars.url_parts("url").items()])
+
+
+@query(
+    """select doc_id, (generate_subscripts(l, 1) - 1)::int as line_no, unnest(l) as line from (
+      select doc_id, list_transform(case when ends_with(text, chr(10)) then string_split(text, chr(10))[:-2] else string_split(text, chr(10)) end, lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) as l
+      from documents where text is not null)"""
+)
+def line_split(spark, sf_dir):
+    docs = tb.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.posexplode(F.transform(sheets.split_lines("text"), scalars.strip)).alias("line_no", "line"))
+
+
+@query("select p_partkey, p_name as marker, p_partkey % 3 > 0 as had_backslash from part")
+def marker_clean(spark, sf_dir):
+    parts = tb.table(spark, sf_dir, "part").select("p_partkey", F.expr("concat(' \\t', p_name, repeat('\\\\', cast(p_partkey % 3 as int)), ' \\r')").alias("line"))
+    return parts.select("p_partkey", scalars.clean_marker("line").alias("marker"), (scalars.strip("line") != scalars.clean_marker("line")).alias("had_backslash"))
+
+
+# --- sheets
+
+_SHEETS = f"""with ord as (select *, {tb.SHEET_NAME} as name, {tb.KIND} as kind from (select o_orderkey as k, o_custkey as c, o_totalprice as p, o_orderkey // {tb.ORDERS_PER_SHEET} as s from orders)),
+lin as (select l_orderkey as k, (row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1)::int as vertex_no,
+        cast(l_extendedprice as decimal(12,3)) as x, cast(l_quantity as decimal(12,3)) as y from lineitem),
+cnt as (select k, count(*)::int as n from lin group by k),
+one as (select ord.*, coalesce(n, 0) as n, (row_number() over (partition by s order by ord.k) - 1)::int as record_no from ord left join cnt using (k)),
+rec as (select *, {tb.ISLE} as isle, k % 7 = 0 as had_backslash from one)
+"""
+
+
+def _parsed(spark, sf_dir, faults=False):
+    return sheets.parse_sheets(tb.render_sheets(spark, sf_dir, faults))
+
+
+def _objects(spark, sf_dir):
+    return sheets.objects(_parsed(spark, sf_dir))
+
+
+@query(_SHEETS + "select name as codice_foglio, kind, count(*) as n, count(*) filter (where had_backslash) as n_backslash from rec group by 1, 2")
+def sheet_object_counts(spark, sf_dir):
+    return _objects(spark, sf_dir).groupBy("codice_foglio", "kind").agg(F.count("*").alias("n"), F.count_if("had_backslash").alias("n_backslash"))
+
+
+@query(_SHEETS + f"select distinct name as codice_foglio, substr(name, 1, 4) as codice_comune, {tb.MAPPA} as mappa, name as nome_mappa, {tb.SCALE} as scala_originaria, cast({tb.SCALE} as double) as scala, cast(null as varchar) as mappa_reason from rec")
+def sheet_headers(spark, sf_dir):
+    return checks.check_sheets(_parsed(spark, sf_dir)).select("codice_foglio", "codice_comune", "mappa", "nome_mappa", "scala_originaria", "scala", "mappa_reason")
+
+
+_CUSTOMER_NAME = "concat('h', lpad(concat(c_custkey % 1000), 3, '0'), substr('ABCDz', cast(c_custkey % 5 as int) + 1, 1), lpad(concat(c_custkey % 1000), 4, '0'), substr('0QABDX', cast(c_custkey % 6 as int) + 1, 1), case when c_custkey % 13 = 0 then '' else substr('ABCD0U9', cast(c_custkey % 7 as int) + 1, 1) end)"
+_CUSTOMER_NAMES = f"with n as (select c_custkey, upper({_CUSTOMER_NAME}) as name from customer), q as (select c_custkey, case when length(name) >= 11 then name end as name from n) "
+
+
+def _customer_names(spark, sf_dir):
+    names = tb.table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.expr(_CUSTOMER_NAME), F.lit(".ctf")).alias("filename"))
+    named = sheets.base_name(files.with_type(names))
+    return named.select("c_custkey", *[c.alias(n) for n, c in sheets.decode_name("name").items()])
+
+
+@query(
+    _CUSTOMER_NAMES
+    + """select c_custkey, name as codice_foglio, substr(name, 1, 4) as codice_comune, substr(name, 5, 1) as codice_sezione_censuaria, substr(name, 6, 4) as codice_numero_foglio,
+    ltrim(substr(name, 6, 4), '0') as numero_foglio, substr(name, 10, 1) as codice_allegato, substr(name, 11, 1) as codice_sviluppo, name is not null as name_ok from q"""
+)
+def sheet_names(spark, sf_dir):
+    return _customer_names(spark, sf_dir)
+
+
+def _code_sql(place: int, allowed: str) -> str:
+    part = f"substr(name, {place}, 1)"
+    return f"case when name is null then 'len' when {part} not in ({', '.join(repr(a) for a in allowed)}) then 'value' end"
+
+
+@query(_CUSTOMER_NAMES + f"select c_custkey, {_code_sql(5, 'ABCD')} as section_reason, {_code_sql(10, '0QABD')} as annex_reason, {_code_sql(11, 'ABCD0U')} as development_reason from q")
+def sheet_name_checks(spark, sf_dir):
+    checked = checks.check_sheets(_customer_names(spark, sf_dir).withColumn("mappa", F.lit("MAPPA")))
+    return checked.select("c_custkey", "section_reason", "annex_reason", "development_reason")
+
+
+@query(
+    _CUSTOMER_NAMES
+    + f"""select c_custkey, 'section_reason' as rule, {_code_sql(5, 'ABCD')} as reason, substr(name, 5, 1) as value from q where {_code_sql(5, 'ABCD')} is not null
+    union all select c_custkey, 'annex_reason', {_code_sql(10, '0QABD')}, substr(name, 10, 1) from q where {_code_sql(10, '0QABD')} is not null"""
+)
+def sheet_quarantine(spark, sf_dir):
+    checked = checks.check_sheets(_customer_names(spark, sf_dir).withColumn("mappa", F.lit("MAPPA")))
+    return checks.quarantine(checked, {"codice_sezione_censuaria": "section_reason", "codice_allegato": "annex_reason"}, ["c_custkey"])[1]
+
+
+@query(
+    _SHEETS
+    + """select name as codice_foglio, case s % 8 when 1 then 'unknown_object' when 2 then 'truncated' when 5 then 'bad_count' when 6 then 'bad_code' when 7 then 'unknown_object' else 'ok' end as status,
+    case s % 8 when 1 then 'POLIGONO' when 5 then 'LINEA' when 6 then 'BORDO' when 7 then '' end as bad_text, case s % 8 when 3 then 'more text' end as garbage,
+    case when s % 8 in (0, 3, 4) then count(*) else 0 end as n_objects from rec group by name, s"""
+)
+def sheet_status(spark, sf_dir):
+    return _parsed(spark, sf_dir, faults=True).select("codice_foglio", "status", "bad_text", "garbage", F.greatest(F.lit(0), F.coalesce(F.size("objects"), F.lit(0))).cast("long").alias("n_objects"))
+
+
+def _kind_query(kind: str, name: str) -> None:
+    columns = ", ".join(f"{e} as {n}" for e, n in zip(tb.OBJECT_FIELDS[kind], sheets.FIELDS[kind], strict=True))
+    more = {"BORDO": ", (case when isle > 0 then 1 else 0 end)::int as n_isole, n as n_vertici", "LINEA": ", n as n_vertici"}.get(kind, "")
+
+    def run(spark, sf_dir):
+        typed = sheets.of_kind(_objects(spark, sf_dir), kind)
+        sizes = {"BORDO": ["isole", "vertici"], "LINEA": ["vertici"]}.get(kind, [])
+        return typed.select("codice_foglio", "record_no", "had_backslash", *sheets.FIELDS[kind], *[F.size(c).alias(f"n_{c}") for c in sizes])
+
+    query(_SHEETS + f"select name as codice_foglio, record_no, had_backslash, {columns}{more} from rec where kind = '{kind}'", name)(run)
+
+
+for _kind, _name in (("BORDO", "sheet_borders"), ("TESTO", "sheet_texts"), ("SIMBOLO", "sheet_symbols"), ("FIDUCIALE", "sheet_fiducials"), ("LINEA", "sheet_polylines")):
+    _kind_query(_kind, _name)
+
+
+@query(_SHEETS + "select case c % 5 when 0 then 'CONFINE' when 1 then 'STRADA' when 2 then 'ACQUA' when 3 then 'FABBRICATO' else 'PARTICELLA' end as tipo, count(*) as n from rec where kind = 'BORDO' group by 1")
+def border_types(spark, sf_dir):
+    return sheets.of_kind(_objects(spark, sf_dir), "BORDO").groupBy("tipo").agg(F.count("*").alias("n"))
+
+
+@query(_SHEETS + "select name as codice_foglio, record_no, vertex_no, x::double as x, y::double as y from rec join lin using (k) where kind in ('BORDO', 'LINEA')")
+def sheet_vertices(spark, sf_dir):
+    found = _objects(spark, sf_dir)
+    both = [sheets.of_kind(found, k).select("codice_foglio", "record_no", "vertici") for k in ("BORDO", "LINEA")]
+    return sheets.vertex_rows(both[0].unionByName(both[1])).withColumns({a: F.col(a).cast("double") for a in "xy"})
+
+
+@query(_SHEETS + "select name as codice_foglio, record_no, 0::int as island_no, isle as n from rec where kind = 'BORDO' and isle > 0")
+def sheet_islands(spark, sf_dir):
+    return sheets.island_rows(sheets.of_kind(_objects(spark, sf_dir), "BORDO"))
+
+
+_SIZES = ", ".join(f"(count(*) filter (where kind = '{k}'))::int as n_{k.lower()}" for k in sheets.FIELDS)
+
+
+@query(_SHEETS + f"select name as codice_foglio, {_SIZES}, min(record_no) filter (where kind = 'LINEA') as first_linea, max(record_no) filter (where kind = 'LINEA') as last_linea from rec group by 1")
+def sheet_documents(spark, sf_dir):
+    nested = sheets.documents(_parsed(spark, sf_dir))
+    line = F.col("oggetti.linea")
+    sizes = [F.size(F.col(f"oggetti.{k.lower()}")).alias(f"n_{k.lower()}") for k in sheets.FIELDS]
+    return nested.select("codice_foglio", *sizes, F.try_element_at(line, F.lit(1))["record_no"].alias("first_linea"), F.try_element_at(line, F.lit(-1))["record_no"].alias("last_linea"))
+
+
+@query(_SHEETS + f"select name as codice_foglio, {_SIZES}, min(k) filter (where kind = 'FIDUCIALE')::varchar as first_fiducial from rec group by 1")
+def sheet_regrouped(spark, sf_dir):
+    nested = sheets.regrouped(_objects(spark, sf_dir))
+    return nested.select("codice_foglio", *[F.size(k.lower()).alias(f"n_{k.lower()}") for k in sheets.FIELDS], F.get(F.try_element_at("fiduciale", F.lit(1))["fields"], F.lit(0)).alias("first_fiducial"))
+
+
+@query(
+    _SHEETS
+    + f"""select distinct name as codice_foglio, concat('{{"MAPPA":"', {tb.MAPPA}, '","NOME MAPPA":"', name, '","SCALA ORIGINARIA":"', {tb.SCALE}, '","CODICE FOGLIO":"', name, '","CODICE COMUNE":"', substr(name, 1, 4), '"}}') as json from rec"""
+)
+def sheet_exports(spark, sf_dir):
+    return sheets.exported(_parsed(spark, sf_dir))
+
+
+@query(
+    _SHEETS
+    + """select name as codice_foglio, record_no, vertex_no, round(n_nationkey * 1000.0::double + 2.0::double * x::double + 0.5::double * y::double, 3) as x,
+    round(n_nationkey * 10.0::double + 0.5::double * x::double + 4.0::double * y::double, 3) as y
+    from rec join lin using (k) join nation on substr(name, 1, 4) = 'H' || lpad(n_nationkey::varchar, 3, '0') where kind = 'LINEA'"""
+)
+def coordinate_transform(spark, sf_dir):
+    parameters = tb.table(spark, sf_dir, "nation").selectExpr("concat('H', lpad(cast(n_nationkey as string), 3, '0')) as codice_comune", "n_nationkey * 1000.0D as a0", "2.0D as a1", "0.5D as a2", "n_nationkey * 10.0D as b0", "0.5D as b1", "4.0D as b2")
+    done, _ = transform.transform_vertices(sheets.of_kind(_objects(spark, sf_dir), "LINEA"), parameters)
+    rows = done.select("codice_foglio", "record_no", F.posexplode("vertici").alias("vertex_no", "v"))
+    return rows.select("codice_foglio", "record_no", "vertex_no", *[F.round(F.col(f"v.{a}"), 3).alias(a) for a in "xy"])
+
+
+# --- scalars
+
+_RAW = "case o_orderkey % 8 when 0 then concat(' ', o_orderkey, ' ') when 1 then concat('000', o_orderkey) when 2 then concat('+', o_orderkey) when 3 then '2.7' when 4 then '' when 5 then '1_000' when 6 then 'x' else concat(o_orderkey) end"
+
+
+@query(f"select o_orderkey, case when regexp_full_match(trim(r), '[+-]?\\d+') then try_cast(trim(r) as integer) end as value, coalesce(case when regexp_full_match(trim(r), '[+-]?\\d+') then try_cast(trim(r) as integer) end, -1) as or_default from (select o_orderkey, {_RAW} as r from orders)")
+def safe_casts(spark, sf_dir):
+    return tb.table(spark, sf_dir, "orders").select("o_orderkey", scalars.safe_int(F.expr(_RAW)).alias("value"), scalars.safe_int(F.expr(_RAW), -1).alias("or_default"))
+
+
+@query("select o_orderkey, regexp_replace(cast(cast(o_totalprice as decimal(18,3)) as varchar), '0{1,2}$', '') as price, regexp_replace(cast(cast(o_orderkey * 100000 as decimal(18,3)) as varchar), '0{1,2}$', '') as large from orders")
+def float_texts(spark, sf_dir):
+    return tb.table(spark, sf_dir, "orders").select("o_orderkey", scalars.float_text("o_totalprice").alias("price"), scalars.float_text((F.col("o_orderkey") * 100000).cast("double")).alias("large"))
+
+
+@query("select o_orderkey, case when o_orderkey % 5 in (0, 1, 2) then null else cast(cast(o_orderdate as date) as varchar) end as act_date from orders")
+def act_dates(spark, sf_dir):
+    raw = F.expr("case o_orderkey % 5 when 0 then '00000000' when 1 then '31022001' when 2 then ' ' else concat(date_format(o_orderdate, 'ddMMyyyy'), ' ') end")
+    return tb.table(spark, sf_dir, "orders").select("o_orderkey", scalars.act_date(raw).cast("string").alias("act_date"))
+
+
+@query(f"select doc_id, md5(translate(text, '{scalars.ACCENTED}', '{scalars.PLAIN}')) as digest from documents")
+def accent_fold(spark, sf_dir):
+    return tb.table(spark, sf_dir, "documents").select("doc_id", F.md5(scalars.fold_accents("text")).alias("digest"))
+
+
+@query("select c_custkey, md5(concat(c_custkey, '|', c_name, '|', case when c_custkey % 2 = 0 then c_mktsegment else '' end)) as id from customer")
+def surrogate_ids(spark, sf_dir):
+    segment = F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))
+    return tb.table(spark, sf_dir, "customer").select("c_custkey", scalars.surrogate_id("c_custkey", "c_name", segment).alias("id"))
+
+
+@query("select event_id, value * 2 as doubled from events")
+def double_values(spark, sf_dir):
+    return tb.table(spark, sf_dir, "events").select("event_id", scalars.doubled("value").alias("doubled"))
+
+
+@query("select p_partkey, p_partkey % 6 = 0 as ok from part")
+def fab_file_check(spark, sf_dir):
+    rows = tb.table(spark, sf_dir, "part").selectExpr("p_partkey", "case p_partkey % 2 when 0 then 'FAB' else 'TER' end as register", "case p_partkey % 3 when 0 then 'FAB' else 'SOG' end as ext")
+    return rows.select("p_partkey", checks.fab_file_ok("register", "ext").alias("ok"))
+
+
+@query("select p_partkey, concat_ws(',', case when p_partkey % 2 = 0 then 'codice' end, case when p_partkey % 3 = 0 then 'immobile' end) as missing from part")
+def missing_fields(spark, sf_dir):
+    rows = tb.table(spark, sf_dir, "part").selectExpr("p_partkey", "case when p_partkey % 2 <> 0 then p_name else '' end as codice", "case when p_partkey % 3 <> 0 then p_partkey end as immobile")
+    return rows.select("p_partkey", F.concat_ws(",", checks.missing_fields(["codice", "immobile"])).alias("missing"))
+
+
+# --- census
+
+
+def _target(spark, sf_dir, name):
+    return census.target(tb.register_lines(spark, sf_dir, census.ORIGINS[name][0]), name)
+
+
+def _target_query(name: str) -> None:
+    query(tb.expected_table(name), name)(lambda spark, sf_dir: _target(spark, sf_dir, name))
+
+
+for _table in census.TARGETS:
+    _target_query(_table)
+
+
+def _with(*tables: str) -> str:
+    return "with " + ", ".join(f"{t} as ({tb.expected_table(t)})" for t in tables) + " "
+
+
+@query(
+    _with("cuidenti", "ctpartic")
+    + """select i.codice, i.sezione, i.immobile, i.progressiv, try_cast(i.foglio as integer) as foglio, i.numero, i.denominato,
+    case when p.immobile is not null then md5(concat(p.codice, '|', p.sezione, '|', p.immobile)) end as terreno_id
+    from cuidenti i left join ctpartic p on i.codice = p.codice and i.sezione = p.sezione and try_cast(i.foglio as integer) = p.foglio and i.numero = p.numero and i.denominato is not distinct from p.denominato"""
+)
+def building_land_links(spark, sf_dir):
+    return links.units_to_land(_target(spark, sf_dir, "cuidenti"), _target(spark, sf_dir, "ctpartic"))
+
+
+@query(
+    _with("cttitola", "ctfisica", "ctnonfis")
+    + """, s as (select codice, sezione, soggetto, tipo_sog, concat_ws(' ', cognome, nome) as subject, 'natural' as person from ctfisica
+      union all select codice, sezione, soggetto, tipo_sog, denominaz, 'legal' from ctnonfis)
+    select codice, sezione, soggetto, tipo_sog, immobile, numeratore, denominato, identifica, subject, person from cttitola join s using (codice, sezione, soggetto, tipo_sog)"""
+)
+def owner_subjects(spark, sf_dir):
+    return links.owners(*[_target(spark, sf_dir, t) for t in ("cttitola", "ctfisica", "ctnonfis")])
+
+
+@query(
+    _with("cttitola", "cuarcuiu", "ctpartic")
+    + """, o as (select codice, sezione, immobile, tipo_imm, 'unit' as thing, categoria as nature from cuarcuiu union all select codice, sezione, immobile, tipo_imm, 'parcel', qualita::varchar from ctpartic)
+    select codice, sezione, immobile, tipo_imm, soggetto, identifica, (case when denominato > 0 then trunc(numeratore * 1000 / denominato) end)::int as share_permille, thing, nature
+    from cttitola join o using (codice, sezione, immobile, tipo_imm)"""
+)
+def owner_units(spark, sf_dir):
+    return links.owned_units(*[_target(spark, sf_dir, t) for t in ("cttitola", "cuarcuiu", "ctpartic")])
+
+
+_COUNTED = {"FABBRICATI": "cuarcuiu", "TERRENI": "ctpartic", "TITOLARITA": "cttitola"}
+
+
+@query(_with(*_COUNTED.values()) + " union all ".join(f"select '{r}' as register, count(*) as n from {t}" for r, t in _COUNTED.items()))
+def register_buckets(spark, sf_dir):
+    return links.register_counts({r: _target(spark, sf_dir, t) for r, t in _COUNTED.items()})
+
+
+@query(
+    _with(*_COUNTED.values())
+    + ", u as ("
+    + " union all ".join(f"select codice, sezione, '{r}' as register from {t}" for r, t in _COUNTED.items())
+    + ") select codice, sezione, "
+    + ", ".join(f"""nullif(count(*) filter (where register = '{r}'), 0) as "{r}\"""" for r in _COUNTED)
+    + " from u group by 1, 2"
+)
+def census_by_municipality(spark, sf_dir):
+    return links.census_by_municipality({r: _target(spark, sf_dir, t) for r, t in _COUNTED.items()})
