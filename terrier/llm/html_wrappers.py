@@ -139,30 +139,26 @@ def _total(items: list[dict], key: str) -> int:
 
 def fold(items: list[dict]) -> list[dict]:
     """Repeats of one to LONGEST_RUN siblings become one repeated item or group."""
+    signs = lambda some: [i["s"] for i in some]
     for width in range(1, LONGEST_RUN + 1):
         out: list[dict] = []
         for item in items:
             out.append(item)
-            while len(out) >= 2 * width:
-                a, b = out[-2 * width : -width], out[-width:]
-                if width == 1:
-                    if a[0]["s"] != b[0]["s"] or a[0]["s"] == "()" and [i["s"] for i in a[0]["c"]] != [i["s"] for i in b[0]["c"]]:
-                        break
-                    made = merge(a[0], b[0], same_page=True)
-                    made["q"] = "*" if "?" in a[0]["q"] + b[0]["q"] or "*" in a[0]["q"] + b[0]["q"] else "+"
-                    out[-2:] = [made]
-                    break
-                if [i["s"] for i in a] != [i["s"] for i in b] or len({i["s"] for i in a}) == 1:
-                    if len(out) > width and out[-width - 1]["s"] == "()" and [i["s"] for i in out[-width - 1]["c"]] == [i["s"] for i in b]:
-                        group = out[-width - 1]
-                        group["c"] = [merge(x, y, same_page=True) for x, y in zip(group["c"], b, strict=True)]
-                        group["x"] += _total(b, "x")
-                        group["l"] += _total(b, "l")
-                        del out[-width:]
-                    break
-                group = {"s": "()", "q": "+", "c": [merge(x, y, same_page=True) for x, y in zip(a, b, strict=True)], "t": None, "n": 1, "x": _total(a + b, "x"), "l": _total(a + b, "l")}
-                out[-2 * width :] = [group]
-                break
+            if width == 1:
+                if len(out) > 1 and _key(out[-2]) == _key(item):
+                    quantity = _quantity(out[-2]["q"], item["q"])
+                    out[-2:] = [merge(out[-2], item, same_page=True) | {"q": "*" if quantity in ("?", "*") else "+"}]
+                continue
+            last = out[-width:]
+            if len(out) > width and out[-width - 1]["s"] == "()" and signs(out[-width - 1]["c"]) == signs(last):
+                before = [out[-width - 1]]
+                made = [merge(x, y, same_page=True) for x, y in zip(before[0]["c"], last, strict=True)]
+            elif len(out) >= 2 * width and signs(out[-2 * width : -width]) == signs(last) and len(set(signs(last))) > 1:
+                before = out[-2 * width : -width]
+                made = [merge(x, y, same_page=True) for x, y in zip(before, last, strict=True)]
+            else:
+                continue
+            out[-width - len(before) :] = [{"s": "()", "q": "+", "c": made, "t": None, "n": 1, "x": _total(before + last, "x"), "l": _total(before + last, "l")}]
         items = out
     if len(items) > MOST_ITEMS or any(i["s"] == "(*)" for i in items):
         items = [loose(items)]
