@@ -8,12 +8,12 @@ from terrier.sources import files, sinks
 
 
 def test_read_files(spark, tmp_path):
-    (tmp_path / "a.SOG").write_text("Hello|Catasto|2021\nHello|Catasto|2022")
+    (tmp_path / "a.SOG").write_text("Hello|Land|2021\nHello|Land|2022")
     (tmp_path / "b.cxf").write_text("x")
     (tmp_path / "sub").mkdir()
     rows = {r.filename: r for r in files.routed(files.admitted(files.read_files(spark, str(tmp_path)))).collect()}
     assert set(rows) == {"a.SOG", "b.cxf"}
-    assert (rows["a.SOG"].filetype, rows["a.SOG"].content, rows["a.SOG"].route) == (".SOG", "Hello|Catasto|2021\nHello|Catasto|2022", "census")
+    assert (rows["a.SOG"].filetype, rows["a.SOG"].content, rows["a.SOG"].route) == (".SOG", "Hello|Land|2021\nHello|Land|2022", "census")
     assert rows["b.cxf"].admitted and rows["b.cxf"].route == "sheet"
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         files.read_files(spark, str(tmp_path / "absent")).collect()
@@ -24,35 +24,35 @@ def test_archives(spark, tmp_path):
     with zipfile.ZipFile(inner, "w") as z:
         z.writestr("deep.txt", "deep")
     with zipfile.ZipFile(tmp_path / "d.zip", "w") as z, pytest.warns(UserWarning):
-        z.writestr("sample_roma.txt", "old")
+        z.writestr("first.txt", "old")
         z.mkdir("sub")
         z.writestr("sub/x.FAB", "f")
         z.writestr("more.zip", inner.getvalue())
-        z.writestr("sample_roma.txt", "Hello Sister!")
+        z.writestr("first.txt", "hello again")
     (tmp_path / "bad.zip").write_bytes(b"no archive")
     members = files.expand_archives(files.read_archives(spark, str(tmp_path))).cache()
     assert members.where("error is not null").select("archive").first()[0] == "bad.zip"
     last = {r.member: bytes(r.content) for r in sinks.last_members(members).collect()}
-    assert last == {"sample_roma.txt": b"Hello Sister!", "sub/x.FAB": b"f", "more.zip/deep.txt": b"deep"}
+    assert last == {"first.txt": b"hello again", "sub/x.FAB": b"f", "more.zip/deep.txt": b"deep"}
     sinks.store_members(members, str(tmp_path / "out"))
     assert {r.family for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"register", "other"}
 
 
 def test_census_rows_of_wrong_length_and_values(spark):
     names = census.layout("SOG", None)
-    good = {"codice_ammvo": "H501", "identificativo_soggetto": " 12 ", "tipo_soggetto": "P", "cognome": "ROSSI"}
-    lines = ["|".join(good.get(n, "") for n in names), "H501", "", "|".join({**good, "identificativo_soggetto": "2.7", "tipo_soggetto": "G"}.get(n, "") for n in names)]
+    good = {"codice_ammvo": "L219", "identificativo_soggetto": " 12 ", "tipo_soggetto": "P", "cognome": "ROSSI"}
+    lines = ["|".join(good.get(n, "") for n in names), "L219", "", "|".join({**good, "identificativo_soggetto": "2.7", "tipo_soggetto": "G"}.get(n, "") for n in names)]
     df = spark.createDataFrame([("SOG", x) for x in lines], "register string, value string")
     natural = census.target(df, "ctfisica").collect()
-    assert [(r.codice, r.soggetto, r.cognome) for r in natural] == [("H501", 12, "ROSSI")]
+    assert [(r.codice, r.soggetto, r.cognome) for r in natural] == [("L219", 12, "ROSSI")]
     legal = census.target(df, "ctnonfis").collect()
     assert len(legal) == 3 and all(r.soggetto is None for r in legal)
 
 
 def test_store_targets(spark, tmp_path):
-    df = spark.createDataFrame([("H501", "A", 1), ("H502", "B", 2)], "codice string, sezione string, n int")
+    df = spark.createDataFrame([("L219", "A", 1), ("L220", "B", 2)], "codice string, sezione string, n int")
     sinks.store_targets({"t": df}, str(tmp_path))
-    assert spark.read.parquet(str(tmp_path / "t")).where("codice = 'H502'").count() == 1
+    assert spark.read.parquet(str(tmp_path / "t")).where("codice = 'L220'").count() == 1
     sinks.store_registers({"TERRENI": df}, str(tmp_path / "r"))
     assert spark.read.parquet(str(tmp_path / "r")).select("register").distinct().first()[0] == "TERRENI"
 

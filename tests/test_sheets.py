@@ -6,18 +6,18 @@ from pyspark.sql import functions as F
 from terrier.operators import checks, sheets
 from terrier.streaming import drop_folder
 
-HEAD = ["MAPPA", "H501D076700", "  4000.000"]
+HEAD = ["MAPPA", "L219C034500", "  4000.000"]
 
 
-def parse(spark, lines, name="H501D076700.CTF", end="\r\n"):
+def parse(spark, lines, name="L219C034500.CTF", end="\r\n"):
     df = spark.createDataFrame([(name, ".CTF", end.join(lines))], "filename string, filetype string, content string")
     return sheets.parse_sheets(df).collect()[0]
 
 
 def test_name_and_header(spark):
     r = parse(spark, [*HEAD, "EOF"])
-    assert (r.codice_comune, r.codice_sezione_censuaria, r.codice_numero_foglio, r.numero_foglio, r.codice_allegato, r.codice_sviluppo) == ("H501", "D", "0767", "767", "0", "0")
-    assert (r.mappa, r.nome_mappa, r.scala_originaria, r.scala, r.status) == ("MAPPA", "H501D076700", "4000.000", 4000.0, "ok")
+    assert (r.codice_comune, r.codice_sezione_censuaria, r.codice_numero_foglio, r.numero_foglio, r.codice_allegato, r.codice_sviluppo) == ("L219", "C", "0345", "345", "0", "0")
+    assert (r.mappa, r.nome_mappa, r.scala_originaria, r.scala, r.status) == ("MAPPA", "L219C034500", "4000.000", 4000.0, "ok")
 
 
 @pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
@@ -28,7 +28,7 @@ def test_all_kinds(spark, end):
     assert r.status == "ok", r.bad_text
     assert [o.kind for o in r.objects] == ["BORDO", "TESTO", "SIMBOLO", "FIDUCIALE", "LINEA", "LINEA"]
     assert [o.had_backslash for o in r.objects] == [True, False, False, False, True, False]
-    df = spark.createDataFrame([("H501D076700.CTF", ".CTF", end.join(lines))], "filename string, filetype string, content string")
+    df = spark.createDataFrame([("L219C034500.CTF", ".CTF", end.join(lines))], "filename string, filetype string, content string")
     border = sheets.of_kind(sheets.objects(sheets.parse_sheets(df)), "BORDO").collect()[0]
     assert border.tipo == "FABBRICATO" and border.isole == ["1"] and [(v.x, v.y) for v in border.vertici] == [("1.5", "2.5"), ("3", "4"), ("5", "6")]
     assert sheets.of_kind(sheets.objects(sheets.parse_sheets(df)), "LINEA").where("numero_vertici = 0").select(F.size("vertici")).first()[0] == 0
@@ -45,20 +45,20 @@ def test_all_kinds(spark, end):
         ([*HEAD, "LINEA"], None, "truncated", None),
         ([*HEAD, "BORDO", "", "1", "0", "1", "2", "3", "4", "0", "0", "EOF"], None, "bad_code", "BORDO"),
         (HEAD[:2], None, "short_header", None),
-        ([*HEAD, "EOF"], "H501.CTF", "bad_name", None),
+        ([*HEAD, "EOF"], "L219.CTF", "bad_name", None),
         ([""], None, "short_header", None),
         (HEAD, None, "ok", None),
     ],
 )
 def test_status(spark, lines, name, status, text):
-    r = parse(spark, lines, name or "H501D076700.CTF")
+    r = parse(spark, lines, name or "L219C034500.CTF")
     assert (r.status, r.bad_text) == (status, text)
     assert (r.objects is None) == (status != "ok")
 
 
 def test_garbage_and_null_content(spark):
     assert parse(spark, [*HEAD, "EOF", "more", "x"]).garbage == "more"
-    df = spark.createDataFrame([("H501D076700.CTF", ".CTF", None)], "filename string, filetype string, content string")
+    df = spark.createDataFrame([("L219C034500.CTF", ".CTF", None)], "filename string, filetype string, content string")
     assert sheets.parse_sheets(df).first().status == "short_header"
 
 
@@ -71,10 +71,10 @@ def test_checks(spark):
 def test_drop_folder_handles_each_file_once(spark, tmp_path):
     drop, out, ledger, done = (tmp_path / n for n in ("drop", "out", "ledger", "done"))
     drop.mkdir()
-    (drop / "H501D076700.CTF").write_bytes("\r\n".join([*HEAD, "TESTO", "a", "1", "2", "3", "4", "EOF"]).encode())
+    (drop / "L219C034500.CTF").write_bytes("\r\n".join([*HEAD, "TESTO", "a", "1", "2", "3", "4", "EOF"]).encode())
     (drop / "note.txt").write_text("no sheet")
     drop_folder.run_once(spark, str(drop), str(out), str(ledger), archive=str(done)).awaitTermination()
-    (drop / "H501D076800.CTF").write_bytes("\r\n".join([*HEAD, "EOF"]).encode())
+    (drop / "L219C034600.CTF").write_bytes("\r\n".join([*HEAD, "EOF"]).encode())
     drop_folder.run_once(spark, str(drop), str(out), str(ledger), archive=str(done)).awaitTermination()
     got = {r.codice_foglio: len(r.objects) for r in spark.read.parquet(str(out)).collect()}
-    assert got == {"H501D076700": 1, "H501D076800": 0}
+    assert got == {"L219C034500": 1, "L219C034600": 0}
