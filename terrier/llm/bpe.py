@@ -22,10 +22,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import CACHE_ENTRIES, rows
+from .common import rows
 
 #: Fixed value: how byte-level BPE of this family cuts text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Words, pieces and pairs that a worker remembers, in each of two generations.
+WORDS_HELD, PIECES_HELD, PAIRS_HELD = 220_000, 80_000, 200_000
 #: Texts are decoded in runs of about so many tokens, which bounds memory.
 DECODE_TOKENS = 1_000_000
 
@@ -115,7 +117,7 @@ class Vocabulary:
                 else:
                     right = inner
         if but is None:
-            if len(self.fits_known) >= 2 * CACHE_ENTRIES:
+            if len(self.fits_known) >= PAIRS_HELD:
                 self.fits_known.clear()
             self.fits_known[key] = good
         return good
@@ -170,7 +172,7 @@ class Vocabulary:
 class _Recent(dict):
     """A bounded memory of two generations: what was used lately outlives what was not."""
 
-    def __init__(self, make, entries: int = CACHE_ENTRIES):
+    def __init__(self, make, entries: int):
         super().__init__()
         self.make, self.entries, self.old = make, entries, {}
 
@@ -188,13 +190,13 @@ class _Recent(dict):
 def chunk_encoder(vocabulary: Vocabulary) -> _Recent:
     """Ids (little-endian bytes) by word, for the word with a space before it. Such chunks never share a piece, so each is encoded alone."""
     find = regex.compile(PIECES).findall
-    pieces = _Recent(lambda piece: array("I", vocabulary.encode_piece(piece.encode("utf-8", "surrogatepass"))).tobytes())
+    pieces = _Recent(lambda piece: array("I", vocabulary.encode_piece(piece.encode("utf-8", "surrogatepass"))).tobytes(), PIECES_HELD)
 
     def make(chunk: str) -> bytes:
         found = find(chunk)
         return pieces[chunk] if len(found) == 1 else b"".join([pieces[x] for x in found])
 
-    made = _Recent(lambda word: make(" " + word))
+    made = _Recent(lambda word: make(" " + word), WORDS_HELD)
     made.vocabulary, made.chunk = vocabulary, make
     return made
 

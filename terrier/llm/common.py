@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 WORD_BREAKS = b" \t\n\x0b\x0c\r"
 UPPER_TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Entries that a per-worker cache may hold before it starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 120_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -130,13 +130,13 @@ def _sets(s: Jaccard):
                 classes.append(h)
                 signatures.append(signature(keys).tobytes() if len(keys) else None)
                 if len(keys) and h not in seen:
-                    if len(seen) >= 500_000:
+                    if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(h)
                     held.append(keys)
                     n_held += len(keys)
             out = [None] * batch.num_rows, [None] * batch.num_rows
-            if n_held > 8_000_000 and batch.num_rows:
+            if n_held > 2_500_000 and batch.num_rows:
                 out[0][0], out[1][0] = often()
                 n_held = 0
             yield record([batch.column(0).to_pylist(), sizes, classes, signatures, *out])
@@ -172,7 +172,7 @@ def _prefixes(s: Jaccard, sent):
                 h = class_of(keys)
                 if h in seen:
                     continue
-                if len(seen) >= 500_000:
+                if len(seen) >= 200_000:
                     seen.clear()
                 seen.add(h)
                 first = _order(keys, frequent, counts, s.prefix(len(keys)))

@@ -75,12 +75,12 @@ def word_features(word: str, bits: int) -> tuple[int, ...]:
 class _Known(dict):
     """Something remembered for each word, for a bounded number of words."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int = CACHE_ENTRIES):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, word):
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= self.most:
             self.clear()
         value = self[word] = self.make(word)
         return value
@@ -119,7 +119,7 @@ def fit(sample: DataFrame, s: Settings) -> Model:
     kinds = {w: kind for kind in s.terms for w in kind}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(lambda w: word_features(w, s.bits))
+        known = _Known(lambda w: word_features(w, s.bits), 30_000)
         counts = np.zeros((2, n_features), np.int32)
         pairs: Counter = Counter()
         for b in batches:
@@ -142,7 +142,7 @@ def fit(sample: DataFrame, s: Settings) -> Model:
     chosen = np.array(sorted(r.feature for r in clear.orderBy(F.desc("z"), "feature").limit(s.kept).select("feature").collect()), np.int64)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(lambda w: word_features(w, s.bits))
+        known = _Known(lambda w: word_features(w, s.bits), 30_000)
         for b in rows(batches, 500):
             found = [np.flatnonzero(np.isin(chosen, _features(t, known))).astype(np.int32) for t in b.column(0).to_pylist()]
             yield pa.record_batch([pa.array(found, pa.list_(pa.int32())), b.column(1)], ["features", "toxic"])
