@@ -22,6 +22,9 @@ MIXTURE = mixing.Mixture(
     max_epochs=1,
 )
 
+#: Near copies share four fifths of their shingles of five words. (op4_ngram_join has the values of its own contract.)
+NEAR = ngram_join.Jaccard(n=5, part=80, whole=100)
+
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
@@ -32,7 +35,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.keep_one(docs)
+    return ngram_join.keep_one(docs, NEAR)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import re
 
 import corpus_pipeline
+import numpy as np
 from terrier.llm import bpe, mixing, queries
 
 
@@ -29,3 +30,32 @@ def test_stages(spark, sf_dir):
             for doc_id, ids in zip(after.doc_id, after.token_ids, strict=True):
                 assert library.decode(np.asarray(ids, np.int64)).decode() == texts[doc_id]
     assert mixing.PRODUCTION.max_epochs == 4
+
+
+def test_near_duplicates_equal_brute_force(spark, sf_dir):
+    """The stage links at five words and 0.8, also what four words and 0.85 don't link."""
+    rng = np.random.default_rng(11)
+    pool, texts = [f"w{i}" for i in range(3000)], []
+    for size in range(45, 62):
+        base = list(rng.choice(pool, size, replace=False))
+        changed = [*base[: size // 2], "other", *base[size // 2 + 1 :]]
+        texts += [" ".join(base), " ".join(changed)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert kept_by_brute_force(texts, 5, 80) < kept_by_brute_force(texts, 4, 85)
+    for some in (docs, spark.read.parquet(f"{sf_dir}/documents.parquet")):
+        held = some.orderBy("doc_id").select("doc_id", "text").collect()
+        left = corpus_pipeline.one_of_each(spark, some, sf_dir).collect()
+        assert {r.doc_id for r in left} == {held[i].doc_id for i in kept_by_brute_force([r.text for r in held], 5, 80)}
+
+
+def kept_by_brute_force(texts, n, part):
+    """Places of the first text of each component; texts are in the order of their ids."""
+    cut = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    sets = [{tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set() for w in cut]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= part * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return {i for i, r in enumerate(root) if i == r}
