@@ -7,8 +7,8 @@ have becomes optional, and text that differs becomes a slot. Every task infers w
 are then aligned with one another, which needs as many rows of a host as there were tasks, however many pages it has.
 
 Each wrapper then names its regions: menus, notices and the like by their elements, names and share of links, template text
-by being the same on all pages, and the article by its element, its name or its amount of text. Extraction follows a page
-along its host's wrapper and keeps the text slots of the article.
+by being the same on all pages, and candidates for the article by their element or name. Extraction follows a page along its
+host's wrapper, chooses among the candidates that the page has, and keeps the text slots of the article.
 """
 
 from __future__ import annotations
@@ -246,45 +246,30 @@ def _is_dropped(item: dict) -> bool:
     return item["x"] > 0 and name in ("ul", "ol", "div", "section", "table") and item["l"] > 0.6 * item["x"]
 
 
+def mark(item: dict, pages: int) -> dict:
+    """What extraction needs of an item: d dropped, a 2 an article by name and 1 by its words, f a text that all of several pages share, which is the template's."""
+    name, *words = item["s"].split(".")
+    return {
+        "s": item["s"],
+        "d": _is_dropped(item),
+        "a": 2 if name in MAIN else int(not MAIN_WORDS.isdisjoint(words)),
+        "f": bool(item["t"]) and pages >= 3 and item["n"] >= pages,
+        "c": [mark(i, pages) for i in item["c"]],
+    }
+
+
 def regions(wrapper: dict) -> dict:
-    """What extraction needs of a wrapper: its items, each with k: 1 keep, 0 drop."""
-    articles: list[dict] = []
-
-    def find(item: dict, dropped: bool) -> None:
-        dropped = dropped or _is_dropped(item)
-        name, *words = item["s"].split(".")
-        if not dropped and (name in MAIN or not MAIN_WORDS.isdisjoint(words)):
-            articles.append(item)
-            if name == "main":  # an article inside says more
-                inside = len(articles)
-                for i in item["c"]:
-                    find(i, dropped)
-                if len(articles) > inside:
-                    articles.remove(item)
-            return
-        for i in item["c"]:
-            find(i, dropped)
-
-    find(wrapper, False)
-    articles = [i for i in articles if i["x"] > 0]
-    if any(i["s"].split(".")[0] in MAIN for i in articles):
-        articles = [i for i in articles if i["s"].split(".")[0] in MAIN]
-    most = max((i["x"] for i in articles), default=0)
-    chosen = {id(i) for i in articles if i["x"] >= 0.1 * most}
-
-    def mark(item: dict, inside: bool, pages: int) -> dict:
-        own = not _is_dropped(item)
-        inside = own and (inside or not chosen or id(item) in chosen)
-        # outside a known article, a text that all of several pages share is the template's
-        fixed = not chosen and bool(item["t"]) and pages >= 3 and item["n"] >= pages
-        return {"s": item["s"], "k": int(inside and not fixed), "o": int(own), "c": [mark(i, inside, pages) for i in item["c"]]}
-
-    return mark(wrapper, False, wrapper["n"])
+    """The marked items of a wrapper."""
+    return mark(wrapper, wrapper["n"])
 
 
 def extract(page: str | None, marked: dict) -> str:
-    """The text of a page along its host's marked wrapper; blocks are joined by an empty line."""
+    """The text of a page along its host's marked wrapper; blocks are joined by an empty line.
+
+    The article is chosen among the candidates that the page has: pages of one host may be of several templates.
+    """
     blocks: list[list[str]] = [[]]
+    items: dict[int, dict] = {}
 
     def look(items: list[dict], sign: str, start: int) -> tuple[dict | None, int]:
         for k in [*range(start, len(items)), *range(start)]:
@@ -296,27 +281,50 @@ def extract(page: str | None, marked: dict) -> str:
                         return inner, k
         return None, start
 
-    def walk(element: Element, item: dict) -> None:
+    def measure(element: Element, item: dict, off: bool) -> tuple[int, list[tuple[Element, dict, int]]]:
+        """Pairs the elements with items; the characters that aren't dropped, and the candidates."""
+        x, found, at = 0, [], 0
+        for part in element.parts:
+            if isinstance(part, str):
+                x += 0 if off or part.isspace() else len(part)
+                continue
+            inner, at = look(item["c"], part.sign, at)
+            if inner is None:  # a page that its host's wrapper doesn't cover: judged by itself
+                inner = mark({"s": part.sign, "x": 0, "l": 0, "t": None, "n": 0, "c": []}, 1)
+            items[id(part)] = inner
+            n, some = measure(part, inner, off or inner["d"])
+            x += n
+            found += some
+        if item["a"] and x and not (found and element.name == "main"):  # an article inside main says more
+            found = [(element, item, x)]
+        return x, found
+
+    def walk(element: Element, inside: bool, fixed: bool) -> None:
         block = element.name not in INLINE
         if block:
             blocks.append([])
-        at = 0
         for part in element.parts:
             if isinstance(part, str):
-                if item["k"]:
+                if inside and not fixed:
                     blocks[-1].append(part)
-            else:
-                inner, at = look(item["c"], part.sign, at)
-                if inner is None:  # a page that its host's wrapper doesn't cover: judged by itself
-                    inner = {"s": part.sign, "k": int(item["k"] and not _is_dropped({"s": part.sign, "x": 0, "l": 0})), "c": []}
-                if part.name == "br":
-                    blocks[-1].append(" ")
-                elif part.name not in DROPPED:
-                    walk(part, inner)
+                continue
+            item = items[id(part)]
+            if part.name == "br":
+                blocks[-1].append(" ")
+            elif part.name not in DROPPED:
+                walk(part, not item["d"] and (inside or id(part) in chosen), not chosen and item["f"])
         if block:
             blocks.append([])
 
-    walk(tree(page), marked)
+    root = tree(page)
+    candidates = measure(root, marked, False)[1]
+    if any(item["a"] == 2 for _, item, _ in candidates):
+        candidates = [c for c in candidates if c[1]["a"] == 2]
+    sizes: dict[int, int] = {}  # elements of one item count together
+    for _, item, x in candidates:
+        sizes[id(item)] = sizes.get(id(item), 0) + x
+    chosen = {id(element) for element, item, _ in candidates if sizes[id(item)] >= 0.1 * max(sizes.values())}
+    walk(root, not chosen, not chosen and marked["f"])
     found = (" ".join("".join(b).split()) for b in blocks)
     return "\n\n".join(b for b in found if b)
 

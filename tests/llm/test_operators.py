@@ -224,6 +224,16 @@ def test_html(spark):
     assert html_wrappers.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_html_of_two_templates(spark):
+    """A rarer template of a host has its own article, whatever the common one has."""
+    common = [f"<body><article><p>{f'common text {i} ' * 60}</p></article></body>" for i in range(6)]
+    rare = ["<body><div class=content><p>rare text</p></div><footer>f</footer></body>", "<body><p>no container</p></body>", "<body><main></main><div class=content><p>beside</p></div></body>"]
+    df = spark.createDataFrame([(i, f"http://h.org/{i}", p) for i, p in enumerate([*common, *rare])], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_wrappers.extract_main_text(df).collect()}
+    assert [got[i] for i in (6, 7, 8)] == ["rare text", "no container", "beside"]
+    assert all(got[i] == f"common text {i} " * 59 + f"common text {i}" for i in range(6))
+
+
 def test_wrappers_have_groups_and_slots():
     a, b = (html_wrappers.wrapper_of(html_wrappers.tree(p)) for p in ("<ul><li>x</li><li>y</li></ul><p>same</p>", "<ul><li>z</li></ul><p>same</p><hr>"))
     assert html_wrappers.expression(html_wrappers.merge(a, b)) == "< <ul <li #>+> <p 'same'> <hr>?>"
