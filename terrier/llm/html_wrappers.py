@@ -6,7 +6,8 @@ with the wrapper so far: runs of equal siblings, and of equal pairs or triples,
 have becomes optional, and text that differs becomes a slot. Every task infers wrappers from its own pages; those of a host
 are then aligned with one another, which needs as many rows of a host as there were tasks, however many pages it has.
 
-Each wrapper then names its regions: menus, notices and the like by their elements, names and share of links, template text
+Each wrapper then names its regions: menus, notices and the like by their elements and names (outside an article also by parts
+of names and by their share of links, inside one only containers by whole names), template text
 by being the same on all pages, and candidates for the article by their element or name. Extraction follows a page along its
 host's wrapper, chooses among the candidates that the page has, and keeps the text slots of the article.
 """
@@ -26,17 +27,23 @@ from .common import materialize
 
 # Fixed values of HTML: elements without content, with raw text, inline ones, and those that an open <p> ends at.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math".split())
-INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style textarea title noscript template iframe svg".split())
+INLINE = frozenset(
+    "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr"
+    " svg math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder mover munderover mmultiscripts"
+    " mtable mtr mtd semantics annotation annotation-xml".split()
+)
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Elements and words in class, id or role that mark what is not the article.
-DROPPED = frozenset("head nav header footer aside form script style textarea title noscript template iframe svg math menu dialog button select input object figcaption canvas audio video".split())
+DROPPED = frozenset("head nav header footer aside form script style textarea title noscript template iframe svg menu dialog button select input object canvas audio video".split())
 DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs"
     " header masthead footer sidebar aside complementary cookie cookies consent notice notices notification alert gdpr popup modal overlay"
     " comment comments commentlist reply replies respond disqus share sharing social related recommended newsletter subscribe signup login search widget pagination pager"
     " contentinfo toolbar skip hidden".split()
 )
+#: Inside an article, words drop these elements only, and only whole words of a class or role, or a whole id.
+CONTAINERS = frozenset("div section ul ol dl table details fieldset figure center span".split())
 MAIN = ("article", "main")
 MAIN_WORDS = frozenset("article main content post entry story".split())
 #: Hosts whose wrappers a task holds at once, siblings in the longest group, and items that an element of a wrapper may have before they become one loose group.
@@ -50,7 +57,7 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|dis
 
 
 class Element:
-    """sign: name and those words of class, id and role that tell regions apart; parts: texts and elements in order."""
+    """sign: name and those words of class, id and role that tell regions apart (~ before those that are only part of a token); parts: texts and elements in order."""
 
     __slots__ = ("name", "parts", "sign")
 
@@ -96,11 +103,15 @@ def tree(page: str | None) -> Element:
         words = []
         if attributes:
             for x in _NAMES.findall(attributes):
-                words += [w for w in re.split(r"[\s_-]+", (x[1] or x[2] or x[3]).lower()) if w in DROPPED_WORDS or w in MAIN_WORDS]
+                for token in (x[1] or x[2] or x[3]).lower().split():
+                    parts = [w for w in re.split("[_-]+", token) if w in DROPPED_WORDS or w in MAIN_WORDS]
+                    words += parts if parts == [token] else ["~" + w for w in parts]
             if _HIDDEN.search(attributes):
-                words.append("hidden")
+                words.append("!hidden")
         made = Element(name, f"{name}.{'.'.join(sorted({w for w in words if w}))}" if words else name)
         stack[-1].parts.append(made)
+        if name == "svg" and attributes.rstrip().endswith("/"):
+            continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -239,22 +250,43 @@ def expression(item: dict) -> str:
     return f"({inner.strip()}){item['q']}" if item["s"] in ("()", "(*)") else f"<{item['s']}{inner}>{item['q']}"
 
 
-def _is_dropped(item: dict) -> bool:
+def _sign(item: dict) -> tuple[str, set[str]]:
     name, *words = item["s"].split(".")
-    if name in DROPPED or not DROPPED_WORDS.isdisjoint(words) and name not in MAIN and name not in ("html", "body"):
-        return True
-    return item["x"] > 0 and name in ("ul", "ol", "div", "section", "table") and item["l"] > 0.6 * item["x"]
+    return name, {w.lstrip("~") for w in words}
 
 
-def mark(item: dict, pages: int) -> dict:
-    """What extraction needs of an item: d dropped, a 2 an article by name and 1 by its words, f a text that all of several pages share, which is the template's."""
+def _is_dropped(item: dict) -> bool:
+    """Outside an article: by element, words and parts of words."""
+    name, words = _sign(item)
+    return name in DROPPED or "!hidden" in words or not DROPPED_WORDS.isdisjoint(words) and name not in MAIN and name not in ("html", "body")
+
+
+def _is_dropped_inside(item: dict) -> bool:
+    """Inside an article: by element, and containers by whole words."""
     name, *words = item["s"].split(".")
+    return name in DROPPED or "!hidden" in words or name in CONTAINERS and not DROPPED_WORDS.isdisjoint(words)
+
+
+def _is_links(name: str, x: int, links: int) -> bool:
+    return x > 0 and name in ("ul", "ol", "div", "section", "table") and links > 0.6 * x
+
+
+def mark(item: dict, pages: int, loose: bool = False) -> dict:
+    """What extraction needs of an item.
+
+    d, i: dropped outside and inside an article. l: mostly links; None in loose groups, whose items are judged one by one.
+    a: 2 an article by name, 1 by its words. f: a text that all of several pages share, which is the template's.
+    """
+    name, words = _sign(item)
+    loose = loose or item["s"] == "(*)"
     return {
         "s": item["s"],
         "d": _is_dropped(item),
+        "i": _is_dropped_inside(item),
+        "l": None if loose else _is_links(name, item["x"], item["l"]),
         "a": 2 if name in MAIN else int(not MAIN_WORDS.isdisjoint(words)),
         "f": bool(item["t"]) and pages >= 3 and item["n"] >= pages,
-        "c": [mark(i, pages) for i in item["c"]],
+        "c": [mark(i, pages, loose) for i in item["c"]],
     }
 
 
@@ -270,6 +302,7 @@ def extract(page: str | None, marked: dict) -> str:
     """
     blocks: list[list[str]] = [[]]
     items: dict[int, dict] = {}
+    of_links: set[int] = set()
 
     def look(items: list[dict], sign: str, start: int) -> tuple[dict | None, int]:
         for k in [*range(start, len(items)), *range(start)]:
@@ -281,25 +314,30 @@ def extract(page: str | None, marked: dict) -> str:
                         return inner, k
         return None, start
 
-    def measure(element: Element, item: dict, off: bool) -> tuple[int, list[tuple[Element, dict, int]]]:
-        """Pairs the elements with items; the characters that aren't dropped, and the candidates."""
-        x, found, at = 0, [], 0
+    def measure(element: Element, item: dict, off: bool, in_link: bool) -> tuple[int, int, int, list[tuple[Element, dict, int]]]:
+        """Pairs the elements with items; the characters, those in links, those that an article would keep, and the candidates."""
+        x, links, kept, found, at = 0, 0, 0, [], 0
+        in_link = in_link or element.name == "a"
         for part in element.parts:
             if isinstance(part, str):
-                x += 0 if off or part.isspace() else len(part)
+                n = 0 if part.isspace() else len(part)
+                x, links, kept = x + n, links + n * in_link, kept + n
                 continue
             inner, at = look(item["c"], part.sign, at)
             if inner is None:  # a page that its host's wrapper doesn't cover: judged by itself
-                inner = mark({"s": part.sign, "x": 0, "l": 0, "t": None, "n": 0, "c": []}, 1)
+                inner = mark({"s": part.sign, "x": 0, "l": 0, "t": None, "n": 0, "c": []}, 1, True)
             items[id(part)] = inner
-            n, some = measure(part, inner, off or inner["d"])
-            x += n
+            n, n_links, n_kept, some = measure(part, inner, off or inner["d"], in_link)
+            x, links, kept = x + n, links + n_links, kept + (0 if inner["i"] else n_kept)
             found += some
-        if item["a"] and x and not (found and element.name == "main"):  # an article inside main says more
-            found = [(element, item, x)]
-        return x, found
-
-    def walk(element: Element, inside: bool, fixed: bool) -> None:
+        mostly_links = _is_links(element.name, x, links) if item["l"] is None else item["l"]
+        if mostly_links:
+            of_links.add(id(element))
+        if item["a"] and kept and not off and not mostly_links and not (found and element.name == "main"):  # an article inside main says more
+            found = [(element, item, kept)]
+        return x, links, kept, found
+
+    def walk(element: Element, inside: bool, in_article: bool, fixed: bool) -> None:
         block = element.name not in INLINE
         if block:
             blocks.append([])
@@ -312,19 +350,24 @@ def extract(page: str | None, marked: dict) -> str:
             if part.name == "br":
                 blocks[-1].append(" ")
             elif part.name not in DROPPED:
-                walk(part, not item["d"] and (inside or id(part) in chosen), not chosen and item["f"])
+                if in_article:
+                    walk(part, inside and not item["i"], True, False)
+                elif id(part) in chosen:
+                    walk(part, True, True, False)
+                else:
+                    walk(part, inside and not item["d"] and id(part) not in of_links, False, not chosen and item["f"])
         if block:
             blocks.append([])
 
     root = tree(page)
-    candidates = measure(root, marked, False)[1]
+    candidates = measure(root, marked, False, False)[3]
     if any(item["a"] == 2 for _, item, _ in candidates):
         candidates = [c for c in candidates if c[1]["a"] == 2]
     sizes: dict[int, int] = {}  # elements of one item count together
     for _, item, x in candidates:
         sizes[id(item)] = sizes.get(id(item), 0) + x
     chosen = {id(element) for element, item, _ in candidates if sizes[id(item)] >= 0.1 * max(sizes.values())}
-    walk(root, not chosen, not chosen and marked["f"])
+    walk(root, not chosen, False, not chosen and marked["f"])
     found = (" ".join("".join(b).split()) for b in blocks)
     return "\n\n".join(b for b in found if b)
 

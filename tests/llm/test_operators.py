@@ -234,6 +234,18 @@ def test_html_of_two_templates(spark):
     assert all(got[i] == f"common text {i} " * 59 + f"common text {i}" for i in range(6))
 
 
+def test_html_keeps_what_an_article_holds(spark):
+    links = "".join(f"<li><a href=x>source {i}</a></li>" for i in range(5))
+    kept = f"<h2 id='related-work'>Related work</h2><p id=notice-of-appeal>Appeal</p><ul>{links}</ul><figure><figcaption>Caption</figcaption></figure><p>where <math><mi>x</mi></math> and <svg/>y <math/>z</p>"
+    many = "".join(f"<h{i % 3 + 2}>t{i}</h{i % 3 + 2}><p>u{i}</p><ul><li><a href=x>l{i}</a></li></ul><blockquote>q{i}</blockquote><{'dl' if i % 7 else 'pre'}>d</{'dl' if i % 7 else 'pre'}>" for i in range(40))
+    pages = [f"<body><article>{kept}<div class='share'>no</div><p hidden>no</p></article></body>", f"<body><article>{many}</article></body>"]
+    for host in ("h", "h{}"):
+        df = spark.createDataFrame([(i, f"http://{host.format(i)}.org/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+        got = {r.page_id: r.text for r in html_wrappers.extract_main_text(df).collect()}
+        assert got[0].split("\n\n") == ["Related work", "Appeal", *(f"source {i}" for i in range(5)), "Caption", "where x and y z"]
+        assert got[1].split("\n\n") == [w for i in range(40) for w in (f"t{i}", f"u{i}", f"l{i}", f"q{i}", "d")]
+
+
 def test_wrappers_have_groups_and_slots():
     a, b = (html_wrappers.wrapper_of(html_wrappers.tree(p)) for p in ("<ul><li>x</li><li>y</li></ul><p>same</p>", "<ul><li>z</li></ul><p>same</p><hr>"))
     assert html_wrappers.expression(html_wrappers.merge(a, b)) == "< <ul <li #>+> <p 'same'> <hr>?>"
