@@ -105,7 +105,7 @@ _RUN = re.compile(r"(.)\1+")
 
 def shape(word: str) -> str:
     """a, A and 0 for runs of small letters, capitals and digits; other signs stay, once a run."""
-    out = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:60])
+    out = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return _RUN.sub(r"\1", out)
 
 

@@ -102,6 +102,11 @@ def test_quality(spark, sf_dir):
     assert quality.keep_good(docs).columns == docs.columns
 
 
+def test_shapes_see_whole_words():
+    assert quality.shape("a" * 60 + "%7" * 20) == "a" + "%0" * 20
+    assert quality.shape("\u4e2d" * 100 + "\u3002" + "\u6587" * 100) == "a\u3002a"
+
+
 def test_votes_and_posteriors():
     assert quality.votes(None) == "-" * 8
     found, rates, prior = quality.posteriors({"---g-g--": 90, "b--g-b--": 10})
