@@ -79,7 +79,8 @@ def grow(sample: np.ndarray, n: int, forest: Forest) -> list[list[tuple[np.ndarr
                 continue  # a clump that no split parts
             nodes[k] = (direction, split)
             todo += [(2 * k, left), (2 * k + 1, right)]
-        trees.append(nodes)
+        last = max((k for k, x in enumerate(nodes) if x is not None), default=0)
+        trees.append(nodes[: 2 * last + 2])
     return trees
 
 
@@ -117,51 +118,65 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, forest: Forest | None =
     """(id, n_links, component_id, kept) for each row of vectors.
 
     n_links: other rows with cosine >= least; component_id: the smallest id reachable by links, the row's own included;
-    kept: whether it is its component's. Vectors that are null or zero, hold null or non-finite components or have another
-    length than the first valid one link with nothing. Rows with equal ids are rows of their own with shared links; rows
+    kept: whether it is its component's. Vectors are compared with those of their own length; those that are null or zero or
+    hold null or non-finite components link with nothing. Rows with equal ids are rows of their own with shared links; rows
     with a null id link with nothing and have a null component. No rows: an empty table.
     """
     forest = forest or Forest()
     kind = "<f4" if vectors.schema[vector_column].dataType.simpleString() == "array<float>" else "<f8"
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("v"))
-    first = rows.where("size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x <> 0)").select(F.size("v")).first()
-    dimensions = first[0] if first else 1
+    width = np.dtype(kind).itemsize
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            matrix, good = _matrix(b.column(1), dimensions, kind)
-            good &= ~np.asarray(b.column(0).is_null())
-            raw = [v.tobytes() if g else None for v, g in zip(matrix, good, strict=True)]
+            raw: list[bytes | None] = [None] * b.num_rows
+            lengths = b.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            known = ~np.asarray(b.column(0).is_null())
+            for dimensions in np.unique(lengths[lengths > 0]):
+                at = np.flatnonzero((lengths == dimensions) & known)
+                matrix, good = _matrix(b.column(1).take(pa.array(at)), int(dimensions), kind)
+                for k, v in zip(at[good], matrix[good], strict=True):
+                    raw[k] = v.tobytes()
             digest = [None if v is None else xxhash.xxh3_128_digest(v) for v in raw]
             yield pa.record_batch([b.column(0), pa.array(digest, pa.binary()), pa.array(raw, pa.binary())], ["id", "d", "u"])
 
     def matrix(column) -> np.ndarray:
-        return units(np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dimensions))
+        vectors = column.to_pylist()
+        return units(np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1))
 
     keyed = materialize(rows.mapInArrow(classed, "id long, d binary, u binary"), "vectors")
     classes = materialize(keyed.where("d is not null").groupBy("d").agg(F.min("id").alias("c"), F.count("*").alias("n"), F.first("u").alias("u")), "classes")
-    n_classes = classes.count()
-    drawn = classes.orderBy(F.xxhash64("d"), "d").limit(forest.sample).select("u").collect()
-    sample = units(np.frombuffer(b"".join(bytes(r.u) for r in drawn), kind).reshape(-1, dimensions))
-    trees = vectors.sparkSession.sparkContext.broadcast(grow(sample, n_classes, forest))
+    classes = classes.withColumn("dims", (F.octet_length("u") / width).cast("int"))
+    n_classes = {r.dims: r.n for r in classes.groupBy("dims").agg(F.count("*").alias("n")).collect()}
+    drawn: dict[int, list[bytes]] = {}
+    for r in classes.orderBy(F.xxhash64("d"), "d").limit(forest.sample).select("u", "dims").collect():
+        drawn.setdefault(r.dims, []).append(bytes(r.u))
+    # a length with few classes is one leaf of one tree
+    forests = {k: grow(units(np.frombuffer(b"".join(v), kind).reshape(-1, k)), n_classes[k], forest) for k, v in drawn.items() if n_classes[k] > forest.leaf}
+    trees = vectors.sparkSession.sparkContext.broadcast(forests)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            here = matrix(b.column(1))
-            for t, nodes in enumerate(trees.value):
-                got = list(leaves(here, nodes, forest.margin))
-                if got:
+            lengths = b.column(2).to_numpy()
+            for dimensions in np.unique(lengths):
+                mine = np.flatnonzero(lengths == dimensions)
+                here = matrix(b.column(1).take(pa.array(mine)))
+                for t, nodes in enumerate(trees.value.get(int(dimensions), [[None, None]])):
+                    got = list(leaves(here, nodes, forest.margin))
                     at = np.concatenate([r for _, r in got])
                     leaf = np.concatenate([np.full(len(r), k) for k, r in got])
-                    yield pa.record_batch([pa.array(np.full(len(at), t, np.int32)), pa.array(leaf.astype(np.int32)), b.column(0).take(pa.array(at))], ["t", "leaf", "c"])
-
-    places = materialize(classes.select("c", "u").mapInArrow(placed, "t int, leaf int, c long"), "places")
-    # at most trees * 2^15 leaves, whatever the input: small enough to send
-    sizes = F.broadcast(places.groupBy("t", "leaf").agg(F.count("*").alias("size")))
+                    yield pa.record_batch(
+                        [pa.array(np.full(len(at), t, np.int32)), pa.array(np.full(len(at), dimensions, np.int32)), pa.array(leaf.astype(np.int32)), b.column(0).take(pa.array(mine[at]))], ["t", "dims", "leaf", "c"]
+                    )
+
+    places = materialize(classes.select("c", "u", "dims").mapInArrow(placed, "t int, dims int, leaf int, c long"), "places")
+    # at most trees * 2^15 leaves a length, whatever the input: small enough to send
+    sizes = places.groupBy("t", "dims", "leaf").agg(F.count("*").alias("size"))
+    sizes = F.broadcast(sizes) if len(n_classes) <= 8 else sizes
     blocks = F.ceil(F.col("size") / forest.block).cast("int")
-    spread = places.join(sizes, ["t", "leaf"]).withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("c", "t"), F.col("blocks")).cast("int"))
+    spread = places.join(sizes, ["t", "dims", "leaf"]).withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("c", "t"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tiles = spread.withColumn("other", other).select("t", "leaf", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "c").join(classes.select("c", "u"), "c")
+    tiles = spread.withColumn("other", other).select("t", "dims", "leaf", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "c").join(classes.select("c", "dims", "u"), ["c", "dims"])
 
     def compare(tile: pa.Table) -> pa.Table:
         i, j = tile["i"][0].as_py(), tile["j"][0].as_py()
@@ -176,7 +191,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, forest: Forest | None =
             a, b = c[left][x], c[right][y]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    pairs = tiles.groupBy("t", "leaf", "i", "j").applyInArrow(compare, "a long, b long")
+    pairs = tiles.groupBy("t", "dims", "leaf", "i", "j").applyInArrow(compare, "a long, b long")
     pairs = materialize(pairs.distinct(), "pairs")
     weights = classes.select("c", "n")
     both = pairs.union(pairs.select("b", "a"))

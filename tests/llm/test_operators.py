@@ -48,6 +48,20 @@ def test_near_vectors_odd(spark):
     assert near_vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_of_several_lengths(spark):
+    """Vectors link within their own length, whichever comes first."""
+    rng = np.random.default_rng(2)
+    v = [[1.0, 2.0], *(rng.standard_normal(k).tolist() for k in (3, 3, 4, 4) * 10)]
+    v += [[x + 0.01 for x in y] for y in v]
+    df = spark.createDataFrame(list(enumerate(v)), "vec_id long, embedding array<double>")
+    links = set()
+    for k in (2, 3, 4):
+        links |= brute_links([x if len(x) == k else None for x in v])
+    degree = collections.Counter(i for pair in links for i in pair)
+    for forest in (None, near_vectors.Forest(leaf=10, block=8)):
+        assert {r.vec_id: r.n_links for r in near_vectors.near_vectors(df, forest=forest).collect()} == {i: degree[i] for i in range(len(v))}
+
+
 def test_near_vectors_recall_at_the_threshold(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((1500, 64))
