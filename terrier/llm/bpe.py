@@ -10,6 +10,7 @@ Decoding cuts each token's bytes out of one long byte string by a table of offse
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -22,12 +23,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import rows
+from .common import numbered, place_of, rows
 
 #: Fixed value: how byte-level BPE of this family cuts text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words, pieces and pairs that a worker remembers, in each of two generations.
-WORDS_HELD, PIECES_HELD, PAIRS_HELD = 220_000, 80_000, 200_000
+#: Words, pieces of longer chunks and pairs that a worker remembers (words and pieces in each of two generations).
+WORDS_HELD, PIECES_HELD, PAIRS_HELD = 120_000, 10_000, 100_000
 #: Texts are decoded in runs of about so many tokens, which bounds memory.
 DECODE_TOKENS = 1_000_000
 
@@ -40,7 +41,10 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Tables of a byte-level BPE file (tokenizer.json): merges, longest matches, pair compatibility, offsets."""
+    """Tables of a byte-level BPE file (tokenizer.json): merges, longest matches, pair compatibility, offsets.
+
+    Tokens are numbers below size; what is known of each is kept in lists by token, and a pair is the number left * size + right.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -48,72 +52,78 @@ class Vocabulary:
         letters = _byte_letters()
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         self.specials = {x["content"]: x["id"] for x in spec.get("added_tokens") or []}
-        self.bytes_of: list[bytes] = [b""] * (1 + max([*vocab.values(), *self.specials.values()]))
+        n = self.size = 1 + max([*vocab.values(), *self.specials.values()])
+        bytes_of: list[bytes] = [b""] * n
         for token, i in vocab.items():
-            self.bytes_of[i] = bytes(letters[c] for c in token)
+            bytes_of[i] = bytes(letters[c] for c in token)
         for token, i in self.specials.items():
-            self.bytes_of[i] = token.encode()
-        # rank: bytes first, then merged tokens in merge order; ids may be in another order
-        self.byte_id = {self.bytes_of[i][0]: i for i in vocab.values() if len(self.bytes_of[i]) == 1}
-        self.pair: dict[tuple[int, int], int] = {}
-        self.rank: dict[int, int] = {i: k for k, i in enumerate(sorted(self.byte_id.values()))}
-        self.parts: dict[int, tuple[int, int]] = {i: (i, i) for i in self.byte_id.values()}
+            bytes_of[i] = token.encode()
+        # rank: bytes first, then merged tokens in merge order; ids may be in another order. -1: no token of merges
+        self.byte_id = {bytes_of[i][0]: i for i in vocab.values() if len(bytes_of[i]) == 1}
+        self.pair: dict[int, int] = {}
+        self.rank, self.first, self.second = [-1] * n, list(range(n)), list(range(n))
+        ranked = sorted(self.byte_id.values())
+        for k, i in enumerate(ranked):
+            self.rank[i] = k
         for merge in merges:
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            made = vocab[left + right]
-            self.pair[vocab[left], vocab[right]] = made
-            if made not in self.rank:
-                self.rank[made] = len(self.rank)
-                self.parts[made] = (vocab[left], vocab[right])
+            made, left, right = vocab[left + right], vocab[left], vocab[right]
+            self.pair[left * n + right] = made
+            if self.rank[made] < 0:
+                self.rank[made] = len(ranked)
+                ranked.append(made)
+                self.first[made], self.second[made] = left, right
+        self.ranks = len(ranked)
         self.automaton = ahocorasick.Automaton()
-        for i in self.rank:
-            self.automaton.add_word(self.bytes_of[i].decode("latin-1"), i)
+        for i in ranked:
+            self.automaton.add_word(bytes_of[i].decode("latin-1"), i)
         self.automaton.make_automaton()
-        self.size = [len(b) for b in self.bytes_of]
-        known = {self.bytes_of[i]: i for i in self.rank}
-        self.shorter = {i: next((known[b[:n]] for n in range(len(b) - 1, 0, -1) if b[:n] in known), None) for b, i in known.items()}
-        self.fits_known: dict[tuple[int, int], bool] = {}
+        self.length = [len(b) for b in bytes_of]
+        known = {bytes_of[i]: i for i in ranked}
+        self.shorter: list[int | None] = [None] * n
+        for b, i in known.items():
+            self.shorter[i] = next((known[b[:k]] for k in range(len(b) - 1, 0, -1) if b[:k] in known), None)
+        self.fits_known: dict[int, bool] = {}
         # tokens that encode to themselves alone; the others are never whole pieces
-        self.known = {b: i for b, i in known.items() if self.parts[i][0] == i or self.fits_inside(i)}
+        self.known = {b: i for b, i in known.items() if self.first[i] == i or self.fits_inside(i)}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
-        lengths = np.fromiter(map(len, self.bytes_of), np.int64, len(self.bytes_of))
-        self.offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        self.blob = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.offsets = np.concatenate([[0], np.cumsum(self.length)]).astype(np.int32)
+        self.blob = np.frombuffer(b"".join(bytes_of), np.uint8)
 
     def fits_inside(self, token: int) -> bool:
         """Whether the merges make this token of its own bytes: they leave its last two parts standing until they join them."""
-        left, right = self.parts[token]
-        return self.fits(left, right, self.rank[token])
+        return self.fits(self.first[token], self.second[token], self.rank[token])
 
     def fits(self, left: int, right: int, but: int | None = None) -> bool:
         """Whether the merges leave this pair standing: no merge across the border comes before the merges that made both sides.
 
         but: the rank of a merge of just this pair, which is then left out.
         """
-        key = (left, right)
-        rank, parts, pair = self.rank, self.parts, self.pair
-        limit, good = len(rank), True
+        n = self.size
+        key = left * n + right
+        rank, first, second, pair = self.rank, self.first, self.second, self.pair
+        limit, good = self.ranks, True
         while True:
-            made = pair.get((left, right))
+            made = pair.get(left * n + right)
             if made is not None and rank[made] < limit and rank[made] != but:
                 good = False
                 break
             # undo the later of the two merges on its side of the border
             if rank[left] > rank[right]:
-                limit, inner = rank[left], parts[left][1]
+                limit, inner = rank[left], second[left]
                 if inner == left:  # a single byte: then the other side must be undone
-                    if parts[right][0] == right:
+                    if first[right] == right:
                         break
-                    limit, right = rank[right] + 1, parts[right][0]
+                    limit, right = rank[right] + 1, first[right]
                 else:
                     left = inner
             else:
-                inner = parts[right][0]
+                inner = first[right]
                 limit = rank[right] + 1
                 if inner == right:
-                    if parts[left][1] == left:
+                    if second[left] == left:
                         break
-                    limit, left = rank[left], parts[left][1]
+                    limit, left = rank[left], second[left]
                 else:
                     right = inner
         if but is None:
@@ -127,20 +137,20 @@ class Vocabulary:
         if (whole := self.known.get(piece)) is not None:
             return [whole]  # a token that the merges make is what they make of its bytes
         n = len(piece)
-        size = self.size
+        length, size = self.length, self.size
         longest: list[int] = [self.byte_id[b] for b in piece]
         # matches come by their ends, longest first; of those with one start the last is the longest
         for end, i in self.automaton.iter(piece.decode("latin-1")):
-            longest[end - size[i] + 1] = i
+            longest[end - length[i] + 1] = i
         fits_known, fits, shorter = self.fits_known, self.fits, self.shorter
         out: list[int] = []
         closed: set[int] = set()
         at, token = 0, longest[0] if n else None
         while token is not None:
-            end = at + size[token]
+            end = at + length[token]
             if end not in closed:
                 if out:
-                    good = fits_known.get((out[-1], token))
+                    good = fits_known.get(out[-1] * size + token)
                     if good is None:
                         good = fits(out[-1], token)
                 else:
@@ -156,7 +166,7 @@ class Vocabulary:
                 continue
             closed.add(at)
             token = out.pop()  # it led nowhere: its end is closed, so a shorter one follows
-            at -= size[token]
+            at -= length[token]
         return out
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -187,14 +197,24 @@ class _Recent(dict):
         return value
 
 
+@functools.lru_cache(maxsize=1)
+def vocabulary_of(path: str) -> Vocabulary:
+    """The vocabulary of a file, built once in each worker process and used by all of its tasks."""
+    return Vocabulary(path)
+
+
 def chunk_encoder(vocabulary: Vocabulary) -> _Recent:
     """Ids (little-endian bytes) by word, for the word with a space before it. Such chunks never share a piece, so each is encoded alone."""
     find = regex.compile(PIECES).findall
-    pieces = _Recent(lambda piece: array("I", vocabulary.encode_piece(piece.encode("utf-8", "surrogatepass"))).tobytes(), PIECES_HELD)
+
+    def one(piece: str) -> bytes:
+        return array("I", vocabulary.encode_piece(piece.encode("utf-8", "surrogatepass"))).tobytes()
+
+    pieces = _Recent(one, PIECES_HELD)
 
     def make(chunk: str) -> bytes:
         found = find(chunk)
-        return pieces[chunk] if len(found) == 1 else b"".join([pieces[x] for x in found])
+        return one(chunk) if len(found) == 1 else b"".join([pieces[x] for x in found])
 
     made = _Recent(lambda word: make(" " + word), WORDS_HELD)
     made.vocabulary, made.chunk = vocabulary, make
@@ -228,7 +248,7 @@ def bpe_encode(docs: DataFrame, path: str, decode: bool = False, id_column: str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = chunk_encoder(Vocabulary(path))
+        chunks = chunk_encoder(vocabulary_of(path))
         for batch in rows(batches, 64):
             ids = [np.frombuffer(encode(t or "", chunks), "<u4").view("<i4") for t in batch.column(1).to_pylist()]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
@@ -237,8 +257,9 @@ def bpe_encode(docs: DataFrame, path: str, decode: bool = False, id_column: str
             yield pa.record_batch([batch.column(0), lists, pa.array(np.diff(ends).astype(np.int64)), *texts], names)
 
     names = [id_column, "token_ids", "n_tokens", *([text_column] if decode else [])]
-    kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {kind}, token_ids array<int>, n_tokens long" + f", `{text_column}` string" * decode)
+    texts = numbered(docs).select(place_of(docs, id_column), place_of(docs, text_column))
+    kind = texts.schema[0].dataType.simpleString()
+    return texts.mapInArrow(run, f"`{id_column}` {kind}, token_ids array<int>, n_tokens long" + f", `{text_column}` string" * decode)
 
 
 def bpe_digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -248,7 +269,7 @@ def bpe_digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_colu
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = chunk_encoder(Vocabulary(path))
+        chunks = chunk_encoder(vocabulary_of(path))
         vocabulary = chunks.vocabulary
         for batch in rows(batches, 256):
             counts, of_ids, of_text = [], [], []
@@ -266,5 +287,6 @@ def bpe_digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_colu
             yield pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names)
 
     names = [id_column, "n_tokens", "ids_sha256", "decoded_sha256"]
-    kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    texts = numbered(docs).select(place_of(docs, id_column), place_of(docs, text_column))
+    kind = texts.schema[0].dataType.simpleString()
+    return texts.mapInArrow(run, f"`{id_column}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 WORD_BREAKS = b" \t\n\x0b\x0c\r"
 UPPER_TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Entries that a per-worker cache may hold before it starts anew.
-CACHE_ENTRIES = 120_000
+CACHE_ENTRIES = 60_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of its own only where the session names none."""
+    """The cluster's shared folder. A session that names none gets a folder of its own on one machine; on a cluster that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="terrier-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -40,6 +42,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The same columns as c0, c1, ...: what is added to them can't clash with a name, in whatever letters."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place_of(df: DataFrame, name: str) -> str:
+    """The name that a column has in numbered(df): the one of just that name, or else of the same in other letters."""
+    names = df.columns
+    return f"c{names.index(name) if name in names else [n.lower() for n in names].index(name.lower())}"
+
+
+def without(df: DataFrame, *names: str) -> list[str]:
+    """The columns of df whose names are none of these, in whatever letters."""
+    return [c for c in df.columns if c.lower() not in names]
+
+
 def words(text: str | None) -> list[bytes]:
     """A-Z lower-cased, split at white space of ASCII; words are UTF-8 bytes."""
     return (text or "").encode("utf-8", "surrogatepass").translate(UPPER_TO_LOWER).split()
