@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from .common import CACHE_ENTRIES, materialize, rows
+from .common import CACHE_ENTRIES, materialize, numbered, place_of, rows, without
 from .linear import Rows, fit_logistic, sigmoid
 
 #: Frequent small words of the languages at hand; a parameter of the votes.
@@ -32,7 +33,7 @@ SMALL_WORDS = frozenset(
 
 @dataclass(frozen=True)
 class Settings:
-    """sample: most texts of each side that the scorer is fitted on. bits: of the feature hash. threshold: scores below are rejected; texts too short for any vote lie above it."""
+    """sample: most texts of each side that the scorer is fitted on, those with the least hash of the row. bits: of the feature hash. threshold: scores below are rejected; texts too short for any vote lie above it."""
 
     sample: int = 4000
     bits: int = 16
@@ -136,67 +137,94 @@ def features(text: str | None, shapes: _Shapes) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([at, more]), np.concatenate([2 * np.sqrt(counts / n), np.ones(len(more))])
 
 
-def label_weakly(docs: DataFrame, rounds: int = 60) -> tuple[DataFrame, np.ndarray, float]:
-    """(doc_id, votes, posterior) of every text, the heuristics' rates, and the share of good. Patterns are counted over all texts; there are at most 3^8."""
+def label_weakly(texts: DataFrame, rounds: int = 60) -> tuple[DataFrame, np.ndarray, float]:
+    """(key, votes, posterior) of every row of texts(key, text), the heuristics' rates, and the share of good. Patterns are counted over all texts; there are at most 3^8."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows(batches, 1000):
-            yield pa.record_batch([b.column(0), pa.array([votes(t) for t in b.column(1).to_pylist()], pa.string())], ["doc_id", "votes"])
+        for b in rows(batches, 500):
+            yield pa.record_batch([b.column(0), pa.array([votes(t) for t in b.column(1).to_pylist()], pa.string())], ["key", "votes"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    voted = materialize(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, votes string"), "votes")
+    voted = materialize(texts.select("key", "text").mapInArrow(run, "key long, votes string"), "votes")
     patterns = {r.votes: r.n for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
     found, rates, prior = posteriors(patterns, rounds)
-    table = docs.sparkSession.createDataFrame([(k, v) for k, v in found.items()], "votes string, posterior double")
-    return voted.join(F.broadcast(table), "votes").select("doc_id", "votes", "posterior"), rates, prior
+    table = texts.sparkSession.createDataFrame([(k, v) for k, v in found.items()], "votes string, posterior double")
+    return voted.join(F.broadcast(table), "votes").select("key", "votes", "posterior"), rates, prior
 
 
-def score_quality(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """docs with score (0 to 1, higher is better) and kept (whether it is at the threshold or above).
+#: Keys are spread over so many values to draw a share of them.
+_SHARES = 10_000_000
+
 
-    docs: doc_id, text, and any others, which are kept (columns named score or kept are replaced). Null and blank texts have
-    no votes and are judged by the scorer's feature for them. Repeated rows stay and count each. No rows: an empty table.
+def fit(texts: DataFrame, s: Settings) -> tuple[np.ndarray, float] | None:
+    """Weights and bias of the scorer, from texts(key, text), key being a hash of the row; None without any clear text.
+
+    The sample is the settings' number of rows of each side with the least keys, whatever the layout of the table; rows that
+    are alike in all are one. What comes to the driver are the features of at most twice that number of texts.
     """
-    s = settings or Settings()
-    own = [c for c in docs.columns if c not in ("score", "kept")]
-    docs = docs.select(*own)
-    labels, _, _ = label_weakly(docs, s.rounds)
-    labels = labels.where("doc_id is not null and (posterior > 0.9 or posterior < 0.1)").withColumn("side", (F.col("posterior") > 0.5).cast("int"))
-    sizes = {r.side: r.n for r in labels.groupBy("side").agg(F.count("*").alias("n")).collect()}
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(10_000_000))
-    parts = [labels.where((F.col("side") == k) & (drawn <= int(10_000_000 * min(1.0, s.sample / n)))).limit(s.sample) for k, n in sizes.items()]
-    sent = None
-    if parts:
-        sample = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        sample = materialize(sample.groupBy("doc_id").agg(F.avg("posterior").alias("posterior"), F.max("side").alias("side")), "sample-ids")
-
-        def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            shapes = _Shapes(s.bits)
-            for b in rows(batches, 500):
-                found = [features(t, shapes) for t in b.column(0).to_pylist()]
-                yield pa.record_batch([pa.array([c for c, _ in found], pa.list_(pa.int64())), pa.array([v for _, v in found], pa.list_(pa.float64())), b.column(1)], ["columns", "values", "posterior"])
-
-        got = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "posterior").limit(4 * s.sample).mapInArrow(extract, "columns array<long>, values array<double>, posterior double").toPandas()
-        target = got["posterior"].to_numpy(float)
-        half = np.array([max(1.0, (target <= 0.5).sum()), max(1.0, (target > 0.5).sum())])
-        weight = (len(target) / 2) / half[(target > 0.5).astype(int)]
-        found = Rows.of([(np.asarray(c), np.asarray(v)) for c, v in zip(got["columns"], got["values"], strict=True)])
-        sent = docs.sparkSession.sparkContext.broadcast(fit_logistic(found, target, weight, 1 << s.bits, steps=200))
+    labels, _, _ = label_weakly(texts, s.rounds)
+    # one row for each vote pattern at most; a side on which no pattern is clear takes its clearest
+    known = {r.posterior: r.n for r in labels.groupBy("posterior").agg(F.count("*").alias("n")).collect()}
+    good, bad = min(0.9, max(known, default=0)), max(0.1, min(known, default=1))
+    sides = {k: n for k, n in ((1, sum(n for p, n in known.items() if p >= good > 0.5)), (0, sum(n for p, n in known.items() if p <= bad < 0.5))) if n}
+    if not sides:
+        return None
+    clear = labels.withColumn("side", F.when(F.col("posterior") >= good, 1).when(F.col("posterior") <= bad, 0))
+    drawn = F.pmod("key", F.lit(_SHARES))
+    parts = [
+        clear.where((F.col("side") == k) & (drawn < int(_SHARES * min(1.0, 1.5 * s.sample / n)) + 1)).select("key", "posterior").distinct().orderBy(drawn, "key").limit(s.sample)
+        for k, n in sorted(sides.items())
+    ]
+    sample = materialize(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), "sample-keys")
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes = _Shapes(s.bits)
+        for b in rows(batches, 500):
+            found = [features(t, shapes) for t in b.column(2).to_pylist()]
+            yield pa.record_batch([b.column(0), b.column(1), pa.array([c for c, _ in found], pa.list_(pa.int64())), pa.array([v for _, v in found], pa.list_(pa.float64()))], ["key", "posterior", "columns", "values"])
+
+    seen = texts.join(F.broadcast(sample), "key").select("key", "posterior", "text").mapInArrow(extract, "key long, posterior double, columns array<long>, values array<double>")
+    got = seen.dropDuplicates(["key"]).toPandas().sort_values("key")
+    target = got["posterior"].to_numpy(float)
+    half = np.array([max(1.0, (target <= 0.5).sum()), max(1.0, (target > 0.5).sum())])
+    weight = (len(target) / 2) / half[(target > 0.5).astype(int)]
+    found = Rows.of([(np.asarray(c), np.asarray(v)) for c, v in zip(got["columns"], got["values"], strict=True)])
+    return fit_logistic(found, target, weight, 1 << s.bits, steps=200)
+
+
+def _judged(docs: DataFrame, s: Settings) -> DataFrame:
+    """numbered(docs) with score and kept."""
+    plain = numbered(docs)
+    id_, text = place_of(docs, "doc_id"), place_of(docs, "text")
+    keyed = plain.select(F.xxhash64(F.col(id_), F.col(text), F.lit(11)).alias("key"), F.col(text).alias("text"))
+    sent = docs.sparkSession.sparkContext.broadcast(fit(keyed, s) or (np.zeros(1 << s.bits), 0.0))
+    names = plain.columns
 
     def run(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, bias = sent.value if sent is not None else (np.zeros(1 << s.bits), 0.0)
-        shapes, at = _Shapes(s.bits), own.index("text")
-        for b in rows(texts, 1000):
+        w, bias = sent.value
+        shapes, at = _Shapes(s.bits), names.index(text)
+        for b in rows(texts, 500):
             scores = []
-            for text in b.column(at).to_pylist():
-                columns, values = features(text, shapes)
+            for t in b.column(at).to_pylist():
+                columns, values = features(t, shapes)
                 scores.append(float(sigmoid(bias + w[columns] @ values)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array([x >= s.threshold for x in scores], pa.bool_())], [*own, "score", "kept"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array([x >= s.threshold for x in scores], pa.bool_())], [*names, "score", "kept"])
+
+    return plain.mapInArrow(run, StructType([*plain.schema.fields, StructField("score", DoubleType()), StructField("kept", BooleanType())]))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kinds}, score double, kept boolean")
+
+def score_quality(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """docs with score (0 to 1, higher is better) and kept (whether it is at the threshold or above).
+
+    docs: doc_id, text, and any others, which are kept (columns named score or kept, in whatever letters, are replaced). Null
+    and blank texts have no votes and are judged by the scorer's feature for them; a null doc_id is an id like any other.
+    Repeated rows stay and count each, but are one row of the sample. Without any clear text every score is 0.5. No rows: an
+    empty table. Scores depend on the rows only, not on their order or files.
+    """
+    docs = docs.select(*without(docs, "score", "kept"))
+    return _judged(docs, settings or Settings()).toDF(*docs.columns, "score", "kept")
 
 
 def keep_good(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """The documents that the scorer keeps, with the columns of docs."""
-    return score_quality(docs, settings).where("kept").select(*docs.columns)
+    """The documents that the scorer keeps, with all columns of docs as they were, whatever their names. Odd rows: as in score_quality()."""
+    judged = _judged(docs, settings or Settings()).where("kept")
+    return judged.drop("score", "kept").toDF(*docs.columns)
