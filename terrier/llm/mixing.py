@@ -3,6 +3,8 @@
 Weights go down a tree of domain, language and source. Each node deals its budget out among its children by weight; a child
 takes no more than its own leaves can give, and what it can't take goes to its siblings before anything returns to the level
 above. A leaf gives its documents once per full epoch and then a prefix, in tokens, of one more epoch in a seeded order.
+What prefixes leave over, as documents aren't cut, goes round once more in the same way: among the leaves of one language,
+then those of its domain, then all, smaller documents first, each leaf gets its next document as long as the rest lasts.
 All arithmetic is in whole numbers, so results don't depend on the engine or the order of rows.
 """
 
@@ -14,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, numbered, place_of, without
 
 #: Leaves are sent to all tasks up to this many; beyond it they are joined by key.
 BROADCAST_LEAVES = 100_000
@@ -97,21 +99,31 @@ def leaf_budgets(docs: DataFrame, mixture: Mixture) -> DataFrame:
     return leaves.select("domain", "mix_lang", "mix_source", "tokens", "budget")
 
 
-def mix(docs: DataFrame, mixture: Mixture = PRODUCTION) -> DataFrame:
-    """The documents that the mixture gives: all columns of docs, and domain, n_tokens and epoch; a row for each time a document is given.
+def _grant(leaves: DataFrame) -> DataFrame:
+    """(domain, mix_lang, mix_source) of the leaves that get their next document. leaves: those, room (tokens left over) and need (of the next document).
 
-    Tokens are words between white space. A null source or language is the key ""; sources of no domain are in the domain
-    "other". Null or empty texts have no tokens and come with each full epoch of their leaf. Within an epoch documents go by
-    the MD5 of seed, epoch and doc_id, ties by doc_id; rows that are alike in both come together or not at all. An empty
-    table gives an empty table. Columns of the input named domain, n_tokens, epoch or beginning with mix_ are replaced.
+    At each level, from siblings upwards, the rest of all leaves below a node goes to their next documents in order of size.
     """
     keys = ["domain", "mix_lang", "mix_source"]
-    own = [c for c in docs.columns if c not in ("domain", "n_tokens", "epoch") and not c.startswith("mix_")]
+    leaves = leaves.withColumn("granted", F.lit(False))
+    for level in (keys[:2], keys[:1], []):
+        group = Window.partitionBy(*level) if level else Window.partitionBy(F.lit(0))
+        rest = F.sum(F.col("room") - F.when(F.col("granted"), F.col("need")).otherwise(0)).over(group)
+        so_far = F.sum("need").over(Window.partitionBy(*(level or [F.lit(0)]), "granted").orderBy("need", *keys).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        leaves = leaves.withColumns({"rest": rest, "so_far": so_far}).withColumn("granted", F.col("granted") | (F.col("so_far") <= F.col("rest"))).drop("rest", "so_far")
+    return leaves.where("granted").select(*keys)
+
+
+def _mixed(docs: DataFrame, mixture: Mixture) -> DataFrame:
+    """numbered(docs) with domain, n_tokens and epoch."""
+    keys = ["domain", "mix_lang", "mix_source"]
+    plain = numbered(docs)
+    id_, text, lang, source = (F.col(place_of(docs, n)) for n in ("doc_id", "text", "lang", "source"))
     domain: Column = F.lit("other")
     for name, pattern in reversed(mixture.domains.items()):
-        domain = F.when(F.coalesce(F.col("source"), F.lit("")).rlike(pattern), F.lit(name)).otherwise(domain)
-    words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    counted = docs.select(*own, domain.alias("domain"), F.coalesce("lang", F.lit("")).alias("mix_lang"), F.coalesce("source", F.lit("")).alias("mix_source"), words.alias("n_tokens"))
+        domain = F.when(F.coalesce(source, F.lit("")).rlike(pattern), F.lit(name)).otherwise(domain)
+    words = F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    counted = plain.select(*plain.columns, id_.alias("doc_id"), domain.alias("domain"), F.coalesce(lang, F.lit("")).alias("mix_lang"), F.coalesce(source, F.lit("")).alias("mix_source"), words.alias("n_tokens"))
 
     plan = leaf_budgets(counted, mixture)
     plan = plan.select(*keys, F.expr("budget div tokens").alias("mix_full"), F.expr("budget % tokens").alias("mix_rest"))
@@ -132,9 +144,20 @@ def mix(docs: DataFrame, mixture: Mixture = PRODUCTION) -> DataFrame:
     inside = narrow.join(send(edge), keys).where("mix_bucket = mix_edge")
     together = inside.groupBy(*keys, "mix_room", "mix_edge", "mix_key", "doc_id").agg(F.sum("n_tokens").alias("n_tokens"))
     in_order = Window.partitionBy(*keys).orderBy("mix_key", F.col("doc_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = together.withColumn("through", F.sum("n_tokens").over(in_order)).where("through <= mix_room")
-    last = last.groupBy(*keys).agg(F.max(F.struct("mix_key", F.coalesce("doc_id", F.lit(-(1 << 62))).alias("id"))).alias("mix_last"))
-    # every leaf with a rest, its edge bucket, and the last document of it that still fits
+    place = F.struct("mix_key", F.coalesce("doc_id", F.lit(-(1 << 62))).alias("id"))
+    last = together.withColumn("through", F.sum("n_tokens").over(in_order)).withColumn("place", place)
+    # the document behind the prefix always holds tokens, so it is the first place at which the sum is too large
+    last = last.groupBy(*keys, "mix_room").agg(
+        F.max(F.when(F.col("through") <= F.col("mix_room"), F.col("place"))).alias("fits"),
+        F.min(F.when(F.col("through") > F.col("mix_room"), F.col("place"))).alias("next"),
+        F.max(F.when(F.col("through") <= F.col("mix_room"), F.col("through"))).alias("used"),
+        F.min(F.when(F.col("through") > F.col("mix_room"), F.col("through"))).alias("beyond"),
+    )
+    last = last.withColumn("used", F.coalesce("used", F.lit(0)))
+    last = materialize(last.select(*keys, "fits", "next", (F.col("mix_room") - F.col("used")).alias("room"), (F.col("beyond") - F.col("used")).alias("need")), "mix-last")
+    granted = _grant(last.select(*keys, "room", "need")).withColumn("more", F.lit(True))
+    last = last.join(send(granted), keys, "left").select(*keys, F.when(F.col("more"), F.col("next")).otherwise(F.col("fits")).alias("mix_last"))
+    # every leaf with a rest, its edge bucket, and the last document of it that is given
     cut = materialize(plan.join(edge.select(*keys, "mix_edge"), keys, "left").join(last, keys, "left"), "mix-cut")
 
     given = counted.join(send(cut), keys)
@@ -144,7 +167,27 @@ def mix(docs: DataFrame, mixture: Mixture = PRODUCTION) -> DataFrame:
     more = (F.col("mix_rest") > 0) & (F.col("mix_edge").isNull() | (bucket < F.col("mix_edge")) | ((bucket == F.col("mix_edge")) & F.coalesce(here <= F.col("mix_last"), F.lit(False))))
     times = F.col("mix_full") + more.cast("long")
     given = given.withColumn("mix_times", times).where("mix_times > 0")
-    return given.select(*own, "domain", "n_tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_times") - 1)).alias("epoch"))
+    return given.select(*plain.columns, "domain", "n_tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_times") - 1)).alias("epoch"))
+
+
+def mix(docs: DataFrame, mixture: Mixture = PRODUCTION) -> DataFrame:
+    """The documents that the mixture gives: all columns of docs, and domain, n_tokens and epoch; a row for each time a document is given.
+
+    Tokens are words between white space. A null source or language is the key ""; sources of no domain are in the domain
+    "other". Null or empty texts have no tokens and come with each full epoch of their leaf. Within an epoch documents go by
+    the MD5 of seed, epoch and doc_id, ties by doc_id; rows that are alike in both come together or not at all. An empty
+    table gives an empty table. Columns of the input named domain, n_tokens or epoch, in whatever letters, are replaced.
+
+    The tokens given are at most the budget, and short of it by less than the smallest next document among the leaves that
+    got none in the second round (each gets one at most), and what whole-number shares cut off.
+    """
+    docs = docs.select(*without(docs, "domain", "n_tokens", "epoch"))
+    return _mixed(docs, mixture).toDF(*docs.columns, "domain", "n_tokens", "epoch")
+
+
+def mix_only(docs: DataFrame, mixture: Mixture = PRODUCTION) -> DataFrame:
+    """The rows of mix() with all columns of docs as they were, whatever their names, and nothing else."""
+    return _mixed(docs, mixture).drop("domain", "n_tokens", "epoch").toDF(*docs.columns)
 
 
 def oracle(mixture: Mixture = PRODUCTION, documents: str = "documents") -> str:
@@ -167,6 +210,14 @@ def oracle(mixture: Mixture = PRODUCTION, documents: str = "documents") -> str:
               from {source} window o as ({part} order by capacity / weight, {child})))
           window f as ({part} order by is_full, before, behind desc rows between unbounded preceding and unbounded following))"""
 
+    def grant(source: str, keys: str) -> str:
+        part, more = (f"partition by {keys}", f"partition by {keys}, granted") if keys else ("", "partition by granted")
+        return f"""
+        select domain, mix_lang, mix_source, room, beyond, need, granted or so_far <= left_over as granted from (
+          select *, sum(room - case when granted then need else 0 end) over ({part}) as left_over,
+                 sum(need) over ({more} order by need, domain, mix_lang, mix_source rows between unbounded preceding and current row) as so_far
+          from {source})"""
+
     return f"""
     with d as (
       select doc_id, {domain} as domain, coalesce(lang, '') as mix_lang, coalesce(source, '') as mix_source,
@@ -182,5 +233,12 @@ def oracle(mixture: Mixture = PRODUCTION, documents: str = "documents") -> str:
     l2 as ({deal("l1", "domain, mix_lang", "mix_source")}),
     p as (select domain, mix_lang, mix_source, budget // tokens as full_epochs, budget % tokens as rest from l2),
     k as (select d.*, full_epochs, rest, md5('{mixture.seed}-' || full_epochs::varchar || '-' || coalesce(doc_id::varchar, '')) as key from d join p using (domain, mix_lang, mix_source)),
-    r as (select *, sum(n_tokens) over (partition by domain, mix_lang, mix_source order by key, doc_id nulls first range between unbounded preceding and current row) as through from k)
-    select doc_id, domain, n_tokens, unnest(range(0, (full_epochs + (case when rest > 0 and through <= rest then 1 else 0 end))::bigint))::bigint as epoch from r"""
+    r as (select *, sum(n_tokens) over (partition by domain, mix_lang, mix_source order by key, doc_id nulls first range between unbounded preceding and current row) as through from k),
+    n0 as (select domain, mix_lang, mix_source, max(rest) - coalesce(max(through) filter (where through <= rest), 0) as room, min(through) filter (where through > rest) as beyond,
+                  min(through) filter (where through > rest) - coalesce(max(through) filter (where through <= rest), 0) as need
+           from r where rest > 0 group by all),
+    n1 as ({grant("(select *, false as granted from n0)", "domain, mix_lang")}),
+    n2 as ({grant("n1", "domain")}),
+    n3 as ({grant("n2", "")}),
+    g as (select r.*, beyond, coalesce(granted, false) as granted, sum(n_tokens) over (partition by domain, mix_lang, mix_source, key, doc_id) as alike from r left join n3 using (domain, mix_lang, mix_source))
+    select doc_id, domain, n_tokens, unnest(range(0, (full_epochs + (case when rest > 0 and (through <= rest or granted and through = beyond and alike > 0) then 1 else 0 end))::bigint))::bigint as epoch from g"""
