@@ -26,29 +26,39 @@ MIXTURE = mixing.Mixture(
 NEAR = ngram_join.Jaccard(n=5, part=80, whole=100)
 
 
+# Every stage takes any columns beside doc_id, text, lang and source, whatever their names, and all but the last return them as
+# they were. An empty table gives an empty table. Nulls, empty texts, ties and repeated rows: as each docstring says.
+
+
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the scorer keeps. Null and empty texts are judged by the feature for them, repeated rows each alike; scores at the threshold stay."""
     return quality.keep_good(docs)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not predicted toxic. Null and empty texts have no features; documents without a label or an id are scored like all others; scores at the threshold go."""
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"), toxic_held_out())
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest doc_id. Texts without words and rows without an id stay; rows that share the smallest id stay together."""
     return ngram_join.keep_one(docs, NEAR)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, MIXTURE).select(*docs.columns)
+    """Documents of the mixture, each once at most. A null source or language is one of its own; rows alike in doc_id stay or go together; texts without words come with whole epochs and where the prefix reaches them."""
+    return mixing.mix_only(docs, MIXTURE)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, token_ids, n_tokens) of each row. Null texts are empty: no tokens."""
     return bpe.bpe_encode(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
 STAGES = [("quality", good), ("toxicity", not_toxic), ("near duplicates", one_of_each), ("mixture", mixed), ("tokens", tokens)]
 
-#: Learned stages and merges are beyond SQL; tests hold the stages against brute force.
+#: Learned stages and merges are beyond SQL. Tests hold near duplicates, mixture and tokens against brute force, SQL and the
+#: vocabulary, and quality and toxicity against the labels.
 ORACLE_SQL = None
 
 

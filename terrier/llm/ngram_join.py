@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, components, materialize, mix, rows, words
+from .common import WordHashes, components, materialize, mix, numbered, place_of, rows, words
 
 
 @dataclass(frozen=True)
@@ -385,11 +385,16 @@ BROADCAST_IDS = 2_000_000
 
 
 def keep_one(docs: DataFrame, settings: Jaccard | None = None) -> DataFrame:
-    """One document of each group of ngram_join(): that with the smallest doc_id. Rows with a null doc_id stay."""
-    groups = materialize(ngram_join(docs, settings), "groups")
-    dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    """One document of each group of ngram_join(): that with the smallest doc_id. Rows with a null doc_id stay.
+
+    All columns of docs come as they were, whatever their names.
+    """
+    plain = numbered(docs)
+    id_, text = place_of(docs, "doc_id"), place_of(docs, "text")
+    groups = materialize(ngram_join(plain.select(F.col(id_).alias("doc_id"), F.col(text).alias("text")), settings), "groups")
+    dropped = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(id_)).distinct()
     small = dropped.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(dropped) if small else dropped, "doc_id", "left_anti").select(*docs.columns)
+    return plain.join(F.broadcast(dropped) if small else dropped, id_, "left_anti").select(*plain.columns).toDF(*docs.columns)
 
 
 def _sets_of(t: pa.Table, s: Jaccard) -> tuple[np.ndarray, list[np.ndarray], list[int]]:

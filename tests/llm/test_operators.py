@@ -12,6 +12,7 @@ import pytest
 
 from terrier.llm import bpe, brown_lm, chat, html_wrappers, mixing, mpeg, near_vectors, ngram_join, quality, queries, toxicity
 
+SF = "/root/testdata/sf0.01"
 VOCABULARY = f"{queries.TOKENIZERS}/byte_bpe_50k.json"
 ODD = [None, "", " ", "a", "\n\n", "one two three", "x " * 30_000, "same text here now", "same text here now", "ÀÉ 漢字 🙂 <|endoftext|> don't", "tab\there\x0bnow  two"]
 
@@ -145,22 +146,60 @@ def test_toxicity(spark, sf_dir):
     assert len(none) == len(ODD) and {r.score for r in none} == {0.5}
 
 
+def test_toxicity_swaps_sentences_of_the_given_documents(spark):
+    """The penalty acts on the given documents: swaps move scores less than without it, and no more clean documents are called toxic."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    held = queries.toxic_held_out()
+    clean = [r.text for r in docs.join(labels, "doc_id").where(held).where("toxic = 0").select("text").collect()]
+    moved, wrong, high = {}, {}, {}
+    for weight in (0.0, 1.0):
+        s = toxicity.Settings(swap_weight=weight)
+        model = toxicity.fit(toxicity.labelled_sample(docs, labels, ~held, s.sample), s)
+        assert model.swapped > 1000
+        place = {int(f): w for f, w in zip(model.features, model.weights, strict=True)}
+        known = toxicity._Known(lambda w: toxicity.word_features(w, model.bits))
+
+        def score(text):
+            return model.bias + sum(place.get(int(f), 0.0) for f in toxicity._features(text, known))
+
+        kinds = {w: kind for kind in model.terms for w in kind}
+        pairs = [(" ".join(a), " ".join(b)) for t in clean[:60] for a, b in toxicity.swapped_sentences(t, kinds)]
+        moved[weight] = np.mean([(score(a) - score(b)) ** 2 for a, b in pairs])
+        scores = 1 / (1 + np.exp(-np.array([score(t) for t in clean])))
+        wrong[weight], high[weight] = (scores >= s.threshold).sum(), np.sort(scores)[-10:].mean()
+    assert moved[1.0] < 0.2 * moved[0.0] and wrong[1.0] <= wrong[0.0] and high[1.0] < high[0.0]
+
+
 def test_toxicity_does_not_learn_groups(spark):
+    """Neutral mentions of a group that toxic texts name: false positives without the penalty, none with it."""
+    from pyspark.sql import functions as F
+
     bad = [f"you women are vile{i % 3} people" for i in range(40)]
     good = [f"these men sat by the house number{i % 7}" for i in range(40)] + ["men and boys walk"] * 10
     docs = docs_of(spark, bad + good)
     labels = spark.createDataFrame([(i, int(i < 40)) for i in range(90)], "doc_id long, toxic int")
-    from pyspark.sql import functions as F
+    probe = docs_of(spark, ["the women walk", "women sat by the house", "the men walk"])
 
-    def gap(weight):
-        probe = docs_of(spark, ["the women walk", "the men walk"])
-        model = toxicity.fit(toxicity.labelled_sample(docs, labels, F.lit(True), 1000), toxicity.Settings(swap_weight=weight))
+    def scores(weight):
+        s = toxicity.Settings(swap_weight=weight, neutral=0, threshold=0.5)
+        model = toxicity.fit(toxicity.labelled_sample(docs, labels, F.lit(True), 1000), s)
+        assert model.swapped == 90  # one term a sentence
         known = toxicity._Known(lambda w: toxicity.word_features(w, model.bits))
         place = {int(f): w for f, w in zip(model.features, model.weights, strict=True)}
-        a, b = (sum(place.get(int(f), 0) for f in toxicity._features(r.text, known)) for r in probe.orderBy("doc_id").collect())
-        return abs(a - b)
+        return [model.bias + sum(place.get(int(f), 0) for f in toxicity._features(r.text, known)) for r in probe.orderBy("doc_id").collect()]
 
-    assert gap(0.05) < 0.3 * gap(0.0)
+    with_, without = scores(100.0), scores(0.0)
+    assert abs(with_[0] - with_[2]) < 0.3 * abs(without[0] - without[2])
+
+
+def test_toxicity_samples_do_not_depend_on_layout(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    s = toxicity.Settings(sample=40, swapped=20)
+    got = [sorted((r.doc_id, round(r.score, 9)) for r in toxicity.score_toxicity(docs.repartition(n), labels.repartition(n), queries.toxic_held_out(), s).collect()) for n in (1, 7)]
+    assert got[0] == got[1]
+    q = quality.Settings(sample=30)
+    got = [sorted((r.doc_id, round(r.score, 9)) for r in quality.score_quality(docs.repartition(n), q).collect()) for n in (1, 7)]
+    assert got[0] == got[1]
 
 
 # --- 4
@@ -321,7 +360,7 @@ def test_mixing_odd(spark):
     rows = [(i, t, None if i % 3 else "en", None if i % 4 == 0 else f"src{i % 2}", "x") for i, t in enumerate(ODD)]
     df = spark.createDataFrame([*rows, rows[5], (None, "a b c", "de", "src7", "x")], "doc_id long, text string, lang string, source string, mix_lang string")
     got = mixing.mix(df, mixing.Mixture(max_epochs=3, budget_permille=2000))
-    assert got.columns == ["doc_id", "text", "lang", "source", "domain", "n_tokens", "epoch"]
+    assert got.columns == ["doc_id", "text", "lang", "source", "mix_lang", "domain", "n_tokens", "epoch"] and {r.mix_lang for r in got.collect()} == {"x"}
     total = sum(r.n_tokens for r in got.collect())
     assert 0 < total <= 2 * sum(len(words(r.text)) for r in df.collect())
     assert mixing.mix(df.limit(0)).count() == 0
