@@ -10,7 +10,8 @@
 4. Within a cluster, sorted shingle arrays are intersected: this decides each link exactly. Large clusters are split into
    parts that share a few anchors; classes that found no way to the main group are then compared with all parts.
 
-Frequent shingles only go last in the order: nothing is dropped, whatever their number.
+Frequent shingles only go last in the order: nothing is dropped, whatever their number. Where one is so frequent that its
+tile could not be compared at once, its rows are dealt out over many tasks and meet in one cluster without a test.
 """
 
 from __future__ import annotations
@@ -158,13 +159,17 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(s: Jaccard, sent):
-    """(key, class, size, at): the first shingles of each class, and their places. A class comes once from each task."""
+    """(key, salt, hot, class, size, at): the first shingles of each class, and their places. A class comes once from each task.
+
+    hot: shingles whose count, as far as it is known, exceeds a tile. Their rows are dealt out by a salt.
+    """
+    names = ["key", "salt", "hot", "class", "size", "at"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, counts = sent.value
         hashes, seen = WordHashes(), set()
         for batch in rows(batches, 200):
-            keys_, classes, sizes, at = [], [], [], []
+            keys_, hots, classes, sizes, at = [], [], [], [], []
             for text in batch.column(0).to_pylist():
                 keys = shingles(text, hashes, s.n)
                 if not len(keys):
@@ -177,15 +182,26 @@ def _prefixes(s: Jaccard, sent):
                 seen.add(h)
                 first = _order(keys, frequent, counts, s.prefix(len(keys)))
                 keys_.append(first)
+                if len(frequent):
+                    known = np.minimum(np.searchsorted(frequent, first), len(frequent) - 1)
+                    hots.append((frequent[known] == first) & (counts[known] > s.tile))
+                else:
+                    hots.append(np.zeros(len(first), bool))
                 classes.append(np.full(len(first), h))
                 sizes.append(np.full(len(first), len(keys), np.int32))
                 at.append(np.arange(len(first), dtype=np.int32))
             if keys_:
-                yield pa.record_batch([pa.array(np.concatenate(keys_).view(np.int64)), pa.array(np.concatenate(classes).astype(np.int64)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(at))], ["key", "class", "size", "at"])
+                key, hot, cls = np.concatenate(keys_).view(np.int64), np.concatenate(hots), np.concatenate(classes).astype(np.int64)
+                salt = np.where(hot, cls % SALTS, 0).astype(np.int32)
+                yield pa.record_batch([pa.array(x) for x in (key, salt, hot, cls, np.concatenate(sizes), np.concatenate(at))], names)
 
     return run
 
 
+#: Over how many places the rows of a hot shingle are dealt out, at least; rows of one class stay together.
+SALTS = 1024
+
+
 def _groups(batches: Iterator[pa.RecordBatch], key: str, most: int | None = None) -> Iterator[pa.Table]:
     """Tables with whole groups of an ordered key. A group that spans batches is gathered, up to most rows at a time."""
     rest: list[pa.RecordBatch] = []
@@ -210,22 +226,32 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str, most: int | None = None
 
 
 def _shared(s: Jaccard):
-    """Of rows (key, class, size, at) ordered by key, class: those that have a partner of fitting size and place in their tile, once for each class.
+    """Of rows (key, hot, class, size, at) ordered by key, size, class: those that have a partner of fitting size in their tile, once for each class; hot ones all.
 
-    Only neighbours in order of size are looked at, which never loses a row that has a partner.
+    Only neighbours in the order are looked at, which never loses a row that has a partner. Rows stream by: one is kept back.
     """
+    names = ["key", "hot", "class", "size", "at"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches, "key"):
-            key, cls, size, at = (t.column(c).to_numpy() for c in ("key", "class", "size", "at"))
+        held = None  # the last row, of which it isn't known yet whether the next is a partner
+        was_near = False
+        for b in batches:
+            if not b.num_rows:
+                continue
+            columns = [b.column(c).to_numpy(zero_copy_only=False) for c in names]
+            if held is not None:
+                columns = [np.concatenate([x, y]) for x, y in zip(held, columns, strict=True)]
+            key, hot, cls, size, at = columns
             once = np.r_[True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])]
-            key, cls, size, at = key[once], cls[once], size[once].astype(np.int64), at[once]
-            order = np.lexsort((cls, size, key))
-            key, cls, size, at = key[order], cls[order], size[order], at[order]
-            near = (key[1:] == key[:-1]) & (size[:-1] >= s.smallest(size[1:]))
-            keep = np.r_[False, near] | np.r_[near, False]
+            key, hot, cls, size, at = (x[once] for x in (key, hot, cls, size, at))
+            near = (key[1:] == key[:-1]) & (size[:-1] >= s.smallest(size[1:].astype(np.int64)))
+            keep = (np.r_[was_near, near] | np.r_[near, False] | hot)[:-1]
+            was_near = bool(near[-1]) if len(near) else was_near
+            held = [x[-1:] for x in (key, hot, cls, size, at)]
             if keep.any():
-                yield pa.record_batch([pa.array(key[keep]), pa.array(cls[keep]), pa.array(size[keep].astype(np.int32)), pa.array(at[keep])], ["key", "class", "size", "at"])
+                yield pa.record_batch([pa.array(x[:-1][keep]) for x in (key, hot, cls, size, at)], names)
+        if held is not None and (was_near or held[1][0]):
+            yield pa.record_batch([pa.array(x) for x in held], names)
 
     return run
 
@@ -358,14 +384,19 @@ def ngram_join(docs: DataFrame, settings: Jaccard | None = None) -> DataFrame:
     found = sorted((r.key & (1 << 64) - 1, r.n) for r in often.where(F.col("n") >= least).collect())
     sent = spark.sparkContext.broadcast((np.array([k for k, _ in found], np.uint64), np.array([n for _, n in found], np.int64)))
 
-    prefixes = docs.select("text").mapInArrow(_prefixes(s, sent), "key long, class long, size int, at int")
-    shared = prefixes.repartition("key").sortWithinPartitions("key", "class").mapInArrow(_shared(s), "key long, class long, size int, at int")
-    shared = materialize(shared, "shared")
+    prefixes = docs.select("text").mapInArrow(_prefixes(s, sent), "key long, salt int, hot boolean, class long, size int, at int")
+    shared = prefixes.repartition("key", "salt").sortWithinPartitions("key", "size", "class").select("key", "hot", "class", "size", "at")
+    shared = materialize(shared.mapInArrow(_shared(s), "key long, hot boolean, class long, size int, at int"), "shared")
+    # classes with a hot shingle are one cluster untested; its first is found by partial minima, so no task sees all of them
+    hot, shared = shared.where("hot").select("key", "class").distinct(), shared.where("not hot")
+    firsts = hot.groupBy("key").agg(F.min("class").alias("b"))  # of at most s.sent shingles
+    tied = hot.join(F.broadcast(firsts), "key").select(F.col("class").alias("a"), "b")
     members = shared.select("class").distinct()
     signatures = sets.where("class is not null").select("class", "signature").join(members, "class", "left_semi").groupBy("class").agg(F.first("signature").alias("signature"))
     tiles = shared.join(signatures, "class").select("key", "class", "size", "at", "signature")
     could = tiles.repartition("key").sortWithinPartitions("key", "size", "class").mapInArrow(_tile_links(s), "a long, b long")
-    clusters = materialize(components(could), "clusters")
+    # written before the next Python step, so that a task never has two Python workers
+    clusters = materialize(components(materialize(could.union(tied), "could")), "clusters")
 
     # one text for each class in a cluster
     first = texts.where("class is not null").join(clusters.select(F.col("node").alias("class")), "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
