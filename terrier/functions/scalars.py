@@ -20,29 +20,44 @@ def clean_marker(c: Column | str) -> Column:
     return F.rtrim(strip(c), F.lit("\\"))
 
 
+# A failed cast is an exception inside, which costs far more than a look at the text's shape. So texts are cast only if their
+# shape is that of a number; what is then still out of range is rare.
+_WHOLE = r"^[+-]?[0-9]+$"
+_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def _cast(text: Column, shape: str, kind: str) -> Column:
+    return F.when(text.rlike(shape), text.try_cast(kind))
+
+
 def safe_int(c: Column | str, default: int | None = None) -> Column:
-    """The whole number in a text; default for anything else (fractions, digit groups, blanks)."""
-    out = strip(c).try_cast("int")
+    """The whole number in a text; default for anything else (fractions, digit groups, blanks, numbers out of range)."""
+    out = _cast(strip(c), _WHOLE, "int")
     return out if default is None else F.coalesce(out, F.lit(default))
 
 
 def safe_long(c: Column | str) -> Column:
-    return strip(c).try_cast("long")
+    return _cast(strip(c), _WHOLE, "long")
 
 
 def safe_decimal(c: Column | str) -> Column:
-    return strip(c).try_cast("decimal(18,3)")
+    return _cast(strip(c), _NUMBER, "decimal(18,3)")
+
+
+def decimal_text(c: Column | str) -> Column:
+    """A decimal of three places as text with at least one and at most three decimals."""
+    cut = F.rtrim((F.col(c) if isinstance(c, str) else c).cast("decimal(18,3)").cast("string"), F.lit("0"))
+    return F.concat(cut, F.when(cut.endswith("."), "0").otherwise(""))
 
 
 def float_text(c: Column | str) -> Column:
-    """A number as text with at least one and at most three decimals, never with an exponent."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c.try_cast("decimal(18,3)").cast("string"), "0{1,2}$", "")
+    """The number in a text, as text with at least one and at most three decimals, never with an exponent; null for anything else."""
+    return decimal_text(safe_decimal(c))
 
 
 def whole_part(c: Column | str) -> Column:
-    """The whole part of a number in a text, cut towards zero."""
-    return strip(c).try_cast("double").try_cast("int")
+    """The whole part of a number in a text, cut towards zero; null for anything else, infinite and very large numbers among it."""
+    return _cast(strip(c), _NUMBER, "double").try_cast("int")
 
 
 def act_date(c: Column | str, pattern: str = "ddMMyyyy") -> Column:
@@ -54,6 +69,12 @@ def fold_accents(c: Column | str) -> Column:
     return F.translate(c, ACCENTED, PLAIN)
 
 
+def legacy_text(c: Column | str, encoding: str = "ISO-8859-1") -> Column:
+    """The text in a column of bytes: UTF-8 where they are that, the older encoding otherwise. Accents of either kind come out alike."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(F.is_valid_utf8(c.cast("string")), c.cast("string")).otherwise(F.decode(c, encoding))
+
+
 def surrogate_id(*parts: Column | str) -> Column:
     """MD5 of the key's parts, null parts as empty: the same on every run, without a shuffle."""
     columns = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("")) for p in parts]

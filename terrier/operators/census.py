@@ -9,34 +9,223 @@ from pyspark.sql import functions as F
 
 from terrier.functions.scalars import float_text, safe_int, strip, whole_part
 
-# Target tables, their columns in order, declared types, and the source field where its name is another.
-# int: whole number or null; trunc: number cut to its whole part; num: number as text; null: always null; text of a whole number: itext.
-_NOTE_FIRST = "gen_eff=data_di_efficacia00 gen_regist=data_di_registrazione00 gen_tipo=tipo_nota00 gen_numero=numero_nota00 gen_progre=progressivo_nota00"
-_NOTE_LAST = "con_eff=data_di_efficacia99 con_regist=data_di_registrazione99 con_tipo=tipo_nota99 con_numero=numero_nota99 con_progre=progressivo_nota99 con_anno=anno_nota99"
-_CAUSES = "gen_causa=codice_causale_atto_generante gen_descr=descrizione_atto_generante con_causa=codice_causale_atto_conclusivo con_descr=descrizione_atto_conclusivo"
-_CHANGES = "mutaz_iniz:int=identificativo_mutazione_iniziale mutaz_fine:int=identificativo_mutazione_finale"
-_UNIT = "codice=codice_ammvo sezione immobile:int=identificativo_immobile tipo_imm=tipo_immobile"
-_RECORD = f"{_UNIT} progressiv:int=progressivo"
-_SUBJECT = "codice=codice_ammvo sezione soggetto:int=identificativo_soggetto tipo_sog=tipo_soggetto"
+# The columns of each target table in order, how each is read, and the source field.
+# str: text; int: whole number or null; trunc: number cut to its whole part; num: number as text; itext: whole number as text;
+# null, nullint: always null, as text or as a whole number.
 TARGETS = {
-    "cuarcuiu": f"{_RECORD} zona categoria classe consistenz:num=consistenza superficie:num rendita_l:num=rendita_lire rendita_e:num=rendita_euro lotto edificio scala interno_1=interno1 interno_2=interno2"
-    f" piano_1=piano1 piano_2=piano2 piano_3=piano3 piano_4=piano4 {_NOTE_FIRST} gen_anno=anno_nota00 {_NOTE_LAST} partita annotazion=annotazione {_CHANGES}"
-    f" prot_notif=protocollo_notifica data_notif=data_notifica {_CAUSES} flag_class=flag_classamento",
-    "cuindiri": f"{_RECORD} toponimo:int indirizzo civico1 civico2 civico3 cod_strada=codice_strada",
-    "cuidenti": f"{_RECORD} sez_urbana=sezione_urbana foglio numero denominato:int=denominatore subalterno edificiale:null",
-    "curiserv": f"{_RECORD} riserva=codice_riserva iscrizione=partita_iscrizione_riserva",
-    "ctpartic": f"{_RECORD} foglio:int numero denominato:int=denominatore subalterno edificiale=edificialita qualita:int classe ettari:trunc are:trunc centiare:trunc flag_redd=flag_reddito flag_porz=flag_porzione"
-    " flag_deduz=flag_deduzioni dominic_l:num=reddito_dominicale_lire agrario_l:num=reddito_agrario_lire dominic_e:num=reddito_dominicale_euro agrario_e:num=reddito_agrario_euro"
-    f" {_NOTE_FIRST} gen_anno:int=anno_nota00 con_eff:null con_regist:null con_tipo:null con_numero:null con_progre:null con_anno:nullint partita annotazion=annotazione {_CHANGES} {_CAUSES}",
-    "ctdeduzi": f"{_RECORD} deduzione=simbolo_deduzione",
-    "ctriserv": f"{_RECORD} riserva=codice_riserva iscrizione=partita_iscrizione_riserva",
-    "ctporzio": f"{_RECORD} porzione=identificativo_porzione qualita:int classe ettari:trunc are:trunc centiare:trunc dominic_e:null agrario_e:null",
-    "cttitola": f"{_SUBJECT} immobile:int=identificativo_immobile tipo_imm=tipo_immobile diritto=codice_diritto titolo=titolo_non_codificato numeratore:int=quota_numeratore denominato:int=quota_denominatore"
-    " regime:itext rif_regime:int=soggetto_di_riferimento gen_valida=data_di_validita00 gen_nota=tipo_nota00 gen_numero=numero_nota00 gen_progre=progressivo_nota00 gen_anno=anno_nota00 gen_regist=data_registrazione_atti00"
-    f" partita con_valida=data_di_validita99 con_nota=tipo_nota99 con_numero=numero_nota99 con_progre=progressivo_nota99 con_anno=anno_nota99 con_regist=data_registrazione_atti99 {_CHANGES}"
-    f" identifica:int=identificativo_titolarita {_CAUSES}",
-    "ctfisica": f"{_SUBJECT} cognome nome sesso data=data_di_nascita luogo=luogo_di_nascita codfiscale=codice_fiscale supplement=info_suppl",
-    "ctnonfis": f"{_SUBJECT} codfiscale=codice_fiscale denominaz=denominazione sede",
+    "cuarcuiu": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("immobile", "int", "identificativo_immobile"),
+        ("tipo_imm", "str", "tipo_immobile"),
+        ("progressiv", "int", "progressivo"),
+        ("zona", "str", "zona"),
+        ("categoria", "str", "categoria"),
+        ("classe", "str", "classe"),
+        ("consistenz", "num", "consistenza"),
+        ("superficie", "num", "superficie"),
+        ("rendita_l", "num", "rendita_lire"),
+        ("rendita_e", "num", "rendita_euro"),
+        ("lotto", "str", "lotto"),
+        ("edificio", "str", "edificio"),
+        ("scala", "str", "scala"),
+        ("interno_1", "str", "interno1"),
+        ("interno_2", "str", "interno2"),
+        ("piano_1", "str", "piano1"),
+        ("piano_2", "str", "piano2"),
+        ("piano_3", "str", "piano3"),
+        ("piano_4", "str", "piano4"),
+        ("gen_eff", "str", "data_di_efficacia00"),
+        ("gen_regist", "str", "data_di_registrazione00"),
+        ("gen_tipo", "str", "tipo_nota00"),
+        ("gen_numero", "str", "numero_nota00"),
+        ("gen_progre", "str", "progressivo_nota00"),
+        ("gen_anno", "str", "anno_nota00"),
+        ("con_eff", "str", "data_di_efficacia99"),
+        ("con_regist", "str", "data_di_registrazione99"),
+        ("con_tipo", "str", "tipo_nota99"),
+        ("con_numero", "str", "numero_nota99"),
+        ("con_progre", "str", "progressivo_nota99"),
+        ("con_anno", "str", "anno_nota99"),
+        ("partita", "str", "partita"),
+        ("annotazion", "str", "annotazione"),
+        ("mutaz_iniz", "int", "identificativo_mutazione_iniziale"),
+        ("mutaz_fine", "int", "identificativo_mutazione_finale"),
+        ("prot_notif", "str", "protocollo_notifica"),
+        ("data_notif", "str", "data_notifica"),
+        ("gen_causa", "str", "codice_causale_atto_generante"),
+        ("gen_descr", "str", "descrizione_atto_generante"),
+        ("con_causa", "str", "codice_causale_atto_conclusivo"),
+        ("con_descr", "str", "descrizione_atto_conclusivo"),
+        ("flag_class", "str", "flag_classamento"),
+    ),
+    "cuindiri": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("immobile", "int", "identificativo_immobile"),
+        ("tipo_imm", "str", "tipo_immobile"),
+        ("progressiv", "int", "progressivo"),
+        ("toponimo", "int", "toponimo"),
+        ("indirizzo", "str", "indirizzo"),
+        ("civico1", "str", "civico1"),
+        ("civico2", "str", "civico2"),
+        ("civico3", "str", "civico3"),
+        ("cod_strada", "str", "codice_strada"),
+    ),
+    "cuidenti": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("immobile", "int", "identificativo_immobile"),
+        ("tipo_imm", "str", "tipo_immobile"),
+        ("progressiv", "int", "progressivo"),
+        ("sez_urbana", "str", "sezione_urbana"),
+        ("foglio", "str", "foglio"),
+        ("numero", "str", "numero"),
+        ("denominato", "int", "denominatore"),
+        ("subalterno", "str", "subalterno"),
+        ("edificiale", "null", None),
+    ),
+    "curiserv": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("immobile", "int", "identificativo_immobile"),
+        ("tipo_imm", "str", "tipo_immobile"),
+        ("progressiv", "int", "progressivo"),
+        ("riserva", "str", "codice_riserva"),
+        ("iscrizione", "str", "partita_iscrizione_riserva"),
+    ),
+    "ctpartic": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("immobile", "int", "identificativo_immobile"),
+        ("tipo_imm", "str", "tipo_immobile"),
+        ("progressiv", "int", "progressivo"),
+        ("foglio", "int", "foglio"),
+        ("numero", "str", "numero"),
+        ("denominato", "int", "denominatore"),
+        ("subalterno", "str", "subalterno"),
+        ("edificiale", "str", "edificialita"),
+        ("qualita", "int", "qualita"),
+        ("classe", "str", "classe"),
+        ("ettari", "trunc", "ettari"),
+        ("are", "trunc", "are"),
+        ("centiare", "trunc", "centiare"),
+        ("flag_redd", "str", "flag_reddito"),
+        ("flag_porz", "str", "flag_porzione"),
+        ("flag_deduz", "str", "flag_deduzioni"),
+        ("dominic_l", "num", "reddito_dominicale_lire"),
+        ("agrario_l", "num", "reddito_agrario_lire"),
+        ("dominic_e", "num", "reddito_dominicale_euro"),
+        ("agrario_e", "num", "reddito_agrario_euro"),
+        ("gen_eff", "str", "data_di_efficacia00"),
+        ("gen_regist", "str", "data_di_registrazione00"),
+        ("gen_tipo", "str", "tipo_nota00"),
+        ("gen_numero", "str", "numero_nota00"),
+        ("gen_progre", "str", "progressivo_nota00"),
+        ("gen_anno", "int", "anno_nota00"),
+        ("con_eff", "null", None),
+        ("con_regist", "null", None),
+        ("con_tipo", "null", None),
+        ("con_numero", "null", None),
+        ("con_progre", "null", None),
+        ("con_anno", "nullint", None),
+        ("partita", "str", "partita"),
+        ("annotazion", "str", "annotazione"),
+        ("mutaz_iniz", "int", "identificativo_mutazione_iniziale"),
+        ("mutaz_fine", "int", "identificativo_mutazione_finale"),
+        ("gen_causa", "str", "codice_causale_atto_generante"),
+        ("gen_descr", "str", "descrizione_atto_generante"),
+        ("con_causa", "str", "codice_causale_atto_conclusivo"),
+        ("con_descr", "str", "descrizione_atto_conclusivo"),
+    ),
+    "ctdeduzi": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("immobile", "int", "identificativo_immobile"),
+        ("tipo_imm", "str", "tipo_immobile"),
+        ("progressiv", "int", "progressivo"),
+        ("deduzione", "str", "simbolo_deduzione"),
+    ),
+    "ctriserv": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("immobile", "int", "identificativo_immobile"),
+        ("tipo_imm", "str", "tipo_immobile"),
+        ("progressiv", "int", "progressivo"),
+        ("riserva", "str", "codice_riserva"),
+        ("iscrizione", "str", "partita_iscrizione_riserva"),
+    ),
+    "ctporzio": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("immobile", "int", "identificativo_immobile"),
+        ("tipo_imm", "str", "tipo_immobile"),
+        ("progressiv", "int", "progressivo"),
+        ("porzione", "str", "identificativo_porzione"),
+        ("qualita", "int", "qualita"),
+        ("classe", "str", "classe"),
+        ("ettari", "trunc", "ettari"),
+        ("are", "trunc", "are"),
+        ("centiare", "trunc", "centiare"),
+        ("dominic_e", "null", None),
+        ("agrario_e", "null", None),
+    ),
+    "cttitola": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("soggetto", "int", "identificativo_soggetto"),
+        ("tipo_sog", "str", "tipo_soggetto"),
+        ("immobile", "int", "identificativo_immobile"),
+        ("tipo_imm", "str", "tipo_immobile"),
+        ("diritto", "str", "codice_diritto"),
+        ("titolo", "str", "titolo_non_codificato"),
+        ("numeratore", "int", "quota_numeratore"),
+        ("denominato", "int", "quota_denominatore"),
+        ("regime", "itext", "regime"),
+        ("rif_regime", "int", "soggetto_di_riferimento"),
+        ("gen_valida", "str", "data_di_validita00"),
+        ("gen_nota", "str", "tipo_nota00"),
+        ("gen_numero", "str", "numero_nota00"),
+        ("gen_progre", "str", "progressivo_nota00"),
+        ("gen_anno", "str", "anno_nota00"),
+        ("gen_regist", "str", "data_registrazione_atti00"),
+        ("partita", "str", "partita"),
+        ("con_valida", "str", "data_di_validita99"),
+        ("con_nota", "str", "tipo_nota99"),
+        ("con_numero", "str", "numero_nota99"),
+        ("con_progre", "str", "progressivo_nota99"),
+        ("con_anno", "str", "anno_nota99"),
+        ("con_regist", "str", "data_registrazione_atti99"),
+        ("mutaz_iniz", "int", "identificativo_mutazione_iniziale"),
+        ("mutaz_fine", "int", "identificativo_mutazione_finale"),
+        ("identifica", "int", "identificativo_titolarita"),
+        ("gen_causa", "str", "codice_causale_atto_generante"),
+        ("gen_descr", "str", "descrizione_atto_generante"),
+        ("con_causa", "str", "codice_causale_atto_conclusivo"),
+        ("con_descr", "str", "descrizione_atto_conclusivo"),
+    ),
+    "ctfisica": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("soggetto", "int", "identificativo_soggetto"),
+        ("tipo_sog", "str", "tipo_soggetto"),
+        ("cognome", "str", "cognome"),
+        ("nome", "str", "nome"),
+        ("sesso", "str", "sesso"),
+        ("data", "str", "data_di_nascita"),
+        ("luogo", "str", "luogo_di_nascita"),
+        ("codfiscale", "str", "codice_fiscale"),
+        ("supplement", "str", "info_suppl"),
+    ),
+    "ctnonfis": (
+        ("codice", "str", "codice_ammvo"),
+        ("sezione", "str", "sezione"),
+        ("soggetto", "int", "identificativo_soggetto"),
+        ("tipo_sog", "str", "tipo_soggetto"),
+        ("codfiscale", "str", "codice_fiscale"),
+        ("denominaz", "str", "denominazione"),
+        ("sede", "str", "sede"),
+    ),
 }
 #: Register and record type that each target is made of; subjects and entitlements have one record type.
 ORIGINS = {
@@ -63,12 +252,7 @@ class Field:
 
 
 def fields(table: str) -> list[Field]:
-    out = []
-    for word in TARGETS[table].split():
-        left, _, source = word.partition("=")
-        target, _, kind = left.partition(":")
-        out.append(Field(target, kind or "str", None if kind.startswith("null") else source or target))
-    return out
+    return [Field(*row) for row in TARGETS[table]]
 
 
 def layout(register: str, record_type: str | None) -> list[str]:
@@ -100,7 +284,7 @@ def _cast(f: Field) -> Column:
     if f.kind == "trunc":
         return whole_part(c)
     if f.kind == "num":
-        return float_text(strip(c))
+        return float_text(c)
     if f.kind == "itext":
         return safe_int(c).cast("string")
     return c

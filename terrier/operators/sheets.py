@@ -15,8 +15,17 @@ FIELDS = {
     "FIDUCIALE": ("numero_identificativo", "codice_simbolo", "posizione_x", "posizione_y", "punto_rappresentazione_x", "punto_rappresentazione_y"),
     "LINEA": ("codice_tipo_tratto", "numero_vertici"),
 }
-#: Names under which a sheet is exported.
-ALIASES = {"mappa": "MAPPA", "nome_mappa": "NOME MAPPA", "scala_originaria": "SCALA ORIGINARIA", "codice_foglio": "CODICE FOGLIO", "codice_comune": "CODICE COMUNE"}
+# Names under which a sheet's codes and header are exported.
+ALIASES = {
+    "codice_foglio": "CODICE_FOGLIO",
+    "codice_comune": "CODICE_COMUNE",
+    "codice_sezione_censuaria": "CODICE SEZIONE CENSUARIA",
+    "codice_numero_foglio": "CODICE NUMERO FOGLIO",
+    "numero_foglio": "NUMERO FOGLIO",
+    "codice_allegato": "CODICE ALLEGATO",
+    "codice_sviluppo": "CODICE SVILUPPO",
+}
+HEADER_ALIASES = {"mappa": "MAPPA", "nome_mappa": "NOME MAPPA", "scala_originaria": "SCALA ORIGINARIA"}
 
 
 def base_name(files: DataFrame) -> DataFrame:
@@ -56,9 +65,19 @@ def header(lines: Column | str) -> dict[str, Column]:
     return {"mappa": strip(first[0]), "nome_mappa": strip(first[1]), "scala_originaria": strip(first[2]), "scala": strip(first[2]).try_cast("double"), "header_ok": first[2].isNotNull()}
 
 
-_LENGTH = """case c.m when 'BORDO' then 10 + greatest(0, try_cast(get(lines, c.p + 8) as int)) + 2 * greatest(0, try_cast(get(lines, c.p + 9) as int)) + nullif(0, case when try_cast(get(lines, c.p + 8) as int) is null or try_cast(get(lines, c.p + 9) as int) is null then 0 end)
- when 'LINEA' then 3 + 2 * greatest(0, try_cast(get(lines, c.p + 2) as int)) + nullif(0, case when try_cast(get(lines, c.p + 2) as int) is null then 0 end)
- when 'TESTO' then 6 when 'SIMBOLO' then 5 when 'FIDUCIALE' then 7 when 'EOF' then 1 end"""
+def _count(offset: int) -> str:
+    """The count in a line behind a marker. More than the sheet has lines (or than a long holds) is as good as one more: the record is truncated."""
+    return f"least(size(lines) + 1L, greatest(0L, coalesce(try_cast(get(lines, c.p + {offset}) as bigint), size(lines) + 1L)))"
+
+
+def _digits(offset: int) -> str:
+    return f"get(lines, c.p + {offset}) rlike '^[+-]?[0-9]+$'"
+
+
+#: Lines of a record; null for a count that is none.
+_LENGTH = f"""case c.m when 'BORDO' then case when {_digits(8)} and {_digits(9)} then 10 + {_count(8)} + 2 * {_count(9)} end
+ when 'LINEA' then case when {_digits(2)} then 3 + 2 * {_count(2)} end
+ when 'TESTO' then 6L when 'SIMBOLO' then 5L when 'FIDUCIALE' then 7L when 'EOF' then 1L end"""
 
 #: The walk over marker lines in order. A marker inside a record is rejected, one right at the record's end begins the next,
 #: one behind it means that the line at the end is no marker. Rejected places are few, so collecting those keeps it linear.
@@ -88,7 +107,9 @@ def parse_sheets(files: DataFrame) -> DataFrame:
         c -> c.p >= 3 and c.m in ('BORDO', 'TESTO', 'SIMBOLO', 'FIDUCIALE', 'LINEA', 'EOF')),
         c -> named_struct('p', c.p, 'm', c.m, 'len', cast({_LENGTH} as int)))""")
     walked = named.withColumn("marks", marks).withColumn("walk", F.expr(_WALK))
-    kept = F.expr("filter(marks, c -> c.m <> 'EOF' and c.p < walk.next and (walk.eof < 0 or c.p < walk.eof) and not array_contains(walk.rejected, c.p))")
+    # places are numbers, so that the rejected ones are taken out by hash and not by search
+    places = "array_except(transform(filter(marks, c -> c.m <> 'EOF' and c.p < walk.next and (walk.eof < 0 or c.p < walk.eof)), c -> c.p), walk.rejected)"
+    kept = F.expr(f"transform(transform({places}, p -> named_struct('p', p, 'm', rtrim('\\\\', get(lines, p)))), c -> named_struct('p', c.p, 'm', c.m, 'len', cast({_LENGTH} as int)))")
     size = F.size("lines")
     unknown = F.when(F.col("walk.broken") >= 0, F.col("walk.broken")).when((F.col("walk.eof") < 0) & (F.col("walk.bad") < 0) & (F.col("walk.next") < size), F.col("walk.next"))
     walked = walked.withColumn("marks", kept).withColumn("unknown", unknown)
@@ -135,9 +156,9 @@ def of_kind(objects_: DataFrame, kind: str) -> DataFrame:
     return rows.select(*keys, *columns)
 
 
-def vertices(start: Column, n: Column) -> Column:
-    """Pairs (x, y) from the column fields, n of them from a place on; none if n isn't positive."""
-    pairs = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.struct(F.get("fields", start + 2 * i).alias("x"), F.get("fields", start + 2 * i + 1).alias("y")))
+def vertices(start: Column, n: Column, fields: Column | str = "fields") -> Column:
+    """Pairs (x, y) from a list of fields, n of them from a place on; none if n isn't positive."""
+    pairs = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.struct(F.get(fields, start + 2 * i).alias("x"), F.get(fields, start + 2 * i + 1).alias("y")))
     return F.when(n > 0, pairs).otherwise(F.array().cast("array<struct<x:string,y:string>>"))
 
 
@@ -177,5 +198,25 @@ def regrouped(objects_: DataFrame) -> DataFrame:
 
 
 def exported(sheets: DataFrame) -> DataFrame:
-    """A sheet's header and names under their exported names, as JSON."""
-    return sheets.select("codice_foglio", F.to_json(F.struct(*[F.col(c).alias(a) for c, a in ALIASES.items()])).alias("json"))
+    """(codice_foglio, sheet): codes, header and objects by kind of each sheet that is ok, under their exported names.
+
+    An object has its named fields; borders and lines have their vertices, borders their islands too. to_json(sheet) is the document.
+    """
+
+    def named(o: Column, kind: str) -> Column:
+        fields = o["fields"]
+        out = [F.get(fields, F.lit(i)).alias(n) for i, n in enumerate(FIELDS[kind])]
+        if kind == "BORDO":
+            n = F.greatest(F.lit(0), safe_int(F.get(fields, F.lit(7))))
+            out += [F.slice(fields, F.lit(10), n).alias("isole"), vertices(F.lit(9) + n, safe_int(F.get(fields, F.lit(8))), fields).alias("vertici")]
+        if kind == "LINEA":
+            out.append(vertices(F.lit(2), safe_int(F.get(fields, F.lit(1))), fields).alias("vertici"))
+        return F.struct(*out)
+
+    def all_of(kind: str) -> Column:
+        return F.transform(F.filter("objects", lambda o: o["kind"] == kind), lambda o: named(o, kind)).alias(kind)
+
+    of = [all_of(k) for k in FIELDS]
+    codes = [F.col(c).alias(a) for c, a in ALIASES.items()]
+    header = F.struct(*[F.col(c).alias(a) for c, a in HEADER_ALIASES.items()]).alias("header")
+    return sheets.where("status = 'ok'").select("codice_foglio", F.struct(*codes, header, F.struct(*of, F.array().cast("array<string>").alias("EOF")).alias("oggetti")).alias("sheet"))

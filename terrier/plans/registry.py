@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,11 +67,50 @@ _ARCHIVE = f"concat('z', doc_id // {tb.DOCUMENTS_PER_ARCHIVE}, '.zip')"
 @query(
     f"""with d as (select {_ARCHIVE} as archive, doc_id, octet_length(encode(coalesce(text, ''))) as n from documents)
     select archive, concat('texts/d', doc_id, '.txt') as member, n::bigint as n_bytes from d
-    union all select archive, 'inner.zip/last.txt', arg_max(n, doc_id)::bigint from d group by archive"""
+    union all select archive, 'inner.zip/last.txt', arg_max(n, doc_id)::bigint from d group by archive
+    union all select distinct archive, 'broken.zip (unreadable)', 10::bigint from d"""
 )
 def archive_members(spark, sf_dir):
     members = files.expand_archives(tb.render_archives(spark, sf_dir))
-    return members.where("error is null").select("archive", "member", F.octet_length("content").cast("long").alias("n_bytes"))
+    name = F.when(F.col("error").isNull(), F.col("member")).otherwise(F.concat("member", F.lit(" (unreadable)")))
+    return members.select("archive", name.alias("member"), F.octet_length("content").cast("long").alias("n_bytes"))
+
+
+_PACKED = f"""with d as (select {_ARCHIVE} as archive, case doc_id % 4 when 0 then concat('d', doc_id, '.FAB') when 1 then concat('d', doc_id, '.cxf') when 2 then concat('same', doc_id % 3, '.TIF') else concat('d', doc_id) end as member,
+    doc_id, coalesce(text, '') as text from documents)"""
+
+
+@query(_PACKED + " select archive, member, case doc_id % 4 when 0 then 'register' when 1 then 'map' else 'other' end as family, md5(text) as digest from d where doc_id % 4 < 2 union all select archive, member, 'other', md5(max(text)) from d where doc_id % 4 = 2 group by archive, member")
+def packed_and_stored(spark, sf_dir):
+    """Files with a suffix are packed, expanded, stored by family and read back. Of equal names the last stays; the packer orders them by content."""
+    name = F.expr("case doc_id % 4 when 0 then concat('d', doc_id, '.FAB') when 1 then concat('d', doc_id, '.cxf') when 2 then concat('same', doc_id % 3, '.TIF') else concat('d', doc_id) end")
+    docs = tb.table(spark, sf_dir, "documents").select(F.expr(f"concat('z', doc_id div {tb.DOCUMENTS_PER_ARCHIVE}, '.zip')").alias("archive"), name.alias("filename"), F.coalesce("text", F.lit("")).alias("text"))
+    path = tb.scratch(spark, "members")
+    packed = files.pack_archives(docs.select("archive", "filename", F.col("text").cast("binary").alias("content")))
+    sinks.store_members(files.expand_archives(packed), path)
+    return spark.read.parquet(path).select("archive", "member", "family", F.md5("content").alias("digest"))
+
+
+_SOURCE_LINES = "select coalesce(source, 'none') as source, concat(doc_id, ' ', md5(coalesce(text, ''))) as line, doc_id from documents"
+
+
+@query(f"select '.txt' as filetype, length(string_agg(line, chr(10) order by doc_id)) + 1 as n_chars, md5(string_agg(line, chr(10) order by doc_id) || chr(10)) as digest from ({_SOURCE_LINES}) group by source")
+def whole_files(spark, sf_dir):
+    """A text file for each source is written to the shared folder and read back whole."""
+    docs = tb.table(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("none")).alias("source"), F.concat_ws(" ", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))).alias("line"), "doc_id")
+    path = tb.scratch(spark, "files")
+    docs.repartition("source").sortWithinPartitions("source", "doc_id").select("source", F.col("line").alias("value")).write.partitionBy("source").text(path)
+    found = files.read_files(spark, path, "*.txt", recursive=True)
+    return found.select("filetype", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("digest"))
+
+
+@query("select doc_id, md5(translate(text, '{a}', '{p}')) as digest from documents where text is not null".format(a=scalars.ACCENTED, p=scalars.PLAIN))
+def legacy_accents(spark, sf_dir):
+    """Accents come out alike from bytes of UTF-8 and, where all letters exist there, of the older encoding."""
+    docs = tb.table(spark, sf_dir, "documents").where("text is not null")
+    old = (F.col("doc_id") % 2 == 0) & ~F.col("text").rlike(r"[^\x{0}-\x{ff}]")
+    sent = docs.select("doc_id", F.when(old, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8")).alias("bytes"))
+    return sent.select("doc_id", F.md5(scalars.fold_accents(scalars.legacy_text("bytes"))).alias("digest"))
 
 
 @query(f"select {_ARCHIVE} as archive, concat('m', doc_id % 7) as member, max(doc_id) as last_doc, arg_max(md5(coalesce(text, '')), doc_id) as digest from documents group by 1, 2")
@@ -242,12 +282,23 @@ def sheet_regrouped(spark, sf_dir):
     return nested.select("codice_foglio", *[F.size(k.lower()).alias(f"n_{k.lower()}") for k in sheets.FIELDS], F.get(F.try_element_at("fiduciale", F.lit(1))["fields"], F.lit(0)).alias("first_fiducial"))
 
 
-@query(
-    _SHEETS
-    + f"""select distinct name as codice_foglio, concat('{{"MAPPA":"', {tb.MAPPA}, '","NOME MAPPA":"', name, '","SCALA ORIGINARIA":"', {tb.SCALE}, '","CODICE FOGLIO":"', name, '","CODICE COMUNE":"', substr(name, 1, 4), '"}}') as json from rec"""
-)
+_HEAD_JSON = f"""concat('{{"CODICE_FOGLIO":"', name, '","CODICE_COMUNE":"', substr(name, 1, 4), '","CODICE SEZIONE CENSUARIA":"', substr(name, 5, 1), '","CODICE NUMERO FOGLIO":"', substr(name, 6, 4), '","NUMERO FOGLIO":"', ltrim(substr(name, 6, 4), '0'),
+    '","CODICE ALLEGATO":"', substr(name, 10, 1), '","CODICE SVILUPPO":"', substr(name, 11, 1), '","header":{{"MAPPA":"', {tb.MAPPA}, '","NOME MAPPA":"', name, '","SCALA ORIGINARIA":"', {tb.SCALE}, '"}}}}')"""
+
+
+def _objects_json(kind: str) -> str:
+    fields = ", '\",\"', ".join(f"'{n}\":\"', {e}" for e, n in zip(tb.OBJECT_FIELDS[kind], sheets.FIELDS[kind], strict=True)).replace("', '", "")
+    return f"coalesce('[' || string_agg(concat('{{\"', {fields}, '\"}}'), ',' order by record_no) filter (where kind = '{kind}') || ']', '[]') as {kind.lower()}"
+
+
+@query(_SHEETS + f"select name as codice_foglio, {_HEAD_JSON} as head, {', '.join(_objects_json(k) for k in ('TESTO', 'SIMBOLO', 'FIDUCIALE'))}, coalesce(sum(n) filter (where kind in ('BORDO', 'LINEA')), 0)::bigint as n_vertices, count(*) filter (where kind = 'BORDO' and isle > 0) as n_islands from rec group by name, s")
 def sheet_exports(spark, sf_dir):
-    return sheets.exported(_parsed(spark, sf_dir))
+    out = sheets.exported(_parsed(spark, sf_dir))
+    objects_ = F.col("sheet.oggetti")
+    sizes = F.aggregate(F.concat(F.transform(objects_["BORDO"], lambda o: F.size(o["vertici"])), F.transform(objects_["LINEA"], lambda o: F.size(o["vertici"]))), F.lit(0).cast("long"), lambda a, x: a + x)
+    islands = F.aggregate(F.transform(objects_["BORDO"], lambda o: F.size(o["isole"])), F.lit(0).cast("long"), lambda a, x: a + x)
+    lists = [F.to_json(objects_[k]).alias(k.lower()) for k in ("TESTO", "SIMBOLO", "FIDUCIALE")]
+    return out.select("codice_foglio", F.to_json(F.col("sheet").dropFields("oggetti")).alias("head"), *lists, sizes.alias("n_vertices"), islands.alias("n_islands"))
 
 
 @query(
@@ -361,21 +412,43 @@ def owner_units(spark, sf_dir):
     return links.owned_units(*[_target(spark, sf_dir, t) for t in ("cttitola", "cuarcuiu", "ctpartic")])
 
 
-_COUNTED = {"FABBRICATI": "cuarcuiu", "TERRENI": "ctpartic", "TITOLARITA": "cttitola"}
+_REGISTER_LINES = (
+    "with u as ("
+    + " union all ".join(
+        f"select '{census.REGISTERS[r]}' as register, {tb.raw_field(r, t, 'codice_ammvo')} as codice, {tb.raw_field(r, t, 'sezione')} as sezione from (select {k} as k, {g} as g from {source})"
+        for (r, t), (source, k, g) in tb.LINE_SOURCES.items()
+    )
+    + ") "
+)
+
+
+def _all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [tb.register_lines(spark, sf_dir, r) for r in census.REGISTERS]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
-@query(_with(*_COUNTED.values()) + " union all ".join(f"select '{r}' as register, count(*) as n from {t}" for r, t in _COUNTED.items()))
+@query(_REGISTER_LINES + "select register, count(*) as n from u group by 1")
 def register_buckets(spark, sf_dir):
-    return links.register_counts({r: _target(spark, sf_dir, t) for r, t in _COUNTED.items()})
+    return links.register_counts(_all_lines(spark, sf_dir))
 
 
-@query(
-    _with(*_COUNTED.values())
-    + ", u as ("
-    + " union all ".join(f"select codice, sezione, '{r}' as register from {t}" for r, t in _COUNTED.items())
-    + ") select codice, sezione, "
-    + ", ".join(f"""nullif(count(*) filter (where register = '{r}'), 0) as "{r}\"""" for r in _COUNTED)
-    + " from u group by 1, 2"
-)
+@query(_REGISTER_LINES + "select codice, sezione, " + ", ".join(f"""nullif(count(*) filter (where register = '{r}'), 0) as "{r}\"""" for r in census.REGISTERS.values()) + " from u group by 1, 2")
 def census_by_municipality(spark, sf_dir):
-    return links.census_by_municipality({r: _target(spark, sf_dir, t) for r, t in _COUNTED.items()})
+    return links.census_by_municipality(_all_lines(spark, sf_dir))
+
+
+@query(tb.expected_table("ctfisica"))
+def targets_stored(spark, sf_dir):
+    """A target table stored by municipality and read back."""
+    path = tb.scratch(spark, "targets")
+    made = _target(spark, sf_dir, "ctfisica")
+    sinks.store_targets({"ctfisica": made}, path, files_per_municipality=2)
+    return spark.read.schema(made.schema).parquet(f"{path}/ctfisica").select(*made.columns)
+
+
+@query(_REGISTER_LINES + "select register, codice, count(*) as n from u group by 1, 2")
+def registers_stored(spark, sf_dir):
+    """All registers stored, each in its own folder, and read back."""
+    path = tb.scratch(spark, "registers")
+    sinks.store_registers({name: tb.register_lines(spark, sf_dir, kind).select("value") for kind, name in census.REGISTERS.items()}, path)
+    return spark.read.parquet(path).groupBy("register", F.substring_index("value", "|", 1).alias("codice")).agg(F.count("*").alias("n"))

@@ -7,7 +7,10 @@ from the same rules.
 from __future__ import annotations
 
 import io
+import tempfile
+import uuid
 import zipfile
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +57,36 @@ FAULTS = [
 ]
 
 
+#: What is rendered already, by application and key: where it lies.
+_RENDERED: dict[tuple, str] = {}
+
+
+def _rendered(spark: SparkSession, key: tuple, make: Callable[[], DataFrame]) -> DataFrame:
+    """The same rows from the shared folder, rendered once an application: jobs read their inputs as files, as they would elsewhere."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _RENDERED:
+        path = scratch(spark, "rendered")
+        make().write.parquet(path)
+        _RENDERED[key] = path
+    return spark.read.parquet(_RENDERED[key])
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the cluster's shared one; on one machine without such a setting, in a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="terrier-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def render_sheets(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
+    """Sheets as files: see _sheets()."""
+    return _rendered(spark, ("sheets", sf_dir, faults), lambda: _sheets(spark, sf_dir, faults))
+
+
+def _sheets(spark: SparkSession, sf_dir: str, faults: bool) -> DataFrame:
     """(filename, filetype, content): an object for each order, ORDERS_PER_SHEET to a sheet, with the order's lines as vertices."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity").alias("l"))
     lines = lines.groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_list("l")).alias("l"))
@@ -87,6 +119,7 @@ def render_sheets(spark: SparkSession, sf_dir: str, faults: bool = False) -> Dat
 #: Row source of each register's lines: table, key k and municipality key g.
 LINE_SOURCES = {
     ("FAB", "1"): ("part", "p_partkey", "p_partkey"),
+    ("FAB", "2"): ("supplier", "s_suppkey", "s_suppkey"),
     ("FAB", "3"): ("supplier", "s_suppkey", "s_suppkey"),
     ("FAB", "4"): ("part", "p_partkey", "p_partkey"),
     ("FAB", "5"): ("orders", "o_orderkey", "o_orderkey"),
@@ -142,7 +175,11 @@ def render_lines(spark: SparkSession, sf_dir: str, register: str, record_type: s
 
 
 def register_lines(spark: SparkSession, sf_dir: str, register: str) -> DataFrame:
-    """All lines of a register, its record types mixed."""
+    """All lines of a register, its record types mixed, from files."""
+    return _rendered(spark, ("lines", sf_dir, register), lambda: _lines(spark, sf_dir, register))
+
+
+def _lines(spark: SparkSession, sf_dir: str, register: str) -> DataFrame:
     parts = [render_lines(spark, sf_dir, r, t) for r, t in LINE_SOURCES if r == register]
     out = parts[0]
     for p in parts[1:]:
@@ -176,7 +213,15 @@ def expected_table(name: str) -> str:
 
 
 def render_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(archive, content): zips of at most DOCUMENTS_PER_ARCHIVE documents each; every document is a member of its own and overwrites last.txt."""
+    """Archives as files: see _archives()."""
+    return _rendered(spark, ("archives", sf_dir), lambda: _archives(spark, sf_dir))
+
+
+def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(archive, content): zips of at most DOCUMENTS_PER_ARCHIVE documents each; every document is a member of its own and overwrites last.txt.
+
+    Before the nested archive stands one that is broken.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.expr(f"concat('z', doc_id div {DOCUMENTS_PER_ARCHIVE}, '.zip')").alias("archive"))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
@@ -189,6 +234,7 @@ def render_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
             inner = io.BytesIO()
             with zipfile.ZipFile(inner, "w") as y:
                 y.writestr("last.txt", (group["text"].iloc[-1] or ""))
+            z.writestr("broken.zip", b"no archive")
             z.writestr("inner.zip", inner.getvalue())
         return pd.DataFrame({"archive": [group["archive"].iloc[0]], "content": [held.getvalue()]})
 

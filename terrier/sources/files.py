@@ -3,25 +3,37 @@
 from __future__ import annotations
 
 import io
+import struct
+import warnings
 import zipfile
+import zlib
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terrier.functions.scalars import legacy_text
+
 # File types that are admitted, and where each type goes.
 ADMITTED = ("FAB", "SOG", "TIT", "TER", "CXF", "CTF")
 ROUTES = {"sheet": ("CXF", "CTF"), "unsupported": ("SUP",), "census": ("FAB", "TER", "SOG", "TIT")}
 
 
-def read_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """(filename, filetype, content): a row for each file of a path, its whole text and its suffix. Local folders, HDFS and s3a:// alike: endpoints and keys are Hadoop settings of the session. Folders are never read as files; a path that doesn't exist is an error."""
-    reader = spark.read
+def read_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False, encoding: str | None = "UTF-8") -> DataFrame:
+    """(filename, filetype, content): a row for each file of a path, its whole text and its suffix. Local folders, HDFS and s3a:// alike: endpoints and keys are Hadoop settings of the session. Folders are never read as files; a path that doesn't exist is an error.
+
+    encoding: of the files' bytes; None takes each file as UTF-8 if it is that, and as ISO-8859-1 otherwise.
+    """
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.option("recursiveFileLookup", str(recursive).lower()).text(path, wholetext=True)
-    return with_type(files.select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("content")))
+    name = F.col("_metadata.file_name").alias("filename")
+    if encoding == "UTF-8":
+        return with_type(reader.text(path, wholetext=True).select(name, F.col("value").alias("content")))
+    files = reader.format("binaryFile").load(path)
+    text = legacy_text("content") if encoding is None else F.decode("content", encoding)
+    return with_type(files.select(name, text.alias("content")))
 
 
 def suffix(name: Column | str) -> Column:
@@ -63,39 +75,91 @@ def family(name: Column | str) -> Column:
     )
 
 
-def _members(archive: str, content: bytes, first: int, depth: int) -> Iterator[tuple[str, int, str, bytes]]:
+#: Members are passed on in batches of about so many bytes.
+BATCH_BYTES = 16 << 20
+#: What reading a damaged, encrypted or unusual member may raise.
+_UNREADABLE = (zipfile.BadZipFile, RuntimeError, NotImplementedError, zlib.error, EOFError, OSError, ValueError, struct.error)
+
+
+def _members(content: bytes, depth: int, prefix: str = "") -> Iterator[tuple[str, bytes | None, str | None]]:
+    """(member, content, error) in order. A member that can't be read has only its error; a nested archive that can't be opened is a plain member with one."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         for info in z.infolist():
             if info.is_dir():
                 continue
-            data = z.read(info)
-            if depth and info.filename.lower().endswith(".zip"):
-                inner = list(_members(archive, data, first, depth - 1))
-                for name, no, member, body in inner:
-                    yield name, no, f"{info.filename}/{member}", body
-                first += len(inner)
-            else:
-                yield archive, first, info.filename, data
-                first += 1
+            name = prefix + info.filename
+            try:
+                data = z.read(info)
+            except _UNREADABLE as e:
+                yield name, None, f"{type(e).__name__}: {e}"
+                continue
+            if depth and name.lower().endswith(".zip"):
+                try:
+                    zipfile.ZipFile(io.BytesIO(data)).close()
+                except _UNREADABLE as e:
+                    yield name, data, f"{type(e).__name__}: {e}"
+                else:
+                    yield from _members(data, depth - 1, name + "/")
+                continue
+            yield name, data, None
 
 
 def expand_archives(archives: DataFrame, nested: int = 1) -> DataFrame:
     """(archive, member_no, member, content, error) of archives(archive, content binary): members in order, nested archives opened to that depth.
 
-    One member is held at a time. Bytes that are no archive give a row with only the error.
+    Members are passed on in batches of bounded bytes. Bytes that are no archive, null among them, give a row with only the
+    error; a member that can't be read (damaged, encrypted) a row with its name and error; all others of the archive come.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["archive", "member_no", "member", "content", "error"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string())
+            return pa.record_batch([pa.array(x, k) for x, k in zip(zip(*held, strict=True), kinds, strict=True)], ["archive", "member_no", "member", "content", "error"])
+
         for batch in batches:
-            for archive, content in zip(batch["archive"], batch["content"], strict=True):
+            for k in range(batch.num_rows):
+                archive = batch.column(0)[k].as_py()
                 try:
-                    for row in _members(archive, bytes(content or b""), 0, nested):
-                        yield pd.DataFrame([(*row, None)], columns=names)
-                except zipfile.BadZipFile as e:
-                    yield pd.DataFrame([(archive, None, None, None, str(e))], columns=names).astype({"member_no": "Int64"})
+                    for no, (member, data, error) in enumerate(_members(batch.column(1)[k].as_py() or b"", nested)):
+                        held.append((archive, no, member, data, error))
+                        size += len(data or b"")
+                        if size > BATCH_BYTES or len(held) >= 10_000:
+                            yield out()
+                            held, size = [], 0
+                except _UNREADABLE as e:
+                    held.append((archive, None, None, None, f"{type(e).__name__}: {e}"))
+        if held:
+            yield out()
+
+    return archives.select("archive", "content").mapInArrow(run, "archive string, member_no long, member string, content binary, error string")
 
-    return archives.select("archive", "content").mapInPandas(run, "archive string, member_no long, member string, content binary, error string")
+
+def pack_archives(files: DataFrame, most_bytes: int = 256 << 20) -> DataFrame:
+    """(archive, content): zips of files(archive, filename, content binary) that have a suffix, members in order of their names.
+
+    An archive of more than most_bytes is packed in parts (x.zip, x-1.zip, ...), so that no task holds more than one part and
+    one file. Null contents are empty; names that occur twice come twice; files without a suffix are left out.
+    """
+    named = files.where(suffix("filename") != "").select("archive", "filename", F.coalesce("content", F.lit("").cast("binary")).alias("content"))
+    size = F.sum(F.octet_length("content").cast("long")).over(Window.partitionBy("archive").orderBy("filename", F.xxhash64("content")).rowsBetween(Window.unboundedPreceding, -1))
+    parted = named.withColumn("part", F.floor(F.coalesce(size, F.lit(0)) / most_bytes))
+
+    def pack(key: tuple, group: pa.Table) -> pa.Table:
+        archive, part = key[0].as_py(), key[1].as_py()
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z, warnings.catch_warnings():
+            warnings.simplefilter("ignore")  # repeated names are meant
+            for name, content in sorted(zip(group["filename"].to_pylist(), group["content"].to_pylist(), strict=True)):
+                z.writestr(zipfile.ZipInfo(name), content, zipfile.ZIP_DEFLATED)
+        if part:
+            stem, dot, end = archive.rpartition(".")
+            archive = f"{stem}-{part}{dot}{end}" if dot else f"{archive}-{part}"
+        return pa.table({"archive": [archive], "content": pa.array([held.getvalue()], pa.binary())})
+
+    return parted.groupBy("archive", "part").applyInArrow(pack, "archive string, content binary")
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:

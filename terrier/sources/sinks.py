@@ -11,9 +11,10 @@ from terrier.sources.files import family
 def last_members(members: DataFrame) -> DataFrame:
     """One row for each (archive, member): the last entry wins, as when files are extracted over each other.
 
-    Only keys are aggregated; contents meet the winners in a semi-join, so no window carries bytes.
+    Only keys are aggregated; contents meet the winners in a semi-join, so no window carries bytes. Members that could not be
+    read are left out.
     """
-    rows = members.where("member is not null")
+    rows = members.where("member is not null and content is not null")
     last = rows.groupBy("archive", "member").agg(F.max("member_no").alias("member_no"))
     return rows.join(last, ["archive", "member", "member_no"], "left_semi")
 

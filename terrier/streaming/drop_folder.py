@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from terrier.operators.sheets import parse_sheets
-from terrier.sources.files import with_type
+from terrier.operators.sheets import parse_sheets, split_lines
+from terrier.sources.files import extension, family, with_type
+
+#: Suffixes in any case of letters.
+SHEETS = "*.[cC][xXtT][fF]"
+REGISTERS = "*.{[fF][aA][bB],[tT][eE][rR],[sS][oO][gG],[tT][iI][tT]}"
 
 
 def arriving(spark: SparkSession, folder: str, glob: str = "*", archive: str | None = None, max_files: int = 1000) -> DataFrame:
@@ -19,7 +23,28 @@ def arriving(spark: SparkSession, folder: str, glob: str = "*", archive: str | N
     return with_type(files.select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("content")))
 
 
-def run_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob: str = "*.C[TX]F", archive: str | None = None) -> StreamingQuery:
-    """Parse what has arrived since the last run, and stop. The checkpoint is the ledger of handled files; sheets are written as Parquet."""
-    sheets = parse_sheets(arriving(spark, folder, glob, archive))
-    return sheets.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _once(rows: DataFrame, out: str, checkpoint: str, by: str | None = None) -> StreamingQuery:
+    writer = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return (writer.partitionBy(by) if by else writer).start()
+
+
+def run_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob: str = SHEETS, archive: str | None = None) -> StreamingQuery:
+    """Parse what map sheets have arrived since the last run, and stop. The checkpoint is the ledger of handled files; sheets are written as Parquet."""
+    return _once(parse_sheets(arriving(spark, folder, glob, archive)), out, checkpoint)
+
+
+def run_registers_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob: str = REGISTERS, archive: str | None = None) -> StreamingQuery:
+    """The lines of register files that have arrived since the last run: (filename, line_no, value), in a folder for each register."""
+    files = arriving(spark, folder, glob, archive)
+    lines = files.select(extension("filetype").alias("register"), "filename", F.posexplode(split_lines("content")).alias("line_no", "value"))
+    return _once(lines, out, checkpoint, "register")
+
+
+def run_drawings_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob: str = "*", archive: str | None = None) -> StreamingQuery:
+    """Files of any other kind (drawings and scans with their indexes) that have arrived: (filename, content), in a folder for each family."""
+    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    files = reader.schema("path string, modificationTime timestamp, length long, content binary").load(folder)
+    named = files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("filename"), "content").withColumn("family", family("filename"))
+    return _once(named.where(~F.col("family").isin("map", "register")), out, checkpoint, "family")

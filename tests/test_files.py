@@ -38,6 +38,48 @@ def test_archives(spark, tmp_path):
     assert {r.family for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"register", "other"}
 
 
+def test_archives_with_unreadable_members(spark):
+    """A broken or nested zip, an encrypted member and a damaged one cost themselves only."""
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        z.writestr("a.FAB", "first")
+        z.writestr("broken.zip", b"PK no archive")
+        z.writestr("hurt.TER", "to be damaged " * 20)
+        z.writestr("secret.TIT", "encrypted")
+        z.writestr("b.FAB", "last")
+    raw = bytearray(held.getvalue())
+    raw[raw.index(b"to be damaged") + 3] ^= 1  # its checksum is wrong now
+    flags = raw.index(b"secret.TIT") - 30 + 6, raw.rindex(b"secret.TIT") - 46 + 8
+    for at in flags:
+        raw[at] |= 1  # says that it is encrypted
+    df = spark.createDataFrame([("x.zip", bytes(raw)), ("y.zip", b""), ("z.zip", None)], "archive string, content binary")
+    rows = {(r.archive, r.member): r for r in files.expand_archives(df).collect()}
+    assert {k: (None if r.content is None else bytes(r.content), r.error is None) for k, r in rows.items()} == {
+        ("x.zip", "a.FAB"): (b"first", True),
+        ("x.zip", "broken.zip"): (b"PK no archive", False),
+        ("x.zip", "hurt.TER"): (None, False),
+        ("x.zip", "secret.TIT"): (None, False),
+        ("x.zip", "b.FAB"): (b"last", True),
+        ("y.zip", None): (None, False),
+        ("z.zip", None): (None, False),
+    }
+
+
+def test_pack_archives(spark):
+    rows = [("d.zip", "b.FAB", b"bb"), ("d.zip", "a.TIT", b"a"), ("d.zip", "none", b"x"), ("d.zip", "a.TIT", b"z"), ("e.zip", "n.TER", None), ("d.zip", "c.SOG", b"c" * 50)]
+    df = spark.createDataFrame(rows, "archive string, filename string, content binary")
+    members = sorted((r.archive, r.member_no, r.member, bytes(r.content)) for r in files.expand_archives(files.pack_archives(df, 4)).collect())
+    assert members == [("d-1.zip", 0, "c.SOG", b"c" * 50), ("d.zip", 0, "a.TIT", b"a"), ("d.zip", 1, "a.TIT", b"z"), ("d.zip", 2, "b.FAB", b"bb"), ("e.zip", 0, "n.TER", b"")]
+    assert files.pack_archives(df.limit(0)).count() == 0
+
+
+def test_encodings(spark, tmp_path):
+    (tmp_path / "new.SOG").write_bytes("citt\u00e0".encode())
+    (tmp_path / "old.SOG").write_bytes("citt\u00e0".encode("latin-1"))
+    assert {r.content for r in files.read_files(spark, str(tmp_path), encoding=None).collect()} == {"citt\u00e0"}
+    assert [r.content for r in files.read_files(spark, str(tmp_path), "old*", encoding="ISO-8859-1").collect()] == ["citt\u00e0"]
+
+
 def test_census_rows_of_wrong_length_and_values(spark):
     names = census.layout("SOG", None)
     good = {"codice_ammvo": "L219", "identificativo_soggetto": " 12 ", "tipo_soggetto": "P", "cognome": "ROSSI"}

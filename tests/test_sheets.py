@@ -43,6 +43,9 @@ def test_all_kinds(spark, end):
         ([*HEAD, "LINEA", "1", "2", "8", "9"], None, "truncated", None),
         ([*HEAD, "LINEA", "1", "two", "EOF"], None, "bad_count", "LINEA"),
         ([*HEAD, "LINEA"], None, "truncated", None),
+        ([*HEAD, "LINEA", "1", "2000000000", "EOF"], None, "truncated", None),
+        ([*HEAD, "LINEA", "1", "9" * 30, "EOF"], None, "truncated", None),
+        ([*HEAD, "BORDO", "1", "1", "0", "1", "2", "3", "4", "2000000000", "9223372036854775807", "EOF"], None, "truncated", None),
         ([*HEAD, "BORDO", "", "1", "0", "1", "2", "3", "4", "0", "0", "EOF"], None, "bad_code", "BORDO"),
         (HEAD[:2], None, "short_header", None),
         ([*HEAD, "EOF"], "L219.CTF", "bad_name", None),
@@ -73,8 +76,23 @@ def test_drop_folder_handles_each_file_once(spark, tmp_path):
     drop.mkdir()
     (drop / "L219C034500.CTF").write_bytes("\r\n".join([*HEAD, "TESTO", "a", "1", "2", "3", "4", "EOF"]).encode())
     (drop / "note.txt").write_text("no sheet")
+    (drop / "l219c034700.cxf").write_bytes("\r\n".join([*HEAD, "EOF"]).encode())
     drop_folder.run_once(spark, str(drop), str(out), str(ledger), archive=str(done)).awaitTermination()
     (drop / "L219C034600.CTF").write_bytes("\r\n".join([*HEAD, "EOF"]).encode())
     drop_folder.run_once(spark, str(drop), str(out), str(ledger), archive=str(done)).awaitTermination()
     got = {r.codice_foglio: len(r.objects) for r in spark.read.parquet(str(out)).collect()}
-    assert got == {"L219C034500": 1, "L219C034600": 0}
+    assert got == {"L219C034500": 1, "L219C034600": 0, "L219C034700": 0}
+
+
+def test_drop_folder_of_registers_and_drawings(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    (drop / "a.fab").write_text("L219|A|1\nL219|B|2\n")
+    (drop / "b.TIT").write_text("L219|C|3")
+    (drop / "c_SC.DAT").write_bytes(b"\xff\x00")
+    (drop / "d.CXF").write_text("MAPPA")
+    for _ in range(2):
+        drop_folder.run_registers_once(spark, str(drop), str(tmp_path / "lines"), str(tmp_path / "l1")).awaitTermination()
+        drop_folder.run_drawings_once(spark, str(drop), str(tmp_path / "drawings"), str(tmp_path / "l2")).awaitTermination()
+    assert sorted((r.register, r.line_no, r.value) for r in spark.read.parquet(str(tmp_path / "lines")).collect()) == [("FAB", 0, "L219|A|1"), ("FAB", 1, "L219|B|2"), ("TIT", 0, "L219|C|3")]
+    assert [(r.filename, r.family, bytes(r.content)) for r in spark.read.parquet(str(tmp_path / "drawings")).collect()] == [("c_SC.DAT", "scan", b"\xff\x00")]
