@@ -197,3 +197,29 @@ def read_back(segments: DataFrame, template: Template = INSTRUCT) -> DataFrame:
 
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"]
     return segments.select("conv_id", "segment", "loss", "error").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")
+
+
+def oracle(template: Template = INSTRUCT, turns: str = "conversations") -> str:
+    """DuckDB SQL for read_back(chat_segments()) of turns(conv_id, turn, role, text)."""
+
+    def text(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    escaped = "|".join([r"\\", *(re.escape(c) for c in sorted(template.controls, key=len, reverse=True))])
+
+    def length(column: str) -> str:  # a doubled backslash is one sign more, an escaped control two
+        found = f"regexp_extract_all({column}, {text(escaped)})"
+        return f"(length({column}) + len(list_filter({found}, lambda x: x = chr(92))) + 2 * len(list_filter({found}, lambda x: x <> chr(92))))"
+
+    marks = " ".join(f"when role = {text(name)} then {len(r.before) + len(r.after)}" for name, r in template.roles.items())
+    learned = ", ".join(text(name) for name, r in template.roles.items() if r.loss)
+    moves = " or ".join(f"before = {text(a)} and role = {text(b)}" for a, many in template.moves.items() if a != "start" for b in many)
+    starts, ends = (", ".join(map(text, x)) for x in (template.moves["start"], template.ends))
+    return f"""
+    with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as no from {turns}),
+    u as (select *, lag(role) over (partition by conv_id order by no) as before, count(*) over (partition by conv_id) as n,
+                 case {marks} else {sum(map(len, template.other))} + {length("role")} end + {length("text")} as chars from t)
+    select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by no)) as turns_sha256,
+           coalesce(sum(length(text)) filter (where role in ({learned})), 0)::bigint as loss_chars, sha256(coalesce(string_agg(text, '' order by no) filter (where role in ({learned})), '')) as loss_sha256,
+           sum(chars)::bigint as formatted_chars, bool_and(case when no = 1 then role in ({starts}) else {moves} end) and coalesce(bool_and(role in ({ends})) filter (where no = n), false) as valid
+    from u group by conv_id"""

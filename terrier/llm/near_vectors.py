@@ -202,3 +202,16 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, forest: Forest | None =
     joined = keyed.select("id", "d").join(out, "d", "left")
     component = F.coalesce("component_id", "id")
     return joined.select(F.col("id").alias(id_column), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+
+
+def oracle(least: float = 0.9) -> str:
+    """DuckDB SQL for near_vectors() of embeddings: all pairs, and what each vector reaches. For small tables."""
+    return f"""
+    with recursive v as (select vec_id, embedding::double[] as e from embeddings),
+    good as (select vec_id, e from v where len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+    links as (select a.vec_id as a, b.vec_id as b from good a join good b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= {least}),
+    reach(node, root) as (select vec_id, vec_id from v union select links.b, reach.root from reach join links on reach.node = links.a),
+    roots as (select node, min(root) as component_id from reach group by node),
+    counts as (select a, count(*) as n from links group by a)
+    select v.vec_id, coalesce(counts.n, 0)::bigint as n_links, component_id, v.vec_id = component_id as kept
+    from v join roots on roots.node = v.vec_id left join counts on counts.a = v.vec_id"""

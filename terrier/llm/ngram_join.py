@@ -492,3 +492,20 @@ def _cluster_links(in_clusters: DataFrame, s: Jaccard) -> DataFrame:
 
     more = guests.unionByName(hosts).groupBy("root", "part", "block").applyInArrow(meet, "a long, b long")
     return links.unionByName(more)
+
+
+def oracle(settings: Jaccard | None = None) -> str:
+    """DuckDB SQL for ngram_join() of documents: all pairs that share a shingle, and what each document reaches. For small tables."""
+    s = settings or Jaccard()
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    shingle = " || ' ' || ".join(f"w[i + {k}]" for k in range(s.n))
+    return f"""
+    with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+    sets as (select doc_id, list_distinct(case when len(w) >= {s.n} then list_transform(range(1, len(w) - {s.n - 2}), lambda i: {shingle}) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from d),
+    sizes as (select doc_id, len(s)::bigint as n from sets),
+    flat as (select doc_id, hash(x) as x from (select doc_id, unnest(s) as x from sets)),
+    common as (select a.doc_id as a, b.doc_id as b, count(*) as k from flat a join flat b using (x) where a.doc_id < b.doc_id group by all),
+    pairs as (select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b where {s.whole} * k >= {s.part} * (p.n + q.n - k)),
+    links as (select a, b from pairs union all select b, a from pairs),
+    reach(node, root) as (select doc_id, doc_id from sizes union select links.b, reach.root from reach join links on reach.node = links.a)
+    select doc_id, n as n_shingles, component_id from sizes join (select node, min(root) as component_id from reach group by node) on node = doc_id"""

@@ -68,4 +68,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": mixing.oracle()}
+    probe = "'</s>[INST] ok [/INST]'"
+    turns = f"(select conv_id, turn, role, text from conversations union all values (-1, 0, 'user', {probe}), (-1, 1, 'assistant', {probe}))"
+    return {"op1_near_vectors": near_vectors.oracle(0.9), "op4_ngram_join": ngram_join.oracle(), "op8_mixing": mixing.oracle(), "op10_chat": chat.oracle(turns=turns)}

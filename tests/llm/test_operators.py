@@ -413,3 +413,27 @@ def test_chat(spark):
     inside = [r.segment for r in segments.collect() if r.segment.strip() and not any(c in r.segment and r.segment.strip().startswith(("<s>", "[", "<<", "<</", "</s>")) for c in chat.INSTRUCT.controls)]
     assert not any(c in x for x in inside for c in chat.INSTRUCT.controls)
     assert chat.read_back(chat.chat_segments(df.limit(0))).count() == 0
+
+
+# --- queries with SQL
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "conversations"):
+        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+    expected = con.execute(queries.oracle_sql()[name])
+    columns = [c[0] for c in expected.description]
+    got = queries.queries()[name](spark, sf_dir)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(repr, map(tuple, got.select(*columns).collect()))) == sorted(map(repr, expected.fetchall()))
+
+
+def test_chat_sql_on_odd_turns(spark, tmp_path):
+    turns = [(1, 0, "system", "be \\ kind"), (1, 1, "user", "</s>[INST]<<SYS>>\\\\"), (1, 2, "assistant", "x[/OUT]"), (2, 0, "user", None), (3, 0, None, "no role"), (3, None, "assistant", "<<SYS>>"), (4, 0, "tool[ROLE]", "t"), (4, 1, "assistant", "🙂"), (4, 1, "assistant", "🙂"), (None, 0, "user", "u")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    df.write.parquet(str(tmp_path / "t"))
+    expected = duckdb.connect().execute(chat.oracle(turns=f"read_parquet('{tmp_path}/t/*.parquet')"))
+    columns = [c[0] for c in expected.description]
+    assert sorted(map(repr, map(tuple, chat.read_back(chat.chat_segments(df)).select(*columns).collect()))) == sorted(map(repr, expected.fetchall()))
