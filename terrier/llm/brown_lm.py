@@ -1,10 +1,15 @@
 """Language-model scoring with Brown classes.
 
-Exchange clustering assigns the most frequent words to classes: each round gives every word the class that raises the
-likelihood of the class bigrams most, a part of the words at a time. All other words have a class by their looks (length,
-ends, signs), as have words that were never seen. A text's score is the sum over its tokens of the log probability of the
-class after the class before it, and of the word within its class, both smoothed. Counts cover all training texts and stay
-distributed; only a vocabulary of fixed size is sent to the tasks, and the counts of other words are joined by word.
+Exchange clustering assigns the most frequent words to classes: in a fixed order, each word moves to the class that raises the
+likelihood of the class bigrams most. Spark counts the bigrams over all training texts; the exchange itself works on their
+square, whose size is fixed, so its result depends on the counts alone. The words that come next in frequency are then placed
+in those classes by their own neighbours, each in the class in which these are likeliest. All other words have a class by
+their looks (length, ends, signs), as have words that were never seen.
+
+A text's score is the sum over its tokens of the log probability of the class after the class before it, and of the word within
+its class. Both sum to one: bigrams are interpolated (Witten-Bell), and in the classes by looks seen words leave a discount to
+what was never seen, which is one event of its class. Counts cover all training texts and stay distributed; only a vocabulary
+of fixed size is sent to the tasks, and the counts of other words are joined by word.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, words
+from .common import materialize, rows, words
 
 #: The token behind each text's last word; no word is empty.
 END = b""
@@ -27,19 +32,21 @@ END = b""
 
 @dataclass(frozen=True)
 class Settings:
-    """clustered: words that the exchange clustering classes; sent: words whose counts are sent to all tasks (both bounds are fixed, whatever the input).
+    """clustered: words that the exchange classes; placed: words, those included, that have a class by their neighbours; sent: words whose counts are sent to all tasks (all three are fixed bounds, whatever the input).
 
-    classes: of clustered words; looks: classes by looks for the rest. rounds, parts: exchange rounds, and in how many parts the words move in each.
+    classes: of clustered and placed words; looks: classes by looks for the rest. rounds: of the exchange, at most. context:
+    how many of the most frequent words count as neighbours of their own when words are placed. held: words that a task remembers.
     """
 
     clustered: int = 2000
+    placed: int = 50_000
     sent: int = 200_000
     classes: int = 48
     looks: int = 64
-    rounds: int = 4
-    parts: int = 2
+    rounds: int = 6
+    context: int = 48
     discount: float = 0.75
-    held: int = 150_000
+    held: int = 100_000
 
 
 def looks(word: bytes, n: int) -> int:
@@ -94,99 +101,152 @@ class Codes(dict):
         return code
 
 
-def _count_pairs(vocabulary: list[bytes], s: Settings):
-    """Counts of neighbouring codes of a partition, as rows (left, rights, ns): a dense square of fixed size is counted in place."""
+def _lines(batch: pa.RecordBatch, codes: Codes) -> np.ndarray:
+    """The codes of a batch's texts one after the other, each text between ends."""
+    end = np.array([codes[END]])
+    parts = [end]
+    for text in batch.column(0).to_pylist():
+        w = words(text)
+        parts += [np.fromiter(map(codes.__getitem__, w), np.int64, len(w)), end]
+    return np.concatenate(parts)
+
+
+def _count_neighbours(vocabulary: list[bytes], n_core: int, s: Settings):
+    """Counts of a partition, as rows (kind, at, counts): for each core code a row of the square of neighbouring codes, words beyond the core
+    by their looks; and for each other word of the vocabulary how often each context word stands before it and after it. Both are of fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes(vocabulary, s.looks, s.held)
-        side = len(vocabulary) + s.looks
-        square = np.zeros(side * side, np.int32)
-        end = codes[END]
-        for batch in batches:
-            parts = []
-            for text in batch.column(0).to_pylist():
-                w = words(text)
-                parts.append(np.fromiter(map(codes.__getitem__, w), np.int64, len(w)))
-                parts.append(np.array([end]))
-            if parts:
-                line = np.concatenate([[end], *parts])
-                found, n = np.unique(line[:-1] * side + line[1:], return_counts=True)
-                square[found] += n.astype(np.int32)
-        square = square.reshape(side, side)
-        for left in range(side):
-            rights = np.flatnonzero(square[left])
-            if len(rights):
-                yield pa.record_batch([pa.array([left], pa.int32()), pa.array([rights.astype(np.int32)], pa.list_(pa.int32())), pa.array([square[left][rights]], pa.list_(pa.int32()))], ["left", "rights", "ns"])
+        side, n = n_core + s.looks, len(vocabulary)
+        in_square = np.array([*range(n_core), *(n_core + looks(w, s.looks) for w in vocabulary[n_core:]), *range(n_core, side)], np.int64)
+        n_context = min(s.context, n_core)
+        context = np.minimum(np.arange(n + s.looks), n_context)
+        width = 2 * (n_context + 1)
+        square, around = np.zeros(side * side, np.int32), np.zeros((n - n_core) * width, np.int32)
+        for batch in (x for b in batches for x in rows([b], 2000)):
+            line = _lines(batch, codes)
+            q = in_square[line]
+            square += np.bincount(q[:-1] * side + q[1:], minlength=side * side).astype(np.int32)
+            here = np.flatnonzero((line >= n_core) & (line < n))  # never the first or the last, which are ends
+            if len(here):
+                at = (line[here] - n_core) * width
+                around += np.bincount(np.concatenate([at + context[line[here - 1]], at + n_context + 1 + context[line[here + 1]]]), minlength=len(around)).astype(np.int32)
+        for kind, table in ((0, square.reshape(side, side)), (1, around.reshape(-1, width))):
+            some = np.flatnonzero(table.any(1))
+            for k in range(0, len(some), 2000):
+                part = some[k : k + 2000]
+                yield pa.record_batch([pa.array(np.full(len(part), kind, np.int32)), pa.array(part.astype(np.int32)), pa.array([table[i].tobytes() for i in part], pa.binary())], ["kind", "at", "counts"])
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (kind, at, counts) ordered by kind and at, each place's counts of 32 bits summed to counts of 64."""
+    held, total = None, None
+    out: list[tuple] = []
+
+    def record() -> pa.RecordBatch:
+        return pa.record_batch([pa.array([x[0][0] for x in out], pa.int32()), pa.array([x[0][1] for x in out], pa.int32()), pa.array([x[1].tobytes() for x in out], pa.binary())], ["kind", "at", "counts"])
+
+    for b in batches:
+        for kind, at, counts in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            if held != (kind, at):
+                if held is not None:
+                    out.append((held, total))
+                held, total = (kind, at), np.zeros(len(counts) // 4, np.int64)
+                if len(out) >= 500:
+                    yield record()
+                    out.clear()
+            total += np.frombuffer(counts, np.int32)
+    if held is not None:
+        out.append((held, total))
+        yield record()
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
 
 
-def exchange(pairs: DataFrame, n_words: int, s: Settings) -> np.ndarray:
-    """The class of each code. pairs: (a, b, n), counts of neighbouring codes, of which the first n_words are clustered words.
+def exchange(square: np.ndarray, n_words: int, s: Settings) -> np.ndarray:
+    """The class of each code. square: counts of neighbouring codes, of which the first n_words are words, in order of frequency.
 
-    Words start in classes at random, of equal size. In each step Spark sums, for every word of one part, its neighbours'
-    counts by class, and finds the class that gains most; the driver holds a class for each of a fixed number of codes.
-    The classes by looks stay as they are.
+    Words start in classes in turn. Each round goes through all words in order; every word goes to the class that gains most,
+    given all moves so far. The classes by looks stay as they are. It ends when a round moves nothing.
     """
     total = s.classes + s.looks
-    classes = np.concatenate([np.random.default_rng(0).permutation(n_words) % s.classes, s.classes + np.arange(s.looks)]).astype(np.int64)
-    spark = pairs.sparkSession
-    ahead = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), "n", F.lit(False).alias("before"))
-    behind = pairs.select(F.col("b").alias("word"), F.col("a").alias("other"), "n", F.lit(True).alias("before"))
-    # a row for each clustered word, with at most two neighbours for each code
-    of_word = ahead.union(behind).where(F.col("word") < n_words).groupBy("word").agg(*(F.collect_list(c).alias(c) for c in ("other", "n", "before")))
-    of_word = materialize(of_word, "neighbours")
-
-    for step in range(s.rounds * s.parts):
-        part = step % s.parts
-        sent = spark.sparkContext.broadcast((classes, class_bigrams(pairs, classes, total)))
-
-        def moves(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            # words of one task see each other's moves, so that they don't all follow one another into one class
-            now, whole = (x.copy() for x in sent.value)
-            for b in batches:
-                word = b.column(0).to_pylist()
-                to = []
-                for k, w in enumerate(word):
-                    other, n, before = (b.column(i)[k].values.to_numpy(zero_copy_only=False) for i in (1, 2, 3))
-                    right, left = (np.bincount(now[other[at]], n[at], minlength=total) for at in (~before, before))
-                    to.append(best_class(whole, now[w], right, left, s.classes))
-                    if to[-1] != now[w]:
-                        whole[now[w]] -= right
-                        whole[:, now[w]] -= left
-                        whole[to[-1]] += right
-                        whole[:, to[-1]] += left
-                        now[w] = to[-1]
-                yield pa.record_batch([b.column(0), pa.array(to, pa.int32())], ["word", "to"])
-
-        changed = 0
-        for r in of_word.where(F.col("word") % s.parts == part).mapInArrow(moves, "word int, to int").collect():
-            changed += classes[r.word] != r.to
-            classes[r.word] = r.to
-        if not changed and step >= s.parts:
+    classes = np.concatenate([np.arange(n_words) % s.classes, s.classes + np.arange(s.looks)]).astype(np.int64)
+    of_classes = np.zeros((total, total))
+    i, j = np.nonzero(square)
+    np.add.at(of_classes, (classes[i], classes[j]), square[i, j])
+    ahead = [np.flatnonzero(square[w]) for w in range(n_words)]
+    behind = [np.flatnonzero(square[:, w]) for w in range(n_words)]
+    for _ in range(s.rounds):
+        moved = 0
+        for w in range(n_words):
+            right = np.bincount(classes[ahead[w]], square[w, ahead[w]], minlength=total)
+            left = np.bincount(classes[behind[w]], square[behind[w], w], minlength=total)
+            own = classes[w]
+            to = best_class(of_classes, own, right, left, s.classes)
+            if to != own:
+                moved += 1
+                itself = square[w, w]
+                for k, sign in ((own, -1), (to, 1)):
+                    of_classes[k] += sign * right
+                    of_classes[:, k] += sign * left
+                # a word beside itself was moved once on each side of its own class
+                of_classes[own, own] += itself
+                of_classes[to, own] -= itself
+                of_classes[own, to] -= itself
+                of_classes[to, to] += itself
+                classes[w] = to
+        if not moved:
             break
     return classes
 
 
-def class_bigrams(pairs: DataFrame, classes: np.ndarray, total: int) -> np.ndarray:
-    """How often each class follows each class; a square of fixed size."""
-    sent = pairs.sparkSession.sparkContext.broadcast(classes)
+def neighbour_logs(square: np.ndarray, classes: np.ndarray, n_words: int, s: Settings) -> np.ndarray:
+    """For each context before and after a word (the context words, then all others) and each class, the log of how likely it is there."""
+    n_context = min(s.context, n_words)
+    before, after = np.zeros((n_context + 1, s.classes)), np.zeros((n_context + 1, s.classes))
+    context = np.minimum(np.arange(len(classes)), n_context)
+    i, j = np.nonzero(square)
+    inside = classes[j] < s.classes
+    np.add.at(before, (context[i][inside], classes[j][inside]), square[i, j][inside])
+    inside = classes[i] < s.classes
+    np.add.at(after, (context[j][inside], classes[i][inside]), square[i, j][inside])
+    return np.concatenate([np.log((x + 0.5) / (x + 0.5).sum(0)) for x in (before, after)])
+
+
+def _place(sent):
+    """The class of each word (at, counts) by its contexts: that in which they are likeliest, the first of equal ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        square = np.zeros((total, total), np.int64)
+        logs = sent.value
         for b in batches:
-            np.add.at(square, (sent.value[b.column(0).to_numpy()], sent.value[b.column(1).to_numpy()]), b.column(2).to_numpy())
-        i, j = np.nonzero(square)
-        yield pa.record_batch([pa.array(i), pa.array(j), pa.array(square[i, j])], ["i", "j", "n"])
+            if b.num_rows:
+                counts = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64).reshape(b.num_rows, -1)
+                yield pa.record_batch([b.column(0), pa.array(np.argmax(np.round(counts @ logs, 6), 1).astype(np.int32))], ["at", "to"])
+
+    return run
 
-    out = np.zeros((total, total))
-    for r in pairs.mapInArrow(run, "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect():
-        out[r.i, r.j] = r.n
-    return out
+
+def class_bigrams(texts: DataFrame, sent, total: int, s: Settings) -> np.ndarray:
+    """How often each class follows each class in texts(text); a square of fixed size. sent: the vocabulary and the class of each code."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, classes = sent.value
+        codes = Codes(vocabulary, s.looks, s.held)
+        square = np.zeros(total * total, np.int64)
+        for batch in (x for b in batches for x in rows([b], 2000)):
+            c = classes[_lines(batch, codes)]
+            square += np.bincount(c[:-1] * total + c[1:], minlength=total * total)
+        at = np.flatnonzero(square)
+        yield pa.record_batch([pa.array(at), pa.array(square[at])], ["at", "n"])
+
+    out = np.zeros(total * total)
+    for r in texts.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[r.at] = r.n
+    return out.reshape(total, total)
 
 
 def best_class(square: np.ndarray, own: int, right: np.ndarray, left: np.ndarray, n_classes: int) -> int:
@@ -214,7 +274,13 @@ def score_texts(docs: DataFrame, training: Column, settings: Settings | None = N
     """
     s = settings or Settings()
     docs = docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("learn"))
-    learned = docs.where("learn").select("text")
+    model, counts = learn(docs.where("learn").select("text"), s)
+    return _score(docs, counts, docs.sparkSession.sparkContext.broadcast(model), s, model.n_all, model.base_room)
+
+
+def learn(learned: DataFrame, s: Settings) -> tuple[Model, DataFrame]:
+    """The model of learned(text), and the table of all its words with their counts."""
+    spark = learned.sparkSession
     counts = materialize(learned.mapInArrow(_count_words(s.held), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     n_all, n_distinct, n_texts = map(int, counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("word") == F.lit(END), F.col("n"))), F.lit(0))).first())
     # the most frequent words: the least count that at most s.sent words reach, from how many words have each count
@@ -227,19 +293,29 @@ def score_texts(docs: DataFrame, training: Column, settings: Settings | None = N
     top = [(bytes(r.word), r.n) for r in counts.where(F.col("n") >= max(2, least)).collect()]
     top.sort(key=lambda x: (-x[1], x[0]))
     top = top if any(w == END for w, _ in top) else [*top, (END, n_texts)]
-    clustered = [w for w, _ in top[: s.clustered]]
-    if END not in clustered:
-        clustered.append(END)
-
-    squares = learned.mapInArrow(_count_pairs(clustered, s), "left int, rights array<int>, ns array<int>")
-    pairs = squares.select("left", F.explode(F.arrays_zip("rights", "ns")).alias("x")).groupBy(F.col("left").alias("a"), F.col("x.rights").alias("b")).agg(F.sum(F.col("x.ns").cast("long")).alias("n"))
-    pairs = materialize(pairs, "pairs")
-    classes = exchange(pairs, len(clustered), s)
+    # the end is always a clustered word, and the first in order unless some word is as frequent
+    core = [w for w, _ in top[: s.clustered]]
+    core = core if END in core else [*core[:-1], END]
+    in_core = set(core)
+    vocabulary = [*core, *(w for w, _ in top[: max(s.placed, s.clustered)] if w not in in_core)]
+    n_core = len(core)
+
+    neighbours = learned.mapInArrow(_count_neighbours(vocabulary, n_core, s), "kind int, at int, counts binary")
+    neighbours = materialize(neighbours.repartition("kind", "at").sortWithinPartitions("kind", "at").mapInArrow(_summed, "kind int, at int, counts binary"), "neighbours")
+    square = np.zeros((n_core + s.looks, n_core + s.looks), np.int64)
+    for r in neighbours.where("kind = 0").toLocalIterator():  # a square of fixed size
+        square[r.at] = np.frombuffer(r.counts, np.int64)
+    classes = exchange(square, n_core, s)
+    logs = spark.sparkContext.broadcast(neighbour_logs(square, classes, n_core, s))
+    del square
+    placed = np.zeros(len(vocabulary) - n_core, np.int64)
+    for r in neighbours.where("kind = 1").select("at", "counts").mapInArrow(_place(logs), "at int, to int").collect():  # s.placed rows at most
+        placed[r.at] = r.to
+    classes = np.concatenate([classes[:n_core], placed, classes[n_core:]])
 
     # class bigrams, and how many tokens and distinct words each class has
     total = s.classes + s.looks
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((clustered, classes))
+    sent = spark.sparkContext.broadcast((vocabulary, classes))
 
     def class_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, now = sent.value
@@ -253,24 +329,39 @@ def score_texts(docs: DataFrame, training: Column, settings: Settings | None = N
                 distinct[c] += 1
         yield pa.record_batch([pa.array(range(total), pa.int64()), pa.array(tokens), pa.array(distinct)], ["c", "n", "v"])
 
-    square = class_bigrams(pairs, classes, total)
+    square = class_bigrams(learned, sent, total, s)
     tokens, distinct = np.zeros(total), np.zeros(total)
     for r in counts.mapInArrow(class_words, "c long, n long, v long").groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         tokens[r.c], distinct[r.c] = r.n, r.v
-    # transitions: interpolated with the class alone (Witten-Bell), which is add-one smoothed
-    alone = (tokens + 1) / (tokens.sum() + total)
+    return Model(top, vocabulary, classes, *probabilities(square, tokens, distinct, s), math.log10(n_all + n_distinct + 1), n_all), counts
+
+
+@dataclass(frozen=True)
+class Model:
+    """top: words with their counts; vocabulary, classes: words with a class by use, and the classes of all codes. The rest are logarithms:
+    log_move of a class after a class, log_tokens of a class, unseen of a word never seen in its class, base_room of the base score's denominator."""
+
+    top: list[tuple[bytes, int]]
+    vocabulary: list[bytes]
+    classes: np.ndarray
+    log_move: np.ndarray
+    log_tokens: np.ndarray
+    unseen: np.ndarray
+    base_room: float
+    n_all: int
+
+
+def probabilities(square: np.ndarray, tokens: np.ndarray, distinct: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logarithms to base 10: of each class after each class, of each class's tokens, and of what was never seen within each class by looks.
+
+    Classes by use hold nothing unseen, so their words have n / tokens; in classes by looks (n - discount) / tokens, and all
+    that was never seen has the rest, or everything where nothing was seen.
+    """
+    alone = (tokens + 1) / (tokens.sum() + len(tokens))  # interpolated with the class alone, which is add-one smoothed
     follows = (square > 0).sum(1)
     left = square.sum(1)
     move = np.where(left[:, None] > 0, (square + follows[:, None] * alone[None, :]) / np.maximum(left + follows, 1)[:, None], alone[None, :])
-    log_move = np.log10(move)
-    # a word in its class: (c - discount) / n if it was seen; what was never seen is one event, as it is for the base score,
-    # and has all that the seen words of the class were discounted by
-    log_tokens = np.log10(np.maximum(tokens, 1))
-    unseen = np.log10(np.maximum(s.discount * distinct, s.discount)) - np.log10(np.maximum(tokens, 1))
-    unseen = np.minimum(unseen, math.log10(s.discount))
-    base_room = math.log10(n_all + n_distinct + 1)
-    model = spark.sparkContext.broadcast((top, clustered, classes, log_move, log_tokens, unseen))
-    return _score(docs, counts, model, s, n_all, base_room)
+    return np.log10(move), np.log10(np.maximum(tokens, 1)), np.where(tokens > 0, np.log10(np.maximum(s.discount * distinct, 1e-300)) - np.log10(np.maximum(tokens, 1)), 0.0)
 
 
 def _score(docs: DataFrame, counts: DataFrame, model, s: Settings, n_all: int, base_room: float) -> DataFrame:
@@ -278,18 +369,20 @@ def _score(docs: DataFrame, counts: DataFrame, model, s: Settings, n_all: int, b
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each text with what is known here, and one for each of its other words: row, word, times."""
-        top, clustered, classes, log_move, log_tokens, unseen = model.value
-        place = {w: i for i, w in enumerate(clustered)}
+        m = model.value
+        top, classes, log_move, log_tokens, unseen = m.top, m.classes, m.log_move, m.log_tokens, m.unseen
+        place = {w: i for i, w in enumerate(m.vocabulary)}
         known = np.array([n for _, n in top], np.float64)
         class_of = np.array([classes[place[w]] if w in place else s.classes + looks(w, s.looks) for w, _ in top], np.int64)
         size = len(top)
         base_log = np.log10(known + 1) - base_room
-        word_log = np.where(known > 0, np.log10(np.maximum(known - s.discount, 1e-9)) - log_tokens[class_of], unseen[class_of])
+        taken = np.where(class_of < s.classes, 0.0, s.discount)
+        word_log = np.where(known > 0, np.log10(np.maximum(known - taken, 1e-9)) - log_tokens[class_of], unseen[class_of])
         seen = known > 0
         codes = Codes([w for w, _ in top], s.looks, s.held)
         class_of = np.concatenate([class_of, s.classes + np.arange(s.looks)])
         end = codes[END]
-        for batch in batches:
+        for batch in (x for b in batches for x in rows([b], 1000)):
             ids, learn, keys = batch.column(0), batch.column(2), batch.column(3).to_pylist()
             n_tokens, n_known, base, score, rare_keys, rare_words, rare_times, rare_class = [], [], [], [], [], [], [], []
             for key, text in zip(keys, batch.column(1).to_pylist(), strict=True):
@@ -325,7 +418,7 @@ def _score(docs: DataFrame, counts: DataFrame, model, s: Settings, n_all: int, b
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The logs of the other words, given their counts, summed by row."""
-        log_tokens, unseen = (x[s.classes :] for x in model.value[4:])
+        log_tokens, unseen = (x[s.classes :] for x in (model.value.log_tokens, model.value.unseen))
         for b in batches:
             word, row = b.column(1).to_pylist(), b.column(0).to_numpy()
             times, n = b.column(2).to_numpy().astype(np.float64), b.column(3).to_numpy(zero_copy_only=False).astype(np.float64)

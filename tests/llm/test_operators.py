@@ -335,13 +335,71 @@ def test_brown_lm(spark, sf_dir):
     assert brown_lm.score_texts(docs_of(spark, ["a b", None], [None, None]), F.lit(True), small).count() == 2
 
 
-def test_exchange_groups_words_by_use(spark):
-    """Words that share neighbours end in one class."""
-    a, b = [0, 1, 2, 3], [4, 5, 6, 7]
-    pairs = [(x, y, 50) for x in a for y in b] + [(y, x, 50) for x in a for y in b]
-    df = spark.createDataFrame(pairs, "a int, b int, n long")
-    classes = brown_lm.exchange(df, 8, brown_lm.Settings(clustered=8, classes=2, looks=2, rounds=6, parts=2))
-    assert len(set(classes[:4])) == 1 and len(set(classes[4:8])) == 1 and classes[0] != classes[4]
+def test_brown_scores_equal_brute_force(spark, sf_dir):
+    """Scores are sums of P(class after class) P(word in class) from plain counts, whatever the partitions; both distributions sum to one."""
+    from pyspark.sql import functions as F
+
+    texts = [*ODD, *(r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(50).collect())]
+    s = brown_lm.Settings(clustered=60, placed=150, sent=200, classes=6, looks=5, rounds=3, context=10)
+    docs = docs_of(spark, texts)
+    runs = [{r.doc_id: r.score for r in brown_lm.score_texts(docs.repartition(n), F.col("doc_id") % 7 != 2, s).collect()} for n in (1, 4, 16)]
+    model, _ = brown_lm.learn(docs.where("doc_id % 7 <> 2").select("text"), s)
+    of_word = dict(zip(model.vocabulary, model.classes.tolist()[: len(model.vocabulary)], strict=True))
+    total = s.classes + s.looks
+
+    def tokens(t):
+        return [*(w.encode() for w in words(t)), brown_lm.END]
+
+    def class_of(w):
+        return of_word[w] if w in of_word else s.classes + brown_lm.looks(w, s.looks)
+
+    n, moves = collections.Counter(), collections.Counter()
+    for i, t in enumerate(texts):
+        if i % 7 != 2:
+            n.update(tokens(t))
+            c = [class_of(w) for w in [brown_lm.END, *tokens(t)]]
+            moves.update(zip(c, c[1:], strict=False))
+    in_class, distinct, after, kinds = (collections.Counter() for _ in range(4))
+    for w, k in n.items():
+        in_class[class_of(w)] += k
+        distinct[class_of(w)] += 1
+    for (x, _), k in moves.items():
+        after[x] += k
+        kinds[x] += 1
+
+    def move(x, y):
+        alone = (in_class[y] + 1) / (sum(n.values()) + total)
+        return (moves[x, y] + kinds[x] * alone) / (after[x] + kinds[x]) if after[x] else alone
+
+    def emit(w):
+        c = class_of(w)
+        off = s.discount if c >= s.classes else 0
+        return (n[w] - off) / in_class[c] if n[w] else (s.discount * distinct[c] / in_class[c] if in_class[c] else 1.0)
+
+    for x in range(total):
+        assert abs(sum(move(x, y) for y in range(total)) - 1) < 1e-9
+    for c in range(total):
+        mass = sum(emit(w) for w in n if class_of(w) == c) + (emit(b"never seen") if c >= s.classes and class_of(b"never seen") == c else s.discount * distinct[c] / in_class[c] if c >= s.classes and in_class[c] else 0)
+        assert abs(mass - 1) < 1e-9 or not in_class[c]
+    assert len(of_word) > s.clustered
+    for i, t in enumerate(texts):
+        line = [brown_lm.END, *tokens(t)]
+        want = sum(math.log10(move(class_of(x), class_of(y)) * emit(y)) for x, y in zip(line, line[1:], strict=False))
+        for run in runs:
+            assert abs(run[i] - want) < 1e-8 * max(1, -want)
+
+
+def test_exchange_groups_words_by_use():
+    """Words that share neighbours end in one class; so do words placed by their neighbours."""
+    square = np.zeros((10, 10), np.int64)
+    square[:4, 4:8] = square[4:8, :4] = 50
+    s = brown_lm.Settings(clustered=8, classes=2, looks=2, rounds=6)
+    classes = brown_lm.exchange(square, 8, s)
+    assert len(set(classes[:4])) == 1 and len(set(classes[4:8])) == 1 and classes[0] != classes[4] and list(classes[8:]) == [2, 3]
+    logs = brown_lm.neighbour_logs(square, classes, 8, s)
+    around = np.zeros((1, len(logs)), np.int64)
+    around[0, 4] = around[0, 9 + 5] = 3  # words of the second group before and after it: it is used like the first
+    assert np.argmax(around @ logs) == classes[0]
 
 
 # --- 8
