@@ -4,12 +4,18 @@ Each tree splits recursively: a node draws a random direction and a random quant
 margin of the split go to both sides (spill). Vectors in one leaf are compared exactly, in double precision; pairs found in
 any tree are links. Equal vectors are compared once, as a class with a weight.
 
-The trees are fitted on a bounded sample of the classes (SAMPLE, a parameter); every vector is then put into its leaves.
-Leaves of more than BLOCK classes are compared block against block, so that no task holds more than two blocks of a leaf.
+The first splits are fitted on a bounded sample of the classes (a parameter); every vector is then put into its leaves. Leaves
+that are still large are split further, each by a tree fitted on a bounded sample of its own, all of them in parallel, until
+leaves are small or a clump of alike vectors that no split parts: so trees deepen with the number of vectors. A clump of more
+than a block is compared block against block, so that no task holds more than two blocks.
+
+A pair that meets in several leaves is given by one of them only: each vector brings the list of its leaves, and the least
+common leaf owns the pair.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,14 +32,17 @@ from .common import components, materialize
 class Forest:
     """trees, leaf: how many, and about how many classes a leaf should have. margin: spill on each side of a split, in units of the unit sphere.
 
-    sample: vectors that the splits are fitted on. block: classes that are compared at once.
+    sample: vectors that the first splits are fitted on; inner: those that the splits of a large leaf are fitted on, about.
+    block: classes that are compared at once; leaves of more than twice as many are split further, levels times at most.
     """
 
     trees: int = 8
     leaf: int = 400
     margin: float = 0.02
     sample: int = 16_384
+    inner: int = 2048
     block: int = 4096
+    levels: int = 8
     seed: int = 5
 
 
@@ -57,41 +66,37 @@ def units(vectors: np.ndarray) -> np.ndarray:
     return out / np.sqrt((out * out).sum(1, keepdims=True))
 
 
-def grow(sample: np.ndarray, n: int, forest: Forest) -> list[list[tuple[np.ndarray, float] | None]]:
-    """The trees: nodes in heap order, each a direction and a split, or None for a leaf. n: how many classes there are."""
-    rng = np.random.default_rng(forest.seed)
-    trees = []
-    depth_most = 14
-    for _ in range(forest.trees):
-        nodes: list = [None] * (1 << (depth_most + 1))
-        todo = [(1, np.arange(len(sample)))]
-        while todo:
-            k, rows = todo.pop()
-            share = n * len(rows) / max(1, len(sample))
-            if share <= forest.leaf or len(rows) < 8 or 2 * k + 1 >= len(nodes):
-                continue
-            direction = rng.standard_normal(sample.shape[1])
-            direction /= np.linalg.norm(direction)
-            at = sample[rows] @ direction
-            split = float(np.quantile(at, rng.uniform(0.42, 0.58)))
-            left, right = rows[at <= split + forest.margin], rows[at >= split - forest.margin]
-            if len(left) > 0.9 * len(rows) or len(right) > 0.9 * len(rows):
-                continue  # a clump that no split parts
-            nodes[k] = (direction, split)
-            todo += [(2 * k, left), (2 * k + 1, right)]
-        last = max((k for k, x in enumerate(nodes) if x is not None), default=0)
-        trees.append(nodes[: 2 * last + 2])
-    return trees
-
-
-def leaves(vectors: np.ndarray, nodes: list, margin: float) -> Iterator[tuple[int, np.ndarray]]:
+def grow(sample: np.ndarray, n: int, forest: Forest, rng: np.random.Generator) -> dict[int, tuple[np.ndarray, float]]:
+    """A tree: inner nodes by their number (the root is 1, below k are 2 k and 2 k + 1), each a direction and a split. n: how many vectors the sample stands for.
+
+    It ends at leaves of the wanted size, and at those of which the sample has too few to go on.
+    """
+    nodes: dict[int, tuple[np.ndarray, float]] = {}
+    todo = [(1, np.arange(len(sample)))]
+    while todo:
+        k, rows = todo.pop()
+        if n * len(rows) / max(1, len(sample)) <= forest.leaf or len(rows) < 8:
+            continue
+        direction = rng.standard_normal(sample.shape[1])
+        direction /= np.linalg.norm(direction)
+        at = sample[rows] @ direction
+        split = float(np.quantile(at, rng.uniform(0.42, 0.58)))
+        left, right = rows[at <= split + forest.margin], rows[at >= split - forest.margin]
+        if len(left) > 0.9 * len(rows) or len(right) > 0.9 * len(rows) or k >= 1 << 40:
+            continue  # a clump that no split parts
+        nodes[k] = (direction, split)
+        todo += [(2 * k, left), (2 * k + 1, right)]
+    return nodes
+
+
+def leaves(vectors: np.ndarray, nodes: dict, margin: float) -> Iterator[tuple[int, np.ndarray]]:
     """(leaf, rows) for the rows of vectors; a row comes in each leaf that it reaches."""
     todo = [(1, np.arange(len(vectors)))]
     while todo:
         k, rows = todo.pop()
         if not len(rows):
             continue
-        if nodes[k] is None:
+        if k not in nodes:
             yield k, rows
             continue
         direction, split = nodes[k]
@@ -99,6 +104,26 @@ def leaves(vectors: np.ndarray, nodes: list, margin: float) -> Iterator[tuple[in
         todo += [(2 * k, rows[at <= split + margin]), (2 * k + 1, rows[at >= split - margin])]
 
 
+def _number(*parts: int) -> int:
+    """A number of 63 bits for a leaf, from what names it."""
+    return xxhash.xxh3_64_intdigest(repr(parts)) >> 1
+
+
+def owned(x: np.ndarray, y: np.ndarray, own: int, row: np.ndarray, leaf: np.ndarray, n_rows: int) -> np.ndarray:
+    """Which pairs (x, y) of rows share no leaf with a number below own. row, leaf: the leaves of all rows."""
+    below = leaf < own
+    row, leaf = row[below], leaf[below]
+    known, at = np.unique(leaf, return_inverse=True)
+    left = np.arange(len(x))
+    for start in range(0, len(known), 256):
+        here = (at >= start) & (at < start + 256)
+        held = np.zeros((n_rows, min(256, len(known) - start)), bool)
+        held[row[here], at[here] - start] = True
+        kept = [part[~(held[x[part]] & held[y[part]]).any(1)] for part in (left[k : k + 100_000] for k in range(0, len(left), 100_000))]
+        left = np.concatenate(kept) if kept else left
+    return left
+
+
 def near_pairs(a: np.ndarray, b: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (i, j) of rows of a and b, or i < j within a, with cosine >= least, and the cosines."""
     found = []
@@ -114,6 +139,43 @@ def near_pairs(a: np.ndarray, b: np.ndarray | None, least: float) -> tuple[np.nd
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def _deepened(places: DataFrame, classes: DataFrame, forest: Forest, matrix) -> DataFrame:
+    """places(leaf, c) with large leaves split further, in parallel, until no split parts them. classes: c, u."""
+    done = None  # leaves that are clumps
+    for level in range(forest.levels):
+        large = places.groupBy("leaf").agg(F.count("*").alias("size")).where(F.col("size") > 2 * forest.block)
+        large = materialize(large if done is None else large.join(done, "leaf", "left_anti"), "large-leaves")
+        if large.isEmpty():
+            break
+        inside = places.join(large, "leaf")
+        drawn = inside.where(F.pmod(F.xxhash64("c", F.lit(level)), F.col("size")) < forest.inner).join(classes.select("c", "u"), "c").select("leaf", "size", "u")
+
+        def fit(group: pa.Table) -> pa.Table:
+            leaf, size = group["leaf"][0].as_py(), group["size"][0].as_py()
+            nodes = grow(matrix(group["u"]), size, forest, np.random.default_rng(leaf))
+            return pa.table({"leaf": [leaf], "nodes": pa.array([pickle.dumps(nodes) if nodes else None], pa.binary())})
+
+        fitted = materialize(drawn.groupBy("leaf").applyInArrow(fit, "leaf long, nodes binary"), "inner-trees")
+        clumps = fitted.where("nodes is null").select("leaf")
+        done = clumps if done is None else done.unionByName(clumps)
+
+        def place(rows: pa.Table, tree: pa.Table) -> pa.Table:
+            if not rows.num_rows or not tree.num_rows:
+                return pa.table({"leaf": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
+            leaf, c = tree["leaf"][0].as_py(), rows["c"].to_numpy()
+            found = list(leaves(matrix(rows["u"]), pickle.loads(tree["nodes"][0].as_py()), forest.margin))
+            return pa.table({"leaf": np.concatenate([np.full(len(at), _number(leaf, k)) for k, at in found]), "c": np.concatenate([c[at] for _, at in found])})
+
+        # a leaf's rows come in chunks, each with a copy of the leaf's tree
+        parted = fitted.where("nodes is not null")
+        chunks = F.ceil(F.col("size") / forest.block).cast("int")
+        trees = parted.join(large, "leaf").withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).select("leaf", "chunk", "nodes")
+        members = inside.join(parted.select("leaf"), "leaf", "left_semi").join(classes.select("c", "u"), "c").select("leaf", F.pmod(F.xxhash64("c", "leaf"), chunks).cast("int").alias("chunk"), "c", "u")
+        moved = members.groupBy("leaf", "chunk").cogroup(trees.groupBy("leaf", "chunk")).applyInArrow(place, "leaf long, c long")
+        places = materialize(places.join(parted.select("leaf"), "leaf", "left_anti").unionByName(moved), "places")
+    return places
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.9, forest: Forest | None = None, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) for each row of vectors.
 
@@ -152,31 +214,32 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, forest: Forest | None =
     for r in classes.orderBy(F.xxhash64("d"), "d").limit(forest.sample).select("u", "dims").collect():
         drawn.setdefault(r.dims, []).append(bytes(r.u))
     # a length with few classes is one leaf of one tree
-    forests = {k: grow(units(np.frombuffer(b"".join(v), kind).reshape(-1, k)), n_classes[k], forest) for k, v in drawn.items() if n_classes[k] > forest.leaf}
+    forests = {}
+    for k, v in sorted(drawn.items()):
+        if n_classes[k] > forest.leaf:
+            rng, sample = np.random.default_rng(forest.seed), units(np.frombuffer(b"".join(v), kind).reshape(-1, k))
+            forests[k] = [grow(sample, n_classes[k], forest, rng) for _ in range(forest.trees)]
     trees = vectors.sparkSession.sparkContext.broadcast(forests)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lengths = b.column(2).to_numpy()
-            for dimensions in np.unique(lengths):
+            for dimensions in np.unique(lengths).tolist():
                 mine = np.flatnonzero(lengths == dimensions)
                 here = matrix(b.column(1).take(pa.array(mine)))
-                for t, nodes in enumerate(trees.value.get(int(dimensions), [[None, None]])):
-                    got = list(leaves(here, nodes, forest.margin))
-                    at = np.concatenate([r for _, r in got])
-                    leaf = np.concatenate([np.full(len(r), k) for k, r in got])
-                    yield pa.record_batch(
-                        [pa.array(np.full(len(at), t, np.int32)), pa.array(np.full(len(at), dimensions, np.int32)), pa.array(leaf.astype(np.int32)), b.column(0).take(pa.array(mine[at]))], ["t", "dims", "leaf", "c"]
-                    )
-
-    places = materialize(classes.select("c", "u", "dims").mapInArrow(placed, "t int, dims int, leaf int, c long"), "places")
-    # at most trees * 2^15 leaves a length, whatever the input: small enough to send
-    sizes = places.groupBy("t", "dims", "leaf").agg(F.count("*").alias("size"))
-    sizes = F.broadcast(sizes) if len(n_classes) <= 8 else sizes
+                for t, nodes in enumerate(trees.value.get(dimensions, [{}])):
+                    for k, at in leaves(here, nodes, forest.margin):
+                        yield pa.record_batch([pa.array(np.full(len(at), _number(dimensions, t, k))), b.column(0).take(pa.array(mine[at]))], ["leaf", "c"])
+
+    places = materialize(classes.select("c", "u", "dims").mapInArrow(placed, "leaf long, c long"), "places")
+    places = _deepened(places, classes, forest, matrix)
+    sizes = places.groupBy("leaf").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / forest.block).cast("int")
-    spread = places.join(sizes, ["t", "dims", "leaf"]).withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("c", "t"), F.col("blocks")).cast("int"))
+    spread = places.join(sizes, "leaf").withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("c", "leaf"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tiles = spread.withColumn("other", other).select("t", "dims", "leaf", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "c").join(classes.select("c", "dims", "u"), ["c", "dims"])
+    # each class with its leaves, of which there are as many as trees and spill make
+    with_leaves = classes.select("c", "u").join(places.groupBy("c").agg(F.collect_list("leaf").alias("all")), "c")
+    tiles = spread.withColumn("other", other).select("leaf", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "c").join(with_leaves, "c")
 
     def compare(tile: pa.Table) -> pa.Table:
         i, j = tile["i"][0].as_py(), tile["j"][0].as_py()
@@ -184,15 +247,19 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, forest: Forest | None =
         c, mine = tile["c"].to_numpy(), tile["mine"].to_numpy()
         if i == j:
             x, y, _ = near_pairs(here, None, least)
-            a, b = c[x], c[y]
         else:
-            left, right = mine == i, mine == j
+            left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
             x, y, _ = near_pairs(here[left], here[right], least)
-            a, b = c[left][x], c[right][y]
+            x, y = left[x], right[y]
+        if len(x):
+            lists = tile["all"].combine_chunks()
+            row = np.repeat(np.arange(len(c)), lists.value_lengths().to_numpy())
+            own = owned(x, y, tile["leaf"][0].as_py(), row, lists.flatten().to_numpy(), len(c))
+            x, y = x[own], y[own]
+        a, b = c[x], c[y]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    pairs = tiles.groupBy("t", "dims", "leaf", "i", "j").applyInArrow(compare, "a long, b long")
-    pairs = materialize(pairs.distinct(), "pairs")
+    pairs = materialize(tiles.groupBy("leaf", "i", "j").applyInArrow(compare, "a long, b long"), "pairs")
     weights = classes.select("c", "n")
     both = pairs.union(pairs.select("b", "a"))
     linked = both.join(weights.withColumnRenamed("c", "b"), "b").groupBy("a").agg(F.sum("n").alias("linked"))

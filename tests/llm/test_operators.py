@@ -79,6 +79,19 @@ def test_near_vectors_recall_at_the_threshold(spark):
     assert 0.95 * len(links) <= found <= len(links)
 
 
+def test_near_vectors_split_large_leaves(spark):
+    """Leaves beyond two blocks are split further by trees of their own, clumps are compared in blocks, and each pair is given once."""
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((600, 24))
+    v = np.concatenate([v, v[:200] + 0.05 * rng.standard_normal((200, 24)), v[:1] + 0.02 * rng.standard_normal((150, 24))])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    forest = near_vectors.Forest(leaf=20, sample=64, inner=200, block=30)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.near_vectors(df, forest=forest).collect()}
+    links = brute_links(list(v))
+    degree = collections.Counter(i for pair in links for i in pair)
+    assert all(n <= degree[i] for i, (n, _) in got.items()) and sum(n for n, _ in got.values()) > 0.97 * sum(degree.values())
+
+
 # --- 2
 
 
