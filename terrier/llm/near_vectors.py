@@ -113,14 +113,16 @@ def owned(x: np.ndarray, y: np.ndarray, own: int, row: np.ndarray, leaf: np.ndar
     """Which pairs (x, y) of rows share no leaf with a number below own. row, leaf: the leaves of all rows."""
     below = leaf < own
     row, leaf = row[below], leaf[below]
-    known, at = np.unique(leaf, return_inverse=True)
-    left = np.arange(len(x))
-    for start in range(0, len(known), 256):
-        here = (at >= start) & (at < start + 256)
-        held = np.zeros((n_rows, min(256, len(known) - start)), bool)
+    _, at, times = np.unique(leaf, return_inverse=True, return_counts=True)
+    # leaves of most rows first, few at once to begin with: near pairs share one of these, as a rule
+    at = np.argsort(np.argsort(-times, kind="stable"), kind="stable")[at]
+    left, start, width = np.arange(len(x)), 0, 16
+    while start < len(times) and len(left):
+        here = (at >= start) & (at < start + width)
+        held = np.zeros((n_rows, min(width, len(times) - start)), bool)
         held[row[here], at[here] - start] = True
-        kept = [part[~(held[x[part]] & held[y[part]]).any(1)] for part in (left[k : k + 100_000] for k in range(0, len(left), 100_000))]
-        left = np.concatenate(kept) if kept else left
+        left = np.concatenate([part[~(held[x[part]] & held[y[part]]).any(1)] for part in (left[k : k + 100_000] for k in range(0, len(left), 100_000))])
+        start, width = start + width, min(256, 2 * width)
     return left
 
 
