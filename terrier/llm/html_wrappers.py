@@ -48,6 +48,8 @@ MAIN = ("article", "main")
 MAIN_WORDS = frozenset("article main content post entry story".split())
 #: Hosts whose wrappers a task holds at once, siblings in the longest group, and items that an element of a wrapper may have before they become one loose group.
 HOSTS_HELD, LONGEST_RUN, MOST_ITEMS = 500, 3, 40
+#: Tasks among which the wrappers of one host are dealt out before they are merged in one.
+SALTS = 32
 #: Longer texts count as slots at once.
 CONSTANT_CHARS = 200
 
@@ -375,7 +377,8 @@ def extract(page: str | None, marked: dict) -> str:
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper): for each host of pages(host, html) the wrapper that all its pages fit, as JSON.
 
-    A task holds the wrappers of at most HOSTS_HELD hosts and passes them on when there are more.
+    A task holds the wrappers of at most HOSTS_HELD hosts and passes them on when there are more. Those of a host are merged in
+    up to SALTS tasks first, so that the last one sees no more of a host than that, and what tasks of several salts leave.
     """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,7 +413,9 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array([current], pa.string()), pa.array([json.dumps(made, ensure_ascii=False, separators=(",", ":"))], pa.string())], ["host", "wrapper"])
 
     parts = pages.select("host", "html").mapInArrow(local, "host string, wrapper string")
-    return parts.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(across, "host string, wrapper string")
+    # a host with very many wrappers is merged in many tasks first
+    salted = parts.repartition("host", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).sortWithinPartitions("host", "wrapper").mapInArrow(across, "host string, wrapper string")
+    return salted.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(across, "host string, wrapper string")
 
 
 #: Wrappers are sent to all tasks up to this many bytes; beyond it they are joined by host.

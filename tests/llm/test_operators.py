@@ -295,6 +295,33 @@ def test_html(spark):
     assert html_wrappers.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_html_equals_brute_force_on_all_pages(spark):
+    """The given pages are of one simple kind, so regular expressions can cut out each article: all of its text and nothing else."""
+    import html as entities
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+
+    def cut(page):
+        inner = re.search(r"<article\b[^>]*>(.*?)</article>", page or "", re.S)
+        inner = re.sub(r"<!--.*?-->", "", inner[1] if inner else "", flags=re.S)
+        inner = re.sub(r"<(script|style)\b.*?</\1>", "", inner, flags=re.S)
+        blocks = re.split(r"</?(?:h[1-6]|p|div|section|ul|ol|li|blockquote|pre|table|tr|td)\b[^>]*>", inner)
+        blocks = [" ".join(entities.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br\b[^>]*>", " ", b))).split()) for b in blocks]
+        return "\n\n".join(b for b in blocks if b)
+
+    want = {r.page_id: cut(r.html) for r in pages.collect()}
+    got = {r.page_id: (r.text, r.n_chars) for r in html_wrappers.extract_main_text(pages.repartition(5)).collect()}
+    assert {k: t for k, (t, _) in got.items()} == want and all(n == len(t) for t, n in got.values())
+
+
+def test_html_wrappers_of_many_interleaved_hosts(spark, monkeypatch):
+    """Tasks pass wrappers on whenever they hold too many hosts; the texts stay the same."""
+    pages = [(i, f"http://h{i % 9}.org/{i}", f"<body><nav><a href=x>menu</a></nav><article><p>page {i}</p></article><footer>end</footer></body>") for i in range(90)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    monkeypatch.setattr(html_wrappers, "HOSTS_HELD", 2)
+    assert {r.page_id: r.text for r in html_wrappers.extract_main_text(df).collect()} == {i: f"page {i}" for i in range(90)}
+
+
 def test_html_of_two_templates(spark):
     """A rarer template of a host has its own article, whatever the common one has."""
     common = [f"<body><article><p>{f'common text {i} ' * 60}</p></article></body>" for i in range(6)]
