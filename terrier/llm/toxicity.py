@@ -263,7 +263,8 @@ def _scored(docs: DataFrame, labels: DataFrame, held_out: Column, s: Settings) -
     def run(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         place = {int(f): i for i, f in enumerate(m.features)}
-        known = _Known(lambda w: tuple(place[f] for f in word_features(w, m.bits) if f in place))
+        # hardly any word has a feature of the model, so a long memory is cheap
+        known = _Known(lambda w: tuple(place[f] for f in word_features(w, m.bits) if f in place), 200_000)
         at = names.index(text)
         for b in rows(texts, 500):
             scores = []
