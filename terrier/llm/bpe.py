@@ -28,7 +28,7 @@ from .common import numbered, place_of, rows
 #: Fixed value: how byte-level BPE of this family cuts text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words, pieces of longer chunks and pairs that a worker remembers (words and pieces in each of two generations).
-WORDS_HELD, PIECES_HELD, PAIRS_HELD = 120_000, 10_000, 100_000
+WORDS_HELD, PIECES_HELD, PAIRS_HELD = 200_000, 10_000, 100_000
 #: Texts are decoded in runs of about so many tokens, which bounds memory.
 DECODE_TOKENS = 1_000_000
 
@@ -216,7 +216,11 @@ def chunk_encoder(vocabulary: Vocabulary) -> _Recent:
         found = find(chunk)
         return one(chunk) if len(found) == 1 else b"".join([pieces[x] for x in found])
 
-    made = _Recent(lambda word: make(" " + word), WORDS_HELD)
+    def of_word(word: str) -> bytes:
+        # letters with a space before them are one piece
+        return one(" " + word) if word.isascii() and word.isalpha() else make(" " + word)
+
+    made = _Recent(of_word, WORDS_HELD)
     made.vocabulary, made.chunk = vocabulary, make
     return made
 
