@@ -196,7 +196,7 @@ def test_toxicity_does_not_learn_groups(spark):
     def scores(weight):
         s = toxicity.Settings(swap_weight=weight, neutral=0, threshold=0.5)
         model = toxicity.fit(toxicity.labelled_sample(docs, labels, F.lit(True), 1000), s)
-        assert model.swapped == 90  # one term a sentence
+        assert model.swapped == 100  # one for each term of a sentence
         known = toxicity._Known(lambda w: toxicity.word_features(w, model.bits))
         place = {int(f): w for f, w in zip(model.features, model.weights, strict=True)}
         return [model.bias + sum(place.get(int(f), 0) for f in toxicity._features(r.text, known)) for r in probe.orderBy("doc_id").collect()]
