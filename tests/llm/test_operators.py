@@ -4,10 +4,12 @@ import collections
 import hashlib
 import math
 import re
+import types
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from terrier.llm import bpe, brown_lm, chat, html_wrappers, mixing, mpeg, near_vectors, ngram_join, quality, queries, toxicity
@@ -358,7 +360,7 @@ def test_brown_lm(spark, sf_dir):
     from pyspark.sql import functions as F
 
     texts = [*ODD, *(r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(60).collect())]
-    small = brown_lm.Settings(clustered=50, sent=100, classes=6, rounds=2)
+    small = brown_lm.Settings(clustered=50, sent=100, classes=6, rounds=2, block=4)
     got = {r.doc_id: r for r in brown_lm.score_texts(docs_of(spark, texts), F.col("doc_id") % 7 != 2, small).collect()}
     counts = collections.Counter()
     for i, t in enumerate(texts):
@@ -380,11 +382,16 @@ def test_brown_scores_equal_brute_force(spark, sf_dir):
     from pyspark.sql import functions as F
 
     texts = [*ODD, *(r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(50).collect())]
-    s = brown_lm.Settings(clustered=60, placed=150, sent=200, classes=6, looks=5, rounds=3, context=10)
+    texts.append(" ".join(f"once{i} twice{i % 40}" for i in range(90)) + " " + " ".join(f"new{i}" for i in range(3)))
+    s = brown_lm.Settings(clustered=60, sent=200, classes=6, looks=5, rounds=3, context=10, block=8)
     docs = docs_of(spark, texts)
     runs = [{r.doc_id: r.score for r in brown_lm.score_texts(docs.repartition(n), F.col("doc_id") % 7 != 2, s).collect()} for n in (1, 4, 16)]
-    model, _ = brown_lm.learn(docs.where("doc_id % 7 <> 2").select("text"), s)
-    of_word = dict(zip(model.vocabulary, model.classes.tolist()[: len(model.vocabulary)], strict=True))
+    learned = brown_lm.learn(docs.select("doc_id", "text", (F.col("doc_id") % 7 != 2).alias("learn")), s)
+    model = learned.model
+    of_word = dict(zip(model.vocabulary, model.classes.tolist(), strict=True))
+    rare = {bytes(r.word): (r.n, r.to) for r in learned.placed.collect()}
+    assert not set(rare) & set(of_word)
+    of_word |= {w: to for w, (_, to) in rare.items()}
     total = s.classes + s.looks
 
     def tokens(t):
@@ -421,7 +428,9 @@ def test_brown_scores_equal_brute_force(spark, sf_dir):
     for c in range(total):
         mass = sum(emit(w) for w in n if class_of(w) == c) + (emit(b"never seen") if c >= s.classes and class_of(b"never seen") == c else s.discount * distinct[c] / in_class[c] if c >= s.classes and in_class[c] else 0)
         assert abs(mass - 1) < 1e-9 or not in_class[c]
-    assert len(of_word) > s.clustered
+    # words used twice or more have a class by use, however rare; the others by looks
+    assert set(of_word) == set(n) and all((of_word[w] < s.classes) == (k > 1) for w, k in n.items()) and all(k == n[w] for w, (k, _) in rare.items())
+    assert sum(k > 1 for k, _ in rare.values()) > 20 and sum(k == 1 for k, _ in rare.values()) > 20
     for i, t in enumerate(texts):
         line = [brown_lm.END, *tokens(t)]
         want = sum(math.log10(move(class_of(x), class_of(y)) * emit(y)) for x, y in zip(line, line[1:], strict=False))
@@ -442,6 +451,27 @@ def test_exchange_groups_words_by_use():
     assert np.argmax(around @ logs) == classes[0]
 
 
+def test_rare_words_are_placed_by_all_their_neighbours():
+    """The class in which a word's contexts are likeliest, however its rows are cut into batches; one use alone: by looks."""
+    rng = np.random.default_rng(4)
+    s = brown_lm.Settings(classes=5, looks=4)
+    logs = rng.integers(-(10**7), 0, (2 * 7, 5))
+    uses = sorted((f"w{rng.integers(30)}".encode(), int(rng.integers(-1, 12)), int(rng.integers(-1, 12))) for _ in range(80))
+    want = {}
+    for w in {u[0] for u in uses}:
+        mine = [u for u in uses if u[0] == w]
+        at = [[6 if x < 0 or x > 6 else x for x in u[1:]] for u in mine]
+        want[w] = (len(mine), int(np.argmax(sum(logs[b] + logs[7 + a] for b, a in at))) if len(mine) > 1 else 5 + len(w) % 4)
+    assert {n for n, _ in want.values()} > {1, 2}
+    for step in (1, 3, 80):
+        batches = [
+            pa.record_batch([pa.array([u[0] for u in part], pa.binary()), *(pa.array(x, pa.int32()) for x in ([len(u[0]) % 4 for u in part], [u[1] for u in part], [u[2] for u in part]))], ["word", "look", "before", "after"])
+            for part in (uses[k : k + step] for k in range(0, 80, step))
+        ]
+        got = [r for b in brown_lm._place_rare(types.SimpleNamespace(value=logs), 6, s)(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert len(got) == len(want) and {w: (n, to) for w, n, to in got} == want
+
+
 # --- 8
 
 
