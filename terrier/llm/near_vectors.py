@@ -9,8 +9,9 @@ that are still large are split further, each by a tree fitted on a bounded sampl
 leaves are small or a clump of alike vectors that no split parts: so trees deepen with the number of vectors. A clump of more
 than a block is compared block against block, so that no task holds more than two blocks.
 
-A pair that meets in several leaves is given by one of them only: each vector brings the list of its leaves, and the least
-common leaf owns the pair.
+A pair that meets in several leaves counts in one of them only: each vector brings the list of its leaves, and the least
+common leaf owns the pair. Pairs never leave their task: what comes out of a leaf is a row for each linked vector, with the
+number of its links there and a vector that it reaches by them.
 """
 
 from __future__ import annotations
@@ -109,36 +110,54 @@ def _number(*parts: int) -> int:
     return xxhash.xxh3_64_intdigest(repr(parts)) >> 1
 
 
-def owned(x: np.ndarray, y: np.ndarray, own: int, row: np.ndarray, leaf: np.ndarray, n_rows: int) -> np.ndarray:
-    """Which pairs (x, y) of rows share no leaf with a number below own. row, leaf: the leaves of all rows."""
+def shared_below(own: int, row: np.ndarray, leaf: np.ndarray, n_rows: int) -> np.ndarray:
+    """Bits for each row: its leaves with a number below own, as far as several rows have them; the fullest leaves first. row, leaf: the leaves of all rows."""
     below = leaf < own
     row, leaf = row[below], leaf[below]
     _, at, times = np.unique(leaf, return_inverse=True, return_counts=True)
-    # leaves of most rows first, few at once to begin with: near pairs share one of these, as a rule
-    at = np.argsort(np.argsort(-times, kind="stable"), kind="stable")[at]
-    left, start, width = np.arange(len(x)), 0, 16
-    while start < len(times) and len(left):
-        here = (at >= start) & (at < start + width)
-        held = np.zeros((n_rows, min(width, len(times) - start)), bool)
-        held[row[here], at[here] - start] = True
-        left = np.concatenate([part[~(held[x[part]] & held[y[part]]).any(1)] for part in (left[k : k + 100_000] for k in range(0, len(left), 100_000))])
-        start, width = start + width, min(256, 2 * width)
+    place = np.argsort(np.argsort(-times, kind="stable"), kind="stable")[at]
+    several = times[at] > 1
+    row, place = row[several], place[several]
+    bits = np.zeros((n_rows, -(-int((times > 1).sum()) // 64)), np.uint64)
+    np.bitwise_or.at(bits, (row, place // 64), np.uint64(1) << (place % 64).astype(np.uint64))
+    return bits
+
+
+def apart(x: np.ndarray, y: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which pairs (x, y) of rows have no bit in common."""
+    left, start, width = np.arange(len(x)), 0, 1
+    while start < bits.shape[1] and len(left):  # near pairs share one of the fullest leaves, as a rule
+        words = bits[:, start : start + width]
+        step = max(1, 4_000_000 // words.shape[1])
+        left = np.concatenate([part[~(words[x[part]] & words[y[part]]).any(1)] for part in (left[k : k + step] for k in range(0, len(left), step))])
+        start, width = start + width, min(64, 4 * width)
     return left
 
 
-def near_pairs(a: np.ndarray, b: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (i, j) of rows of a and b, or i < j within a, with cosine >= least, and the cosines."""
-    found = []
-    step = 1024
+def near_pairs(a: np.ndarray, b: np.ndarray | None, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of rows of a and b, or i < j within a, with cosine >= least; those of a few rows of a at a time."""
+    step = 256
     right = a if b is None else b
     for at in range(0, len(a), step):
-        cos = a[at : at + step] @ right.T
-        i, j = np.nonzero(cos >= least)
-        keep = i + at < j if b is None else slice(None)
-        found.append((i[keep] + at, j[keep], cos[i, j][keep]))
-    if not found:
-        return np.array([], int), np.array([], int), np.array([])
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+        i, j = np.nonzero(a[at : at + step] @ right.T >= least)
+        i += at
+        if b is None:
+            i, j = i[i < j], j[i < j]
+        if len(i):
+            yield i, j
+
+
+def join_labels(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Let linked rows have one label, the least row that they reach. Labels are of rows that are their own label; they change in place."""
+    while True:
+        a, b = label[x], label[y]
+        unlike = a != b
+        if not unlike.any():
+            return
+        x, y = x[unlike], y[unlike]
+        np.minimum.at(label, np.maximum(a, b)[unlike], np.minimum(a, b)[unlike])
+        while ((up := label[label]) != label).any():
+            label[:] = up
 
 
 def _deepened(places: DataFrame, classes: DataFrame, forest: Forest, matrix) -> DataFrame:
@@ -240,33 +259,32 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, forest: Forest | None =
     spread = places.join(sizes, "leaf").withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("c", "leaf"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     # each class with its leaves, of which there are as many as trees and spill make
-    with_leaves = classes.select("c", "u").join(places.groupBy("c").agg(F.collect_list("leaf").alias("all")), "c")
+    with_leaves = classes.select("c", "u", "n").join(places.groupBy("c").agg(F.collect_list("leaf").alias("all")), "c")
     tiles = spread.withColumn("other", other).select("leaf", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "c").join(with_leaves, "c")
 
     def compare(tile: pa.Table) -> pa.Table:
         i, j = tile["i"][0].as_py(), tile["j"][0].as_py()
         here = matrix(tile["u"])
-        c, mine = tile["c"].to_numpy(), tile["mine"].to_numpy()
-        if i == j:
-            x, y, _ = near_pairs(here, None, least)
-        else:
-            left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-            x, y, _ = near_pairs(here[left], here[right], least)
-            x, y = left[x], right[y]
-        if len(x):
-            lists = tile["all"].combine_chunks()
-            row = np.repeat(np.arange(len(c)), lists.value_lengths().to_numpy())
-            own = owned(x, y, tile["leaf"][0].as_py(), row, lists.flatten().to_numpy(), len(c))
+        c, mine, n = tile["c"].to_numpy(), tile["mine"].to_numpy(), tile["n"].to_numpy().astype(np.float64)  # sums below 2 ** 53 are exact
+        lists = tile["all"].combine_chunks()
+        row = np.repeat(np.arange(len(c)), lists.value_lengths().to_numpy())
+        bits = shared_below(tile["leaf"][0].as_py(), row, lists.flatten().to_numpy(), len(c))
+        left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        linked, label = np.zeros(len(c)), np.arange(len(c))
+        for x, y in near_pairs(here, None, least) if i == j else near_pairs(here[left], here[right], least):
+            if i != j:
+                x, y = left[x], right[y]
+            own = apart(x, y, bits)
             x, y = x[own], y[own]
-        a, b = c[x], c[y]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    pairs = materialize(tiles.groupBy("leaf", "i", "j").applyInArrow(compare, "a long, b long"), "pairs")
-    weights = classes.select("c", "n")
-    both = pairs.union(pairs.select("b", "a"))
-    linked = both.join(weights.withColumnRenamed("c", "b"), "b").groupBy("a").agg(F.sum("n").alias("linked"))
-    roots = components(pairs)
-    out = classes.select("c", "d", "n").join(linked.withColumnRenamed("a", "c"), "c", "left").join(roots.withColumnRenamed("node", "c"), "c", "left")
+            linked += np.bincount(x, n[y], len(c)) + np.bincount(y, n[x], len(c))
+            join_labels(label, x, y)
+        some = np.flatnonzero(linked)
+        return pa.table({"c": c[some], "linked": linked[some].astype(np.int64), "to": c[label[some]]})
+
+    found = materialize(tiles.groupBy("leaf", "i", "j").applyInArrow(compare, "c long, linked long, to long"), "linked")
+    linked = found.groupBy("c").agg(F.sum("linked").alias("linked"))
+    roots = components(found.select("c", "to"))
+    out = classes.select("c", "d", "n").join(linked, "c", "left").join(roots.withColumnRenamed("node", "c"), "c", "left")
     out = out.select("d", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("root", "c").alias("component_id"))
     joined = keyed.select("id", "d").join(out, "d", "left")
     component = F.coalesce("component_id", "id")
