@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,19 @@ def rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatc
             yield batch.slice(at, size)
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 << 20, most_rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about most_bytes of a text column, or of one row that is longer, and of at most most_rows rows."""
+    for batch in batches:
+        sizes = np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(float))
+        at, n = 0, batch.num_rows
+        ends = np.cumsum(sizes)
+        while at < n:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, min(at + most_rows, int(np.searchsorted(ends, before + most_bytes, side="right"))))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The links of one partition as a forest: each node once, with the smallest node it reaches here."""
     parent: dict[int, int] = {}

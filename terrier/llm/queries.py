@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, brown_lm, chat, html_wrappers, mixing, mpeg, near_vectors, ngram_join, quality, toxicity
+from . import bpe, brown_lm, chat, collocations, html_wrappers, line_dedup, mixing, mpeg, near_vectors, ngram_join, periodic_runs, quality, toxicity
 from .common import table
 
 #: Where the public vocabulary files are; a parameter of the operators.
@@ -63,11 +63,24 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.chat_segments(turns.unionByName(extra)))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), prepare=periodic_runs.with_repeats))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_vectors, op2_bpe, op3_quality, op4_ngram_join, op5_html, op6_toxicity, op7_brown_lm, op8_mixing, op9_mpeg, op10_chat)}
+    return {f.__name__: f for f in (op1_near_vectors, op2_bpe, op3_quality, op4_ngram_join, op5_html, op6_toxicity, op7_brown_lm, op8_mixing, op9_mpeg, op10_chat, op11_periodic_runs, op12_line_dedup, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
     probe = "'</s>[INST] ok [/INST]'"
     turns = f"(select conv_id, turn, role, text from conversations union all values (-1, 0, 'user', {probe}), (-1, 1, 'assistant', {probe}))"
-    return {"op1_near_vectors": near_vectors.oracle(0.9), "op4_ngram_join": ngram_join.oracle(), "op8_mixing": mixing.oracle(), "op10_chat": chat.oracle(turns=turns)}
+    return {"op1_near_vectors": near_vectors.oracle(0.9), "op4_ngram_join": ngram_join.oracle(), "op8_mixing": mixing.oracle(), "op10_chat": chat.oracle(turns=turns), "op12_line_dedup": line_dedup.oracle(), "op13_collocations": collocations.oracle()}
