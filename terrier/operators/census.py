@@ -242,6 +242,14 @@ ORIGINS = {
     "ctnonfis": ("SOG", None),
 }
 REGISTERS = {"FAB": "FABBRICATI", "TER": "TERRENI", "SOG": "SOGGETTI", "TIT": "TITOLARITA"}
+# Fields that a record may lack, in all registers, and those of one register only. All others are required.
+OPTIONAL = ("sezione", "codice_causale_atto_generante", "descrizione_atto_generante", "codice_causale_atto_conclusivo", "descrizione_atto_conclusivo")
+OPTIONAL_OF = {
+    "FAB": ("flag_classamento",),
+    "TER": (),
+    "SOG": ("cognome", "nome", "sesso", "data_di_nascita", "luogo_di_nascita", "info_suppl", "denominazione", "sede"),
+    "TIT": ("identificativo_titolarita",),
+}
 
 
 @dataclass(frozen=True)
@@ -266,6 +274,11 @@ def layout(register: str, record_type: str | None) -> list[str]:
     return [*out[:5], "tipo_record", *out[5:]] if record_type else out
 
 
+def optional(register: str, record_type: str | None) -> frozenset[str]:
+    """The fields that records of this kind may lack."""
+    return frozenset(layout(register, record_type)) & {*OPTIONAL, *OPTIONAL_OF[register]}
+
+
 def fan_out(lines: DataFrame, register: str, record_type: str | None) -> DataFrame:
     """The named fields of one record type of a register's lines(register, value)."""
     parts = F.split("value", r"\|")
@@ -295,11 +308,15 @@ def project(records: DataFrame, table: str) -> DataFrame:
     return records.select(*[_cast(f).alias(f.target) for f in fields(table)])
 
 
-def target(lines: DataFrame, table: str, natural: tuple[str, ...] = ("P",)) -> DataFrame:
-    """A target table from a register's lines. natural: codes of tipo_soggetto that mark natural persons; all others are legal persons."""
-    rows = project(fan_out(lines, *ORIGINS[table]), table)
+def only_persons(rows: DataFrame, table: str, natural: tuple[str, ...] = ("P",)) -> DataFrame:
+    """Of subjects the natural or the legal persons, as the target table has; all rows of other tables. natural: codes of tipo_soggetto that mark natural persons."""
     if table == "ctfisica":
-        rows = rows.where(F.col("tipo_sog").isin(*natural))
+        return rows.where(F.col("tipo_sog").isin(*natural))
     if table == "ctnonfis":
-        rows = rows.where(~F.coalesce(F.col("tipo_sog").isin(*natural), F.lit(False)))
+        return rows.where(~F.coalesce(F.col("tipo_sog").isin(*natural), F.lit(False)))
     return rows
+
+
+def target(lines: DataFrame, table: str, natural: tuple[str, ...] = ("P",)) -> DataFrame:
+    """A target table from a register's lines. natural: codes of tipo_soggetto that mark natural persons; all others are legal persons."""
+    return only_persons(project(fan_out(lines, *ORIGINS[table]), table), table, natural)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrier.functions.scalars import strip
+
 # What each coded field may hold.
 MAPPA = ("MAPPA", "MAPPA FONDIARIO", "QUADRO D'UNIONE")
 SECTIONS = ("A", "B", "C", "D")
@@ -46,6 +48,11 @@ def missing_fields(required: list[str]) -> Column:
     return F.array_compact(F.array(*[F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) == "", F.lit(c)) for c in required]))
 
 
+def missing_of(fields: Column | str, names: list[str], optional: frozenset[str]) -> Column:
+    """The same for fields by place: names of those that are absent or blank, without the optional ones."""
+    return F.array_compact(F.array(*[F.when(F.coalesce(strip(F.get(fields, F.lit(i))), F.lit("")) == "", F.lit(n)) for i, n in enumerate(names) if n not in optional]))
+
+
 def quarantine(rows: DataFrame, reasons: dict[str, str], keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Good rows, and a row (keys, rule, reason, value) for each broken rule. reasons: reason column by the column that it is about."""
     bad = F.array_compact(F.array(*[F.when(F.col(r).isNotNull(), F.struct(F.lit(r).alias("rule"), F.col(r).alias("reason"), F.col(c).cast("string").alias("value"))) for c, r in reasons.items()]))

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrier.functions import scalars
-from terrier.operators import census, checks, links, sheets, transform
+from terrier.operators import census, checks, links, registers, sheets, transform
 from terrier.plans import testbed as tb
-from terrier.sources import files, sinks
+from terrier.sources import files, folders, sinks
+from terrier.streaming import drop_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -314,6 +315,96 @@ def coordinate_transform(spark, sf_dir):
     return rows.select("codice_foglio", "record_no", "vertex_no", *[F.round(F.col(f"v.{a}"), 3).alias(a) for a in "xy"])
 
 
+# --- whole sheets converted
+
+_UNREADABLE = "TESTO\\r\\nbad\\r\\n1\\r\\n0\\r\\nx12\\r\\n5\\r\\nEOF"  # as an escaped SQL text
+
+
+def _to_convert(spark, sf_dir):
+    """Sheets, some of them faulty, some with a coordinate that can't be read."""
+    files_ = tb.render_sheets(spark, sf_dir, True)
+    number = F.substring("filename", 6, 4).cast("int")
+    return sheets.parse_sheets(files_.withColumn("content", F.when(number % 16 == 3, F.expr(f"replace(content, 'EOF', '{_UNREADABLE}')")).otherwise(F.col("content"))))
+
+
+def _both_parameters(spark, sf_dir):
+    """Parameters of municipalities, and of some sheets, which come first."""
+    nation = tb.table(spark, sf_dir, "nation").where("n_nationkey <> 19").selectExpr("concat('H', lpad(cast(n_nationkey as string), 3, '0')) as code", "n_nationkey * 1000.0D as a0", "2.0D as a1", "1.0D as a2", "n_nationkey * 10.0D as b0", "-1.0D as b1", "4.0D as b2")
+    of_sheet = tb.table(spark, sf_dir, "region").withColumn("s", F.col("r_regionkey") * 8).selectExpr(f"{tb.SHEET_NAME} as code", "r_regionkey * 7.0D as a0", "-1.0D as a1", "3.0D as a2", "5.0D as b0", "1.0D as b1", "1.0D as b2")
+    return nation.unionByName(of_sheet)
+
+
+_CONVERSION = (
+    _SHEETS
+    + """, par as (select *, case when r_regionkey is not null then [r_regionkey * 7, -1, 3, 5, 1, 1] when n_nationkey is not null then [n_nationkey * 1000, 2, 1, n_nationkey * 10, -1, 4] end as p
+      from (select distinct s, name from ord) left join region on s = 8 * r_regionkey left join nation on s % 1000 = n_nationkey and n_nationkey <> 19),
+    told as (select *, case s % 8 when 1 then 'unknown_object' when 2 then 'truncated' when 5 then 'bad_count' when 6 then 'bad_code' when 7 then 'unknown_object'
+      else case when p is null then 'no parameters' when s % 16 = 3 then 'unreadable coordinate' end end as reason from par),
+    pts as (select s, k, record_no, kind, 0 as point_no, cast(p as decimal(12,3)) as x, cast(c as decimal(12,3)) as y from rec where kind <> 'LINEA'
+      union all select s, k, record_no, kind, 1, cast(p as decimal(12,3)), cast(c % 100 + 0.5 as decimal(12,3)) from rec where kind in ('BORDO', 'FIDUCIALE')
+      union all select s, k, record_no, kind, vertex_no + case when kind = 'BORDO' then 2 else 0 end, x, y from rec join lin using (k) where kind in ('BORDO', 'LINEA')) """
+)
+
+
+@query(
+    _CONVERSION
+    + """select name as codice_foglio, record_no, kind, point_no::int as point_no, (p[1] + p[2] * x + p[3] * y)::double as x, (p[4] + p[5] * x + p[6] * y)::double as y
+    from pts join told using (s) where reason is null"""
+)
+def sheets_converted(spark, sf_dir):
+    """Every point and vertex of all five kinds of objects, by the parameters of the sheet or else of the municipality."""
+    return transform.point_rows(transform.convert_sheets(_to_convert(spark, sf_dir), _both_parameters(spark, sf_dir))[0])
+
+
+@query(_CONVERSION + "select name as codice_foglio, concat(name, '.CTF') as filename, reason, case when reason = 'unreadable coordinate' then (select count(*) from rec where rec.s = told.s)::int end as record_no from told where reason is not null")
+def conversion_quarantine(spark, sf_dir):
+    """Sheets that are not converted, and why."""
+    return transform.convert_sheets(_to_convert(spark, sf_dir), _both_parameters(spark, sf_dir))[1]
+
+
+# --- drop folders
+
+
+def _drop_folder(spark: SparkSession, rows: DataFrame, order: list[str], run, deliveries: list[tuple[str, str]]) -> tuple[str, set[str], set[str]]:
+    """Deliveries of rows(filename, value), by a condition and an encoding, dropped one after the other and handled by run(folder, out, ledger): where the results are, which files were moved, and which still lie in the folder."""
+    base = tb.scratch(spark, "drop")
+    folder, out, ledger, done = (f"{base}/{x}" for x in ("in", "out", "ledger", "done"))
+    for condition, encoding in [*deliveries, (None, None)]:
+        if condition:
+            tb.place_files(rows.where(condition), order, folder, encoding)
+        run(spark, folder, out, ledger).awaitTermination()
+        drop_folder.move_handled(spark, folder, out, done)
+    return out, set(folders.names(spark, done)), set(folders.names(spark, folder))
+
+
+@query(
+    _SHEETS
+    + """select name as codice_foglio, case s % 8 when 1 then 'unknown_object' when 2 then 'truncated' when 5 then 'bad_count' when 6 then 'bad_code' when 7 then 'unknown_object' else 'ok' end as status,
+    case when s % 8 in (0, 3, 4) then count(*) else 0 end as n_objects, 1::bigint as handled, true as moved from rec group by name, s"""
+)
+def drop_folder_sheets(spark, sf_dir):
+    """Sheets dropped in two deliveries and handled by a stream that ran three times: each once, and moved away."""
+    made = tb.render_sheets(spark, sf_dir, True).select("filename", F.regexp_replace("content", "\r?\n$", "").alias("value"))
+    even = "cast(substring(filename, 6, 4) as int) % 2"
+    out, moved, left = _drop_folder(spark, made, [], drop_folder.run_once, [(f"{even} = 0", "UTF-8"), (f"{even} = 1", "UTF-8")])
+    sizes = F.greatest(F.lit(0), F.coalesce(F.size("objects"), F.lit(0))).cast("long")
+    found = spark.read.parquet(out).groupBy("codice_foglio", "filename").agg(F.max("status").alias("status"), F.max(sizes).alias("n_objects"), F.count("*").alias("handled"))
+    names = spark.createDataFrame([(n, n not in left) for n in sorted(moved)], "filename string, moved boolean")
+    return found.join(names, "filename", "left").select("codice_foglio", "status", "n_objects", "handled", F.coalesce("moved", F.lit(False)).alias("moved"))
+
+
+@query(
+    "select case when c_custkey % 4 = 3 then 'TIT' else 'SOG' end as register, concat('d', c_custkey % 4, case when c_custkey % 4 = 3 then '.TIT' else '.sog' end) as filename, "
+    "row_number() over (partition by c_custkey % 4 order by c_custkey) - 1 as line_no, concat(c_custkey, '|citt\u00e0 di ', c_name, '|\u00e8') as value, true as moved from customer"
+)
+def drop_folder_registers(spark, sf_dir):
+    """Register files dropped in two deliveries, the second in an older encoding: lines with their numbers, each file once, and moved away."""
+    kind = "case when c_custkey % 4 = 3 then '.TIT' else '.sog' end"
+    rows = tb.table(spark, sf_dir, "customer").select("c_custkey", F.expr(f"concat('d', c_custkey % 4, {kind})").alias("filename"), F.expr("concat(c_custkey, '|citt\u00e0 di ', c_name, '|\u00e8')").alias("value"))
+    out, moved, left = _drop_folder(spark, rows, ["c_custkey"], drop_folder.run_registers_once, [("c_custkey % 4 < 2", "UTF-8"), ("c_custkey % 4 >= 2", "ISO-8859-1")])
+    return spark.read.parquet(out).select("register", "filename", "line_no", "value", F.col("filename").isin(sorted(moved - left)).alias("moved"))
+
+
 # --- scalars
 
 _RAW = "case o_orderkey % 8 when 0 then concat(' ', o_orderkey, ' ') when 1 then concat('000', o_orderkey) when 2 then concat('+', o_orderkey) when 3 then '2.7' when 4 then '' when 5 then '1_000' when 6 then 'x' else concat(o_orderkey) end"
@@ -382,11 +473,102 @@ def _with(*tables: str) -> str:
     return "with " + ", ".join(f"{t} as ({tb.expected_table(t)})" for t in tables) + " "
 
 
+# --- register files in one pass
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the register files, by line: register, filename, line_no, value."""
+    raw = tb.scratch(spark, "raw-lines")
+    files.read_lines(spark, tb.register_files(spark, sf_dir)).write.parquet(raw)
+    lines = files.numbered(spark.read.parquet(raw))
+    return lines.select(files.extension(files.suffix("filename")).alias("register"), "filename", "line_no", "value")
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
+    path = tb.scratch(spark, "split")
+    return path, registers.store_split(_staged(spark, sf_dir), path)
+
+
+_LINES = f"with l as ({tb.expected_lines()}) "
+
+
+@query(_LINES + "select filename, line_no, case fault when 1 then 'unknown type' when 2 then 'no type' when 3 then 'too few fields' else 'too many fields' end as reason from l where fault in (1, 2, 3, 4)")
+def register_rejects(spark, sf_dir):
+    """Lines of register files that no target takes, by file and line number."""
+    return registers.rejects(spark, _split(spark, sf_dir)[0]).select("filename", "line_no", "reason")
+
+
+@query(_LINES + "select register, count(*) as lines_in, count(*) filter (fault in (0, 5)) as lines_out, count(*) filter (fault in (1, 2, 3, 4)) as rejects, true as balanced from l group by 1")
+def register_balance(spark, sf_dir):
+    """What one scan counted on its way in, and what stands in the folders that it wrote."""
+    path, seen = _split(spark, sf_dir)
+    register = F.coalesce("register", F.lit("")).alias("register")
+    out = spark.read.parquet(path).groupBy(register).agg(F.count_if(F.col("record") != registers.REJECTS).alias("lines_out"), F.count_if(F.col("record") == registers.REJECTS).alias("rejects"))
+    counted = F.create_map(*[F.lit(x) for r in census.REGISTERS for x in (r, seen[r])])
+    return out.withColumn("lines_in", F.try_element_at(counted, F.col("register"))).withColumn("balanced", F.col("lines_in") == F.col("lines_out") + F.col("rejects"))
+
+
+def _digest_sql(table: str) -> str:
+    row = "concat_ws('|', " + ", ".join(f"coalesce({f.target}::varchar, '-')" for f in census.fields(table)) + ")"
+    fault = tb.register_fault(census.ORIGINS[table][0])
+    return f"select '{table}' as target, count(*) as n, sum(('0x' || substr(md5({row}), 1, 8))::bigint)::bigint as digest from ({tb.expected_table(table, f'({fault}) in (0, 5)')})"
+
+
+@query(" union all ".join(map(_digest_sql, census.TARGETS)))
+def fan_out_digests(spark, sf_dir):
+    """All eleven targets, read from what one scan of the register files wrote."""
+    made = registers.targets(spark, _split(spark, sf_dir)[0])
+
+    def digest(name: str, df: DataFrame) -> DataFrame:
+        row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns])
+        return df.agg(F.lit(name).alias("target"), F.count("*").alias("n"), F.sum(F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("long")).alias("digest"))
+
+    return functools.reduce(DataFrame.unionByName, [digest(t, df) for t, df in made.items()])
+
+
+#: Stated here once more: what records may lack.
+_MAY_LACK = {
+    "FAB": "sezione codice_causale_atto_generante descrizione_atto_generante codice_causale_atto_conclusivo descrizione_atto_conclusivo flag_classamento",
+    "TER": "sezione codice_causale_atto_generante descrizione_atto_generante codice_causale_atto_conclusivo descrizione_atto_conclusivo",
+    "SOG": "sezione cognome nome sesso data_di_nascita luogo_di_nascita info_suppl denominazione sede",
+    "TIT": "sezione identificativo_titolarita codice_causale_atto_generante descrizione_atto_generante codice_causale_atto_conclusivo descrizione_atto_conclusivo",
+}
+
+
+def _missing_sql(register: str, record_type: str | None) -> str:
+    lacking = ", ".join(f"case when trim({tb.raw_field(register, record_type, f)}) = '' then '{f}' end" for f in census.layout(register, record_type) if f not in _MAY_LACK[register].split())
+    return f"select filename, line_no, concat_ws(',', {lacking}) as missing from l where register = '{register}' and record_type = '{record_type or ''}' and fault in (0, 5)"
+
+
+@query(_LINES + "select * from (" + " union all ".join(_missing_sql(*o) for o in registers.RECORDS.values()) + ") where missing <> ''")
+def register_missing_fields(spark, sf_dir):
+    """Records of all registers that lack required fields, by one expression."""
+    rows = registers.classified(_staged(spark, sf_dir)).where("reason is null")
+    return rows.select("filename", "line_no", F.concat_ws(",", registers.missing()).alias("missing")).where("missing <> ''")
+
+
+@query(
+    "select c_custkey as key, case when c_custkey % 7 = 0 then concat(c_name, '|', c_custkey) when c_custkey % 7 = 1 then concat('\"', c_name, '\"') else c_name end as name, "
+    "case when c_custkey % 5 <> 3 then c_mktsegment end as segment, case c_custkey % 5 when 3 then 'too few fields' when 4 then 'too many fields' end as reason, c_custkey % 5 in (3, 4) as is_corrupt from customer"
+)
+def census_lines_checked(spark, sf_dir):
+    """Delimited lines in files, some too short or too long, some with bars and quotes in quoted fields."""
+    name = "case c_custkey % 7 when 0 then concat('\"', c_name, '|', c_custkey, '\"') when 1 then concat('\"\"\"', c_name, '\"\"\"') else c_name end"
+    value = F.expr(f"concat(c_custkey, '|', {name}, case c_custkey % 5 when 3 then '' when 4 then concat('|', c_mktsegment, '|more') else concat('|', c_mktsegment) end)")
+    path = tb.scratch(spark, "lines")
+    tb.place_files(tb.table(spark, sf_dir, "customer").select(F.expr("concat('c', c_custkey % 3, '.SOG')").alias("filename"), "c_custkey", value.alias("value")), ["c_custkey"], path)
+    rows = files.delimited_checked(files.read_lines(spark, path).select(F.col("line").cast("string").alias("value")), ["key", "name", "segment"])
+    return rows.select(F.col("key").cast("long").alias("key"), "name", "segment", "reason", F.col("corrupt").isNotNull().alias("is_corrupt"))
+
+
+# --- links
+
+
 @query(
     _with("cuidenti", "ctpartic")
     + """select i.codice, i.sezione, i.immobile, i.progressiv, try_cast(i.foglio as integer) as foglio, i.numero, i.denominato,
     case when p.immobile is not null then md5(concat(p.codice, '|', p.sezione, '|', p.immobile)) end as terreno_id
-    from cuidenti i left join ctpartic p on i.codice = p.codice and i.sezione = p.sezione and try_cast(i.foglio as integer) = p.foglio and i.numero = p.numero and i.denominato is not distinct from p.denominato"""
+    from cuidenti i left join (select * from ctpartic where immobile is not null) p on i.codice = p.codice and i.sezione = p.sezione and try_cast(i.foglio as integer) = p.foglio and i.numero = p.numero and i.denominato is not distinct from p.denominato"""
 )
 def building_land_links(spark, sf_dir):
     return links.units_to_land(_target(spark, sf_dir, "cuidenti"), _target(spark, sf_dir, "ctpartic"))
@@ -412,6 +594,36 @@ def owner_units(spark, sf_dir):
     return links.owned_units(*[_target(spark, sf_dir, t) for t in ("cttitola", "cuarcuiu", "ctpartic")])
 
 
+@query(
+    _with("cuidenti", "ctpartic")
+    + """, i as (select codice, sezione, immobile, progressiv, try_cast(foglio as integer) as foglio, numero, denominato from cuidenti)
+    select i.*, case when foglio is null then 'no foglio' else 'no such parcel' end as reason from i where not exists (
+      select 1 from ctpartic p where i.codice = p.codice and i.sezione = p.sezione and i.foglio = p.foglio and i.numero = p.numero and i.denominato is not distinct from p.denominato and p.immobile is not null)"""
+)
+def unmatched_units(spark, sf_dir):
+    return links.unmatched_units(_target(spark, sf_dir, "cuidenti"), _target(spark, sf_dir, "ctpartic"))
+
+
+@query(
+    _with("cttitola", "ctfisica", "ctnonfis")
+    + """, s as (select codice, sezione, soggetto, tipo_sog from ctfisica union all select codice, sezione, soggetto, tipo_sog from ctnonfis)
+    select codice, sezione, soggetto, tipo_sog, immobile, numeratore, denominato, identifica, case when soggetto is null then 'no soggetto' else 'no such subject' end as reason
+    from cttitola t where not exists (select 1 from s where s.codice = t.codice and s.sezione = t.sezione and s.soggetto = t.soggetto and s.tipo_sog = t.tipo_sog)"""
+)
+def unmatched_titles(spark, sf_dir):
+    return links.unmatched_titles(*[_target(spark, sf_dir, t) for t in ("cttitola", "ctfisica", "ctnonfis")])
+
+
+@query(
+    _with("cttitola", "cuarcuiu", "ctpartic")
+    + """, o as (select codice, sezione, immobile, tipo_imm from cuarcuiu union all select codice, sezione, immobile, tipo_imm from ctpartic)
+    select codice, sezione, immobile, tipo_imm, soggetto, identifica, case when immobile is null then 'no immobile' else 'no such thing' end as reason
+    from cttitola t where not exists (select 1 from o where o.codice = t.codice and o.sezione = t.sezione and o.immobile = t.immobile and o.tipo_imm = t.tipo_imm)"""
+)
+def unmatched_shares(spark, sf_dir):
+    return links.unmatched_shares(*[_target(spark, sf_dir, t) for t in ("cttitola", "cuarcuiu", "ctpartic")])
+
+
 _REGISTER_LINES = (
     "with u as ("
     + " union all ".join(
@@ -446,6 +658,49 @@ def targets_stored(spark, sf_dir):
     return spark.read.schema(made.schema).parquet(f"{path}/ctfisica").select(*made.columns)
 
 
+_SECOND = "(codice = 'H001' and soggetto % 100 < 50 or codice in ('H002', 'H004'))"
+
+
+@query(
+    _with("ctfisica", "ctnonfis")
+    + f"""select 'ctfisica' as target, codice, soggetto, tipo_sog, case when {_SECOND} then 'second' else 'first' end as delivery from ctfisica where codice not in ('H001', 'H002', 'H003', 'H004') or {_SECOND}
+    union all select 'ctnonfis', codice, soggetto, tipo_sog, case when {_SECOND} then 'second' else 'first' end from ctnonfis where codice not in ('H001', 'H002', 'H003', 'H004') or {_SECOND} and codice <> 'H002'"""
+)
+def targets_redelivered(spark, sf_dir):
+    """A delivery of all municipalities, then one of four of them, which comes twice: fewer rows of one, none of another, of a third none in one table. Read back."""
+    path = tb.scratch(spark, "redelivered")
+    tables = {t: _target(spark, sf_dir, t).select("codice", "soggetto", "tipo_sog") for t in ("ctfisica", "ctnonfis")}
+    sinks.store_delivery({t: df.withColumn("delivery", F.lit("first")) for t, df in tables.items()}, path, functools.reduce(DataFrame.unionByName, [df.select("codice") for df in tables.values()]), 2)
+    second = {t: df.where(_SECOND if t == "ctfisica" else f"{_SECOND} and codice <> 'H002'").withColumn("delivery", F.lit("second")) for t, df in tables.items()}
+    delivered = spark.createDataFrame([(c,) for c in ("H001", "H002", "H003", "H004")], "codice string")
+    for _ in range(2):
+        sinks.store_delivery(second, path, delivered, 2)
+    return functools.reduce(DataFrame.unionByName, [spark.read.parquet(f"{path}/{t}").select(F.lit(t).alias("target"), F.col("codice").cast("string"), "soggetto", "tipo_sog", "delivery") for t in tables])
+
+
+def _bucketed(spark, sf_dir, buckets: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Titles and subjects, each stored in buckets of the subject's key, and read back."""
+    made = {"titles": _target(spark, sf_dir, "cttitola"), "subjects": links.subjects(*[_target(spark, sf_dir, t) for t in ("ctfisica", "ctnonfis")])}
+    found = []
+    for name, df in made.items():
+        path = tb.scratch(spark, name)
+        table = "terrier_" + path.rsplit("/", 1)[1].replace("-", "_")
+        sinks.store_bucketed(df, table, links.SUBJECT.parts, buckets, path)
+        found.append(spark.table(table))
+    return tuple(found)
+
+
+@query(
+    _with("cttitola", "ctfisica", "ctnonfis")
+    + """, s as (select codice, sezione, soggetto, tipo_sog, concat_ws(' ', cognome, nome) as subject, 'natural' as person from ctfisica
+      union all select codice, sezione, soggetto, tipo_sog, denominaz, 'legal' from ctnonfis)
+    select codice, sezione, soggetto, tipo_sog, immobile, numeratore, denominato, identifica, subject, person from cttitola join s using (codice, sezione, soggetto, tipo_sog)"""
+)
+def registers_bucketed(spark, sf_dir):
+    """Owners, from tables in buckets of the subject's key: nothing is shuffled to join them."""
+    return links.owners_of(*_bucketed(spark, sf_dir))
+
+
 @query(_REGISTER_LINES + "select register, codice, count(*) as n from u group by 1, 2")
 def registers_stored(spark, sf_dir):
     """All registers stored, each in its own folder, and read back."""

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrier.operators.census import Field, fields, layout
+from terrier.sources import folders
 
 ORDERS_PER_SHEET = 500
 DOCUMENTS_PER_ARCHIVE = 200
@@ -138,13 +139,13 @@ def raw_field(register: str, record_type: str | None, name: str) -> str:
     fixed = {
         "codice_ammvo": "concat('H', lpad(concat(g % 50), 3, '0'))",
         "sezione": "case when g % 9 = 0 then '' else substr('ABCD', cast(g % 4 as int) + 1, 1) end",
-        "identificativo_immobile": "concat(g % 1800)" if register == "TIT" else "concat(k)",
+        "identificativo_immobile": "case when k % 31 = 0 then 'x12' else concat(g % 1800) end" if register == "TIT" else "case when k % 37 = 0 then '' else concat(k) end",
         "tipo_immobile": {"FAB": "'F'", "TER": "'T'"}.get(register, "case when g % 5 = 0 then 'T' else 'F' end"),
         "progressivo": "concat(k % 3 + 1)",
         "tipo_record": f"'{record_type}'",
-        "identificativo_soggetto": "concat(g)",
+        "identificativo_soggetto": f"case when k % {29 if register == 'TIT' else 23} = 0 then 'n.d.' else concat(g) end",
         "tipo_soggetto": "case when g % 3 <> 0 then 'P' else 'G' end",
-        "foglio": "lpad(concat(k % 200), 4, '0')",
+        "foglio": f"case when k % {41 if register == 'TER' else 43} = 0 then 'x12' else lpad(concat(k % 200), 4, '0') end",
         "numero": "concat(k % 500)",
         "denominatore": "case when k % 4 = 0 then '' else concat(k % 3) end",
         "quota_numeratore": "concat(k % 10 + 1)",
@@ -187,6 +188,66 @@ def _lines(spark: SparkSession, sf_dir: str, register: str) -> DataFrame:
     return out
 
 
+#: What is wrong with a line, by its key: its type is unknown (1) or blank (2), it lacks its last field (3) or has one too many (4); 5 is in quotes, which is right.
+FAULT = "case when k % 17 <> 0 then 0 else 1 + cast(floor(k / 17) as int) % 5 end"
+FILES_PER_REGISTER = 3
+
+
+def register_fault(register: str) -> str:
+    """FAULT, without the faults of types where a register has none."""
+    return FAULT if register in ("FAB", "TER") else f"case when ({FAULT}) in (1, 2) then 0 else ({FAULT}) end"
+
+
+def place_files(rows: DataFrame, order: list[str], folder: str, encoding: str = "UTF-8") -> None:
+    """Write rows(filename, value, ...) as text files of those names, lines in that order. Files are written by Spark; only their names are then moved."""
+    spark, held = rows.sparkSession, f"{folder}-parts-{uuid.uuid4().hex}"
+    lines = rows.repartition("filename").sortWithinPartitions("filename", *order).select("filename", "value")
+    plain = {"encoding": encoding, "sep": "\x01", "quote": "", "escapeQuotes": "false", "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    (lines.write.partitionBy("filename").text(held) if encoding == "UTF-8" else lines.write.partitionBy("filename").options(**plain).csv(held))
+    folders.make(spark, folder)
+    for name in folders.names(spark, held):
+        if name.startswith("filename="):
+            part = next(p for p in folders.names(spark, f"{held}/{name}") if p.startswith("part-"))
+            folders.move(spark, f"{held}/{name}/{part}", f"{folder}/{name.removeprefix('filename=')}")
+    folders.remove(spark, held)
+
+
+def register_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with FILES_PER_REGISTER files of each register, some of whose lines have faults: d0.FAB, d1.FAB, ... Rendered once an application."""
+    key = (spark.sparkContext.applicationId, "register files", sf_dir)
+    if key not in _RENDERED:
+        _RENDERED[key] = scratch(spark, "registers")
+        parts = [faulty_lines(spark, sf_dir, r, t) for r, t in LINE_SOURCES]
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        place_files(rows, ["k", "record_type"], _RENDERED[key])
+    return _RENDERED[key]
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str, register: str, record_type: str | None) -> DataFrame:
+    """(filename, k, record_type, value): the lines of render_lines() with their faults."""
+    name, k, g = LINE_SOURCES[register, record_type]
+    fault = register_fault(register)
+    raw = [f"({raw_field(register, record_type, f)})" for f in layout(register, record_type)]
+    if record_type:
+        raw[5] = f"case ({fault}) when 1 then '9' when 2 then ' ' else '{record_type}' end"
+    rows = table(spark, sf_dir, name).select(F.col(k).alias("k"), F.col(g).alias("g"))
+    rows = rows.select("k", F.array(*map(F.expr, raw)).alias("f"), F.expr(fault).alias("fault"))
+    quoted = F.transform("f", lambda x: F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"')))
+    found = F.when(F.col("fault") == 3, F.slice("f", 1, len(raw) - 1)).when(F.col("fault") == 4, F.concat("f", F.array(F.lit("more")))).when(F.col("fault") == 5, quoted).otherwise(F.col("f"))
+    return rows.select(F.expr(f"concat('d', k % {FILES_PER_REGISTER}, '.{register}')").alias("filename"), "k", F.lit(record_type or "").alias("record_type"), F.array_join(found, "|").alias("value"))
+
+
+def expected_lines() -> str:
+    """DuckDB SQL of the lines of register_files(): register, filename, line_no, k, g, record_type, fault."""
+    parts = " union all ".join(
+        f"select '{r}' as register, concat('d', k % {FILES_PER_REGISTER}, '.{r}') as filename, k, g, '{t or ''}' as record_type, {register_fault(r)} as fault from (select {k} as k, {g} as g from {source})"
+        for (r, t), (source, k, g) in LINE_SOURCES.items()
+    )
+    return f"select *, row_number() over (partition by filename order by k, record_type) - 1 as line_no from ({parts})"
+
+
 def expected_field(register: str, record_type: str | None, f: Field) -> str:
     """DuckDB SQL of a target column."""
     if f.source is None:
@@ -201,15 +262,15 @@ def expected_field(register: str, record_type: str | None, f: Field) -> str:
     }.get(f.kind, raw)
 
 
-def expected_table(name: str) -> str:
-    """DuckDB SQL of a target table."""
+def expected_table(name: str, more: str = "") -> str:
+    """DuckDB SQL of a target table. more: a condition on the keys k and g of its lines."""
     from terrier.operators.census import ORIGINS
 
     origin = ORIGINS[name]
     source, k, g = LINE_SOURCES[origin]
     columns = ", ".join(f"{expected_field(*origin, f)} as {f.target}" for f in fields(name))
-    where = {"ctfisica": " where g % 3 <> 0", "ctnonfis": " where g % 3 = 0"}.get(name, "")
-    return f"select {columns} from (select {k} as k, {g} as g from {source}){where}"
+    where = {"ctfisica": "g % 3 <> 0", "ctnonfis": "g % 3 = 0"}.get(name, "true")
+    return f"select {columns} from (select {k} as k, {g} as g from {source}) where {where}{f' and ({more})' if more else ''}"
 
 
 def render_archives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,39 @@ def read_files(spark: SparkSession, path: str, glob: str | None = None, recursiv
     return with_type(files.select(name, text.alias("content")))
 
 
+def read_lines(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """(path, filename, block, at, line): each line of the files as bytes, ended by LF, CR LF or CR. Files are split among tasks wherever they are large.
+
+    block is where a task began to read the file, at orders the lines of a block. Write the rows before numbered() is used on
+    them: at holds for one reading only.
+    """
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return with_places(reader.text(path))
+
+
+def with_places(text: DataFrame) -> DataFrame:
+    """The columns of read_lines() for the rows of a text source."""
+    meta = F.col("_metadata")
+    return text.select(meta.file_path.alias("path"), meta.file_name.alias("filename"), meta.file_block_start.alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").cast("binary").alias("line"))
+
+
+def numbered(lines: DataFrame, encoding: str | None = None) -> DataFrame:
+    """(path, filename, line_no, value) of written rows of read_lines(): lines with their number in the file, from 0.
+
+    encoding: of the bytes; without one (None) a file is UTF-8 if all of it is that, and ISO-8859-1 otherwise. Only one row for
+    each block is ordered by file; lines meet it by block, so the largest file is no task of its own.
+    """
+    utf8 = F.bool_and(F.is_valid_utf8(F.col("line").cast("string")))
+    blocks = lines.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"), utf8.alias("utf8"))
+    of_file = Window.partitionBy("path")
+    before = F.coalesce(F.sum("n").over(of_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("path", "block", "first", before.alias("before"), F.min("utf8").over(of_file).alias("utf8"))
+    text = F.when(F.col("utf8"), F.col("line").cast("string")).otherwise(F.decode("line", "ISO-8859-1")) if encoding is None else F.decode("line", encoding)
+    return lines.join(blocks, ["path", "block"]).select("path", "filename", (F.col("before") + F.col("at") - F.col("first")).alias("line_no"), text.alias("value"))
+
+
 def suffix(name: Column | str) -> Column:
     """The suffix with its dot; empty if there is none."""
     return F.regexp_extract(name, r"(\.[^./]+)$", 1)
@@ -167,8 +200,30 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
     return files.select(F.col("_metadata.file_name").alias("archive"), "content")
 
 
+#: A field behind a bar: in quotes, where bars are none and quotes are doubled, or up to the next bar.
+_FIELD = r'\|("[^"]*+(?:""[^"]*+)*+"(?=\||$)|[^|]*)'
+
+
+def split_fields(line: Column | str) -> Column:
+    """The fields of a line between bars. A field in double quotes may hold bars; its quotes are undone. A quote that never ends is a letter."""
+    line = F.col(line) if isinstance(line, str) else line
+    found = F.regexp_extract_all(F.concat(F.lit("|"), line), F.lit(_FIELD), F.lit(1))
+    plain = F.transform(found, lambda x: F.when((F.length(x) > 1) & x.startswith('"') & x.endswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
+    return F.when(F.contains(line, F.lit('"')), plain).otherwise(F.split(line, r"\|"))
+
+
 def delimited(lines: DataFrame, names: list[str], line: str = "value", sep: str = "|") -> DataFrame:
-    """The fields of delimited lines by place; fields that a line lacks are null. Other columns stay."""
+    """The fields of delimited lines by place; fields that a line lacks are null. Other columns stay. See delimited_checked() for lines of wrong length."""
     parts = F.split(line, "[" + sep + "]" if sep != "^" else "\\^")
     kept = [c for c in lines.columns if c != line and c not in names]
     return lines.withColumn("_parts", parts).select(*kept, *[F.get("_parts", F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
+def delimited_checked(lines: DataFrame, names: list[str], line: str = "value") -> DataFrame:
+    """The fields of lines between bars by place, quotes undone, with reason (too few fields, too many fields) and the whole line as corrupt where their number is wrong."""
+    kept = [c for c in lines.columns if c != line and c not in names]
+    parts = lines.withColumn("_parts", split_fields(line))
+    size = F.coalesce(F.size("_parts"), F.lit(0))
+    reason = F.when(size < len(names), "too few fields").when(size > len(names), "too many fields")
+    parts = parts.withColumn("_reason", reason)
+    return parts.select(*kept, *[F.get("_parts", F.lit(i)).alias(n) for i, n in enumerate(names)], F.col("_reason").alias("reason"), F.when(F.col("_reason").isNotNull(), F.col(line)).alias("corrupt"))

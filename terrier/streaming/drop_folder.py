@@ -1,4 +1,7 @@
-"""Files that arrive in a drop folder, as a stream: each is handled once, its text parsed, and the file moved away."""
+"""Files that arrive in a drop folder, as a stream: each is handled once, and moved away when its results are committed.
+
+Files are known by their names: a name that was handled is not looked at again, so a later delivery needs names of its own.
+"""
 
 from __future__ import annotations
 
@@ -6,21 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from terrier.operators.sheets import parse_sheets, split_lines
-from terrier.sources.files import extension, family, with_type
+from terrier.functions.scalars import legacy_text
+from terrier.operators.sheets import parse_sheets
+from terrier.sources import folders
+from terrier.sources.files import extension, family, numbered, suffix, with_type
 
 #: Suffixes in any case of letters.
 SHEETS = "*.[cC][xXtT][fF]"
 REGISTERS = "*.{[fF][aA][bB],[tT][eE][rR],[sS][oO][gG],[tT][iI][tT]}"
 
 
-def arriving(spark: SparkSession, folder: str, glob: str = "*", archive: str | None = None, max_files: int = 1000) -> DataFrame:
-    """(filename, content, filetype) of the files of a folder as they come. archive: where handled files are moved; it must lie outside the folder."""
+def _reader(spark: SparkSession, glob: str, archive: str | None, max_files: int = 1000):
     reader = spark.readStream.option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files)
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    files = reader.text(folder, wholetext=True)
-    return with_type(files.select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("content")))
+    return reader.option("cleanSource", "archive").option("sourceArchiveDir", archive) if archive else reader
+
+
+def arriving(spark: SparkSession, folder: str, glob: str = "*", archive: str | None = None, max_files: int = 1000) -> DataFrame:
+    """(filename, content, filetype) of the files of a folder as they come, each one whole. Bytes are UTF-8 if a file is that, and ISO-8859-1 otherwise.
+
+    archive: where Spark moves handled files when a later batch begins; it must lie outside the folder. See move_handled().
+    """
+    files = _reader(spark, glob, archive, max_files).text(folder, wholetext=True)
+    return with_type(files.select(F.col("_metadata.file_name").alias("filename"), legacy_text(F.col("value").cast("binary")).alias("content")))
 
 
 def _once(rows: DataFrame, out: str, checkpoint: str, by: str | None = None) -> StreamingQuery:
@@ -33,18 +43,43 @@ def run_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob:
     return _once(parse_sheets(arriving(spark, folder, glob, archive)), out, checkpoint)
 
 
-def run_registers_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob: str = REGISTERS, archive: str | None = None) -> StreamingQuery:
-    """The lines of register files that have arrived since the last run: (filename, line_no, value), in a folder for each register."""
-    files = arriving(spark, folder, glob, archive)
-    lines = files.select(extension("filetype").alias("register"), "filename", F.posexplode(split_lines("content")).alias("line_no", "value"))
-    return _once(lines, out, checkpoint, "register")
+def run_registers_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob: str = REGISTERS, archive: str | None = None, max_files: int = 1000) -> StreamingQuery:
+    """The lines of register files that have arrived since the last run: (filename, line_no, value), in a folder for each batch and register.
+
+    Files are read by line, large ones in many tasks. A batch is written as it was read, then numbered and decoded file by file;
+    a batch that is repeated after a failure overwrites what it left.
+    """
+    meta = F.col("_metadata")
+    lines = _reader(spark, glob, archive, max_files).text(folder).select(meta.file_path.alias("path"), meta.file_name.alias("filename"), meta.file_block_start.alias("block"), F.col("value").cast("binary").alias("line"))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        held = f"{out}-reading/batch={batch_id}"
+        batch.withColumn("at", F.monotonically_increasing_id()).write.mode("overwrite").parquet(held)
+        rows = numbered(batch.sparkSession.read.parquet(held)).select(extension(suffix("filename")).alias("register"), "filename", "line_no", "value")
+        rows.write.mode("overwrite").partitionBy("register").parquet(f"{out}/batch={batch_id}")
+        folders.remove(batch.sparkSession, held)
+
+    return lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def run_drawings_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob: str = "*", archive: str | None = None) -> StreamingQuery:
     """Files of any other kind (drawings and scans with their indexes) that have arrived: (filename, content), in a folder for each family."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    files = reader.schema("path string, modificationTime timestamp, length long, content binary").load(folder)
+    files = _reader(spark, glob, archive).format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(folder)
     named = files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("filename"), "content").withColumn("family", family("filename"))
     return _once(named.where(~F.col("family").isin("map", "register")), out, checkpoint, "family")
+
+
+def move_handled(spark: SparkSession, folder: str, out: str, archive: str) -> list[str]:
+    """Move the files of a folder whose results stand in out (which has their filename), once a run has ended; their names.
+
+    A stream itself moves files only when a later batch begins, so those of its last batch would stay.
+    """
+    waiting = folders.names(spark, folder)
+    if not waiting or not folders.names(spark, out):
+        return []
+    done = spark.read.parquet(out).select("filename").join(F.broadcast(spark.createDataFrame([(n,) for n in waiting], "filename string")), "filename", "left_semi").distinct()
+    moved = sorted(r.filename for r in done.collect())  # at most what the folder holds
+    folders.make(spark, archive)
+    for name in moved:
+        folders.move(spark, f"{folder}/{name}", f"{archive}/{name}")
+    return moved

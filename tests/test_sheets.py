@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from terrier.operators import checks, sheets
+from terrier.operators import checks, sheets, transform
 from terrier.streaming import drop_folder
 
 HEAD = ["MAPPA", "L219C034500", "  4000.000"]
@@ -96,3 +96,46 @@ def test_drop_folder_of_registers_and_drawings(spark, tmp_path):
         drop_folder.run_drawings_once(spark, str(drop), str(tmp_path / "drawings"), str(tmp_path / "l2")).awaitTermination()
     assert sorted((r.register, r.line_no, r.value) for r in spark.read.parquet(str(tmp_path / "lines")).collect()) == [("FAB", 0, "L219|A|1"), ("FAB", 1, "L219|B|2"), ("TIT", 0, "L219|C|3")]
     assert [(r.filename, r.family, bytes(r.content)) for r in spark.read.parquet(str(tmp_path / "drawings")).collect()] == [("c_SC.DAT", "scan", b"\xff\x00")]
+
+
+def test_drop_folder_takes_older_bytes_and_moves_what_it_handled(spark, tmp_path):
+    drop, done = tmp_path / "drop", tmp_path / "done"
+    drop.mkdir()
+    (drop / "a.fab").write_bytes("città\r\nb".encode("latin-1"))
+    (drop / "b.TIT").write_bytes("città".encode())
+    (drop / "L219C034500.CTF").write_bytes("\r\n".join([*HEAD, "TESTO", "città", "1", "2", "3", "4", "EOF"]).encode("latin-1"))
+    for _ in range(2):
+        drop_folder.run_registers_once(spark, str(drop), str(tmp_path / "lines"), str(tmp_path / "l1"), max_files=1).awaitTermination()
+        drop_folder.run_once(spark, str(drop), str(tmp_path / "sheets"), str(tmp_path / "l2")).awaitTermination()
+    assert sorted((r.register, r.line_no, r.value) for r in spark.read.parquet(str(tmp_path / "lines")).collect()) == [("FAB", 0, "città"), ("FAB", 1, "b"), ("TIT", 0, "città")]
+    assert [r.objects[0].fields[0] for r in spark.read.parquet(str(tmp_path / "sheets")).collect()] == ["città"]
+    (drop / "late.TIT").write_text("x")
+    assert drop_folder.move_handled(spark, str(drop), str(tmp_path / "lines"), str(done)) == ["a.fab", "b.TIT"]
+    assert drop_folder.move_handled(spark, str(drop), str(tmp_path / "sheets"), str(done)) == ["L219C034500.CTF"]
+    assert [p.name for p in drop.iterdir()] == ["late.TIT"] and len(list(done.iterdir())) >= 3
+    assert drop_folder.move_handled(spark, str(tmp_path / "absent"), str(tmp_path / "lines"), str(done)) == []
+
+
+PARAMETERS = "code string, a0 double, a1 double, a2 double, b0 double, b1 double, b2 double"
+
+
+def test_whole_sheets_are_converted(spark):
+    lines = [*HEAD, "BORDO", "12+", "1", "0", "1.0", "2.0", "3.0", "4.0", "1", "2", "1", "1.5", "2.5", "3", "4"]
+    lines += ["TESTO", "7", "1", "0", "5", "6", "SIMBOLO", "9", "0", "1", "2", "FIDUCIALE", "7", "1", "2", "3", "4", "5", "LINEA", "2", "1", "8", "9", "EOF"]
+    names = ["L219C034500", "L219C034600", "L220A000100", "L219D000100"]
+    content = ["\r\n".join(lines).replace("L219C034500", n) for n in names]
+    content[3] = content[3].replace("\r\n8\r\n9\r\n", "\r\n8\r\nx\r\n")
+    df = spark.createDataFrame([(f"{n}.CTF", ".CTF", c) for n, c in zip(names, content, strict=True)] + [("bad.CTF", ".CTF", "")], "filename string, filetype string, content string")
+    rows = [("L219", 100.0, 1.0, 0.0, 0.0, 0.0, 2.0), ("L219C034600", 0.0, 0.0, 1.0, 0.5, 1.0, 0.0), ("L219C034600", -1.0, 0.0, 1.0, 0.5, 1.0, 0.0), (None, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0)]
+    done, left = transform.convert_sheets(sheets.parse_sheets(df), spark.createDataFrame(rows, PARAMETERS))
+    assert {(r.codice_foglio, r.filename, r.reason, r.record_no) for r in left.collect()} == {(None, "bad.CTF", "bad_name", None), ("L220A000100", "L220A000100.CTF", "no parameters", None), ("L219D000100", "L219D000100.CTF", "unreadable coordinate", 4)}
+    points = {}
+    for r in transform.point_rows(done).orderBy("codice_foglio", "record_no", "point_no").collect():
+        points.setdefault(r.codice_foglio, []).append((r.kind, r.x, r.y))
+    before = [("BORDO", 1, 2), ("BORDO", 3, 4), ("BORDO", 1.5, 2.5), ("BORDO", 3, 4), ("TESTO", 5, 6), ("SIMBOLO", 1, 2), ("FIDUCIALE", 2, 3), ("FIDUCIALE", 4, 5), ("LINEA", 8, 9)]
+    assert points == {"L219C034500": [(k, 100 + x, 2 * y) for k, x, y in before], "L219C034600": [(k, y, 0.5 + x) for k, x, y in before]}
+    assert done.columns == sheets.parse_sheets(df).columns
+    text = sheets.of_kind(sheets.objects(done), "TESTO").where("codice_foglio = 'L219C034500'").first()
+    assert (text.testo, text.dimensione, text.posizione_x) == ("7", "1", "105.000")
+    none, all_ = transform.convert_sheets(sheets.parse_sheets(df.limit(0)), spark.createDataFrame([], PARAMETERS))
+    assert none.count() == all_.count() == 0
