@@ -52,7 +52,7 @@ class Phrases:
     top: int = 2000
     permille: int = 1000
     filter_bits: int = 1 << 25
-    block: int = 2_000_000
+    block: int = 3_000_000
     paths: int = 1_500_000
     hot: int = 1 << 20
     salts: int = 64
@@ -91,6 +91,16 @@ class Filter:
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         return (self._bit(hashes) & self._bit(hashes >> np.uint64(32))).astype(bool)
 
+    def one(self):
+        """The same for one number at a time, without arrays."""
+        words, mask = memoryview(self.words), int(self.mask)
+
+        def holds(h: int) -> bool:
+            a, b = h & mask, h >> 32 & mask
+            return bool(words[a >> 6] >> (a & 63) & words[b >> 6] >> (b & 63) & 1)
+
+        return holds
+
 
 def filter_of(keys: DataFrame, bits: int) -> np.ndarray:
     """The filter of a column of hashes, as 64-bit words: its bits are set by groups of 64, so at most bits / 64 rows reach the driver."""
@@ -108,11 +118,11 @@ class _Codes(dict):
     HELD, LONGEST = 100_000, 64
 
     def __init__(self, lang: str, known: Filter):
-        self.seed, self.known = seed_of(lang), known
+        self.seed, self.known = seed_of(lang), known.one()
 
     def __missing__(self, word: bytes) -> int:
         h = word_hash(word, self.seed) if word != END else 0
-        if h and not self.known.holds(np.array([h], np.uint64))[0]:
+        if h and not self.known(h):
             h = 0
         if len(word) <= self.LONGEST:
             if len(self) >= self.HELD:
@@ -143,9 +153,13 @@ class CountTransducer:
         self.columns, self.weights = columns, weights
 
     @classmethod
-    def of(cls, columns: list[np.ndarray], weights: np.ndarray | None = None) -> CountTransducer:
-        """From n-grams in any order: sorted, and those alike made one path."""
-        order = np.argsort(columns[0], kind="stable") if len(columns) == 1 else np.lexsort(columns[::-1])
+    def of(cls, columns: list[np.ndarray], weights: np.ndarray | None = None, told: int = 0) -> CountTransducer:
+        """From n-grams in any order: sorted, and those alike made one path. told: so many columns behind the first are told by it, as it is their hash, and need no sorting unless two clash."""
+        rest = columns[1 + told :]
+        order = np.lexsort([*rest[::-1], columns[0]]) if rest else np.argsort(columns[0])
+        same = columns[0][order][1:] == columns[0][order][:-1]
+        if any((same & (c[order][1:] != c[order][:-1])).any() for c in columns[1 : 1 + told]):
+            order = np.lexsort(columns[::-1])
         columns = [c[order] for c in columns]
         weights = np.ones(len(order), np.int64) if weights is None else weights[order]
         if not len(order):
@@ -157,11 +171,11 @@ class CountTransducer:
         return len(self.weights)
 
     @staticmethod
-    def union(some: list[CountTransducer]) -> CountTransducer:
+    def union(some: list[CountTransducer], told: int = 0) -> CountTransducer:
         """All paths of several transducers, their weights summed."""
         if len(some) == 1:
             return some[0]
-        return CountTransducer.of([np.concatenate(c) for c in zip(*[t.columns for t in some], strict=True)], np.concatenate([t.weights for t in some]))
+        return CountTransducer.of([np.concatenate(c) for c in zip(*[t.columns for t in some], strict=True)], np.concatenate([t.weights for t in some]), told)
 
     def states(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """The first path of each state behind so many labels, and the state's weight; paths that ended before have none."""
@@ -248,8 +262,8 @@ def _windows(codes: np.ndarray, pairs: Filter | None) -> list[np.ndarray]:
 
 
 def _grams(s: Phrases, make, width: int, range_bits: int, sent_words, sent_pairs=None):
-    """(lang, range, arc, w1, ..., weight): the transducers of a shard of texts (lang, text), packed, a row for each range of arcs."""
-    names = ["lang", "range", "arc", *WORDS[:width], "weight"]
+    """(lang, range, w1, ..., weight): the transducers of a shard of texts (lang, text), packed, a row for each range of arcs. Arcs follow from the words."""
+    names = ["lang", "range", *WORDS[:width], "weight"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Filter(sent_words.value)
@@ -260,12 +274,12 @@ def _grams(s: Phrases, make, width: int, range_bits: int, sent_words, sent_pairs
 
         def out() -> Iterator[pa.RecordBatch]:
             for lang, parts in held.items():
-                made = CountTransducer.of(make(np.concatenate(parts), pairs))
+                made = CountTransducer.of(make(np.concatenate(parts), pairs), told=min(width, 3))
                 if not len(made):
                     continue
                 place = (made.columns[0] >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(made), np.int64)
                 cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-                columns = [[x.tobytes() for x in np.split(c, cuts[1:])] for c in (*made.columns, made.weights)]
+                columns = [[x.tobytes() for x in np.split(c, cuts[1:])] for c in (*made.columns[1:], made.weights.astype(np.int32))]
                 yield pa.record_batch([pa.array([lang] * len(cuts), pa.string()), pa.array(place[cuts]), *[pa.array(c, pa.binary()) for c in columns]], names)
             held.clear()
 
@@ -292,11 +306,13 @@ def _grams(s: Phrases, make, width: int, range_bits: int, sent_words, sent_pairs
 def _united(s: Phrases, width: int, depths: range):
     """(lang, w1, ..., w5, a) of frequent phrases with that many words: of rows ordered by lang and range, the union of each range's transducers."""
 
+    told = min(width, 3)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held, size = None, [], 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            made = CountTransducer.union(held)
+            made = CountTransducer.union(held, told)
             for depth in depths:
                 first, weight = made.states(depth + 1)  # behind the arc for the first words
                 often = weight >= s.least
@@ -312,11 +328,11 @@ def _united(s: Phrases, width: int, depths: range):
                     if held:
                         yield from out()
                     current, held, size = key, [], 0
-                columns = [np.frombuffer(batch.column(2 + i)[k].as_py(), np.uint64) for i in range(width + 1)]
-                held.append(CountTransducer(columns, np.frombuffer(batch.column(3 + width)[k].as_py(), np.int64)))
+                words = [np.frombuffer(batch.column(2 + i)[k].as_py(), np.uint64) for i in range(width)]
+                held.append(CountTransducer([joined(words[:told]), *words], np.frombuffer(batch.column(2 + width)[k].as_py(), np.int32).astype(np.int64)))
                 size += len(held[-1])
                 if len(held) > 1 and size > s.paths and size > 2 * len(held[0]):
-                    held = [CountTransducer.union(held)]
+                    held = [CountTransducer.union(held, told)]
                     size = len(held[0])
         if held:
             yield from out()
@@ -329,7 +345,7 @@ _PHRASE = "lang string, " + ", ".join(f"{w} long" for w in WORDS) + ", a long"
 
 def _counted(texts: DataFrame, s: Phrases, make, width: int, depths: range, range_bits: int, *sent) -> DataFrame:
     columns = "".join(f", {w} binary" for w in WORDS[:width])
-    shards = texts.mapInArrow(_grams(s, make, width, range_bits, *sent), f"lang string, range long, arc binary{columns}, weight binary")
+    shards = texts.mapInArrow(_grams(s, make, width, range_bits, *sent), f"lang string, range long{columns}, weight binary")
     placed = shards.repartition("lang", "range").sortWithinPartitions("lang", "range")
     return placed.mapInArrow(_united(s, width, depths), _PHRASE)
 
