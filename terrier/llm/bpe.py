@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import numbered, place_of, rows
+from .common import HELD_LENGTH, numbered, place_of, rows
 
 #: Fixed value: how byte-level BPE of this family cuts text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -180,13 +180,15 @@ class Vocabulary:
 
 
 class _Recent(dict):
-    """A bounded memory of two generations: what was used lately outlives what was not."""
+    """A bounded memory of two generations: what was used lately outlives what was not. Long keys are not remembered."""
 
     def __init__(self, make, entries: int):
         super().__init__()
         self.make, self.entries, self.old = make, entries, {}
 
     def __missing__(self, key):
+        if len(key) > HELD_LENGTH:
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)

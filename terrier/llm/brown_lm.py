@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import materialize, rows, words
+from .common import HELD_LENGTH, materialize, rows, words
 
 #: The token behind each text's last word; no word is empty.
 END = b""
@@ -64,10 +64,11 @@ def looks(word: bytes, n: int) -> int:
 
 
 def _count_words(rows_held: int):
-    """Word counts of a partition; what it holds is passed on when there are rows_held words."""
+    """Word counts of a partition; what it holds is passed on when there are rows_held words, or after so much text that long words could take much memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        size = 0
 
         def out(some: list[tuple[bytes, int]]) -> pa.RecordBatch:
             return pa.record_batch([pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], ["word", "n"])
@@ -76,9 +77,11 @@ def _count_words(rows_held: int):
             for text in batch.column(0).to_pylist():
                 counts.update(words(text))
                 counts[END] += 1
-                if len(counts) > rows_held:
-                    # rare words go, the frequent stay
-                    some = [(w, n) for w, n in counts.items() if n < 20]
+                size += len(text or "")
+                if len(counts) > rows_held or size > 64 << 20:
+                    # rare and long words go, the frequent stay
+                    size = 0
+                    some = [(w, n) for w, n in counts.items() if n < 20 or len(w) > HELD_LENGTH]
                     some = some if len(some) > rows_held // 4 else list(counts.items())
                     for w, _ in some:
                         del counts[w]
@@ -100,10 +103,12 @@ class Codes(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-            self.update({w: i for i, w in enumerate(self.vocabulary)})
-        code = self[word] = self.size + looks(word, self.n_looks)
+        code = self.size + looks(word, self.n_looks)
+        if len(word) <= HELD_LENGTH:
+            if len(self) >= self.most:
+                self.clear()
+                self.update({w: i for i, w in enumerate(self.vocabulary)})
+            self[word] = code
         return code
 
 

@@ -18,6 +18,8 @@ WORD_BREAKS = b" \t\n\x0b\x0c\r"
 UPPER_TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Entries that a per-worker cache may hold before it starts anew.
 CACHE_ENTRIES = 60_000
+#: Longer words are never remembered, so that the bound above is one of bytes too.
+HELD_LENGTH = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,9 +70,11 @@ class WordHashes(dict):
     """64-bit hash of each word, remembered up to CACHE_ENTRIES words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= HELD_LENGTH:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -80,24 +84,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most size rows."""
+def rows(batches: Iterator[pa.RecordBatch], size: int, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most size rows and of about most_bytes of texts, or of one row that is longer."""
     for batch in batches:
-        for at in range(0, batch.num_rows, size):
-            yield batch.slice(at, size)
+        texts = [i for i, f in enumerate(batch.schema) if pa.types.is_string(f.type) or pa.types.is_binary(f.type)]
+        yield from _sliced(batch, texts, most_bytes, size)
 
 
 def by_bytes(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 << 20, most_rows: int = 2000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about most_bytes of a text column, or of one row that is longer, and of at most most_rows rows."""
     for batch in batches:
-        sizes = np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(float))
-        at, n = 0, batch.num_rows
-        ends = np.cumsum(sizes)
-        while at < n:
-            before = ends[at - 1] if at else 0
-            to = max(at + 1, min(at + most_rows, int(np.searchsorted(ends, before + most_bytes, side="right"))))
-            yield batch.slice(at, to - at)
-            at = to
+        yield from _sliced(batch, [column], most_bytes, most_rows)
+
+
+def _sliced(batch: pa.RecordBatch, columns: list[int], most_bytes: int, most_rows: int) -> Iterator[pa.RecordBatch]:
+    sizes = np.zeros(batch.num_rows)
+    for c in columns:
+        sizes += np.nan_to_num(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(float))
+    at, ends = 0, np.cumsum(sizes)
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, min(at + most_rows, int(np.searchsorted(ends, before + most_bytes, side="right"))))
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,13 +3,15 @@
 A wrapper is a regular expression without unions over what the pages of one host have in common: elements in order, each
 once, optional (?), repeated (+) or both (*), with text slots where pages differ. Pages are aligned one after the other
 with the wrapper so far: runs of equal siblings, and of equal pairs or triples, become repeated groups, what only some pages
-have becomes optional, and text that differs becomes a slot. Every task infers wrappers from its own pages; those of a host
-are then aligned with one another, which needs as many rows of a host as there were tasks, however many pages it has.
+have becomes optional, and an element keeps those of its texts that all pages have in it. Every task infers wrappers from its
+own pages; those of a host are then aligned with one another, which needs as many rows of a host as there were tasks,
+however many pages it has.
 
 Each wrapper then names its regions: menus, notices and the like by their elements and names (outside an article also by parts
-of names and by their share of links, inside one only containers by whole names), template text
-by being the same on all pages, and candidates for the article by their element or name. Extraction follows a page along its
-host's wrapper, chooses among the candidates that the page has, and keeps the text slots of the article.
+of names and by their share of links, inside one only containers whose names say nothing else), template text by being on all
+pages, and candidates for the article by their element or name. Extraction follows a page along its host's wrapper and keeps
+all candidates that the page has; where it has none, what the template doesn't explain. Pages may be nested at any depth: a
+wrapper models the first levels, what lies deeper is judged by itself.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,16 +45,20 @@ DROPPED_WORDS = frozenset(
     " comment comments commentlist reply replies respond disqus share sharing social related recommended newsletter subscribe signup login search widget pagination pager"
     " contentinfo toolbar skip hidden".split()
 )
-#: Inside an article, words drop these elements only, and only whole words of a class or role, or a whole id.
+#: Inside an article, words drop these elements only, and only if their class, id and role say nothing else but such words, these ones and numbers.
 CONTAINERS = frozenset("div section ul ol dl table details fieldset figure center span".split())
+NEUTRAL_WORDS = frozenset("section box block container wrap wrapper list area item items inner outer left right top bottom small large group panel row col column title heading text body the and of for js is has no new page site post article entry".split())
 MAIN = ("article", "main")
 MAIN_WORDS = frozenset("article main content post entry story".split())
-#: Hosts whose wrappers a task holds at once, siblings in the longest group, and items that an element of a wrapper may have before they become one loose group.
-HOSTS_HELD, LONGEST_RUN, MOST_ITEMS = 500, 3, 40
+#: Hosts whose wrappers a task holds at once.
+HOSTS_HELD = 500
+#: Siblings in the longest group, items that an element of a wrapper may have before they become one loose group, and levels of a wrapper: these
+#: bound the work of aligning. Texts are told from template text alike on all of them.
+LONGEST_RUN, MOST_ITEMS, LEVELS = 3, 40, 100
+#: Pages of a host from which texts that all of them have are the template's.
+PAGES_ALIKE = 3
 #: Tasks among which the wrappers of one host are dealt out before they are merged in one.
 SALTS = 32
-#: Longer texts count as slots at once.
-CONSTANT_CHARS = 200
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
 _NAMES = re.compile(r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -59,7 +66,7 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|dis
 
 
 class Element:
-    """sign: name and those words of class, id and role that tell regions apart (~ before those that are only part of a token); parts: texts and elements in order."""
+    """sign: name and those words of class, id and role that tell regions apart (~ before those that are only part of a token, ! before words of names that say nothing else); parts: texts and elements in order."""
 
     __slots__ = ("name", "parts", "sign")
 
@@ -104,10 +111,16 @@ def tree(page: str | None) -> Element:
         attributes = m[3]
         words = []
         if attributes:
+            plain, other = [], False
             for x in _NAMES.findall(attributes):
                 for token in (x[1] or x[2] or x[3]).lower().split():
-                    parts = [w for w in re.split("[_-]+", token) if w in DROPPED_WORDS or w in MAIN_WORDS]
+                    every = re.split("[_-]+", token)
+                    parts = [w for w in every if w in DROPPED_WORDS or w in MAIN_WORDS]
                     words += parts if parts == [token] else ["~" + w for w in parts]
+                    plain += [w for w in every if w in DROPPED_WORDS]
+                    other = other or not all(w in DROPPED_WORDS or w in NEUTRAL_WORDS or not w.strip("0123456789") for w in every)
+            if plain and not other:
+                words.append("!only")
             if _HIDDEN.search(attributes):
                 words.append("!hidden")
         made = Element(name, f"{name}.{'.'.join(sorted({w for w in words if w}))}" if words else name)
@@ -121,25 +134,50 @@ def tree(page: str | None) -> Element:
             stack.append(made)
 
 
-# A wrapper's item: s sign, q quantity ("", "?", "+", "*"), c items, t text (None, [constant] or [] for a slot),
-# n pages, x characters of text, l characters of text in links.
+# A wrapper's item: s sign, q quantity ("", "?", "+", "*"), c items, t texts (None for no text, else the hashes of those that
+# each page has in such elements), n pages, x characters of text, l characters of text in links.
 
 
-def wrapper_of(element: Element, in_link: bool = False) -> dict:
-    """The wrapper of one page: its elements, with runs of siblings folded into repeated groups."""
+def text_hash(texts: list[str]) -> str | None:
+    """A short hash of an element's own text, white space aside; None for none."""
+    words = " ".join(texts).split()
+    return xxhash.xxh3_64_hexdigest(" ".join(words).encode("utf-8", "surrogatepass"))[:12] if words else None
+
+
+def _weights(element: Element, in_link: bool) -> tuple[int, int]:
+    """The characters of text in an element, and of those the ones in links."""
+    x = links = 0
+    left = [(element, in_link)]
+    while left:
+        e, linked = left.pop()
+        linked = linked or e.name == "a"
+        for part in e.parts:
+            if not isinstance(part, str):
+                left.append((part, linked))
+            elif not part.isspace():
+                x, links = x + len(part), links + len(part) * linked
+    return x, links
+
+
+def wrapper_of(element: Element, in_link: bool = False, level: int = 0) -> dict:
+    """The wrapper of one page: its elements, with runs of siblings folded into repeated groups. Below LEVELS levels an element is one slot."""
+    if level >= LEVELS:
+        x, links = _weights(element, in_link)
+        return {"s": element.sign, "q": "", "c": [], "t": [], "n": 1, "x": x, "l": links}
     texts, items, own = [], [], 0
     in_link = in_link or element.name == "a"
     for x in element.parts:
         if not isinstance(x, str):
-            items.append(wrapper_of(x, in_link))
+            items.append(wrapper_of(x, in_link, level + 1))
         elif x and not x.isspace():
             own += len(x)
             texts.append(x)
+    found = text_hash(texts)
     return {
         "s": element.sign,
         "q": "",
         "c": fold(items) if len(items) > 1 else items,
-        "t": ([" ".join(" ".join(texts).split())] if own <= CONSTANT_CHARS else []) if texts else None,
+        "t": [found] if found else None,
         "n": 1,
         "x": own + sum([i["x"] for i in items]),
         "l": own * in_link + sum([i["l"] for i in items]),
@@ -195,16 +233,18 @@ def _quantity(a: str, b: str, missing: bool = False) -> str:
 
 
 def merge(a: dict, b: dict, same_page: bool = False) -> dict:
-    """The wrapper that both a and b fit: the same element, its contents aligned by their signs."""
+    """The wrapper that both a and b fit: the same element, its contents aligned by their signs. Of the texts of two pages those stay that both have; siblings of one page have theirs together."""
     if a["t"] is None or b["t"] is None:
-        text = a["t"] if b["t"] is None else b["t"]
-        text = [] if text is not None else None  # text on some pages only is a slot
+        found = a["t"] if b["t"] is None else b["t"]
+        text = found if same_page else [] if found is not None else None  # text on some pages only is a slot
+    elif same_page:
+        text = sorted({*a["t"], *b["t"]})
     else:
-        text = a["t"] if a["t"] == b["t"] else []
+        text = sorted({*a["t"]} & {*b["t"]})
     return {
         "s": a["s"],
         "q": _quantity(a["q"], b["q"]),
-        "c": align(a["c"], b["c"]),
+        "c": align(a["c"], b["c"], same_page),
         "t": text,
         "n": max(a["n"], b["n"]) if same_page else a["n"] + b["n"],
         "x": a["x"] + b["x"],
@@ -216,13 +256,13 @@ def _key(item: dict):
     return (item["s"], *(_key(i) for i in item["c"])) if item["s"] == "()" else item["s"]
 
 
-def align(a: list[dict], b: list[dict]) -> list[dict]:
+def align(a: list[dict], b: list[dict], same_page: bool = False) -> list[dict]:
     """One sequence for both: items with equal signs meet (longest common subsequence), the rest becomes optional."""
     if any(i["s"] == "(*)" for i in (*a, *b)):
-        return [loose([*a, *b])]
+        return [loose_of_two(a, b, same_page)]
     ka, kb = [_key(i) for i in a], [_key(i) for i in b]
     if ka == kb:
-        return [merge(x, y) for x, y in zip(a, b, strict=True)]
+        return [merge(x, y, same_page) for x, y in zip(a, b, strict=True)]
     n, m = len(ka), len(kb)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -235,7 +275,7 @@ def align(a: list[dict], b: list[dict]) -> list[dict]:
 
     while i < n or j < m:
         if i < n and j < m and ka[i] == kb[j]:
-            out.append(merge(a[i], b[j]))
+            out.append(merge(a[i], b[j], same_page))
             i, j = i + 1, j + 1
         elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
             out.append(alone(a[i]))
@@ -246,9 +286,17 @@ def align(a: list[dict], b: list[dict]) -> list[dict]:
     return fold(out)
 
 
+def loose_of_two(a: list[dict], b: list[dict], same_page: bool) -> dict:
+    """A loose group for the items of two elements; those of one sign meet as those of two pages do, unless it is one page."""
+    one, two = ({i["s"]: i for i in loose(x)["c"]} if x else {} for x in (a, b))
+    signs = {s: merge(one[s], two[s], same_page) if s in one and s in two else one.get(s) or two[s] for s in sorted({*one, *two})}
+    inner = [i | {"q": "*"} for i in signs.values()]
+    return {"s": "(*)", "q": "+", "c": inner, "t": None, "n": 1, "x": _total(inner, "x"), "l": _total(inner, "l")}
+
+
 def expression(item: dict) -> str:
     """The wrapper as a readable expression."""
-    inner = ("" if item["t"] is None else f" '{item['t'][0]}'" if item["t"] else " #") + "".join(" " + expression(i) for i in item["c"])
+    inner = ("" if item["t"] is None else "".join(f" '{t}'" for t in item["t"]) if item["t"] else " #") + "".join(" " + expression(i) for i in item["c"])
     return f"({inner.strip()}){item['q']}" if item["s"] in ("()", "(*)") else f"<{item['s']}{inner}>{item['q']}"
 
 
@@ -264,9 +312,9 @@ def _is_dropped(item: dict) -> bool:
 
 
 def _is_dropped_inside(item: dict) -> bool:
-    """Inside an article: by element, and containers by whole words."""
+    """Inside an article: by element, and containers whose names say nothing else."""
     name, *words = item["s"].split(".")
-    return name in DROPPED or "!hidden" in words or name in CONTAINERS and not DROPPED_WORDS.isdisjoint(words)
+    return name in DROPPED or "!hidden" in words or name in CONTAINERS and "!only" in words
 
 
 def _is_links(name: str, x: int, links: int) -> bool:
@@ -277,7 +325,7 @@ def mark(item: dict, pages: int, loose: bool = False) -> dict:
     """What extraction needs of an item.
 
     d, i: dropped outside and inside an article. l: mostly links; None in loose groups, whose items are judged one by one.
-    a: 2 an article by name, 1 by its words. f: a text that all of several pages share, which is the template's.
+    a: 2 an article by name, 1 by its words. f: texts that all of several pages have, which are the template's.
     """
     name, words = _sign(item)
     loose = loose or item["s"] == "(*)"
@@ -287,7 +335,7 @@ def mark(item: dict, pages: int, loose: bool = False) -> dict:
         "i": _is_dropped_inside(item),
         "l": None if loose else _is_links(name, item["x"], item["l"]),
         "a": 2 if name in MAIN else int(not MAIN_WORDS.isdisjoint(words)),
-        "f": bool(item["t"]) and pages >= 3 and item["n"] >= pages,
+        "f": item["t"] if item["t"] and pages >= PAGES_ALIKE and item["n"] >= pages else [],
         "c": [mark(i, pages, loose) for i in item["c"]],
     }
 
@@ -297,81 +345,126 @@ def regions(wrapper: dict) -> dict:
     return mark(wrapper, wrapper["n"])
 
 
-def extract(page: str | None, marked: dict) -> str:
-    """The text of a page along its host's marked wrapper; blocks are joined by an empty line.
-
-    The article is chosen among the candidates that the page has: pages of one host may be of several templates.
-    """
-    blocks: list[list[str]] = [[]]
-    items: dict[int, dict] = {}
-    of_links: set[int] = set()
-
-    def look(items: list[dict], sign: str, start: int) -> tuple[dict | None, int]:
-        for k in [*range(start, len(items)), *range(start)]:
-            if items[k]["s"] == sign:
-                return items[k], k
-            if items[k]["s"] in ("()", "(*)"):
-                for inner in items[k]["c"]:
-                    if inner["s"] == sign:
-                        return inner, k
-        return None, start
-
-    def measure(element: Element, item: dict, off: bool, in_link: bool) -> tuple[int, int, int, list[tuple[Element, dict, int]]]:
-        """Pairs the elements with items; the characters, those in links, those that an article would keep, and the candidates."""
-        x, links, kept, found, at = 0, 0, 0, [], 0
-        in_link = in_link or element.name == "a"
-        for part in element.parts:
+def _look(items: list[dict], sign: str, start: int) -> tuple[dict | None, int]:
+    """The item with this sign, from a place on and then from the beginning, also within groups."""
+    for k in [*range(start, len(items)), *range(start)]:
+        if items[k]["s"] == sign:
+            return items[k], k
+        if items[k]["s"] in ("()", "(*)"):
+            for inner in items[k]["c"]:
+                if inner["s"] == sign:
+                    return inner, k
+    return None, start
+
+
+class _Seen:
+    """An element of a page beside its item: characters of text, those in links, those that an article would keep."""
+
+    __slots__ = ("children", "element", "fixed", "in_link", "item", "kept", "links", "off", "of_links", "up", "x")
+
+    def __init__(self, element: Element, item: dict, up: _Seen | None, off: bool, in_link: bool):
+        self.element, self.item, self.up, self.off = element, item, up, off
+        self.in_link = in_link or element.name == "a"
+        self.x = self.links = self.kept = 0
+        self.children: list[_Seen] = []
+        self.of_links = False
+        texts = [p for p in element.parts if isinstance(p, str)] if item["f"] else []
+        self.fixed = bool(item["f"]) and text_hash(texts) in item["f"]
+
+
+def _paired(root: Element, marked: dict) -> list[_Seen]:
+    """All elements beside their items, each before what it holds."""
+    out = [_Seen(root, marked, None, False, False)]
+    left = [out[0]]
+    while left:
+        seen, at = left.pop(), 0
+        for part in seen.element.parts:
             if isinstance(part, str):
                 n = 0 if part.isspace() else len(part)
-                x, links, kept = x + n, links + n * in_link, kept + n
+                seen.x, seen.links, seen.kept = seen.x + n, seen.links + n * seen.in_link, seen.kept + n
                 continue
-            inner, at = look(item["c"], part.sign, at)
-            if inner is None:  # a page that its host's wrapper doesn't cover: judged by itself
+            inner, at = _look(seen.item["c"], part.sign, at)
+            if inner is None:  # what the host's wrapper doesn't cover is judged by itself
                 inner = mark({"s": part.sign, "x": 0, "l": 0, "t": None, "n": 0, "c": []}, 1, True)
-            items[id(part)] = inner
-            n, n_links, n_kept, some = measure(part, inner, off or inner["d"], in_link)
-            x, links, kept = x + n, links + n_links, kept + (0 if inner["i"] else n_kept)
-            found += some
-        mostly_links = _is_links(element.name, x, links) if item["l"] is None else item["l"]
-        if mostly_links:
-            of_links.add(id(element))
-        if item["a"] and kept and not off and not mostly_links and not (found and element.name == "main"):  # an article inside main says more
-            found = [(element, item, kept)]
-        return x, links, kept, found
-
-    def walk(element: Element, inside: bool, in_article: bool, fixed: bool) -> None:
-        block = element.name not in INLINE
-        if block:
-            blocks.append([])
-        for part in element.parts:
-            if isinstance(part, str):
-                if inside and not fixed:
-                    blocks[-1].append(part)
-                continue
-            item = items[id(part)]
-            if part.name == "br":
-                blocks[-1].append(" ")
-            elif part.name not in DROPPED:
-                if in_article:
-                    walk(part, inside and not item["i"], True, False)
-                elif id(part) in chosen:
-                    walk(part, True, True, False)
-                else:
-                    walk(part, inside and not item["d"] and id(part) not in of_links, False, not chosen and item["f"])
-        if block:
-            blocks.append([])
-
-    root = tree(page)
-    candidates = measure(root, marked, False, False)[3]
-    if any(item["a"] == 2 for _, item, _ in candidates):
-        candidates = [c for c in candidates if c[1]["a"] == 2]
-    sizes: dict[int, int] = {}  # elements of one item count together
-    for _, item, x in candidates:
-        sizes[id(item)] = sizes.get(id(item), 0) + x
-    chosen = {id(element) for element, item, _ in candidates if sizes[id(item)] >= 0.1 * max(sizes.values())}
-    walk(root, not chosen, False, not chosen and marked["f"])
+            made = _Seen(part, inner, seen, seen.off or inner["d"], seen.in_link)
+            seen.children.append(made)
+            out.append(made)
+            left.append(made)
+    for seen in reversed(out):  # what an element holds comes before it
+        seen.of_links = _is_links(seen.element.name, seen.x, seen.links) if seen.item["l"] is None else seen.item["l"]
+        if seen.up is not None:
+            seen.up.x, seen.up.links = seen.up.x + seen.x, seen.up.links + seen.links
+            seen.up.kept += 0 if seen.item["i"] else seen.kept
+    return out
+
+
+def _chosen(every: list[_Seen]) -> set[int]:
+    """The candidates for the article: by name, or by words where no article by name lies within; of main elements those within, if any."""
+    holds: dict[int, int] = {}  # whether candidates by words (1) or by name (2) lie within
+    found: dict[int, _Seen] = {}
+    for seen in reversed(every):
+        within, kind = holds.get(id(seen), 0), seen.item["a"]
+        if kind and seen.kept and not seen.off and not seen.of_links and not (within and seen.element.name == "main") and not (kind == 1 and within == 2):
+            found[id(seen)] = seen
+            within = kind
+        if within and seen.up is not None:
+            holds[id(seen.up)] = max(holds.get(id(seen.up), 0), within)
+    outermost: set[int] = set()
+    covered: set[int] = set()
+    for seen in every:
+        if seen.up is not None and id(seen.up) in covered:
+            covered.add(id(seen))
+        elif id(seen) in found:
+            outermost.add(id(seen))
+            covered.add(id(seen))
+    return outermost
+
+
+def _blocks(every: list[_Seen], chosen: set[int], template: bool) -> list[str]:
+    """The blocks of the chosen elements; without any, of all that isn't dropped by itself, and without the template's texts if these go too."""
+    blocks: list[list[str]] = [[]]
+    # frames: the element, its parts and children that are left, whether texts count, whether it is in an article
+    root = every[0]
+    frames = [(root, iter(root.element.parts), iter(root.children), not chosen, False)]
+    while frames:
+        seen, parts, children, inside, in_article = frames[-1]
+        part = next(parts, None)
+        if part is None:
+            frames.pop()
+            if seen.element.name not in INLINE:
+                blocks.append([])
+            continue
+        if isinstance(part, str):
+            if inside and not (template and seen.fixed and not in_article):
+                blocks[-1].append(part)
+            continue
+        child = next(children)
+        if part.name == "br":
+            blocks[-1].append(" ")
+        elif part.name not in DROPPED:
+            if in_article:
+                now = inside and not child.item["i"], True
+            elif id(child) in chosen:
+                now = True, True
+            else:
+                now = inside and not child.item["d"] and not child.of_links, False
+            if part.name not in INLINE:
+                blocks.append([])
+            frames.append((child, iter(part.parts), iter(child.children), *now))
     found = (" ".join("".join(b).split()) for b in blocks)
-    return "\n\n".join(b for b in found if b)
+    return [b for b in found if b]
+
+
+def extract(page: str | None, marked: dict) -> str:
+    """The text of a page along its host's marked wrapper; blocks are joined by an empty line.
+
+    The article is chosen among the candidates that the page has: pages of one host may be of several templates. A page
+    without candidates gives what isn't the template's; one that has nothing else is a copy, and gives all of it.
+    """
+    every = _paired(tree(page), marked)
+    chosen = _chosen(every)
+    found = _blocks(every, chosen, True)
+    return "\n\n".join(found or _blocks(every, chosen, False))
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
@@ -426,7 +519,8 @@ def extract_main_text(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES)
     """(page_id, url, text, n_chars) of pages(page_id, url, html).
 
     Null or empty html: empty text, 0 characters. Pages without a url share the host "". Repeated rows stay; other columns
-    are not read.
+    are not read. No pages: an empty table. Elements may be nested at any depth, and pages of any length are read whole. Texts
+    that all of three or more pages of a host have in the same kind of element are the template's, but never within an article.
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     pages = pages.select("page_id", "url", "html", host.alias("host"))

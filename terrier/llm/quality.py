@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from .common import CACHE_ENTRIES, materialize, numbered, place_of, rows, without
+from .common import CACHE_ENTRIES, HELD_LENGTH, materialize, numbered, place_of, rows, without
 from .linear import Rows, fit_logistic, sigmoid
 
 #: Frequent small words of the languages at hand; a parameter of the votes.
@@ -116,9 +116,11 @@ class _Shapes(dict):
         self.mask = (1 << bits) - 1
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        value = self[word] = zlib.crc32(shape(word).encode("utf-8", "surrogatepass")) & self.mask
+        value = zlib.crc32(shape(word).encode("utf-8", "surrogatepass")) & self.mask
+        if len(word) <= HELD_LENGTH:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[word] = value
         return value
 
 

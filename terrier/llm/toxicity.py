@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from .common import CACHE_ENTRIES, materialize, numbered, place_of, rows, without
+from .common import CACHE_ENTRIES, HELD_LENGTH, materialize, numbered, place_of, rows, without
 from .linear import Rows, fit_logistic, sigmoid
 
 #: Words for groups of people, by language; all swaps stay within one kind and language.
@@ -84,16 +84,18 @@ def word_features(word: str, bits: int) -> tuple[int, ...]:
 
 
 class _Known(dict):
-    """Something remembered for each word, for a bounded number of words."""
+    """Something remembered for each word, for a bounded number of words that aren't long."""
 
     def __init__(self, make, most: int = CACHE_ENTRIES):
         super().__init__()
         self.make, self.most = make, most
 
     def __missing__(self, word):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = self.make(word)
+        value = self.make(word)
+        if len(word) <= HELD_LENGTH:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = value
         return value
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from terrier.llm import bpe, brown_lm, chat, html_wrappers, mixing, mpeg, near_vectors, ngram_join, quality, queries, toxicity
+from terrier.llm import bpe, brown_lm, chat, common, html_wrappers, mixing, mpeg, near_vectors, ngram_join, quality, queries, toxicity
 
 SF = "/root/testdata/sf0.01"
 VOCABULARY = f"{queries.TOKENIZERS}/byte_bpe_50k.json"
@@ -346,11 +346,45 @@ def test_html_keeps_what_an_article_holds(spark):
         assert got[1].split("\n\n") == [w for i in range(40) for w in (f"t{i}", f"u{i}", f"l{i}", f"q{i}", "d")]
 
 
+def texts_of(spark, pages, host="h.org"):
+    df = spark.createDataFrame([(i, f"http://{host}/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in html_wrappers.extract_main_text(df).orderBy("page_id").collect()]
+
+
+@pytest.mark.parametrize("levels", [800, 100_000])
+def test_html_of_any_depth(spark, levels):
+    pages = ["<div>" * levels + "deep" + "</div>" * levels, "<font>" * levels + "open", "<p>a</p>" + "<i>" * levels + "<article>b<nav>no</nav></article>", "<ul><li>" * (levels // 10) + "x", "<article><p>plain</p></article>"]
+    assert texts_of(spark, pages) == ["deep", "open", "b", "\n\n".join(["x"]), "plain"]
+    assert texts_of(spark, pages[:1] * 2) == ["deep", "deep"]
+
+
+def test_html_names_drop_only_what_they_say_alone(spark):
+    inside = '<div class="related study">one</div><div class="social history">two</div><h2 id="notice-of-appeal">three</h2><section id="share-prices">four</section>'
+    outside = '<div class="comments">a</div><div class="comment-list">b</div><div id="ad-300">c</div><ul class="share box">d</ul>'
+    assert texts_of(spark, [f"<article>zero{inside}{outside}</article>"]) == ["zero\n\none\n\ntwo\n\nthree\n\nfour"]
+
+
+def test_html_keeps_all_candidates(spark):
+    long, short = "word " * 400, "<div class=story>short</div>"
+    assert texts_of(spark, [f"<article>{long}</article><article>little</article>{short}<div class=sidebar><div class=post>no</div></div>"]) == [f"{long.strip()}\n\nlittle\n\nshort"]
+    assert texts_of(spark, ["<div class=content><div>bar</div><article>a</article></div>", "<main>x<article>b</article></main>", "<article>c<div class=content>d</div></article>"]) == ["a", "b", "c\n\nd"]
+
+
+def test_html_template_texts_go(spark):
+    """The same texts on all pages of a host are its template's, though they stand in elements like those of the article, and however many."""
+    page = lambda i, n: f"<div>Home About</div><div><div>Menu of all</div><div>text {i}</div></div>" + "".join(f"<div>par {i} {k}</div>" for k in range(n)) + "<div>All rights reserved</div>"
+    want = lambda i, n: "\n\n".join([f"text {i}", *(f"par {i} {k}" for k in range(n))])
+    assert texts_of(spark, [page(i, i % 60) for i in range(200)]) == [want(i, i % 60) for i in range(200)]
+    assert texts_of(spark, ["<div>a</div><div>b</div>"] * 5) == ["a\n\nb"] * 5  # copies have nothing else
+    assert texts_of(spark, ["<article><h2>Summary</h2>a</article>", "<article><h2>Summary</h2>b</article>", "<article><h2>Summary</h2>c</article>"])[2] == "Summary\n\nc"
+
+
 def test_wrappers_have_groups_and_slots():
     a, b = (html_wrappers.wrapper_of(html_wrappers.tree(p)) for p in ("<ul><li>x</li><li>y</li></ul><p>same</p>", "<ul><li>z</li></ul><p>same</p><hr>"))
-    assert html_wrappers.expression(html_wrappers.merge(a, b)) == "< <ul <li #>+> <p 'same'> <hr>?>"
+    h = lambda text: f"'{html_wrappers.text_hash([text])}'"
+    assert html_wrappers.expression(html_wrappers.merge(a, b)) == f"< <ul <li #>+> <p {h('same')}> <hr>?>"
     c = html_wrappers.wrapper_of(html_wrappers.tree("<dl>" + "<dt>a</dt><dd>b</dd>" * 4 + "</dl>"))
-    assert html_wrappers.expression(c) == "< <dl (<dt 'a'> <dd 'b'>)+>>"
+    assert html_wrappers.expression(c) == f"< <dl (<dt {h('a')}> <dd {h('b')}>)+>>"
 
 
 # --- 7
@@ -565,3 +599,25 @@ def test_chat_sql_on_odd_turns(spark, tmp_path):
     expected = duckdb.connect().execute(chat.oracle(turns=f"read_parquet('{tmp_path}/t/*.parquet')"))
     columns = [c[0] for c in expected.description]
     assert sorted(map(repr, map(tuple, chat.read_back(chat.chat_segments(df)).select(*columns).collect()))) == sorted(map(repr, expected.fetchall()))
+
+
+def test_long_words_are_not_remembered():
+    """Texts without blanks don't fill the memories of words."""
+    vocabulary = bpe.vocabulary_of(VOCABULARY)
+    chunks = bpe.chunk_encoder(vocabulary)
+    known, hashes, shapes, codes = toxicity._Known(lambda w: (len(w),)), common.WordHashes(), quality._Shapes(10), brown_lm.Codes([b"a"], 4, 10)
+    for i in range(20):
+        word = "xyz" * 1000 + str(i)
+        assert np.frombuffer(bpe.encode(f"a {word} b", chunks), "<u4").size > 100
+        assert known[word] == (len(word),) and hashes[word.encode()] and shapes[word] >= 0 and codes[word.encode()] >= 1
+    held = [*chunks, *chunks.old, *known, *hashes, *shapes, *codes]
+    assert max(map(len, held)) <= common.HELD_LENGTH
+
+
+def test_batches_are_cut_by_bytes():
+    batch = pa.record_batch([pa.array([1, 2, 3, 4, 5]), pa.array(["x" * 10, None, "y" * 1000, "z", ""])], ["i", "t"])
+    sizes = lambda found: [b.column(0).to_pylist() for b in found]
+    assert sizes(common.rows([batch], 2)) == [[1, 2], [3, 4], [5]]
+    assert sizes(common.rows([batch], 9, 20)) == [[1, 2], [3], [4, 5]]
+    assert sizes(common.by_bytes([batch.slice(1)], 1, 5)) == [[2], [3], [4, 5]]
+    assert sizes(common.rows([batch.slice(0, 0)], 9)) == []
