@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrier.functions import scalars
-from terrier.operators import census, checks, links, registers, sheets, transform
+from terrier.operators import census, checks, links, registers, sheet_lines, sheets, transform
 from terrier.plans import testbed as tb
 from terrier.sources import files, folders, sinks
 from terrier.streaming import drop_folder
@@ -161,7 +161,7 @@ lin as (select l_orderkey as k, (row_number() over (partition by l_orderkey orde
         cast(l_extendedprice as decimal(12,3)) as x, cast(l_quantity as decimal(12,3)) as y from lineitem),
 cnt as (select k, count(*)::int as n from lin group by k),
 one as (select ord.*, coalesce(n, 0) as n, (row_number() over (partition by s order by ord.k) - 1)::int as record_no from ord left join cnt using (k)),
-rec as (select *, {tb.ISLE} as isle, k % 7 = 0 as had_backslash from one)
+rec as (select *, {tb.ISLE} as isle, {tb.ISLES} as nisle, k % 7 = 0 as had_backslash from one)
 """
 
 
@@ -178,7 +178,7 @@ def sheet_object_counts(spark, sf_dir):
     return _objects(spark, sf_dir).groupBy("codice_foglio", "kind").agg(F.count("*").alias("n"), F.count_if("had_backslash").alias("n_backslash"))
 
 
-@query(_SHEETS + f"select distinct name as codice_foglio, substr(name, 1, 4) as codice_comune, {tb.MAPPA} as mappa, name as nome_mappa, {tb.SCALE} as scala_originaria, cast({tb.SCALE} as double) as scala, cast(null as varchar) as mappa_reason from rec")
+@query(_SHEETS + f"select distinct name as codice_foglio, substr(name, 1, 4) as codice_comune, {tb.MAPPA} as mappa, name as nome_mappa, {tb.SCALE} as scala_originaria, cast({tb.SCALE} as double) as scala, case when {tb.MAPPA} not in ('MAPPA', 'MAPPA FONDIARIO', 'QUADRO D''UNIONE') then 'value' end as mappa_reason from rec")
 def sheet_headers(spark, sf_dir):
     return checks.check_sheets(_parsed(spark, sf_dir)).select("codice_foglio", "codice_comune", "mappa", "nome_mappa", "scala_originaria", "scala", "mappa_reason")
 
@@ -223,19 +223,43 @@ def sheet_quarantine(spark, sf_dir):
     return checks.quarantine(checked, {"codice_sezione_censuaria": "section_reason", "codice_allegato": "annex_reason"}, ["c_custkey"])[1]
 
 
-@query(
-    _SHEETS
-    + """select name as codice_foglio, case s % 8 when 1 then 'unknown_object' when 2 then 'truncated' when 5 then 'bad_count' when 6 then 'bad_code' when 7 then 'unknown_object' else 'ok' end as status,
-    case s % 8 when 1 then 'POLIGONO' when 5 then 'LINEA' when 6 then 'BORDO' when 7 then '' end as bad_text, case s % 8 when 3 then 'more text' end as garbage,
-    case when s % 8 in (0, 3, 4) then count(*) else 0 end as n_objects from rec group by name, s"""
-)
+_VERDICT = """case s % 8 when 1 then 'unknown_object' when 2 then 'truncated' when 5 then 'bad_count' when 6 then 'bad_code' when 7 then 'unknown_object' else 'ok' end as status,
+    case s % 8 when 1 then 'POLIGONO' when 5 then 'LINEA' when 6 then 'BORDO' when 7 then '' end as bad_text, case s % 8 when 3 then 'more text' end as garbage"""
+
+
+@query(_SHEETS + f"select name as codice_foglio, {_VERDICT}, case when s % 8 in (0, 3, 4) then count(*) else 0 end as n_objects from rec group by name, s")
 def sheet_status(spark, sf_dir):
     return _parsed(spark, sf_dir, faults=True).select("codice_foglio", "status", "bad_text", "garbage", F.greatest(F.lit(0), F.coalesce(F.size("objects"), F.lit(0))).cast("long").alias("n_objects"))
 
 
+def _by_line(spark: SparkSession, sf_dir: str, faults: bool) -> tuple[DataFrame, DataFrame]:
+    """Sheets as files, read by line."""
+    base = tb.scratch(spark, "by-line")
+    made = tb.render_sheets(spark, sf_dir, faults).select("filename", F.regexp_replace("content", "\\r?\\n$", "").alias("value"))
+    tb.place_files(made, [], f"{base}/in")
+    files.read_lines(spark, f"{base}/in").write.parquet(f"{base}/read")
+    return sheet_lines.parse_lines(files.numbered(spark.read.parquet(f"{base}/read")), f"{base}/work")
+
+
+@query(_SHEETS + f"select distinct name as codice_foglio, {_VERDICT} from rec")
+def sheet_lines_status(spark, sf_dir):
+    """The verdicts of sheet_status, of sheets that are read by line."""
+    return _by_line(spark, sf_dir, True)[0].select("codice_foglio", "status", "bad_text", "garbage")
+
+
+_FIRST_FIELD = "case kind " + " ".join(f"when '{k}' then {tb.OBJECT_FIELDS[k][0]}" for k in sheets.FIELDS) + " end"
+
+
+@query(_SHEETS + f"select name as codice_foglio, record_no, kind, had_backslash, case kind when 'BORDO' then 9 + 2 * n + nisle when 'LINEA' then 2 + 2 * n when 'TESTO' then 5 when 'SIMBOLO' then 4 else 6 end as n_fields, {_FIRST_FIELD} as first_field from rec")
+def sheet_lines_objects(spark, sf_dir):
+    """The records of sheets that are read by line, found by pointer doubling."""
+    found = _by_line(spark, sf_dir, False)[1]
+    return found.select("codice_foglio", "record_no", "kind", "had_backslash", F.size("fields").alias("n_fields"), F.get("fields", F.lit(0)).alias("first_field"))
+
+
 def _kind_query(kind: str, name: str) -> None:
     columns = ", ".join(f"{e} as {n}" for e, n in zip(tb.OBJECT_FIELDS[kind], sheets.FIELDS[kind], strict=True))
-    more = {"BORDO": ", (case when isle > 0 then 1 else 0 end)::int as n_isole, n as n_vertici", "LINEA": ", n as n_vertici"}.get(kind, "")
+    more = {"BORDO": ", nisle as n_isole, n as n_vertici", "LINEA": ", n as n_vertici"}.get(kind, "")
 
     def run(spark, sf_dir):
         typed = sheets.of_kind(_objects(spark, sf_dir), kind)
@@ -261,7 +285,7 @@ def sheet_vertices(spark, sf_dir):
     return sheets.vertex_rows(both[0].unionByName(both[1])).withColumns({a: F.col(a).cast("double") for a in "xy"})
 
 
-@query(_SHEETS + "select name as codice_foglio, record_no, 0::int as island_no, isle as n from rec where kind = 'BORDO' and isle > 0")
+@query(_SHEETS + "select name as codice_foglio, record_no, (i - 1)::int as island_no, (isle + i - 1)::int as n from (select *, unnest(range(1, nisle + 1)) as i from rec where kind = 'BORDO')")
 def sheet_islands(spark, sf_dir):
     return sheets.island_rows(sheets.of_kind(_objects(spark, sf_dir), "BORDO"))
 
@@ -292,7 +316,7 @@ def _objects_json(kind: str) -> str:
     return f"coalesce('[' || string_agg(concat('{{\"', {fields}, '\"}}'), ',' order by record_no) filter (where kind = '{kind}') || ']', '[]') as {kind.lower()}"
 
 
-@query(_SHEETS + f"select name as codice_foglio, {_HEAD_JSON} as head, {', '.join(_objects_json(k) for k in ('TESTO', 'SIMBOLO', 'FIDUCIALE'))}, coalesce(sum(n) filter (where kind in ('BORDO', 'LINEA')), 0)::bigint as n_vertices, count(*) filter (where kind = 'BORDO' and isle > 0) as n_islands from rec group by name, s")
+@query(_SHEETS + f"select name as codice_foglio, {_HEAD_JSON} as head, {', '.join(_objects_json(k) for k in ('TESTO', 'SIMBOLO', 'FIDUCIALE'))}, coalesce(sum(n) filter (where kind in ('BORDO', 'LINEA')), 0)::bigint as n_vertices, coalesce(sum(nisle) filter (where kind = 'BORDO'), 0)::bigint as n_islands from rec group by name, s")
 def sheet_exports(spark, sf_dir):
     out = sheets.exported(_parsed(spark, sf_dir))
     objects_ = F.col("sheet.oggetti")

@@ -34,16 +34,18 @@ CODE = "case c % 5 when 0 then name when 1 then 'STRADA' when 2 then 'ACQUA' whe
 TEXT = "case when k % 11 = 0 then 'LINEA' else concat('T', k) end"
 SIZE, ANGLE = "concat(k % 50)", "concat(k % 360, '.000')"
 X, Y, INNER_Y = "concat(cast(p as decimal(12,3)))", "concat(c, '.000')", "concat(c % 100, '.500')"
-MAPPA = "case s % 3 when 0 then 'MAPPA' when 1 then 'MAPPA FONDIARIO' else 'QUADRO D''UNIONE' end"
+MAPPA = "case when s % 7 = 2 then 'MAPA' when s % 7 = 5 then 'QUADRO' else case s % 3 when 0 then 'MAPPA' when 1 then 'MAPPA FONDIARIO' else 'QUADRO D''UNIONE' end end"
 SCALE = "case s % 2 when 0 then '4000.000' else '2000.000' end"
-#: Fields of each kind of object, n being the number of the order's lines and isle the size of the island, if any.
+#: Fields of each kind of object, n being the number of the order's lines and nisle the number of islands.
 OBJECT_FIELDS = {
-    "BORDO": [CODE, SIZE, ANGLE, X, Y, X, INNER_Y, "concat(case when isle > 0 then 1 else 0 end)", "concat(n)"],
+    "BORDO": [CODE, SIZE, ANGLE, X, Y, X, INNER_Y, "concat(nisle)", "concat(n)"],
     "TESTO": [TEXT, SIZE, ANGLE, X, Y],
     "SIMBOLO": ["concat(k % 20)", ANGLE, X, Y],
     "FIDUCIALE": ["concat(k)", "concat(k % 7)", X, Y, X, INNER_Y],
     "LINEA": ["concat(k % 9)", "concat(n)"],
 }
+#: How many islands, and the size of the first; each further one is larger by one.
+ISLES = "case when n >= 2 and k % 3 = 0 then cast(k % 9 / 3 as int) + 1 else 0 end"
 ISLE = "case when n >= 2 and k % 3 = 0 then cast(floor(n / 2) as int) else 0 end"
 #: Faults by s % 8, for the sheets of render_sheets(faults=True): lines that stand before EOF, whether EOF stands, and what is behind it.
 FAULTS = [
@@ -94,13 +96,13 @@ def _sheets(spark: SparkSession, sf_dir: str, faults: bool) -> DataFrame:
     lines = lines.select("k", F.size("l").alias("n"), F.expr("flatten(transform(l, x -> array(lpad(cast(cast(x.l_extendedprice as decimal(12,3)) as string), 14, ' '), lpad(cast(cast(x.l_quantity as decimal(12,3)) as string), 14, ' '))))").alias("vertices"))
     orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", "o_custkey as c", "o_totalprice as p", f"o_orderkey div {ORDERS_PER_SHEET} as s")
     rows = orders.join(lines, "k", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("vertices", F.coalesce("vertices", F.array().cast("array<string>")))
-    rows = rows.withColumn("name", F.expr(SHEET_NAME)).withColumn("isle", F.expr(ISLE)).withColumn("kind", F.expr(KIND))
+    rows = rows.withColumn("name", F.expr(SHEET_NAME)).withColumn("isle", F.expr(ISLE)).withColumn("nisle", F.expr(ISLES)).withColumn("kind", F.expr(KIND))
 
     def text(kind: str) -> str:
         marker = f"concat('{kind}', case when k % 7 = 0 then '\\\\' else '' end)"
         parts = f"array({', '.join([marker, *OBJECT_FIELDS[kind]])})"
         if kind == "BORDO":
-            return f"concat({parts}, case when isle > 0 then array(concat('  ', isle)) else cast(array() as array<string>) end, vertices)"
+            return f"concat({parts}, transform(filter(array(0, 1, 2), i -> i < nisle), i -> concat('  ', isle + i)), vertices)"
         return f"concat({parts}, vertices)" if kind == "LINEA" else parts
 
     rows = rows.withColumn("lines", F.expr("case kind " + " ".join(f"when '{k}' then {text(k)}" for k in OBJECT_FIELDS) + " end"))
