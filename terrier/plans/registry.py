@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from terrier.functions import scalars
 from terrier.operators import census, checks, links, registers, sheet_lines, sheets, transform
 from terrier.plans import testbed as tb
-from terrier.sources import files, folders, sinks
+from terrier.sources import files, folders, ranged, sinks
 from terrier.streaming import drop_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,16 @@ def archive_members(spark, sf_dir):
     return members.select("archive", name.alias("member"), F.octet_length("content").cast("long").alias("n_bytes"))
 
 
+@query(SQL["archive_members"])
+def archive_members_ranged(spark, sf_dir):
+    """The same from archives as files, read by ranges of bytes: one archive is opened by many tasks."""
+    base = tb.scratch(spark, "archives")
+    tb.place_files(tb.render_archives(spark, sf_dir).select(F.col("archive").alias("filename"), F.col("content").cast("string").alias("value")), [], f"{base}/in")
+    members = ranged.expand_ranged(spark, f"{base}/in", f"{base}/work")
+    name = F.when(F.col("error").isNull(), F.col("member")).otherwise(F.concat("member", F.lit(" (unreadable)")))
+    return members.select("archive", name.alias("member"), F.octet_length("content").cast("long").alias("n_bytes"))
+
+
 _PACKED = f"""with d as (select {_ARCHIVE} as archive, case doc_id % 4 when 0 then concat('d', doc_id, '.FAB') when 1 then concat('d', doc_id, '.cxf') when 2 then concat('same', doc_id % 3, '.TIF') else concat('d', doc_id) end as member,
     doc_id, coalesce(text, '') as text from documents)"""
 

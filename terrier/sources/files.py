@@ -114,7 +114,7 @@ BATCH_BYTES = 16 << 20
 _UNREADABLE = (zipfile.BadZipFile, RuntimeError, NotImplementedError, zlib.error, EOFError, OSError, ValueError, struct.error)
 
 
-def _members(content: bytes, depth: int, prefix: str = "") -> Iterator[tuple[str, bytes | None, str | None]]:
+def members_of(content: bytes, depth: int, prefix: str = "") -> Iterator[tuple[str, bytes | None, str | None]]:
     """(member, content, error) in order. A member that can't be read has only its error; a nested archive that can't be opened is a plain member with one."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         for info in z.infolist():
@@ -132,7 +132,7 @@ def _members(content: bytes, depth: int, prefix: str = "") -> Iterator[tuple[str
                 except _UNREADABLE as e:
                     yield name, data, f"{type(e).__name__}: {e}"
                 else:
-                    yield from _members(data, depth - 1, name + "/")
+                    yield from members_of(data, depth - 1, name + "/")
                 continue
             yield name, data, None
 
@@ -156,7 +156,7 @@ def expand_archives(archives: DataFrame, nested: int = 1) -> DataFrame:
             for k in range(batch.num_rows):
                 archive = batch.column(0)[k].as_py()
                 try:
-                    for no, (member, data, error) in enumerate(_members(batch.column(1)[k].as_py() or b"", nested)):
+                    for no, (member, data, error) in enumerate(members_of(batch.column(1)[k].as_py() or b"", nested)):
                         held.append((archive, no, member, data, error))
                         size += len(data or b"")
                         if size > BATCH_BYTES or len(held) >= 10_000:
@@ -177,8 +177,12 @@ def pack_archives(files: DataFrame, most_bytes: int = 256 << 20) -> DataFrame:
     one file. Null contents are empty; names that occur twice come twice; files without a suffix are left out.
     """
     named = files.where(suffix("filename") != "").select("archive", "filename", F.coalesce("content", F.lit("").cast("binary")).alias("content"))
-    size = F.sum(F.octet_length("content").cast("long")).over(Window.partitionBy("archive").orderBy("filename", F.xxhash64("content")).rowsBetween(Window.unboundedPreceding, -1))
-    parted = named.withColumn("part", F.floor(F.coalesce(size, F.lit(0)) / most_bytes))
+    # sizes are summed in the order of names over rows without contents; files of one name and content stay together
+    keyed = named.withColumn("hash", F.xxhash64("content"))
+    sizes = keyed.groupBy("archive", "filename", "hash").agg(F.sum(F.octet_length("content").cast("long")).alias("size"))
+    before = F.sum("size").over(Window.partitionBy("archive").orderBy("filename", "hash").rowsBetween(Window.unboundedPreceding, -1))
+    parts = sizes.select("archive", "filename", "hash", F.floor(F.coalesce(before, F.lit(0)) / most_bytes).alias("part"))
+    parted = keyed.join(parts, ["archive", "filename", "hash"]).drop("hash")
 
     def pack(key: tuple, group: pa.Table) -> pa.Table:
         archive, part = key[0].as_py(), key[1].as_py()

@@ -1,10 +1,11 @@
 import io
+import random
 import zipfile
 
 import pytest
 
 from terrier.operators import census
-from terrier.sources import files, sinks
+from terrier.sources import files, ranged, sinks
 
 
 def test_read_files(spark, tmp_path):
@@ -102,3 +103,50 @@ def test_store_targets(spark, tmp_path):
 def test_layouts():
     assert census.layout("FAB", "1")[:6] == ["codice_ammvo", "sezione", "identificativo_immobile", "tipo_immobile", "progressivo", "tipo_record"]
     assert {t: len(census.fields(t)) for t in census.TARGETS} == {"cuarcuiu": 44, "cuindiri": 11, "cuidenti": 11, "curiserv": 7, "ctpartic": 42, "ctdeduzi": 6, "ctriserv": 7, "ctporzio": 13, "cttitola": 32, "ctfisica": 11, "ctnonfis": 7}
+
+
+def test_ranged_archives_equal_whole_ones(spark, tmp_path, monkeypatch):
+    """Archives larger than a chunk, nested, damaged, large-form, empty and none: the same members as when each is one cell."""
+    rng = random.Random(4)
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("deep.txt", "deep\n\nlines")
+        z.writestr("more.bin", rng.randbytes(5000))
+    folder = tmp_path / "in"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "big.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.mkdir("sub")
+        for i in range(60):
+            z.writestr(f"sub/{i}.bin", rng.randbytes(rng.choice([0, 10, 100_000])), rng.choice([zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2]))
+        z.writestr("text.FAB", "a|b\n" * 100_000)
+        z.writestr("huge.bin", rng.randbytes(2_500_000))
+        z.writestr("inner.zip", inner.getvalue())
+        z.writestr("broken.zip", b"PK no archive")
+    raw = bytearray((folder / "big.zip").read_bytes())
+    raw[raw.index(b"huge.bin") + 1000] ^= 1
+    (folder / "hurt.zip").write_bytes(bytes(raw))
+    (folder / "led.zip").write_bytes(b"leading bytes\n" + inner.getvalue() + b"\n")
+    (folder / "cut.zip").write_bytes(bytes(raw[:-10]))
+    (folder / "none.zip").write_bytes(b"no archive")
+    (folder / "empty.zip").write_bytes(b"")
+    with zipfile.ZipFile(folder / "nothing.zip", "w"):
+        pass
+    monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 2)
+    with zipfile.ZipFile(folder / "large.zip", "w") as z:
+        for i in range(5):
+            with z.open(f"{i}.txt", "w", force_zip64=True) as f:
+                f.write(b"x" * i)
+    monkeypatch.undo()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300000")
+    try:
+        found = ranged.expand_ranged(spark, str(folder), str(tmp_path / "work"))
+        got = found.collect()
+        assert spark.read.parquet(str(tmp_path / "work/chunks")).select("block").distinct().count() > 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    whole = files.expand_archives(files.read_archives(spark, str(folder))).collect()
+    rows = lambda some: sorted((r.archive, r.member or "", r.content is None, bytes(r.content or b""), r.error is None) for r in some)
+    assert rows(got) == rows(whole)
+    order = lambda some: [(r.archive, r.member) for r in sorted(some, key=lambda r: (r.archive, r.member_no if r.member_no is not None else -1))]
+    assert order(got) == order(whole)
+    assert sum(r.error is not None for r in got) == 6
