@@ -127,8 +127,8 @@ def expand_ranged(spark: SparkSession, path: str, work: str, glob: str = "*.zip"
     """(archive, member_no, member, content, error) of the archives of a path, as expand_archives() gives them, however large an archive is.
 
     member_no keeps the order of members, with gaps. A task holds one member at a time (a nested archive is one), or the
-    directory of one archive. work: a folder for what is read and planned. Files that are no archives, empty ones among them,
-    give a row with only the error.
+    directory of one archive. work: a folder for what is read and planned. Files that are no archives give a
+    row with only the error; empty files give none, as Spark's file sources pass them over.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("archive"), "length")
     read_chunks(spark, path, glob).write.mode("overwrite").parquet(f"{work}/chunks")
