@@ -85,6 +85,50 @@ def crc16(data: bytes) -> int:
     return value
 
 
+def crc16_bits(data: bytes, bits: int) -> int:
+    """The same over the first so many bits."""
+    value = crc16(data[: bits >> 3])
+    for i in range(bits & ~7, bits):
+        value = (value << 1 ^ 0x8005 if (value >> 15 ^ data[i >> 3] >> (7 - i % 8)) & 1 else value << 1) & 0xFFFF
+    return value
+
+
+# Bits of a subband's allocation in Layer II, by runs of subbands: MPEG-1, its low rates, and MPEG-2.
+_ALLOCATION = {"full": ((4, 11), (3, 12), (2, 7)), "low": ((4, 2), (3, 10)), "half": ((4, 4), (3, 7), (2, 19))}
+
+
+def protected_bits(frame: bytes, h: Header) -> int | None:
+    """How many bits behind a frame's checksum it covers, beside the header's last two bytes; None if the frame is shorter.
+
+    Layer I: the allocation of bits to 32 subbands. Layer II: the allocation, and two bits for each channel of a subband that has any. Layer III: the side information.
+    """
+    if h.layer == 3:
+        return 8 * h.side_info if len(frame) >= 6 + h.side_info else None
+    mode, extension = frame[3] >> 6, frame[3] >> 4 & 3
+    joint = 32 if mode != 1 else 4 * (extension + 1)  # from this subband on both channels share their allocation
+    if h.layer == 1:
+        return 128 if h.channels == 1 else 4 * (2 * min(joint, 32) + 32 - min(joint, 32))
+    rate = h.bit_rate // h.channels
+    if h.version != 1:
+        runs, bands = _ALLOCATION["half"], 30
+    elif rate < 56:
+        runs, bands = _ALLOCATION["low"], 12 if h.sample_rate == 32000 else 8
+    else:
+        runs, bands = _ALLOCATION["full"], 30 if rate >= 96 and h.sample_rate != 48000 else 27
+    widths = [w for w, n in runs for _ in range(n)][:bands]
+    number, at, more = int.from_bytes(frame[6:150], "big"), 0, 0
+    size = 8 * len(frame[6:150])
+    for band, width in enumerate(widths):
+        apart = h.channels if band < joint else 1
+        for _ in range(apart):
+            if at + width > size:
+                return None
+            if number >> (size - at - width) & (1 << width) - 1:
+                more += 2 * (h.channels // apart)
+            at += width
+    return at + more if at + more <= size else None
+
+
 def _syncsafe(data: bytes) -> int:
     return data[0] << 21 | data[1] << 14 | data[2] << 7 | data[3]
 
@@ -126,11 +170,19 @@ def _tags(data: bytes, out: dict[str, str]) -> tuple[int, int]:
     while data[start : start + 3] == b"ID3" and start + 10 <= end:
         major, flags = data[start + 3], data[start + 5]
         size = _syncsafe(data[start + 6 : start + 10])
-        at, stop = start + 10, min(end, start + 10 + size)
-        while major in (3, 4) and at + 10 <= stop and data[at : at + 4].strip(b"\0"):
-            n = _syncsafe(data[at + 4 : at + 8]) if major == 4 else int.from_bytes(data[at + 4 : at + 8], "big")
-            body = data[at + 10 : min(stop, at + 10 + n)]
-            name = data[at : at + 4].decode("latin-1")
+        held = data[start + 10 : min(end, start + 10 + size)]
+        if flags & 0x80 and major == 3:  # bytes that look like a frame header were parted by a zero
+            held = held.replace(b"\xff\x00", b"\xff")
+        at, stop = 0, len(held)
+        if flags & 0x40 and stop >= 4:  # an extended header comes first; its size counts itself from version 4 on
+            at = _syncsafe(held[:4]) if major == 4 else 4 + int.from_bytes(held[:4], "big")
+        while major in (3, 4) and at + 10 <= stop and held[at : at + 4].strip(b"\0"):
+            n = _syncsafe(held[at + 4 : at + 8]) if major == 4 else int.from_bytes(held[at + 4 : at + 8], "big")
+            body = held[at + 10 : min(stop, at + 10 + n)]
+            if major == 4:  # here each frame says for itself whether it was parted, and whether its plain length comes first
+                body = body[4:] if held[at + 9] & 1 else body
+                body = body.replace(b"\xff\x00", b"\xff") if held[at + 9] & 2 else body
+            name = held[at : at + 4].decode("latin-1")
             if name == "TXXX":
                 key, _, value = _text(body).partition("\0")
                 out[f"TXXX:{key}"] = value
@@ -172,9 +224,11 @@ def parse(data: bytes | None) -> Audio:
             continue
         synced = True
         body = at + 4 + 2 * h.protected
-        if h.protected and h.layer == 3:
+        if h.protected:
             out.crc_checked += 1
-            out.crc_bad += crc16(data[at + 2 : at + 4] + data[body : body + h.side_info]) != int.from_bytes(data[at + 4 : at + 6], "big")
+            bits = 8 * h.side_info if h.layer == 3 else protected_bits(data[at : at + min(h.length, 150)], h)
+            found = None if bits is None else crc16_bits(data[at + 2 : at + 4] + data[body : body + (bits + 7 >> 3)], 16 + bits)
+            out.crc_bad += found != int.from_bytes(data[at + 4 : at + 6], "big")
         if not out.offsets and not out.table and h.layer == 3:
             tag = body + h.side_info
             if data[tag : tag + 4] in (b"Xing", b"Info"):
@@ -254,7 +308,7 @@ def padded(text: str | None) -> bytes:
 
 
 def store_audio(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, n_bytes, media): each whole text, padded, as an MPEG stream. Null text: as empty. Repeated rows stay; other columns are not read."""
+    """(id, n_bytes, media): each whole text, padded, as an MPEG stream. Null text: as empty. Repeated rows stay; an empty table gives an empty table; other columns, whatever their names, are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches, 256):
@@ -267,9 +321,9 @@ def store_audio(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def read_audio(media: DataFrame, id_column: str = "doc_id", media_column: str = "media") -> DataFrame:
-    """What parse() finds in each stream: kind, counts, exact samples and duration, table, checksums, tags and the offset of every frame.
+    """What parse() finds in each stream: kind, counts, exact samples and duration, table, checksums (of all layers), tags and the offset of every frame.
 
-    Null, empty or foreign bytes give a row with 0 frames. Repeated rows stay.
+    Null, empty or foreign bytes give a row with 0 frames. Repeated rows stay; an empty table gives an empty table; other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,7 +355,10 @@ def read_audio(media: DataFrame, id_column: str = "doc_id", media_column: str =
 
 
 def audio_digests(media: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Digests of the streams of store_audio(), read back from their bytes: payload, its tail, the stored form, and the features of parse()."""
+    """Digests of the streams of store_audio(), read back from their bytes: payload, its tail, the stored form, and the features of parse().
+
+    Repeated rows stay; an empty table gives an empty table; columns beside those of store_audio() are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches, 256):

@@ -555,6 +555,84 @@ def test_mpeg_damage_and_tags():
     assert mpeg.header(bytes([0xFF, 0xFB, 0x90, 0x00])).length == 417 and mpeg.header(b"\xff\xff\xff\xff") is None
 
 
+def plain_crc(bits):
+    """The checksum, bit by bit over a text of 0 and 1."""
+    value = 0xFFFF
+    for b in bits:
+        top = value >> 15 ^ int(b)
+        value = value << 1 & 0xFFFF
+        if top:
+            value ^= 0x8005
+    return value
+
+
+def layer_frame(four, allocation, more):
+    """A frame of that header with this allocation and two bits for each that has any, zeros behind and the right checksum."""
+    h = mpeg.header(four)
+    covered = allocation + more
+    crc = plain_crc("".join(f"{b:08b}" for b in four[2:]) + covered)
+    body = covered + "0" * (-len(covered) % 8)
+    frame = four + crc.to_bytes(2, "big") + int(body, 2).to_bytes(len(body) // 8, "big")
+    return frame + bytes(h.length - len(frame)), len(covered)
+
+
+@pytest.mark.parametrize(
+    "four, widths, apart",
+    [
+        (b"\xff\xfe\x90\xc0", [4] * 32, [1] * 32),  # Layer I, one channel
+        (b"\xff\xfe\x90\x00", [4] * 32, [2] * 32),  # two
+        (b"\xff\xfe\x90\x50", [4] * 32, [2] * 8 + [1] * 24),  # joint from the eighth subband on
+        (b"\xff\xfc\xa0\x00", [4] * 11 + [3] * 12 + [2] * 7, [2] * 30),  # Layer II, 192 kbit/s, 44.1 kHz
+        (b"\xff\xfc\xa4\x40", [4] * 11 + [3] * 12 + [2] * 4, [2] * 4 + [1] * 23),  # 48 kHz, joint
+        (b"\xff\xfc\x18\xc0", [4] * 2 + [3] * 10, [1] * 12),  # 32 kbit/s, 32 kHz, one channel
+        (b"\xff\xf4\x80\xc0", [4] * 4 + [3] * 7 + [2] * 19, [1] * 30),  # MPEG-2
+    ],
+)
+def test_mpeg_checksums_of_all_layers(four, widths, apart):
+    rng = np.random.default_rng(3)
+    channels = 1 if four[3] >> 6 == 3 else 2
+    allocation, more = "", ""
+    for width, n in zip(widths, apart, strict=True):
+        for _ in range(n):
+            value = int(rng.integers(0, 1 << width))
+            allocation += f"{value:0{width}b}"
+            more += "10" * (channels // n) if value and four[1] & 6 == 4 else ""
+    frame, covered = layer_frame(four, allocation, more)
+    assert mpeg.protected_bits(frame, mpeg.header(four)) == covered
+    whole = mpeg.parse(frame * 5)
+    assert (whole.frames, whole.crc_checked, whole.crc_bad, whole.lost_bytes) == (5, 5, 0, 0)
+    hurt = bytearray(frame * 5)
+    hurt[len(frame) + 6] ^= 0x80
+    assert mpeg.parse(bytes(hurt)).crc_bad == 1
+
+
+def test_mpeg_tags_behind_extended_headers():
+    size = lambda n: bytes([n >> 21 & 127, n >> 14 & 127, n >> 7 & 127, n & 127])
+    three = b"TIT2" + (4).to_bytes(4, "big") + b"\0\0\0abc"
+    four = b"TIT2" + size(4) + b"\0\0\0abc" + b"TPE1" + size(5) + b"\0\2\0x\xff\0y"
+    plain = mpeg.store(b"x" * 64)
+    for major, flags, body in ((3, 0x40, (6).to_bytes(4, "big") + bytes(6) + three), (4, 0x40, size(6) + b"\1\0" + four), (3, 0x80, three.replace(b"abc", b"a\xff\0c").replace(b"\0\0\0\4", b"\0\0\0\4"))):
+        audio = mpeg.parse(b"ID3" + bytes([major, 0, flags]) + size(len(body)) + body + plain)
+        assert audio.tags["TIT2"] == ("a\xffc" if flags == 0x80 else "abc") and audio.frames == 1 and audio.lost_bytes == 0
+        assert audio.tags.get("TPE1") == ("x\xffy" if major == 4 else None)
+
+
+def test_mpeg_round_trip_of_documents(spark, sf_dir):
+    """Every document: its payload, the digests of what is stored, and the features, from the stored bytes alone."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    media = {r.doc_id: bytes(r.media) for r in mpeg.store_audio(docs).collect()}
+    for r in queries.op9_mpeg(spark, sf_dir).collect():
+        data = (texts[r.doc_id] or "").encode()
+        payload = data + bytes(max(64, -(-len(data) // 64) * 64) - len(data))
+        stored = media[r.doc_id]
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+        room = max(mpeg._LENGTHS.values()) - mpeg._AROUND
+        frames = -(-len(payload) // room)
+        assert f"layer 3, 32000 Hz, 1 channel, frames {frames}, samples {1152 * frames}, table Xing whole, crc {frames + 1}/{frames + 1}, lost 0" in r.feature
+
+
 # --- 10
 
 
