@@ -144,6 +144,86 @@ def test_votes_and_posteriors():
     assert quality.posteriors({})[0] == {}
 
 
+def test_quality_equals_brute_force(spark, sf_dir):
+    """Expectation-maximisation in plain loops over the votes of all texts, and the scorer fitted again on dense rows: the same scores."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    patterns = collections.Counter(quality.votes(t) for _, t in docs)
+    good = {p: 0.1 if "b" in p else 0.95 for p in patterns}
+    n = sum(patterns.values())
+    for _ in range(60):
+        prior = min(0.98, max(0.02, sum(k * good[p] for p, k in patterns.items()) / n))
+        rates = {}
+        for h in range(8):
+            for truth in (0, 1):
+                some = {v: sum(k * (good[p] if truth else 1 - good[p]) for p, k in patterns.items() if p[h] == v) + 0.002 * n * (0.9 if (v == "g") == truth else 0.1) + 1e-6 for v in "bg"}
+                rates[h, truth] = {v: x / sum(some.values()) for v, x in some.items()}
+        for p in patterns:
+            for_, against = prior, 1 - prior
+            for h, v in enumerate(p):
+                if v != "-":
+                    for_, against = for_ * rates[h, 1][v], against * rates[h, 0][v]
+            good[p] = for_ / (for_ + against)
+    high, low = min(0.9, max(good.values())), max(0.1, min(good.values()))
+    sample = [(t, good[quality.votes(t)]) for _, t in sorted(set(docs), key=repr) if not low < good[quality.votes(t)] < high]
+    shapes = quality._Shapes(16)
+
+    def row(text):
+        out = np.zeros(1 << 16)
+        np.add.at(out, *quality.features(text, shapes))
+        return out
+
+    x, y = np.stack([row(t) for t, _ in sample]), np.array([g for _, g in sample])
+    weight = np.where(y > 0.5, len(y) / 2 / max(1, (y > 0.5).sum()), len(y) / 2 / max(1, (y <= 0.5).sum()))
+    used = np.flatnonzero(x.any(0))
+    x = x[:, used]
+    w, share = np.zeros(len(used)), (weight * y).sum() / weight.sum()
+    b, g2, gb2 = math.log(share / (1 - share)), np.full(len(used), 1e-10), 1e-10
+    for _ in range(200):
+        error = (1 / (1 + np.exp(-(b + x @ w))) - y) * weight / weight.sum()
+        g, gb = x.T @ error + 1e-5 * w, error.sum()
+        g2, gb2 = g2 + g * g, gb2 + gb * gb
+        w, b = w - 0.5 * g / np.sqrt(g2), b - 0.5 * gb / math.sqrt(gb2)
+    want = {i: 1 / (1 + math.exp(-(b + row(t)[used] @ w))) for i, t in docs}
+    got = {r.doc_id: r for r in queries.op3_quality(spark, sf_dir).collect()}
+    assert set(got) == set(want)
+    assert max(abs(got[i].score - x) for i, x in want.items()) < 1e-6
+    assert all(got[i].kept == (x >= 0.35) for i, x in want.items() if abs(x - 0.35) > 1e-6)
+
+
+def test_toxicity_equals_brute_force(spark, sf_dir):
+    """Features of words, their choice by counts over the labelled texts, and the score of each text, by hand."""
+    edge = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
+    def features(text):
+        out = set()
+        for word in (text or "").lower().split():
+            if word := word.strip(edge):
+                names = ["w" + word, *(f"b{k}{word[:k]}" for k in range(3, 8) if len(word) > k), *(f"l{k}{word[:k]}{len(word)}" for k in (4, 6) if len(word) > k)]
+                out |= {zlib.crc32(x.encode()) % (1 << 20) for x in names}
+        return out
+
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    held, s = queries.toxic_held_out(), toxicity.Settings()
+    model = toxicity.fit(toxicity.labelled_sample(docs, labels, ~held, s.sample), s)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    known = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id in texts and r.toxic in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    counts = {side: collections.Counter(f for i, t in known.items() if t == side for f in features(texts[i])) for side in (0, 1)}
+    sizes = [max(1, sum(t == side for t in known.values())) for side in (0, 1)]
+    chosen = set()
+    for f, toxic in counts[1].items():
+        share = (toxic + counts[0][f]) / sum(sizes)
+        error = math.sqrt(max(share * (1 - share), 1e-12) * (1 / sizes[0] + 1 / sizes[1]))
+        if toxic >= s.least and (toxic / sizes[1] - counts[0][f] / sizes[0]) / error > s.clear:
+            chosen.add(f)
+    terms = {zlib.crc32(("w" + w).encode()) % (1 << 20) for kind in model.terms for w in kind}
+    assert set(model.features.tolist()) == chosen | terms
+    weights = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
+    got = {r.doc_id: r for r in queries.op6_toxicity(spark, sf_dir).collect()}
+    for i, text in texts.items():
+        want = 1 / (1 + math.exp(-(model.bias + sum(weights.get(f, 0.0) for f in features(text)))))
+        assert abs(got[i].score - want) < 1e-9 and got[i].predicted == (want >= 0.7) and got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
+
+
 def test_toxicity(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     held = queries.toxic_held_out()
