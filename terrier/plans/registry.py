@@ -115,6 +115,23 @@ def whole_files(spark, sf_dir):
     return found.select("filetype", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("digest"))
 
 
+_FOLDER_FILE = "concat('s', doc_id % 7, '.txt')"
+
+
+@query(
+    f"""with f as (select {_FOLDER_FILE} as filename, doc_id % 7 < 4 as top, length(string_agg(concat(doc_id, ' ', md5(coalesce(text, ''))), chr(10) order by doc_id)) + 1 as n_chars from documents group by 1, 2)
+    select false as recursive, filename, '.txt' as filetype, n_chars from f where top union all select true, filename, '.txt', n_chars from f"""
+)
+def folders_and_files(spark, sf_dir):
+    """Files in a folder and in one within it: the inner folder is never read as a file, and its files only when asked for."""
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", F.expr(_FOLDER_FILE).alias("filename"), F.concat_ws(" ", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))).alias("value"))
+    path = tb.scratch(spark, "folders")
+    tb.place_files(docs.where("doc_id % 7 < 4"), ["doc_id"], path)
+    tb.place_files(docs.where("doc_id % 7 >= 4"), ["doc_id"], f"{path}/inner")
+    found = [files.read_files(spark, path, "*.txt", recursive=r).select(F.lit(r).alias("recursive"), "filename", "filetype", F.length("content").cast("long").alias("n_chars")) for r in (False, True)]
+    return found[0].unionByName(found[1])
+
+
 @query("select doc_id, md5(translate(text, '{a}', '{p}')) as digest from documents where text is not null".format(a=scalars.ACCENTED, p=scalars.PLAIN))
 def legacy_accents(spark, sf_dir):
     """Accents come out alike from bytes of UTF-8 and, where all letters exist there, of the older encoding."""
