@@ -51,7 +51,7 @@ class Settings:
     rounds: int = 6
     context: int = 48
     discount: float = 0.75
-    held: int = 100_000
+    held: int = 50_000
     block: int = 512
 
 
@@ -143,7 +143,7 @@ def _encode(sent, kind: pa.DataType, s: Settings):
                 ["row", "doc_id", "learn", "codes", "word", "at", "run", "look", "before", "after", "ahead"],
             )
 
-        for batch in (x for b in batches for x in rows([b], 1000)):
+        for batch in (x for b in batches for x in rows([b], 500, 2 << 20)):
             for doc_id, text, learn, row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 w = words(text)
                 line = np.full(len(w) + 1, end, np.int32)
@@ -165,7 +165,7 @@ def _encode(sent, kind: pa.DataType, s: Settings):
                     )
                     rare_words += [w[i] for i in every.tolist()]
                     held += 80 * len(every)
-                if held > 8_000_000:
+                if held > 3_000_000:
                     yield out()
                     heads, lines, rare, rare_words, held = [], [], [], [], 0
         if heads:
@@ -189,7 +189,7 @@ def _count_neighbours(sent, n_core: int, s: Settings):
         n_context = min(s.context, n_core)
         width = 2 * (n_context + 1)
         square, around = np.zeros(side * side, np.int32), np.zeros((n - n_core) * width, np.int32)
-        for batch in (x for b in batches for x in rows([b], 2000)):
+        for batch in (x for b in batches for x in rows([b], 2000, 1 << 20)):
             line = _line(batch, 0, end)
             q = in_square[line].astype(np.int64)
             some, times = np.unique(q[:-1] * side + q[1:], return_counts=True)
@@ -340,7 +340,7 @@ def _known_moves(sent, total: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, end = sent.value
         square = np.zeros(total * total, np.int64)
-        for batch in (x for b in batches for x in rows([b], 2000)):
+        for batch in (x for b in batches for x in rows([b], 2000, 1 << 20)):
             c = class_of(_line(batch, 0, end), classes)
             both = (c[:-1] >= 0) & (c[1:] >= 0)
             square += np.bincount(c[:-1][both] * total + c[1:][both], minlength=total * total)
