@@ -8,7 +8,10 @@
    differ between two signatures bound the sets' difference from below, and their overlap from above. What is left joins
    into clusters, each of which holds every class that its members could possibly link with.
 4. Within a cluster, sorted shingle arrays are intersected: this decides each link exactly. Large clusters are split into
-   parts that share a few anchors; classes that found no way to the main group are then compared with all parts.
+   parts that share a few anchors. Where few classes found no way to the main group, they are compared with all parts.
+5. Where many did, as hot shingles tie groups that hardly link, the cluster is tiled again, by parts of the sets: shingles are
+   dealt by hash to so many parts that two sets of one size band which link have a part in common as a whole. Signatures then
+   test each tile, and clusters of what is left are compared as before.
 
 Frequent shingles only go last in the order: nothing is dropped, whatever their number. Where one is so frequent that its
 tile could not be compared at once, its rows are dealt out over many tasks and meet in one cluster without a test.
@@ -58,6 +61,19 @@ class Jaccard:
         """How many shingles come first: sets that link share one of those."""
         return size - self.smallest(size) + 1
 
+    def apart(self, size: int) -> int:
+        """The most shingles that are in one only of two sets that link and are no larger than size."""
+        return 2 * size * (self.whole - self.part) // (self.whole + self.part)
+
+    def bands(self, most: int) -> list[int]:
+        """Where bands of set size begin, up to beyond most: sets that link are in one band or in neighbouring ones."""
+        starts = [1]
+        while starts[-1] <= most:
+            # the least size whose smallest partner is not below the last start
+            least = self.whole * (starts[-1] - 1) // self.part + 1
+            starts.append(max(starts[-1] + 1, least))
+        return starts
+
 
 def shingles(text: str | None, hashes: WordHashes, n: int) -> np.ndarray:
     """The sorted set of hashes of n-word shingles; of the whole sequence when it is shorter; empty without words."""
@@ -358,6 +374,70 @@ def _exact_links(s: Jaccard, sets: list[np.ndarray], home: np.ndarray | None = N
     return out
 
 
+def part_keys(keys: np.ndarray, s: Jaccard) -> np.ndarray:
+    """Hashes of parts of a set: two sets that link have one in common, unless they are equal or too small to differ.
+
+    Pairs are served by the band of the larger set, so a set has the parts of its own band and of the next. There, with at most
+    d shingles in one set only, d + 1 + e parts leave e + 1 untouched. Empty parts say nothing: a set with at most e of them has
+    none in its keys, as one of those e + 1 isn't empty then; a set with more has them all.
+    """
+    bands = s.bands(s.bands(len(keys))[-1])
+    out = []
+    for band in (len(bands) - 3, len(bands) - 2):
+        d = s.apart(bands[band + 1] - 1)
+        if not d:
+            continue
+        spare = 2 + d // 32
+        parts = d + 1 + spare
+        place = (mix(keys + np.uint64(band + 1)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        sums = np.zeros(parts, np.uint64)
+        starts = np.flatnonzero(np.r_[True, np.diff(place[order]) != 0])
+        filled = place[order][starts]
+        sums[filled] = np.add.reduceat(mix(keys[order] ^ np.uint64(0x9E3779B97F4A7C15)), starts)
+        names = mix(sums + mix(np.arange(parts, dtype=np.uint64) + np.uint64(band << 32)))
+        out.append(names[filled] if parts - len(filled) <= spare else names)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _parts(s: Jaccard):
+    """(key, class, size, group): a row for each part of each class, of rows (root, class, group, text). Only sets of one cluster share keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in rows(batches, 200):
+            keys_, classes, sizes, groups = [], [], [], []
+            for root, cls, group, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                keys = shingles(text, hashes, s.n)
+                if class_of(keys) != cls:
+                    continue
+                parts = part_keys(keys, s)
+                keys_.append(mix(parts ^ np.uint64(root)))
+                classes.append(np.full(len(parts), cls))
+                sizes.append(np.full(len(parts), len(keys), np.int32))
+                groups.append(np.full(len(parts), group))
+            if keys_:
+                columns = np.concatenate(keys_).view(np.int64), np.concatenate(classes), np.concatenate(sizes), np.concatenate(groups)
+                yield pa.record_batch([pa.array(x) for x in columns], ["key", "class", "size", "group"])
+
+    return run
+
+
+def _tiled_again(members: DataFrame, signatures: DataFrame, s: Jaccard) -> DataFrame:
+    """(node, root, n): clusters of the classes that could still link across groups, for members(root, node, group, text)."""
+    keys = members.select("root", "node", "group", "text").mapInArrow(_parts(s), "key long, class long, size int, group long")
+    keys = materialize(keys, "parts")
+    # a tile of one group has nothing to say; counts are summed in each task first
+    tiles = keys.groupBy("key").agg(F.count("*").alias("k"), F.min("group").alias("g"), F.max("group").alias("h"), F.min("class").alias("b")).where("g <> h")
+    tiles = materialize(tiles.select("key", "k", "b"), "tiles")
+    rows_ = keys.join(tiles, "key")
+    tied = rows_.where(F.col("k") > s.tile).select(F.col("class").alias("a"), "b")
+    tested = rows_.where(F.col("k") <= s.tile).join(signatures, "class").select("key", "class", "size", F.lit(0).alias("at"), "signature")
+    could = tested.repartition("key").sortWithinPartitions("key", "size", "class").mapInArrow(_tile_links(s), "a long, b long")
+    clusters = materialize(components(materialize(could.union(tied), "could")), "clusters")
+    return clusters.join(clusters.groupBy("root").agg(F.count("*").alias("n")), "root").select("node", "root", "n")
+
+
 def ngram_join(docs: DataFrame, settings: Jaccard | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs(doc_id, text).
 
@@ -403,7 +483,7 @@ def ngram_join(docs: DataFrame, settings: Jaccard | None = None) -> DataFrame:
     sizes = clusters.groupBy("root").agg(F.count("*").alias("n"))
     placed = clusters.join(sizes, "root").join(first.withColumnRenamed("class", "node"), "node").where("doc_id is not null").select("doc_id", "node", "root", "n")
     in_clusters = materialize(docs.join(placed, "doc_id"), "in-clusters")
-    links = materialize(_cluster_links(in_clusters, s), "links")
+    links = materialize(_cluster_links(in_clusters, signatures, s), "links")
     roots = components(links)
     by_class = texts.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     least_of = by_class.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -443,10 +523,11 @@ def _sets_of(t: pa.Table, s: Jaccard) -> tuple[np.ndarray, list[np.ndarray], lis
     return node[kept], sets, kept
 
 
-def _cluster_links(in_clusters: DataFrame, s: Jaccard) -> DataFrame:
-    """Exact links (a, b) of classes that span each cluster's components. in_clusters: doc_id, text, node, root, n."""
+def _cluster_links(in_clusters: DataFrame, signatures: DataFrame, s: Jaccard) -> DataFrame:
+    """Exact links (a, b) of classes that span each cluster's components. in_clusters: doc_id, text, node, root, n; signatures: class, signature."""
     parts = F.ceil(F.col("n") / s.cluster).cast("int")
-    placed = in_clusters.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    placed = in_clusters.withColumn("parts", parts).withColumn("own", own)
     # the anchors of a large cluster are in all of its parts
     anchor = (F.col("parts") > 1) & (F.pmod(F.xxhash64("node", F.lit(1)), F.col("n")) < s.anchors)
     places = F.when(anchor, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("own"))
@@ -465,14 +546,42 @@ def _cluster_links(in_clusters: DataFrame, s: Jaccard) -> DataFrame:
     roots = components(links)
     at = large.join(roots, large["node"] == roots["node"], "left").select(large["root"], "parts", "own", large["node"], "text", F.coalesce(roots["root"], large["node"]).alias("group"))
     at = materialize(at, "large")
+    strays = _stray_counts(at)
+    few, many = strays.where(F.col("strays") <= s.cluster), strays.where(F.col("strays") > s.cluster)
+    links = links.unionByName(_meet_strays(at.join(few.select("root"), "root", "left_semi"), s))
+    if many.limit(1).count() == 0:
+        return links
+    members = at.join(many.select("root"), "root", "left_semi")
+    again = _tiled_again(members, signatures, s)
+    again = members.select("node", "text", "group").join(again, "node").withColumn("parts", parts).withColumn("own", own)
+    again = materialize(again.select("root", "parts", "own", "node", "text", "group"), "again")
+
+    def across(t: pa.Table) -> pa.Table:
+        node, sets, kept = _sets_of(t, s)
+        found = _exact_links(s, sets, t["group"].to_numpy()[kept])
+        return pa.table({"a": pa.array([int(node[i]) for i, _ in found], pa.int64()), "b": pa.array([int(node[j]) for _, j in found], pa.int64())})
+
+    small = again.where("parts = 1").select("root", "node", "text", "group").groupBy("root").applyInArrow(across, "a long, b long")
+    return links.unionByName(small).unionByName(_meet_strays(again.where("parts > 1"), s))
+
+
+def _stray_counts(at: DataFrame) -> DataFrame:
+    """(root, main, strays): the largest group of each cluster, and how many classes are of others, where any are. at: root, group and others."""
     counts = at.groupBy("root", "group").agg(F.count("*").alias("k"))
-    main = counts.groupBy("root").agg(F.max(F.struct("k", "group")).alias("m")).select("root", F.col("m.group").alias("main"))
-    strays = at.join(main, "root").where("group <> main")
-    # strays go, in blocks, to every part of their cluster; there they are compared with what is not of their group
-    stray_counts = strays.groupBy("root").agg(F.count("*").alias("strays")).withColumn("blocks", F.ceil(F.col("strays") / s.cluster).cast("int"))
-    guests = strays.join(stray_counts, "root").withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int"))
+    largest = counts.groupBy("root").agg(F.max(F.struct("k", "group")).alias("m"), F.sum("k").alias("n"))
+    return materialize(largest.select("root", F.col("m.group").alias("main"), (F.col("n") - F.col("m.k")).alias("strays")).where("strays > 0"), "strays")
+
+
+def _meet_strays(at: DataFrame, s: Jaccard) -> DataFrame:
+    """Links (a, b) of classes outside their cluster's largest group with those of other groups. at: root, parts, own, node, text, group.
+
+    Strays go, in blocks, to every part of their cluster.
+    """
+    counted = _stray_counts(at).withColumn("blocks", F.ceil(F.col("strays") / s.cluster).cast("int"))
+    known = at.join(counted, "root")
+    guests = known.where("group <> main").withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int"))
     guests = guests.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("root", "part", "block", "node", "text", "group", F.lit(True).alias("guest"))
-    hosts = at.join(stray_counts, "root").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.col("own").alias("part"), "block", "node", "text", "group", F.lit(False).alias("guest"))
+    hosts = known.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.col("own").alias("part"), "block", "node", "text", "group", F.lit(False).alias("guest"))
 
     def meet(t: pa.Table) -> pa.Table:
         node, sets, kept = _sets_of(t, s)
@@ -490,8 +599,7 @@ def _cluster_links(in_clusters: DataFrame, s: Jaccard) -> DataFrame:
                     b.append(int(node[j]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    more = guests.unionByName(hosts).groupBy("root", "part", "block").applyInArrow(meet, "a long, b long")
-    return links.unionByName(more)
+    return guests.unionByName(hosts).groupBy("root", "part", "block").applyInArrow(meet, "a long, b long")
 
 
 def oracle(settings: Jaccard | None = None) -> str:

@@ -343,6 +343,39 @@ def test_ngram_join(spark, settings):
     assert {tuple(r) for r in got} == brute_components(texts, ids) and len(got) == len(texts)
 
 
+def test_ngram_join_parts():
+    s, rng, linked = ngram_join.Jaccard(), np.random.default_rng(4), 0
+    for size in range(1, 3000):
+        starts = s.bands(size)
+        assert starts[-2] <= size < starts[-1] and s.smallest(size) >= starts[max(0, len(starts) - 3)]
+    for _ in range(1500):
+        size = int(rng.integers(1, 600))
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        less, more = rng.integers(0, size // 6 + 2, 2)
+        b = np.unique(np.r_[rng.permutation(a)[less:], rng.integers(0, 2**63, more).astype(np.uint64)])
+        if len(b) and ngram_join.overlap(a, b) >= s.needed(len(a), len(b)) and not np.array_equal(a, b):
+            linked += 1
+            assert len(np.intersect1d(ngram_join.part_keys(a, s), ngram_join.part_keys(b, s)))
+    assert linked > 500
+
+
+def test_ngram_join_hot_passages(spark, monkeypatch):
+    # documents of eight of 24 shared passages hardly link, but hot shingles tie them all; some have near copies, and one group is large
+    rng = np.random.default_rng(5)
+    passages = [" ".join(f"p{i}x{j}" for j in range(25)) for i in range(24)]
+    texts = [" ".join(passages[i] for i in rng.permutation(24)[:8]) for _ in range(600)]
+    texts += [f"{t} and more {i}" for i, t in enumerate(texts[:40])] + [f"{texts[0]} again {i}" for i in range(120)]
+    ids = [int(x) for x in rng.permutation(len(texts))]
+    met, tiled = [], ngram_join._tiled_again
+    monkeypatch.setattr(ngram_join, "_tiled_again", lambda *a: met.append(tiled(*a)) or met[0])
+    got = ngram_join.ngram_join(docs_of(spark, texts, ids).repartition(3), ngram_join.Jaccard(tile=64, cluster=50, frequent=4)).collect()
+    assert {tuple(r) for r in got} == brute_components(texts, ids) and len(got) == len(texts)
+    # what is left to compare doesn't grow together
+    assert met
+    sizes = collections.Counter(r.root for r in met[0].collect()).values()
+    assert sorted(sizes)[-2] < 10 and max(sizes) < 200
+
+
 def test_ngram_join_odd(spark):
     assert ngram_join.ngram_join(docs_of(spark, [])).count() == 0
     got = ngram_join.ngram_join(docs_of(spark, ["a b c d e f", "a b c d e f", "q r s t u"], [None, 7, 7])).collect()
