@@ -23,12 +23,28 @@ def with_parameters(sheets: DataFrame, parameters: DataFrame) -> DataFrame:
     """sheets(codice_foglio, codice_comune, ...) with p, the parameters of the sheet itself, or else of its municipality; null where there are neither.
 
     parameters: code (of a sheet or a municipality), a0, a1, a2, b0, b1, b2. A code that comes twice counts once, with its greatest row.
+    Where both have a delivery, parameters with one hold in it only, and come before those of the same code without one, which
+    hold in all; a sheet's are still before its municipality's.
     """
-    once = parameters.where("code is not null").groupBy(F.col("code").alias("_code")).agg(F.max(F.struct(*[F.col(p).cast("double").alias(p) for p in PARAMETERS])).alias("_p"))
-    once = F.broadcast(once) if _small(parameters) else once
-    of_sheet = sheets.join(once, F.col("codice_foglio") == F.col("_code"), "left").withColumnRenamed("_p", "_own").drop("_code")
-    of_both = of_sheet.join(once, F.col("codice_comune") == F.col("_code"), "left")
-    return of_both.withColumn("p", F.coalesce("_own", "_p")).drop("_own", "_p", "_code")
+    small = _small(parameters)
+    dated = "delivery" in parameters.columns and "delivery" in sheets.columns
+
+    def once(rows: DataFrame, name: str, *keys: str) -> DataFrame:
+        values = F.max(F.struct(*[F.col(p).cast("double").alias(p) for p in PARAMETERS]))
+        found = rows.where("code is not null").groupBy(*[F.col(k).alias(f"_{k}") for k in ("code", *keys)]).agg(values.alias(name))
+        return F.broadcast(found) if small else found
+
+    general = parameters.where("delivery is null") if dated else parameters
+    out = sheets
+    if dated:
+        of_delivery = once(parameters.where("delivery is not null"), "_first", "delivery")
+        out = out.join(of_delivery, (F.col("codice_foglio") == F.col("_code")) & (F.col("delivery") == F.col("_delivery")), "left").drop("_code", "_delivery")
+        named = once(parameters.where("delivery is not null"), "_second", "delivery")
+        out = out.join(named, (F.col("codice_comune") == F.col("_code")) & (F.col("delivery") == F.col("_delivery")), "left").drop("_code", "_delivery")
+    out = out.join(once(general, "_own"), F.col("codice_foglio") == F.col("_code"), "left").drop("_code")
+    out = out.join(once(general, "_p"), F.col("codice_comune") == F.col("_code"), "left").drop("_code")
+    of = ["_first", "_own", "_second", "_p"] if dated else ["_own", "_p"]
+    return out.withColumn("p", F.coalesce(*of)).drop(*of)
 
 
 def _moved() -> str:
