@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
 def _path(spark: SparkSession, path: str):
@@ -16,6 +17,25 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
 
+def below(spark: SparkSession, folder: str) -> list[str]:
+    """The files of a folder and of those within it, by their path below it, in order; none where there is no such folder."""
+    fs, path = _path(spark, folder)
+    if not fs.exists(path):
+        return []
+    root, found, out = fs.makeQualified(path).toUri().getPath(), fs.listFiles(path, True), []
+    while found.hasNext():
+        out.append(found.next().getPath().toUri().getPath().removeprefix(root).lstrip("/"))
+    return sorted(out)
+
+
+def below_of(spark: SparkSession, folder: str, path: Column) -> Column:
+    """The folder of a file below another one, from its path as sources state it; empty for files of that folder itself."""
+    fs, made = _path(spark, folder)
+    root = fs.makeQualified(made).toUri().getRawPath().rstrip("/")
+    inner = F.substring(F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), F.lit(len(root) + 2), F.length(path))
+    return F.url_decode(F.replace(F.regexp_extract(inner, "^(.*)/[^/]*$", 1), F.lit("+"), F.lit("%2B")))
+
+
 def make(spark: SparkSession, folder: str) -> None:
     fs, path = _path(spark, folder)
     fs.mkdirs(path)

@@ -1,6 +1,7 @@
 """Files that arrive in a drop folder, as a stream: each is handled once, and moved away when its results are committed.
 
-Files are known by their names: a name that was handled is not looked at again, so a later delivery needs names of its own.
+Files are known by their names: a name that was handled is not looked at again, so a later delivery needs names of its own, or
+a folder of its own within the drop folder.
 """
 
 from __future__ import annotations
@@ -19,18 +20,21 @@ SHEETS = "*.[cC][xXtT][fF]"
 REGISTERS = "*.{[fF][aA][bB],[tT][eE][rR],[sS][oO][gG],[tT][iI][tT]}"
 
 
-def _reader(spark: SparkSession, glob: str, archive: str | None, max_files: int = 1000):
-    reader = spark.readStream.option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files)
+def _reader(spark: SparkSession, glob: str, archive: str | None, max_files: int = 1000, recursive: bool = False):
+    reader = spark.readStream.option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", str(recursive).lower())
     return reader.option("cleanSource", "archive").option("sourceArchiveDir", archive) if archive else reader
 
 
-def arriving(spark: SparkSession, folder: str, glob: str = "*", archive: str | None = None, max_files: int = 1000) -> DataFrame:
+def arriving(spark: SparkSession, folder: str, glob: str = "*", archive: str | None = None, max_files: int = 1000, recursive: bool = False) -> DataFrame:
     """(filename, content, filetype) of the files of a folder as they come, each one whole. Bytes are UTF-8 if a file is that, and ISO-8859-1 otherwise.
 
     archive: where Spark moves handled files when a later batch begins; it must lie outside the folder. See move_handled().
+    recursive: take the files of folders within it too, with folder, the path of a file's folder below the drop folder.
     """
-    files = _reader(spark, glob, archive, max_files).text(folder, wholetext=True)
-    return with_type(files.select(F.col("_metadata.file_name").alias("filename"), legacy_text(F.col("value").cast("binary")).alias("content")))
+    files = _reader(spark, glob, archive, max_files, recursive).text(folder, wholetext=True)
+    meta = F.col("_metadata")
+    inner = [folders.below_of(spark, folder, meta.file_path).alias("folder")] if recursive else []
+    return with_type(files.select(*inner, meta.file_name.alias("filename"), legacy_text(F.col("value").cast("binary")).alias("content")))
 
 
 def _once(rows: DataFrame, out: str, checkpoint: str, by: str | None = None) -> StreamingQuery:
@@ -38,9 +42,9 @@ def _once(rows: DataFrame, out: str, checkpoint: str, by: str | None = None) ->
     return (writer.partitionBy(by) if by else writer).start()
 
 
-def run_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob: str = SHEETS, archive: str | None = None) -> StreamingQuery:
+def run_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob: str = SHEETS, archive: str | None = None, recursive: bool = False) -> StreamingQuery:
     """Parse what map sheets have arrived since the last run, and stop. The checkpoint is the ledger of handled files; sheets are written as Parquet."""
-    return _once(parse_sheets(arriving(spark, folder, glob, archive)), out, checkpoint)
+    return _once(parse_sheets(arriving(spark, folder, glob, archive, recursive=recursive)), out, checkpoint)
 
 
 def run_registers_once(spark: SparkSession, folder: str, out: str, checkpoint: str, glob: str = REGISTERS, archive: str | None = None, max_files: int = 1000) -> StreamingQuery:
@@ -70,16 +74,19 @@ def run_drawings_once(spark: SparkSession, folder: str, out: str, checkpoint: st
 
 
 def move_handled(spark: SparkSession, folder: str, out: str, archive: str) -> list[str]:
-    """Move the files of a folder whose results stand in out (which has their filename), once a run has ended; their names.
+    """Move the files of a folder whose results stand in out (which has their filename, and folder if they lie in folders within it), once a run has ended; their names, with those folders.
 
     A stream itself moves files only when a later batch begins, so those of its last batch would stay.
     """
-    waiting = folders.names(spark, folder)
+    waiting = folders.below(spark, folder)
     if not waiting or not folders.names(spark, out):
         return []
-    done = spark.read.parquet(out).select("filename").join(F.broadcast(spark.createDataFrame([(n,) for n in waiting], "filename string")), "filename", "left_semi").distinct()
-    moved = sorted(r.filename for r in done.collect())  # at most what the folder holds
-    folders.make(spark, archive)
+    found = spark.read.parquet(out)
+    name = F.concat_ws("/", F.nullif("folder", F.lit("")), "filename") if "folder" in found.columns else F.col("filename")
+    done = found.select(name.alias("name")).join(F.broadcast(spark.createDataFrame([(n,) for n in waiting], "name string")), "name", "left_semi").distinct()
+    moved = sorted(r.name for r in done.collect())  # at most what the folder holds
+    for inner in sorted({n.rpartition("/")[0] for n in moved} | {""}):
+        folders.make(spark, f"{archive}/{inner}" if inner else archive)
     for name in moved:
         folders.move(spark, f"{folder}/{name}", f"{archive}/{name}")
     return moved
