@@ -80,7 +80,7 @@ def parse_lines(lines: DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
 
     Sheets: a row for each file with the parts of its name, mappa, nome_mappa, scala_originaria, status, bad_line, bad_text and
     garbage, as parse_sheets() has them. Objects: (codice_foglio, record_no, kind, had_backslash, fields) of sheets that are ok.
-    work: a folder for what rounds leave. Files without lines have no row.
+    filename may be a path, where names alone don't tell files apart. work: a folder for what rounds leave. Files without lines have no row.
     """
     lines = _kept(lines.select("filename", F.col("line_no").cast("long").alias("n"), strip("value").alias("x")), work, "lines")
     marks = _kept(marked(lines), work, "marks")
@@ -103,7 +103,9 @@ def parse_lines(lines: DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
         .otherwise("ok")
     )
     place = F.when(F.col("status") == "truncated", F.col("size")).when(F.col("status") == "bad_count", F.col("bad")).when(F.col("status") == "unknown_object", F.col("next")).when(F.col("status") == "bad_code", F.col("no_code"))
-    named = base_name(with_type(at)).withColumns(decode_name("name")).withColumn("eof", eof).withColumn("bad", bad)
+    # of files that are told apart by their path, the last part is the name
+    short = with_type(at.withColumn("_path", F.col("filename")).withColumn("filename", F.regexp_extract("filename", "([^/]*)$", 1)))
+    named = base_name(short).withColumn("filename", F.col("_path")).drop("_path").withColumns(decode_name("name")).withColumn("eof", eof).withColumn("bad", bad)
     told = named.withColumn("status", status).withColumn("bad_line", place)
     text = lines.select("filename", F.col("n").alias("bad_line"), F.col("x").alias("bad_text"))
     behind = lines.select("filename", (F.col("n") - 1).alias("eof"), F.col("x").alias("garbage"))
