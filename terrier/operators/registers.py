@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from terrier.functions.scalars import strip
 from terrier.operators import census
-from terrier.operators.checks import missing_of
 from terrier.sources.files import split_fields
 
 #: Each kind of record: register and record type (None where a register has one only), by its name.
@@ -24,9 +23,8 @@ def classified(lines: DataFrame) -> DataFrame:
     fields = F.col("fields")
     typed = [r for r in census.REGISTERS if any(t for k, t in RECORDS.values() if k == r)]
     kind = F.when(F.col("register").isin(*typed), F.concat_ws("-", "register", strip(F.get(fields, F.lit(5))))).otherwise(F.col("register"))
-    size, wanted = F.size(fields), F.lit(None).cast("int")
-    for name, origin in RECORDS.items():
-        wanted = F.when(F.col("kind") == name, len(census.layout(*origin))).otherwise(wanted)
+    size = F.size(fields)
+    wanted = F.try_element_at(F.create_map(*[F.lit(x) for name, origin in RECORDS.items() for x in (name, len(census.layout(*origin)))]), F.col("kind"))
     reason = (
         F.when(~F.coalesce(F.col("register").isin(*census.REGISTERS), F.lit(False)), "unknown register")
         .when(F.col("register").isin(*typed) & (F.coalesce(strip(F.get(fields, F.lit(5))), F.lit("")) == ""), "no type")
@@ -34,7 +32,10 @@ def classified(lines: DataFrame) -> DataFrame:
         .when(size < F.col("wanted"), "too few fields")
         .when(size > F.col("wanted"), "too many fields")
     )
-    known = lines.withColumn("fields", F.coalesce(split_fields("value"), F.array().cast("array<string>"))).withColumn("kind", kind).withColumn("wanted", wanted).withColumn("reason", reason)
+    # generators of one row: filters on what is told from the fields stay above them, so that each of these is told once
+    known, split = lines, F.coalesce(split_fields("value"), F.array().cast("array<string>"))
+    for name, told in (("fields", split), ("kind", kind), ("wanted", wanted), ("reason", reason)):
+        known = known.select("*", F.inline(F.array(F.struct(told.alias(name)))))
     return known.withColumn("record", F.when(F.col("reason").isNull(), F.col("kind")).otherwise(REJECTS)).drop("kind", "wanted")
 
 
@@ -79,7 +80,16 @@ def rejects(spark: SparkSession, path: str) -> DataFrame:
 def missing(record: Column | str = "record", fields: Column | str = "fields") -> Column:
     """The names of required fields that a record lacks, for records of any kind."""
     record = F.col(record) if isinstance(record, str) else record
-    out = F.array().cast("array<string>")
+    fields = F.col(fields) if isinstance(fields, str) else fields
+    # places as data and not as code, which would be too long to be compiled for all kinds at once
+    required = []
     for name, origin in RECORDS.items():
-        out = F.when(record == name, missing_of(fields, census.layout(*origin), census.optional(*origin))).otherwise(out)
-    return out
+        wanted = [(i, n) for i, n in enumerate(census.layout(*origin)) if n not in census.optional(*origin)]
+        required += [F.lit(name), F.array(*[F.struct(F.lit(i).alias("place"), F.lit(n).alias("name")) for i, n in wanted])]
+
+    def blank(x: Column) -> Column:
+        # what is blank stands before "!", which spares most fields the slower look
+        return F.coalesce(x < "!", F.lit(True)) & (F.coalesce(strip(x), F.lit("")) == "")
+
+    lacking = F.filter(F.try_element_at(F.create_map(*required), record), lambda r: blank(F.get(fields, r["place"])))
+    return F.coalesce(F.transform(lacking, lambda r: r["name"]), F.array().cast("array<string>"))

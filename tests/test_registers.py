@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrier.operators import census, checks, keys, links, registers
-from terrier.plans import registry
+from terrier.plans import registry, testbed
 from terrier.sources import files, folders, sinks
 
 TITLE = "codice string, sezione string, soggetto int, tipo_sog string, immobile int, numeratore int, denominato int, identifica int"
@@ -162,3 +162,19 @@ def test_buckets_join_without_a_shuffle(spark, sf_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "Exchange" not in plan and joined.count() > 0
+
+
+def test_large_files_in_parts(spark, sf_dir, tmp_path):
+    """Lines of files in parts are numbered across parts, and no part holds a whole file."""
+    rows = spark.range(0, 1000).selectExpr("concat('d', id % 2, '.FAB') as filename", "id", "lpad(cast(id div 100 as string), 4, '0') as part", "concat('line ', id) as value")
+    testbed.place_parts(rows, ["id"], str(tmp_path / "in"))
+    assert len(list((tmp_path / "in" / "filename=d0.FAB").glob("part=*/part-*.txt"))) == 10
+    files.read_parts(spark, str(tmp_path / "in")).write.parquet(str(tmp_path / "read"))
+    got = files.numbered(spark.read.parquet(str(tmp_path / "read"))).collect()
+    assert sorted((r.filename, r.line_no, r.value) for r in got) == sorted((f"d{i % 2}.FAB", i // 2, f"line {i}") for i in range(1000))
+
+
+def test_keys_are_dealt_out(spark, sf_dir, monkeypatch):
+    """Lines are rendered by as many tasks as their number asks for, and not by those that read the keys."""
+    monkeypatch.setattr(testbed, "KEYS_PER_TASK", 100)
+    assert testbed.render_lines(spark, sf_dir, "TER", "1").rdd.getNumPartitions() > 10
