@@ -139,3 +139,10 @@ def test_whole_sheets_are_converted(spark):
     assert (text.testo, text.dimensione, text.posizione_x) == ("7", "1", "105.000")
     none, all_ = transform.convert_sheets(sheets.parse_sheets(df.limit(0)), spark.createDataFrame([], PARAMETERS))
     assert none.count() == all_.count() == 0
+
+
+def test_headers_alone(spark):
+    texts = [None, "", "\n", "MAPPA", "MAPPA\r\n", "MAPPA\rX\n", "MAPPA\n X \n4000.000", "MAPPA\nX\n4000.000\n", "MAPPA\nX\n\n", "MAPPA\nX\n4000.000\nEOF\n"]
+    df = spark.createDataFrame([(f"L219C0345{i:02d}.CTF", ".CTF", t) for i, t in enumerate(texts)], "filename string, filetype string, content string")
+    found = sheets.headers(df)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, sheets.parse_sheets(df).select(*found.columns).collect()))
