@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrier.operators import checks, sheets, transform
+from terrier.plans import registry
 from terrier.streaming import drop_folder
 
 HEAD = ["MAPPA", "L219C034500", "  4000.000"]
@@ -146,3 +147,16 @@ def test_headers_alone(spark):
     df = spark.createDataFrame([(f"L219C0345{i:02d}.CTF", ".CTF", t) for i, t in enumerate(texts)], "filename string, filetype string, content string")
     found = sheets.headers(df)
     assert sorted(map(repr, found.collect())) == sorted(map(repr, sheets.parse_sheets(df).select(*found.columns).collect()))
+
+
+def test_vertices_of_both_kinds_in_one_pass(spark, sf_dir):
+    sheet = lambda name, *objects: (name, ".CTF", "\n".join(["MAPPA", name[:11], "2000", *objects, "EOF"]))
+    border = ["BORDO", "STRADA", "1", "0", "1", "2", "3", "4", "1", "3", "2", *"567890"]
+    df = spark.createDataFrame([sheet("H501D076700.CTF", *border, "LINEA", "4", "2", *"1234", "TESTO", *"x0012", "LINEA", "1", "0")], "filename string, filetype string, content string")
+    found = sheets.objects(sheets.parse_sheets(df))
+    each = [sheets.of_kind(found, k).select("codice_foglio", "record_no", F.lit(k).alias("kind"), "vertici") for k in ("BORDO", "LINEA")]
+    lists = sheets.vertex_lists(found)
+    assert sorted(map(repr, lists.collect())) == sorted(map(repr, each[0].unionByName(each[1]).collect()))
+    assert sorted(len(r.vertici) for r in lists.collect()) == [0, 2, 3]
+    plan = registry.queries()["sheet_vertices"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
