@@ -12,7 +12,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrier.sources.files import _UNREADABLE, members_of
@@ -123,14 +123,17 @@ def _alone(entry: bytes, member: bytes) -> bytes:
     return member + entry + _END + struct.pack("<HHHHLLH", 0, 0, 1, 1, len(entry), len(member), 0)
 
 
-def expand_ranged(spark: SparkSession, path: str, work: str, glob: str = "*.zip", nested: int = 1) -> DataFrame:
+def expand_ranged(spark: SparkSession, path: str, work: str, glob: str = "*.zip", nested: int = 1, archive: Column | None = None) -> DataFrame:
     """(archive, member_no, member, content, error) of the archives of a path, as expand_archives() gives them, however large an archive is.
 
     member_no keeps the order of members, with gaps. A task holds one member at a time (a nested archive is one), or the
     directory of one archive. work: a folder for what is read and planned. Files that are no archives give a
     row with only the error; empty files give none, as Spark's file sources pass them over.
+    archive: the name of an archive, from the path of its file; else the file's name.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("archive"), "length")
+    if archive is not None:
+        files = files.withColumn("archive", archive)
     read_chunks(spark, path, glob).write.mode("overwrite").parquet(f"{work}/chunks")
     chunks = placed(spark.read.parquet(f"{work}/chunks"))
 
@@ -168,18 +171,45 @@ def expand_ranged(spark: SparkSession, path: str, work: str, glob: str = "*.zip"
     planned.write.mode("overwrite").parquet(f"{work}/members")
     planned = spark.read.schema(planned.schema).parquet(f"{work}/members").join(files.select("path", "archive"), "path")
 
-    def unpack(t: pa.Table) -> pa.Table:
-        archive, no = t["archive"][0].as_py(), t["range_no"][0].as_py()
-        try:
-            out = [(archive, (no << 20) + k, *m) for k, m in enumerate(members_of(_alone(t["entry"][0].as_py(), _whole(t)), nested))]
-        except _UNREADABLE as e:
-            out = [(archive, no << 20, None, None, f"{type(e).__name__}: {e}")]
-        columns = list(zip(*out, strict=True)) if out else [[]] * 5
-        return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string()), strict=True)], ["archive", "member_no", "member", "content", "error"])
+    kinds = {"archive": pa.string(), "member_no": pa.int64(), "member": pa.string(), "content": pa.binary(), "error": pa.string()}
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in order, for each range its entry and then its pieces: members, in batches of bounded bytes."""
+        held, pieces_, size = [], [], 0
+        key = archive_ = entry = None
+
+        def unpacked() -> list[tuple]:
+            no = key[1]
+            try:
+                return [(archive_, (no << 20) + k, *m) for k, m in enumerate(members_of(_alone(entry, b"".join(pieces_)), nested))]
+            except _UNREADABLE as e:
+                return [(archive_, no << 20, None, None, f"{type(e).__name__}: {e}")]
+
+        def out() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds.values(), strict=True)], list(kinds))
+
+        for batch in batches:
+            for path_, no, piece, name, of in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (path_, no) != key:
+                    if key:
+                        held += (more := unpacked())
+                        size += sum(len(m[3] or b"") for m in more)
+                    if held and (size > CHUNK or len(held) >= 10_000):
+                        yield out()
+                        held, size = [], 0
+                    key, archive_, entry, pieces_ = (path_, no), name, of, []
+                else:
+                    pieces_.append(piece)
+        held += unpacked() if key else []
+        if held:
+            yield out()
 
-    pieces = slices(chunks, planned.where("range_no is not null").select("path", "range_no", "from", "to"))
-    entries = planned.where("range_no is not null").select("path", "range_no", "archive", "entry")
-    members = pieces.join(entries, ["path", "range_no"]).groupBy("path", "range_no").applyInArrow(unpack, "archive string, member_no long, member string, content binary, error string")
+    ranges = planned.where("to > from")
+    entries = ranges.select("path", "range_no", F.lit(-1).cast("long").alias("start"), F.lit(None).cast("binary").alias("bytes"), "archive", "entry")
+    pieces = slices(chunks, ranges.select("path", "range_no", "from", "to")).withColumns({"archive": F.lit(None).cast("string"), "entry": F.lit(None).cast("binary")})
+    # not a group for each member, as a task has thousands of small ones
+    ordered = pieces.unionByName(entries).repartition("path", "range_no").sortWithinPartitions("path", "range_no", "start")
+    members = ordered.select("path", "range_no", "bytes", "archive", "entry").mapInArrow(unpack, "archive string, member_no long, member string, content binary, error string")
     none = [F.lit(None).cast(k).alias(c) for c, k in (("member_no", "long"), ("member", "string"), ("content", "binary"))]
     empty = found.where("begin is null").select("archive", *none, F.coalesce("error", F.lit("BadZipFile: File is not a zip file")).alias("error"))
     nowhere = F.when(F.col("range_no").isNotNull() & (F.col("to") <= F.col("from")), "BadZipFile: a member beyond its archive")

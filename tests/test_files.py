@@ -5,7 +5,8 @@ import zipfile
 import pytest
 
 from terrier.operators import census
-from terrier.sources import files, ranged, sinks
+from terrier.plans import registry
+from terrier.sources import files, folders, ranged, sinks
 
 
 def test_read_files(spark, tmp_path):
@@ -150,3 +151,15 @@ def test_ranged_archives_equal_whole_ones(spark, tmp_path, monkeypatch):
     order = lambda some: [(r.archive, r.member) for r in sorted(some, key=lambda r: (r.archive, r.member_no if r.member_no is not None else -1))]
     assert order(got) == order(whole)
     assert sorted((r.archive, r.member or "") for r in got if r.error) == [("big.zip", "broken.zip"), ("cut.zip", ""), ("hurt.zip", "broken.zip"), ("hurt.zip", "huge.bin"), ("none.zip", "")]
+
+
+def test_ranged_archives_by_streams_of_members(spark, sf_dir, monkeypatch):
+    """Neither a group for each member nor a rename for each archive: both are few rows, but grow with the input."""
+
+    def moved(*_):
+        raise AssertionError("renamed by the driver")
+
+    monkeypatch.setattr(folders, "move", moved)
+    found = registry.queries()["archive_members_ranged"](spark, sf_dir)
+    assert "FlatMapGroups" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.where("archive = 'z0.zip'").count() > 2
