@@ -1,4 +1,4 @@
-"""Register files in one pass: lines are split once, told apart by record type and written by it; targets, rejects and checks read from there."""
+"""Register files in one pass: lines are told apart by record type and written by it; targets, rejects and checks read from there."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrier.functions.scalars import strip
 from terrier.operators import census
 from terrier.sources.files import split_fields
+from terrier.sources.sinks import store_kinds
 
 #: Each kind of record: register and record type (None where a register has one only), by its name.
 RECORDS = {f"{r}-{t}" if t else r: (r, t) for r, t in (*((r, str(t)) for r, n in (("FAB", 5), ("TER", 4)) for t in range(1, n + 1)), ("SOG", None), ("TIT", None))}
@@ -42,13 +43,14 @@ def classified(lines: DataFrame) -> DataFrame:
 def store_split(lines: DataFrame, path: str) -> dict[str, int]:
     """Write classified lines, a folder for each kind of record and one for rejects, in one scan. Returns how many lines each register gave, and how many of them were rejected, as counted on the way.
 
-    Columns that lines has beside register and value (file name, line number) stay. A record keeps its fields, a reject its line too.
+    Columns that lines has beside register stay: value (the line), file name, line number. Fields are not stored, as lists of short
+    texts cost more to write and to read than the split of a line.
     """
     seen = Observation("lines")
     counts = [F.count_if(F.col("register") == r).alias(r) for r in census.REGISTERS]
     rejects = [F.count_if((F.col("register") == r) & F.col("reason").isNotNull()).alias(f"{r} {REJECTS}") for r in census.REGISTERS]
     rows = classified(lines).observe(seen, F.count("*").alias("lines"), F.count_if(F.col("reason").isNotNull()).alias("rejects"), *counts, *rejects)
-    rows.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))).write.mode("overwrite").partitionBy("record").parquet(path)
+    store_kinds(rows.drop("fields"), path, "record")
     return dict(seen.get)
 
 
@@ -59,7 +61,9 @@ def stored(spark: SparkSession, path: str, record: str) -> DataFrame:
 
 def records(spark: SparkSession, path: str, record: str) -> DataFrame:
     """The named fields of one kind of record."""
-    return stored(spark, path, record).select(*[F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(census.layout(*RECORDS[record]))])
+    # a generator of one row, so that a line is split once for all its fields
+    split = stored(spark, path, record).select(F.inline(F.array(F.struct(split_fields("value").alias("fields")))))
+    return split.select(*[F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(census.layout(*RECORDS[record]))])
 
 
 def record_of(table: str) -> str:
@@ -74,7 +78,7 @@ def targets(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 def rejects(spark: SparkSession, path: str) -> DataFrame:
     """Lines that are no record of any kind, and why."""
-    return stored(spark, path, REJECTS).drop("record", "fields")
+    return stored(spark, path, REJECTS).drop("record")
 
 
 def missing(record: Column | str = "record", fields: Column | str = "fields") -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import urllib.parse
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +73,28 @@ def store_registers(registers: dict[str, DataFrame], path: str) -> None:
         df.write.mode("overwrite").parquet(f"{path}/register={name}")
 
 
+#: Files of store_kinds() that a task keeps open at most, and about how many bytes of each it holds before they are written.
+OPEN_FILES, OPEN_BYTES = 32, 32 << 20
+
+
+@contextlib.contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """While rows are written by a column of few values, a task keeps a file open for each of them; rows of still more values are sorted as usual."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def store_kinds(df: DataFrame, path: str, key: str) -> None:
+    """A folder for each value of key, of which there are few. Rows go to their file as they come: nothing is sorted, so no task holds or spills its rows."""
+    with _open_files(df.sparkSession):
+        df.write.mode("overwrite").option("parquet.block.size", OPEN_BYTES).partitionBy(key).parquet(path)
+
+
 def store_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None) -> None:
     """A table in the session's catalog, dealt out and sorted by keys: tables with as many buckets of the same keys join without a shuffle.
 

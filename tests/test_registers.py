@@ -85,6 +85,21 @@ def test_lines_are_split_once(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(record" in made["ctpartic"]._jdf.queryExecution().toString()
 
 
+def test_records_are_written_unsorted(spark, tmp_path):
+    """Lines go to the files of their kind as they come, without a sort; fields are split again where one kind is read."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    lines = spark.createDataFrame([(r, line(r, t), i * 100 + j) for j, (r, t) in enumerate(registers.RECORDS.values()) for i in range(20)] + [("TER", "a|b", 0)], "register string, value string, line_no int")
+    registers.store_split(lines, str(tmp_path / "split"))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    plans = [p for p in (e.physicalPlanDescription() for e in (store.executionsList().apply(i) for i in range(store.executionsList().size()))) if str(tmp_path / "split") in p and "InsertIntoHadoopFsRelationCommand" in p]
+    assert plans and not any("Sort" in p for p in plans)
+    assert spark.conf.get(key) == before
+    assert "fields" not in spark.read.parquet(str(tmp_path / "split")).columns
+    assert {n: registers.records(spark, str(tmp_path / "split"), n).count() for n in registers.RECORDS} == dict.fromkeys(registers.RECORDS, 20)
+
+
 def test_split_fields(spark):
     texts = ["a|b", "", "|", 'x|"a|b"|y', '"a""b"|c', '"open|b', 'a"b|c', '""|x', '"a"b|c', None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
