@@ -100,6 +100,12 @@ def test_records_are_written_unsorted(spark, tmp_path):
     assert {n: registers.records(spark, str(tmp_path / "split"), n).count() for n in registers.RECORDS} == dict.fromkeys(registers.RECORDS, 20)
 
 
+def test_rejects_need_no_store(spark, sf_dir):
+    """register_rejects tells rejects from lines, and reads no records of other kinds back."""
+    plan = registry.queries()["register_rejects"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "record" not in plan.replace("record_", "")
+
+
 def test_split_fields(spark):
     texts = ["a|b", "", "|", 'x|"a|b"|y', '"a""b"|c', '"open|b', 'a"b|c', '""|x', '"a"b|c', None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
