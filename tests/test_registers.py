@@ -32,6 +32,20 @@ def test_unreadable_sheets_are_no_parcel(spark):
     assert {(r.immobile, r.reason) for r in links.unmatched_units(units, parcels).collect()} == {(1, "no foglio"), (3, "no such parcel"), (4, "no sezione")}
 
 
+def test_links_come_parcel_by_parcel(spark, monkeypatch):
+    """Of all pairs of a key, a parcel's stand in one run of rows, and tasks follow from the number of parcels."""
+    units = spark.createDataFrame([("H501", "A", i, 1, "12", str(n), None) for n in range(41) for i in range(30)], "codice string, sezione string, immobile int, progressiv int, foglio string, numero string, denominato int")
+    parcels = spark.createDataFrame([("H501", "A", 100 * n + i, 12, str(n), None) for n in range(40) for i in range(25)], "codice string, sezione string, immobile int, foglio int, numero string, denominato int")
+    monkeypatch.setattr(links, "PARCELS_PER_TASK", 50, raising=False)
+    for heavy_rows in (10, 1_000_000):
+        rows = links.units_to_land(units, parcels, heavy_rows).withColumn("task", F.spark_partition_id()).collect()
+        assert len(rows) == 40 * 30 * 25 + 30 and len({(r.numero, r.immobile, r.terreno_id) for r in rows}) == len(rows)
+        assert {r.numero for r in rows if r.terreno_id is None} == {"40"}
+        runs = sum(a.terreno_id != b.terreno_id for a, b in zip(rows, rows[1:], strict=False)) + 1
+        assert runs <= 40 * 25 * (3 if heavy_rows == 10 else 1) + 4
+        assert len({r.task for r in rows if r.terreno_id}) > 10
+
+
 @pytest.mark.parametrize("optional", [(), ("part",)])
 def test_heavy_keys_are_dealt_out(spark, optional):
     key = keys.Key(("a", "b"), optional)
