@@ -2,9 +2,29 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote, urlsplit
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+#: So many files are renamed at a time.
+MOVES = 16
+
+
+@contextlib.contextmanager
+def few_listings(spark: SparkSession) -> Iterator[None]:
+    """Within it Spark lists many files or folders in some tasks for each core: by default each of up to 10,000 paths is a task of its own."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
 
 def _path(spark: SparkSession, path: str):
     made = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -18,14 +38,14 @@ def names(spark: SparkSession, folder: str) -> list[str]:
 
 
 def below(spark: SparkSession, folder: str) -> list[str]:
-    """The files of a folder and of those within it, by their path below it, in order; none where there is no such folder."""
+    """The files of a folder and of those within it, by their path below it, in order; none where there is no such folder. Spark lists them, in tasks where there are many folders; what it takes for hidden (_ or . in front) is left out."""
     fs, path = _path(spark, folder)
     if not fs.exists(path):
         return []
-    root, found, out = fs.makeQualified(path).toUri().getPath(), fs.listFiles(path, True), []
-    while found.hasNext():
-        out.append(found.next().getPath().toUri().getPath().removeprefix(root).lstrip("/"))
-    return sorted(out)
+    root = fs.makeQualified(path).toUri().getPath().rstrip("/")
+    with few_listings(spark):
+        found = spark.read.option("recursiveFileLookup", "true").text(folder).inputFiles()
+    return sorted(unquote(urlsplit(f).path).removeprefix(root).lstrip("/") for f in found)
 
 
 def below_of(spark: SparkSession, folder: str, path: Column) -> Column:
@@ -48,6 +68,21 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"can't move {source} to {target}")
 
 
+def move_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
+    """Rename files, (source, target) each, of one file system, MOVES of them at a time: one by one, the store's and the gateway's answers would be waited for as often as there are files."""
+    moves = list(moves)
+    if not moves:
+        return
+    fs, made = _path(spark, moves[0][0])[0], spark._jvm.org.apache.hadoop.fs.Path
+
+    def one(names: tuple[str, str]) -> None:
+        if not fs.rename(*map(made, names)):
+            raise OSError("can't move {} to {}".format(*names))
+
+    with ThreadPoolExecutor(MOVES) as pool:
+        list(pool.map(one, moves))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a file, or a folder with all in it; what isn't there is no error."""
     fs, made = _path(spark, path)

@@ -1,7 +1,8 @@
 """Files that arrive in a drop folder, as a stream: each is handled once, and moved away when its results are committed.
 
 Files are known by their names: a name that was handled is not looked at again, so a later delivery needs names of its own, or
-a folder of its own within the drop folder.
+a folder of its own within the drop folder. Each batch has its files listed again by Spark, each in a task of its own unless
+folders.few_listings() holds while the stream runs.
 """
 
 from __future__ import annotations
@@ -87,6 +88,5 @@ def move_handled(spark: SparkSession, folder: str, out: str, archive: str) -> li
     moved = sorted(r.name for r in done.collect())  # at most what the folder holds
     for inner in sorted({n.rpartition("/")[0] for n in moved} | {""}):
         folders.make(spark, f"{archive}/{inner}" if inner else archive)
-    for name in moved:
-        folders.move(spark, f"{folder}/{name}", f"{archive}/{name}")
+    folders.move_all(spark, ((f"{folder}/{name}", f"{archive}/{name}") for name in moved))
     return moved

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from terrier.operators import checks, sheets, transform
 from terrier.plans import registry
+from terrier.sources import folders
 from terrier.streaming import drop_folder
 
 HEAD = ["MAPPA", "L219C034500", "  4000.000"]
@@ -160,3 +161,23 @@ def test_vertices_of_both_kinds_in_one_pass(spark, sf_dir):
     assert sorted(len(r.vertici) for r in lists.collect()) == [0, 2, 3]
     plan = registry.queries()["sheet_vertices"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 1
+
+
+def test_many_files_are_listed_and_moved_at_a_time(spark, tmp_path):
+    names = [f"d{i % 3}/e{i % 40}/f {i}%+à.CTF" for i in range(200)]
+    for n in names:
+        (tmp_path / "in" / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / n).write_text(n)
+    base, tracker = str(tmp_path), spark.sparkContext.statusTracker()
+    seen = set(tracker.getJobIdsForGroup(None))
+    assert folders.below(spark, f"{base}/in") == sorted(names)
+    listings = [tracker.getStageInfo(s).numTasks for j in set(tracker.getJobIdsForGroup(None)) - seen for s in tracker.getJobInfo(j).stageIds]
+    assert max(listings) <= 4 * spark.sparkContext.defaultParallelism
+    (tmp_path / "done").mkdir()
+    moves = [(f"{base}/in/{n}", f"{base}/done/{n.rpartition('/')[2]}") for n in names]
+    folders.move_all(spark, moves)
+    assert folders.below(spark, f"{base}/in") == []
+    assert folders.below(spark, f"{base}/done") == sorted(n.rpartition("/")[2] for n in names)
+    assert (tmp_path / "done" / "f 7%+à.CTF").read_text() == names[7]
+    with pytest.raises(OSError):
+        folders.move_all(spark, moves[:1])
